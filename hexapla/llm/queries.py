@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hexapla.llm import quality
+from hexapla.llm import quality, secrets
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -70,5 +70,34 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
        (NOT base_failed AND NOT is_far) AS kept FROM j
 """
 
-QUERIES: dict[str, Query] = {"op7_quality": op7_quality}
-ORACLE: dict[str, str] = {"op7_quality": OP7_SQL}
+
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every document."""
+    return secrets.scanned(_table(spark, sf_dir, "documents"))
+
+
+def _op5_sql() -> str:
+    """The rules matched one by one: positions from the matches and the pieces between them."""
+    parts = []
+    for i, r in enumerate(secrets.RULES):
+        pattern = r.pattern.replace("'", "''")
+        parts.append(f"""
+            SELECT doc_id, {i} AS ord, '{r.kind}' AS kind, {r.least} AS least, string_split_regex(t, '{pattern}') AS p,
+                   regexp_extract_all(t, '{pattern}', 0) AS m, regexp_extract_all(t, '{pattern}', {r.group}) AS g FROM d""")
+    return f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+    a AS ({" UNION ALL ".join(parts)}),
+    e AS (SELECT doc_id, ord, kind, least, m, g, p, unnest(range(1, len(m) + 1)) AS i FROM a WHERE len(m) > 0),
+    s AS (SELECT doc_id, ord, kind, length(g[i]) AS n, length(m[i]) AS width,
+                 list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS b, least FROM e),
+    k AS (SELECT doc_id, ord, kind, b::BIGINT AS b, kind || ':' || b::BIGINT || ':' || (b + width)::BIGINT AS x FROM s WHERE n >= least),
+    r AS (SELECT doc_id, count(*) FILTER (ord = 0) AS n0, count(*) FILTER (ord = 1) AS n1, count(*) FILTER (ord = 2) AS n2,
+                 string_agg(x, ',' ORDER BY b, ord) FILTER (ord < 3) AS base, string_agg(x, ',' ORDER BY b, ord) AS every
+          FROM k GROUP BY doc_id)
+    SELECT d.doc_id, coalesce(n0, 0)::BIGINT AS n_assign, coalesce(n1, 0)::BIGINT AS n_access, coalesce(n2, 0)::BIGINT AS n_hex,
+           sha256(coalesce(base, '')) AS base_sha256, coalesce(every, '') AS spans
+    FROM d LEFT JOIN r ON d.doc_id = r.doc_id"""
+
+
+QUERIES: dict[str, Query] = {"op5_secrets": op5_secrets, "op7_quality": op7_quality}
+ORACLE: dict[str, str] = {"op5_secrets": _op5_sql(), "op7_quality": OP7_SQL}
