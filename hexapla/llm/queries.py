@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hexapla.llm import quality, secrets
+from hexapla.llm import quality, secrets, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,5 +99,17 @@ def _op5_sql() -> str:
     FROM d LEFT JOIN r ON d.doc_id = r.doc_id"""
 
 
-QUERIES: dict[str, Query] = {"op5_secrets": op5_secrets, "op7_quality": op7_quality}
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    """The place of a public tokenizer's vocabulary file."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of every document, written as compressed shards and read back."""
+    return tokens.round_trip(_table(spark, sf_dir, "documents"), vocabulary(), end=2)
+
+
+QUERIES: dict[str, Query] = {"op4_token_ids": op4_token_ids, "op5_secrets": op5_secrets, "op7_quality": op7_quality}
 ORACLE: dict[str, str] = {"op5_secrets": _op5_sql(), "op7_quality": OP7_SQL}
