@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hexapla.llm import quality, secrets, tokens
+from hexapla.llm import packing, quality, secrets, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -106,10 +106,15 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pieces of every document packed into sequences of 1024 ids."""
+    return packing.packed_documents(_table(spark, sf_dir, "documents"), vocabulary(), end=0)
+
+
 def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of every document, written as compressed shards and read back."""
     return tokens.round_trip(_table(spark, sf_dir, "documents"), vocabulary(), end=2)
 
 
-QUERIES: dict[str, Query] = {"op4_token_ids": op4_token_ids, "op5_secrets": op5_secrets, "op7_quality": op7_quality}
+QUERIES: dict[str, Query] = {"op3_packing": op3_packing, "op4_token_ids": op4_token_ids, "op5_secrets": op5_secrets, "op7_quality": op7_quality}
 ORACLE: dict[str, str] = {"op5_secrets": _op5_sql(), "op7_quality": OP7_SQL}
