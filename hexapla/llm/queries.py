@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hexapla.llm import licences, packing, quality, secrets, tokens
+from hexapla.llm import contamination, licences, packing, quality, secrets, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -116,10 +116,15 @@ def op4_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.round_trip(_table(spark, sf_dir, "documents"), vocabulary(), end=2)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The test items found in every document."""
+    return contamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and labels of every document."""
     return licences.licences(_table(spark, sf_dir, "documents")).drop("places")
 
 
-QUERIES: dict[str, Query] = {"op3_packing": op3_packing, "op4_token_ids": op4_token_ids, "op5_secrets": op5_secrets, "op7_quality": op7_quality, "op10_licences": op10_licences}
+QUERIES: dict[str, Query] = {"op3_packing": op3_packing, "op4_token_ids": op4_token_ids, "op5_secrets": op5_secrets, "op7_quality": op7_quality, "op8_decontamination": op8_decontamination, "op10_licences": op10_licences}
 ORACLE: dict[str, str] = {"op5_secrets": _op5_sql(), "op7_quality": OP7_SQL}

@@ -30,10 +30,10 @@ from pyspark.sql.window import Window
 from hexapla.llm.common import new_path, written
 
 MAGIC = b"HXID"
-#: Distinct pieces whose ids a worker keeps; beyond it forgets all and begins anew.
+#: Distinct pieces whose ids a worker keeps; beyond it forgets those that are not in the texts at hand.
 MOST_PIECES = 600_000
 #: Characters of the texts encoded at a time, beyond the last one's.
-CHUNK_CHARS = 3_000_000
+CHUNK_CHARS = 4_000_000
 #: The dictionary is trained on so many documents at most, and on so many ids of each, and has so many bytes at most.
 DICT_DOCS, DICT_IDS, DICT_BYTES = 2_000, 4_096, 64 << 10
 #: A shard holds about so many bytes of text; its task keeps its compressed frames in memory.
@@ -55,6 +55,7 @@ class PieceEncoder:
         self.tails: dict[str, bytes] = {}
         self.first, self.spaced = {}, {}  # ids of pieces at a line's start, and of pieces after a space
         (self.newline,) = self._whole(["\n"])
+        self.newline_id = int.from_bytes(self.newline, "little")
 
     def plain(self, text: str) -> bool:
         """Whether single spaces and line feeds are all its white space, so that it can be cut there."""
@@ -63,11 +64,25 @@ class PieceEncoder:
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _pieces(self, before: str, pieces: list[str]) -> list[bytes]:
+        """The ids of ``before`` + piece for each piece, encoded as the lines of one text: a line feed between pieces
+        without white space is a token of its own, and its id is in no other."""
+        import numpy as np
+
+        if not pieces:
+            return []
+        ids = np.array(self.tokenizer.encode_batch_fast(["\n".join([before + p for p in pieces])], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(ids == self.newline_id)
+        if len(ends) != len(pieces) - 1:
+            return self._whole([before + p for p in pieces])
+        data, cuts = ids.tobytes(), (4 * ends).tolist()
+        return [data[i:j] for i, j in zip([0, *[c + 4 for c in cuts]], [*cuts, len(data)], strict=True)]
+
     def _learn(self, kept: dict[str, bytes], pieces: set[str], before: str) -> None:
         """Keep the ids of ``before`` + piece. A letter or digit and a tail of points and commas are separate anyway."""
         pieces = pieces.difference(kept)
-        stems = list({p.rstrip(".,") for p in pieces}.difference(kept))
-        kept.update(zip(stems, self._whole([before + p for p in stems]), strict=True))
+        stems = list({p.rstrip(".,") for p in pieces}.difference(kept, ("",)))
+        kept.update(zip(stems, self._pieces(before, stems), strict=True))
         for p in pieces.difference(stems):
             stem = p.rstrip(".,")
             kept[p] = kept[stem] + self._tail(p[len(stem) :]) if stem and stem[-1].isalnum() else self._whole([before + p])[0]
@@ -80,10 +95,12 @@ class PieceEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [[line.split(" ") for line in t.split("\n")] if self.plain(t) else None for t in texts]
         lines = [line for c in cut if c is not None for line in c]
-        if len(self.spaced) + len(self.first) > self.most:
-            self.first, self.spaced, self.tails = {}, {}, {}
-        self._learn(self.first, {line[0] for line in lines}, "")
-        self._learn(self.spaced, set(chain.from_iterable(lines)), " ")
+        begin, after = {line[0] for line in lines}, set(chain.from_iterable(lines))
+        if len(self.spaced) + len(self.first) > self.most:  # what these texts have too is kept
+            self.first = {p: self.first[p] for p in begin.intersection(self.first)}
+            self.spaced = {p: self.spaced[p] for p in after.intersection(self.spaced)}
+        self._learn(self.first, begin, "")
+        self._learn(self.spaced, after, " ")
         first, spaced = self.first, self.spaced.__getitem__
         rest = iter(self._whole([t for t, c in zip(texts, cut, strict=True) if c is None]))
         return [
