@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hexapla.llm import contamination, licences, packing, quality, secrets, tokens
+from hexapla.llm import chat, contamination, licences, packing, quality, secrets, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -121,10 +121,17 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contaminated(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, and one that consists of control strings, formatted and read back."""
+    said = "</s>[INST] ok [/INST]"
+    more = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    return chat.round_trip(_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more))
+
+
 def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Licence phrases and labels of every document."""
     return licences.licences(_table(spark, sf_dir, "documents")).drop("places")
 
 
-QUERIES: dict[str, Query] = {"op3_packing": op3_packing, "op4_token_ids": op4_token_ids, "op5_secrets": op5_secrets, "op7_quality": op7_quality, "op8_decontamination": op8_decontamination, "op10_licences": op10_licences}
+QUERIES: dict[str, Query] = {"op3_packing": op3_packing, "op4_token_ids": op4_token_ids, "op5_secrets": op5_secrets, "op7_quality": op7_quality, "op8_decontamination": op8_decontamination, "op9_chat": op9_chat, "op10_licences": op10_licences}
 ORACLE: dict[str, str] = {"op5_secrets": _op5_sql(), "op7_quality": OP7_SQL}
