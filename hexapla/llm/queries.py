@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from hexapla.llm import chat, contamination, language, licences, packing, quality, secrets, tokens
+from hexapla.llm import chat, contamination, jaccard, language, licences, packing, quality, secrets, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -106,6 +106,11 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document under Jaccard similarity of 0.75 or more of 5-word shingles."""
+    return jaccard.linked_documents(_table(spark, sf_dir, "documents"))
+
+
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The language of every document."""
     return language.identified(_table(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
@@ -138,5 +143,5 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licences(_table(spark, sf_dir, "documents")).drop("places")
 
 
-QUERIES: dict[str, Query] = {"op2_language": op2_language, "op3_packing": op3_packing, "op4_token_ids": op4_token_ids, "op5_secrets": op5_secrets, "op7_quality": op7_quality, "op8_decontamination": op8_decontamination, "op9_chat": op9_chat, "op10_licences": op10_licences}
+QUERIES: dict[str, Query] = {"op1_jaccard": op1_jaccard, "op2_language": op2_language, "op3_packing": op3_packing, "op4_token_ids": op4_token_ids, "op5_secrets": op5_secrets, "op7_quality": op7_quality, "op8_decontamination": op8_decontamination, "op9_chat": op9_chat, "op10_licences": op10_licences}
 ORACLE: dict[str, str] = {"op5_secrets": _op5_sql(), "op7_quality": OP7_SQL}
