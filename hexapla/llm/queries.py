@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from hexapla.llm import chat, contamination, jaccard, language, licences, packing, quality, secrets, tokens
+from hexapla.llm import chat, contamination, jaccard, language, licences, packing, quality, secrets, substrings, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +23,12 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses, and a digest of what it keeps, when 50-byte strings of earlier documents are removed."""
+    found = substrings.deduplicated(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 OP7_SQL = r"""
 WITH d AS (SELECT doc_id, lang, source, coalesce(text, '') AS t FROM documents),
 w AS (SELECT doc_id, lang, source, t, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws,
@@ -143,5 +150,5 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licences(_table(spark, sf_dir, "documents")).drop("places")
 
 
-QUERIES: dict[str, Query] = {"op1_jaccard": op1_jaccard, "op2_language": op2_language, "op3_packing": op3_packing, "op4_token_ids": op4_token_ids, "op5_secrets": op5_secrets, "op7_quality": op7_quality, "op8_decontamination": op8_decontamination, "op9_chat": op9_chat, "op10_licences": op10_licences}
+QUERIES: dict[str, Query] = {"op1_jaccard": op1_jaccard, "op2_language": op2_language, "op3_packing": op3_packing, "op4_token_ids": op4_token_ids, "op5_secrets": op5_secrets, "op6_substrings": op6_substrings, "op7_quality": op7_quality, "op8_decontamination": op8_decontamination, "op9_chat": op9_chat, "op10_licences": op10_licences}
 ORACLE: dict[str, str] = {"op5_secrets": _op5_sql(), "op7_quality": OP7_SQL}
