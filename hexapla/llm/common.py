@@ -42,6 +42,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def without(docs: DataFrame, ids: DataFrame, keep: bool = False) -> DataFrame:
+    """The rows of ``docs`` whose doc_id, null as a value, is not in ``ids`` (or, with ``keep``, is), with their own
+    columns, whatever their names."""
+    on = F.col("own.doc_id").eqNullSafe(F.col("other.doc_id"))
+    return docs.alias("own").join(ids.select("doc_id").distinct().alias("other"), on, "left_semi" if keep else "left_anti")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` evaluated once: a lambda variable is bound, whereas a plain reference to a
     computed column inside a lambda is evaluated again for each element."""

@@ -10,9 +10,9 @@ link:
 2. Documents with equal sets form a class; its least doc_id stands for it from here on.
 3. Of each representative's shingles, rarest first, a prefix of one quarter and one is kept; linked sets share a shingle
    of their prefixes. Sets that share prefix shingles form groups, the components of that relation.
-4. Within a group the sets are searched one by one in an inverted index of those before: the short lists are merged by a
-   heap, documents that occur often enough there are probed for in the long lists, and those that reach the required
-   overlap are compared. Lists whose documents all are in the component of the set at hand are passed over, since only
+4. Within a group the sets are searched one by one in an inverted index of those before: the short lists are merged (by a
+   heap; by sorting where they hold many documents), documents that occur often enough there are probed for in the long
+   lists, and those that reach the required overlap are compared. Lists whose documents all are in the component of the set at hand are passed over, since only
    links to other components change the result.
 
 Groups too large for one task are first thinned out: each set is compared with the least set of its lists, the linked
@@ -27,9 +27,10 @@ from __future__ import annotations
 
 import hashlib
 import heapq
-import math
+from array import array
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -37,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexapla.llm.common import written
+from hexapla.llm.common import without, written
 from hexapla.llm.graph import components
 from hexapla.llm.shingles import shingle_sets
 
@@ -48,9 +49,9 @@ CHUNK_BYTES, BLOCK_SHINGLES = 2 << 20, 250_000
 #: Shingles that a bucket of hashes is to have.
 BUCKET = 1_000_000
 #: A group of more sets, or more shingles, is thinned out and searched by pairs of blocks of so many.
-GROUP_SETS, GROUP_SHINGLES = 2_000, 1_500_000
-#: Share of DivideSkip's cost model: the number of long lists is T / (MU * log2(longest) + 1).
-MU = 0.05
+GROUP_SETS, GROUP_SHINGLES = 3_000, 2_000_000
+#: Lists of more documents are probed and not merged, and so many documents are merged by a heap at most.
+LONG_LIST, HEAP = 8_192, 128
 
 
 def need(n: int | np.ndarray, percent: int = PERCENT):
@@ -272,8 +273,8 @@ class Search:
 
     def __init__(self, percent: int = PERCENT):
         self.percent = percent
-        self.sets: list[np.ndarray] = []
-        self.lists: dict[int, list[int]] = {}
+        self.sizes: list[int] = []
+        self.lists: dict[int, array] = {}
         self.only: dict[int, int] = {}  # of a list whose documents are in one component, one of them
         self.above: list[int] = []
 
@@ -282,68 +283,67 @@ class Search:
             self.above[x] = x = self.above[self.above[x]]
         return x
 
-    def linked(self, x: np.ndarray, y: np.ndarray) -> bool:
-        same = len(x) + len(y) - len(np.union1d(x, y))
-        return 100 * same >= self.percent * (len(x) + len(y) - same)
-
     def add(self, tokens: np.ndarray, label: int | None = None, search: bool = True) -> list[int]:
         """Search for a set, add it, and give those before it that joined it to a new component. ``label``: an earlier
         set whose component it is in already."""
-        k = len(self.sets)
-        self.sets.append(tokens)
+        k = len(self.sizes)
+        self.sizes.append(len(tokens))
         self.above.append(k if label is None else self.root(label))
         keys, joined = tokens.tolist(), []
         if search:
-            joined = self._search(k, tokens, [t for t in keys if t in self.lists])
+            joined = self._search(k, [t for t in keys if t in self.lists])
         for t in keys:
             if t in self.lists:
                 self.lists[t].append(k)
                 if t in self.only and self.root(self.only[t]) != self.root(k):
                     del self.only[t]
             else:
-                self.lists[t], self.only[t] = [k], k
+                self.lists[t], self.only[t] = array("i", (k,)), k
         return joined
 
-    def _join(self, k: int, y: int, joined: list[int]) -> bool:
-        if self.root(k) == self.root(y) or not self.linked(self.sets[k], self.sets[y]):
-            return False
-        self.above[self.root(k)] = self.root(y)
-        joined.append(y)
-        return True
-
-    def _search(self, k: int, tokens: np.ndarray, keys: list[int]) -> list[int]:
-        joined: list[int] = []
-        least = need(len(tokens), self.percent)
+    def _search(self, k: int, keys: list[int]) -> list[int]:
+        least = need(self.sizes[k], self.percent)
         if len(keys) < least:
-            return joined
-        for y in {self.lists[keys[0]][0], self.lists[keys[-1]][0], self.lists[keys[len(keys) // 2]][-1]}:
-            self._join(k, y, joined)
+            return []
         mine = self.root(k)
         lists = sorted((self.lists[t] for t in keys if t not in self.only or self.root(self.only[t]) != mine), key=len)
         if len(lists) < least:
-            return joined
-        long = min(int(least / (MU * math.log2(len(lists[-1]) + 1) + 1)), least - 1)
-        short, long_lists = lists[: len(lists) - long], lists[len(lists) - long :]
-        run, last = 0, -1
-        for y in heapq.merge(*short, (1 << 62,)):
-            if y == last:
-                run += 1
-                continue
-            if last >= 0 and run + long >= least and self._reaches(last, run, long_lists, least):
-                self._join(k, last, joined)
-            run, last = 1, y
+            return []
+        cut = max(bisect_left(lists, LONG_LIST, key=len), len(lists) - least + 1)
+        short, long = lists[:cut], lists[cut:]
+        joined = []
+        for y, found in self._merged(short, least - len(long)):
+            if self.root(y) != self.root(k):
+                overlap = self._probed(y, found, long, least)
+                if 100 * overlap >= self.percent * (self.sizes[k] + self.sizes[y] - overlap):
+                    self.above[self.root(k)] = self.root(y)
+                    joined.append(y)
         return joined
 
     @staticmethod
-    def _reaches(y: int, found: int, lists: list[list[int]], least: int) -> bool:
+    def _merged(lists: list[array], least: int) -> list[tuple[int, int]]:
+        """Documents that are in ``least`` of the lists, and in how many."""
+        if sum(map(len, lists)) > HEAP:
+            counts = np.bincount(np.concatenate([np.frombuffer(x, np.int32) for x in lists]))
+            found = np.flatnonzero(counts >= max(least, 1))
+            return list(zip(found.tolist(), counts[found].tolist(), strict=True))
+        return [(y, n) for y, run in groupby(heapq.merge(*lists)) if (n := sum(1 for _ in run)) >= least]
+
+    @staticmethod
+    def _probed(y: int, found: int, lists: list[array], least: int) -> int:
+        """In how many lists ``y`` is, of which ``found`` are known; 0 if it can't be ``least``."""
         for done, x in enumerate(lists):
-            if found >= least:
-                return True
             if found + len(lists) - done < least:
-                return False
+                return 0
             at = bisect_left(x, y)
             found += at < len(x) and x[at] == y
-        return found >= least
+        return found if found >= least else 0
+
+
+def linked(x: np.ndarray, y: np.ndarray, percent: int = PERCENT) -> bool:
+    """Whether two sets link."""
+    same = len(x) + len(y) - len(np.union1d(x, y))
+    return 100 * same >= percent * (len(x) + len(y) - same)
 
 
 _TASK = "task long, side int, rep long, label long, tokens binary"
@@ -386,9 +386,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     two = sets.select(F.col("rep").alias("b"), F.col("tokens").alias("y"))
 
     def compare(batches):
-        s = Search(percent)
         for b in batches:
-            keep = [s.linked(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
+            keep = [linked(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), percent) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
@@ -464,5 +463,4 @@ def deduplicated(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
 
     Of repeated rows of that id all stay: they are one document."""
     joined = linked_documents(docs, percent)
-    keep = joined.filter("doc_id <> component_id").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(keep, F.col("doc_id") == F.col("gone"), "left_anti")
+    return without(docs, written(joined.filter("doc_id <> component_id").select("doc_id"), "jaccard-gone"))
