@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hexapla.llm.common import without, written
+
 K1, B = 1.2, 0.75
 #: Part of an item's score with itself that a passage must reach.
 THRESHOLD = 0.6
@@ -248,5 +250,4 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
 def decontaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` in whose text no test item was found, with all columns. Rows without a doc_id are compared as
     one id."""
-    hit = contaminated(docs, items, threshold).select(F.col("doc_id").alias("h_doc_id")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("h_doc_id")), "left_anti")
+    return without(docs, written(contaminated(docs, items, threshold).select("doc_id"), "contaminated"))

@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hexapla.llm.common import WORD, let, written
+from hexapla.llm.common import WORD, let, without, written
 
 WINDOW = 5
 #: metric: (least distance to the median that counts as far, whether low values are bad too), in the metric's unit.
@@ -152,8 +152,7 @@ def judged(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
 def quality_filter(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """The rows of ``docs`` that are kept, with their own columns.
 
-    Verdicts are joined back by doc_id. Of repeated ids a row stays if any row of that id is kept with the same counts;
-    ids are unique in a corpus, so this only matters for malformed input. A null doc_id is matched as a value.
+    Verdicts are joined back by doc_id. Rows of equal ids stay if one of them is kept; ids are unique in a corpus, so
+    this only matters for malformed input. A null doc_id is matched as a value.
     """
-    keep = judged(docs, min_docs).filter("kept").select(F.col("doc_id").alias("k_doc_id")).distinct()
-    return docs.join(keep, F.col("doc_id").eqNullSafe(F.col("k_doc_id")), "left_semi")
+    return without(docs, judged(docs, min_docs).filter("kept"), keep=True)

@@ -169,7 +169,8 @@ def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[sec
     Rows without secrets are returned as they are; null texts stay null.
     """
     columns = docs.columns
-    found = secret_spans(docs, rules)
+    row = F.struct(*[F.col(f"`{c}`") for c in columns])
+    found = secret_spans(docs.select("doc_id", "text", row.alias("row")), rules)
 
     def cleaned(s: Column) -> Column:
         def step(acc: Column, x: Column) -> Column:
@@ -179,8 +180,9 @@ def redacted(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[sec
         start = F.struct(F.array().cast("array<string>").alias("out"), F.lit(0).cast("long").alias("at"))
         return F.aggregate(s, start, step, lambda acc: F.concat(F.array_join(acc["out"], ""), F.substring("text", acc["at"] + 1, F.lit(2**31 - 1))))
 
-    text = F.when(F.size("spans") == 0, F.col("text")).otherwise(cleaned(F.col("spans")))
-    out = found.withColumn("text", text)
+    some = F.size("spans") > 0
+    out = found.withColumn("clean", F.when(some, cleaned(F.col("spans"))).otherwise(F.col("text")))
+    new = {"text": F.col("clean")}
     if "n_chars" in columns:
-        out = out.withColumn("n_chars", F.when(F.size("spans") == 0, F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return out.select(*columns)
+        new["n_chars"] = F.when(some, F.length("clean").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("row.n_chars"))
+    return out.select(*[new.get(c, F.col(f"row.`{c}`")).alias(c) for c in columns])
