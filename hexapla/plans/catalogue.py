@@ -2,53 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from hexapla.plans import checking, merging, sequences, texts, voting  # noqa: F401  they register their queries
+from hexapla.plans.registry import ORACLE, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-
-from hexapla.sources.tables import table
-
-Query = Callable[[SparkSession, str], DataFrame]
-QUERIES: dict[str, Query] = {}
-ORACLE: dict[str, str] = {}
-
-
-def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a query under ``name``, with its SQL where there is one."""
-
-    def put(f: Query) -> Query:
-        QUERIES[name] = f
-        if sql is not None:
-            ORACLE[name] = sql
-        return f
-
-    return put
-
-
-@query(
-    "scorecard",
-    """
-    WITH l AS (SELECT l_orderkey k, bool_or(l_returnflag = 'R') AS returned FROM lineitem GROUP BY 1),
-    j AS (SELECT o_orderpriority AS grp, l.k IS NOT NULL AS present, coalesce(NOT l.returned, false) AS good
-          FROM orders LEFT JOIN l ON o_orderkey = l.k)
-    SELECT grp, count(*) AS expected, count(*) FILTER (present) AS existing, count(*) FILTER (good) AS complete,
-           count(*) FILTER (NOT present) AS missing, count(*) FILTER (present AND NOT good) AS corrupt,
-           100 * count(*) FILTER (good) // greatest(count(*), 1) AS percent
-    FROM j GROUP BY 1""",
-)
-def scorecard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Expected, existing, complete, missing and corrupt orders by priority, with the floor percentage."""
-    lines = table(spark, sf_dir, "lineitem").groupBy("l_orderkey").agg(F.bool_or(F.col("l_returnflag") == "R").alias("returned"))
-    orders = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderpriority").alias("grp"))
-    joined = orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
-        "grp", F.col("l_orderkey").isNotNull().alias("present"), F.coalesce(~F.col("returned"), F.lit(False)).alias("good")
-    )
-    return joined.groupBy("grp").agg(
-        F.count("*").alias("expected"),
-        F.count_if("present").alias("existing"),
-        F.count_if("good").alias("complete"),
-        F.count_if(~F.col("present")).alias("missing"),
-        F.count_if(F.col("present") & ~F.col("good")).alias("corrupt"),
-        F.expr("100 * count_if(good) div greatest(count(*), 1)").alias("percent"),
-    )
+__all__ = ["ORACLE", "QUERIES"]
