@@ -3,7 +3,7 @@
 Every round inserts one symbol of each document, from the last to the first: the suffixes of length j are put among the
 shorter ones. Where they go follows from the symbols alone, and how much they have in common with their neighbours from
 the least common prefix between the places of their tails. The transform, the common prefixes and the suffixes' owners
-are files that each round reads once from front to back and writes anew.
+are files that each round reads once from front to back and writes anew; they are kept in memory while they are small.
 """
 
 from __future__ import annotations
@@ -14,6 +14,8 @@ import numpy as np
 
 #: Files of the construction and the type of their records.
 FILES = {"symbol": np.uint16, "prefix": np.uint8, "owner": np.int32, "length": np.uint8}
+#: Collections of more bytes have their files on disk.
+IN_MEMORY = 16 << 20
 #: Documents may have so many bytes at most: lengths and common prefixes are files of single bytes.
 MOST_BYTES = 255
 
@@ -45,19 +47,25 @@ def build(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     before = lambda doc, length: np.where(sizes[doc] > length, data[np.maximum(ends[doc] - length - 1, 0)] if len(data) else 0, 0).astype(np.uint16)
     with tempfile.TemporaryDirectory(prefix="hexapla-bwt-") as folder:
 
+        small, held = len(data) <= IN_MEMORY, {}
+
         def write(**columns):
             for name, values in columns.items():
-                values.astype(FILES[name], copy=False).tofile(f"{folder}/{name}")
+                values = values.astype(FILES[name], copy=False)
+                if small:
+                    held[name] = values
+                else:
+                    values.tofile(f"{folder}/{name}")
 
         def read():
-            return [np.fromfile(f"{folder}/{name}", kind) for name, kind in FILES.items()]
+            return [held[name] if small else np.fromfile(f"{folder}/{name}", kind) for name, kind in FILES.items()]
 
         first = np.arange(m)
         write(symbol=before(first, np.zeros(m, np.int64)), prefix=np.zeros(m), owner=first, length=np.zeros(m))
         for j in range(1, int(sizes.max(initial=0)) + 1):
             symbol, prefix, owner, length = read()
             order = np.argsort(symbol, kind="stable")
-            order = order[np.searchsorted(symbol[order], 1) :]  # without documents that have ended
+            order = order[len(symbol) - np.count_nonzero(symbol) :]  # without documents that have ended
             fresh = np.flatnonzero(length[order] == j - 1)  # ranks of the suffixes of length j
             tails = order[fresh]
             same_before = np.zeros(len(fresh), bool)
@@ -79,7 +87,7 @@ def build(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
                 out[name][old] = values
             who = owner[tails].astype(np.int64)
             out["owner"][place], out["length"][place], out["symbol"][place] = who, j, before(who, np.full(len(who), j))
-            out["prefix"][place + 0] = own
+            out["prefix"][place] = own
             out["prefix"][place[k] + 1] = after
             write(**out)
         _, prefix, owner, length = read()

@@ -38,7 +38,7 @@ from hexapla.llm.jaccard import _blocks, _bucket_rows, _BUCKETED, _by_bucket, _S
 DEPTH, ANCHOR = 50, 16
 WINDOW = DEPTH - ANCHOR + 1
 #: Bytes of text in a block, anchors in a bucket of counts, and segments sorted together.
-BLOCK_BYTES, BUCKET, MOST_SEGMENTS = 2 << 20, 1_000_000, 60_000
+BLOCK_BYTES, BUCKET, MOST_SEGMENTS = 2 << 20, 1_000_000, 20_000
 
 _BYTE = np.random.default_rng(50).integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
