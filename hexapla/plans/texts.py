@@ -1 +1,228 @@
-"""Queries."""
+"""Text, JSON, map and array functions on documents, pages, parts and events."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hexapla.functions import text, values
+from hexapla.operators import resources
+from hexapla.plans.registry import query
+from hexapla.sources.tables import table
+
+#: White space as RE2 and Java both take it.
+_WS = r"[\t\n\f\r ]"
+
+
+@query("normalise_text", rf"SELECT doc_id, regexp_replace(regexp_replace(coalesce(text, ''), '\r\n?', chr(10), 'g'), '^{_WS}+|{_WS}+$', '', 'g') AS norm FROM documents")
+def normalise_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Newlines made one kind, ends stripped."""
+    return table(spark, sf_dir, "documents").select("doc_id", text.normalise_newlines(F.col("text")).alias("norm"))
+
+
+@query("compare_keys", r"SELECT doc_id, lower(regexp_replace(translate(text, 'éè', 'ee'), '[^\p{L}\p{N}]', '', 'g')) AS key FROM documents")
+def compare_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts for comparing: variants folded, letters and digits only (T4, T5)."""
+    return table(spark, sf_dir, "documents").select("doc_id", text.compare_key(F.col("text"), {"é": "e", "è": "e"}).alias("key"))
+
+
+@query("word_counts", r"SELECT doc_id, len(regexp_extract_all(regexp_replace(text, '[\p{P}\p{S}]', '', 'g'), '[\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}]')) + len(regexp_extract_all(regexp_replace(text, '[\p{P}\p{S}]', '', 'g'), '[\p{Latin}\p{N}]+')) AS n FROM documents")
+def word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Syllables: CJK characters and Latin words."""
+    return table(spark, sf_dir, "documents").select("doc_id", text.syllable_count(F.col("text")).cast("long").alias("n"))
+
+
+@query("class_counts", r"SELECT doc_id, len(regexp_extract_all(text, '[aeiou]')) AS vowels, len(regexp_extract_all(text, '[0-9]')) AS digits, array_to_string(list_sort(list_distinct(list_filter(string_split(regexp_replace(text, '[\p{L}\p{N} \n.,]', '', 'g'), ''), lambda x: x <> ''))), '') AS noise FROM documents")
+def class_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Characters of two classes, and the characters of none."""
+    c = F.col("text")
+    return table(spark, sf_dir, "documents").select("doc_id", text.class_count(c, "[aeiou]").cast("long").alias("vowels"), text.class_count(c, "[0-9]").cast("long").alias("digits"), text.noise_set(c, r"[\p{L}\p{N} \n.,]").alias("noise"))
+
+
+@query("safe_names", r"SELECT p_partkey, format('{:03d}_{}', p_partkey % 1200, CASE WHEN n = '' THEN 'Unknown' ELSE n END) AS name FROM (SELECT p_partkey, trim(regexp_replace(CASE WHEN p_partkey % 9 = 0 THEN '?!' ELSE p_name || '/' || p_brand END, '[^\p{L}\p{N} _-]', '', 'g')) AS n FROM part)")
+def safe_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names for files: three digits and safe characters."""
+    raw = F.when(F.col("p_partkey") % 9 == 0, "?!").otherwise(F.concat_ws("/", "p_name", "p_brand"))
+    return table(spark, sf_dir, "part").select("p_partkey", text.numbered_name(F.col("p_partkey") % 1200, raw).alias("name"))
+
+
+@query("version_names", "SELECT p_partkey, CASE WHEN b LIKE '%#1' THEN b ELSE b || '#1' END AS name FROM (SELECT p_partkey, CASE WHEN p_partkey % 4 = 0 THEN 'Brand' ELSE p_brand END AS b FROM part)")
+def version_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A default and a suffix unless it is there."""
+    return table(spark, sf_dir, "part").select("p_partkey", text.with_suffix(F.when(F.col("p_partkey") % 4 == 0, "  ").otherwise(F.col("p_brand")), "Brand", "#1").alias("name"))
+
+
+@query("url_keys", r"SELECT page_id, regexp_extract(url, '([^/?#]*)(?:[?#].*)?$', 1) AS name, lower(regexp_extract(regexp_extract(url, '([^/?#]*)(?:[?#].*)?$', 1), '\.([A-Za-z0-9]+)$', 1)) AS ext FROM pages")
+def url_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last part of each URL, and its extension."""
+    return table(spark, sf_dir, "pages").select("page_id", text.url_name(F.col("url")).alias("name"), text.url_extension(F.col("url")).alias("ext"))
+
+
+@query("path_numbers", r"SELECT doc_id, regexp_extract(p, '_(\d+(?:_[ab])?)', 1) AS number FROM (SELECT doc_id, lpad((doc_id % 1000)::VARCHAR, 3, '0') || '_' || doc_id || CASE WHEN doc_id % 3 = 0 THEN '_a' WHEN doc_id % 3 = 1 THEN '_b' ELSE '' END || '/x.pdf' AS p FROM documents)")
+def path_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Record numbers from paths."""
+    p = F.expr("concat(lpad(cast(doc_id % 1000 as string), 3, '0'), '_', doc_id, case when doc_id % 3 = 0 then '_a' when doc_id % 3 = 1 then '_b' else '' end, '/x.pdf')")
+    return table(spark, sf_dir, "documents").select("doc_id", text.path_number(p).alias("number"))
+
+
+@query("natural_key_order", r"SELECT p_partkey, row_number() OVER (ORDER BY coalesce(try_cast(regexp_extract(k, '^(\d+)', 1) AS INT), 1000000), k) AS place FROM (SELECT p_partkey, CASE WHEN p_partkey % 50 = 0 THEN 'x' || p_partkey ELSE p_partkey || '_a' END AS k FROM part WHERE p_partkey < 500)")
+def natural_key_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text keys in the order of their numbers."""
+    p = table(spark, sf_dir, "part").filter("p_partkey < 500").selectExpr("p_partkey", "if(p_partkey % 50 = 0, concat('x', p_partkey), concat(p_partkey, '_a')) as k").withColumn("head", text.number_head(F.col("k")))
+    return p.selectExpr("p_partkey", "row_number() over (order by head, k) as place")
+
+
+@query("natural_sort", "SELECT p_partkey, row_number() OVER (ORDER BY p_partkey % 7, p_partkey // 7) AS place FROM part WHERE p_partkey < 500")
+def natural_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names in the order of the numbers in them."""
+    p = table(spark, sf_dir, "part").filter("p_partkey < 500").selectExpr("p_partkey", "concat('s', p_partkey % 7, '.', floor(p_partkey / 7), '.txt') as k").withColumn("key", text.natural_key(F.col("k")))
+    return p.selectExpr("p_partkey", "row_number() over (order by key) as place")
+
+
+@query("html_to_text")
+def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as plain text."""
+    return table(spark, sf_dir, "pages").select("page_id", text.html_to_text(F.col("html")).alias("text"))
+
+
+@query("ocr_lines", r"SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(l, '…+|\.{3,}', ' ', 'g'), '[|¦]+', ' ', 'g'), '[\t\n\f\r ]+', ' ', 'g')) AS line FROM (SELECT doc_id, string_split(text, chr(10))[1] AS l FROM documents)")
+def ocr_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First lines cleaned of what recognition leaves."""
+    return table(spark, sf_dir, "documents").select("doc_id", text.ocr_line(F.get(F.split("text", "\n"), F.lit(0))).alias("line"))
+
+
+@query("contains_match", "SELECT item_id, doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)")
+def contains_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items that a document contains.
+
+    The pairs are found by their words: an item's first four whole words must follow each other in the document, which is
+    an equality that can be joined on; ``contains`` then decides. Items of fewer words are compared with every document in
+    one pass, since no join key can be had from them.
+    """
+    docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("item"))
+    pieces = lambda c: F.regexp_extract_all(c, F.lit(r"\S+"), F.lit(0))
+    gram = lambda w, i: F.xxhash64(*[F.get(w, i + k) for k in range(4)])
+    keyed = items.withColumn("w", pieces(F.col("item"))).withColumn("gram", F.when(F.size("w") >= 6, gram(F.col("w"), F.lit(1))))
+    words = docs.select("doc_id", pieces(F.col("text")).alias("w"))
+    grams = words.filter(F.size("w") >= 4).select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("w") - 4), lambda i: gram(F.col("w"), i)))).alias("gram"))
+    pairs = grams.join(keyed.filter("gram is not null").select("item_id", "item", "gram"), "gram").select("doc_id", "item_id", "item").distinct()
+    long = pairs.join(docs, "doc_id").filter(F.col("text").contains(F.col("item"))).select("item_id", "doc_id")
+    few = keyed.filter("gram is null").agg(F.collect_list(F.struct("item_id", "item")).alias("items"))
+    short = docs.join(F.broadcast(few)).select("doc_id", F.explode(F.filter("items", lambda x: F.col("text").contains(x["item"]))).alias("x")).select("x.item_id", "doc_id")
+    return long.unionByName(short)
+
+
+@query("props_map", "SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k, len(json_keys(props)) AS n FROM events")
+def props_map(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """JSON objects as maps."""
+    m = values.real_keys(values.json_map(F.col("props")))
+    return table(spark, sf_dir, "events").select("event_id", values.json_path(F.col("props"), "$.k", "bigint").alias("k"), F.size(m).cast("long").alias("n"))
+
+
+@query("tolerant_json", "SELECT event_id, CASE WHEN event_id % 4 = 0 THEN 0 ELSE 1 END AS n, CASE WHEN event_id % 4 = 0 THEN -1 ELSE json_extract_string(props, '$.k')::BIGINT END AS k FROM events")
+def tolerant_json(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dirty JSON counts as empty."""
+    dirty = F.when(F.col("event_id") % 4 == 0, F.lit("{bad")).otherwise(F.col("props"))
+    return table(spark, sf_dir, "events").select("event_id", F.size(values.json_map(dirty)).alias("n"), values.json_path(dirty, "$.k", "bigint", -1).alias("k"))
+
+
+@query(
+    "version_maps",
+    """WITH l AS (SELECT user_id::VARCHAR AS no, event_type AS category, CASE WHEN event_id % 5 = 0 THEN NULL ELSE 'https://h/p/' || event_id || '.MP4?x=1' END AS url,
+                  row_number() OVER (PARTITION BY user_id, event_type ORDER BY event_id DESC) AS r FROM events)
+       SELECT no, category, url, CASE WHEN url IS NOT NULL THEN regexp_extract(url, '([^/?#]*)(?:[?#].*)?$', 1) END AS filename, CASE WHEN url IS NULL THEN 'mp3' ELSE 'm4a' END AS ext,
+              CASE WHEN url IS NULL THEN 'no_url' END AS reason FROM l WHERE r = 1""",
+)
+def version_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last audio item of each category with its file name."""
+    items = table(spark, sf_dir, "events").selectExpr("cast(user_id as string) as no", "event_id as pos", "event_type as category", "if(event_id % 5 = 0, '', concat('https://h/p/', event_id, '.MP4?x=1')) as url")
+    return resources.versions(items)
+
+
+@query("record_view", "SELECT doc_id, lang || '、' || source AS names, CASE WHEN doc_id % 6 = 0 THEN 'Unknown' ELSE lang END AS lyricist, CASE WHEN len(l) > 0 THEN l[1] ELSE '' END AS verse_1, CASE WHEN len(l) > 1 THEN l[2] ELSE '' END AS verse_2, CASE WHEN len(l) > 2 THEN l[3] ELSE '' END AS verse_3, least(len(l), 3) AS verse_count FROM (SELECT *, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '') AS l FROM documents)")
+def record_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A record flattened: names joined, verses in fixed columns."""
+    lines = F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("text")))
+    d = table(spark, sf_dir, "documents").withColumn("verses", values.texts_of(lines, "text"))
+    names = F.filter(F.array(F.when(F.col("doc_id") % 6 != 0, F.col("lang"))), lambda x: x.isNotNull())
+    return d.select("doc_id", F.array_join(F.array("lang", "source"), "、").alias("names"), values.joined_or(names, "、", "Unknown").alias("lyricist"), *values.fixed_slots(F.col("verses"), 3, "verse"), F.least(F.size("verses"), F.lit(3)).cast("long").alias("verse_count"))
+
+
+@query("long_verses", "SELECT c_custkey, k AS verse_no, CASE k WHEN 1 THEN c_name ELSE c_mktsegment END AS text FROM customer, (VALUES (1), (2)) AS v(k)")
+def long_verses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide verse columns as rows."""
+    return table(spark, sf_dir, "customer").selectExpr("c_custkey", "stack(2, 1, c_name, 2, c_mktsegment) as (verse_no, text)")
+
+
+@query("hierarchy_rows", """SELECT s AS category, CASE WHEN l = s THEN '' ELSE l END AS subcategory, n FROM (SELECT source AS s, CASE WHEN doc_id % 2 = 0 THEN source ELSE lang END AS l, count(*) AS n FROM documents GROUP BY 1, 2)""")
+def hierarchy_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested JSON as rows; a subcategory like its category is blank."""
+    inner = table(spark, sf_dir, "documents").groupBy("source", F.when(F.col("doc_id") % 2 == 0, F.col("source")).otherwise(F.col("lang")).alias("sub")).agg(F.count("*").alias("n"))
+    tree = inner.groupBy("source").agg(F.to_json(F.map_from_entries(F.collect_list(F.struct("sub", "n")))).alias("j"))
+    rows = tree.select(F.col("source").alias("category"), F.explode(values.json_map(F.col("j"), "bigint")).alias("sub", "n"))
+    return rows.select("category", F.when(F.col("sub") == F.col("category"), "").otherwise(F.col("sub")).alias("subcategory"), "n")
+
+
+@query("hex_codes", "SELECT n_nationkey, lpad(lower(to_hex(n_nationkey * 300)), 4, '0') AS code, n_nationkey * 300 AS back FROM nation")
+def hex_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code points to hex and back."""
+    code = text.hex_code((F.col("n_nationkey") * 300).cast("long"))
+    return table(spark, sf_dir, "nation").select("n_nationkey", code.alias("code"), text.code_of_hex(code).cast("int").alias("back"))
+
+
+@query("duration_texts", "SELECT o_orderkey, s // 60 || ':' || lpad((s % 60)::VARCHAR, 2, '0') AS m, s // 3600 || 'h' || lpad((s % 3600 // 60)::VARCHAR, 2, '0') || 'm' AS h FROM (SELECT o_orderkey, round_even(o_totalprice / 10, 0)::BIGINT AS s FROM orders)")
+def duration_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Seconds as texts."""
+    s = F.col("o_totalprice") / 10
+    return table(spark, sf_dir, "orders").select("o_orderkey", text.minutes(s).alias("m"), text.hours(s).alias("h"))
+
+
+@query("periods", """WITH s AS (SELECT conv_id, list(role ORDER BY turn) AS sig FROM conversations GROUP BY 1),
+    f AS (SELECT conv_id, sig, list_filter(range(1, len(sig)), lambda p: len(list_filter(range(1, len(sig) - p + 1), lambda i: sig[i] <> sig[i + p])) = 0) AS ps FROM s)
+    SELECT conv_id, CASE WHEN len(sig) = 1 THEN 1 WHEN len(ps) > 0 THEN ps[1] ELSE 0 END::INT AS period, len(sig) = 1 OR len(ps) > 0 AS repeats FROM f""")
+def periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The least period of each conversation's roles."""
+    s = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("turn", "role"))), lambda x: x["role"]).alias("sig"))
+    return s.select("conv_id", values.period(F.col("sig")).alias("p")).select("conv_id", "p.period", "p.repeats")
+
+
+@query("review_rows", "SELECT o_orderkey, o_totalprice FROM orders WHERE o_orderstatus = 'F' OR o_totalprice < 5000 ORDER BY o_orderkey LIMIT 40")
+def review_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows to review, the first forty."""
+    return table(spark, sf_dir, "orders").filter("o_orderstatus = 'F' or o_totalprice < 5000").orderBy("o_orderkey").limit(40).select("o_orderkey", "o_totalprice")
+
+
+@query("fuzzy_titles")
+def fuzzy_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Changed part names matched to the nearest title, exact first, then by matching blocks.
+
+    Titles are compared only within blocks that share a three-letter run, since the ratio is at least 0.75 and therefore
+    short names share such a run; each name's best title stays if its ratio is 0.75 or more.
+    """
+    named = F.concat_ws(" ", "p_name", "p_type", "p_brand", "p_size")
+    part = table(spark, sf_dir, "part").select("p_partkey", text.compare_key(named).alias("title"))
+    titles = part.groupBy("title").agg(F.min("p_partkey").alias("number"), F.count("*").alias("n")).filter("n = 1").drop("n")
+    asked = part.filter("p_partkey % 20 = 0").select(F.col("p_partkey").alias("asked"), F.concat("title", F.lit("x")).alias("name"))
+    exact = asked.join(titles, F.col("name") == F.col("title")).select("asked", "number", F.lit(1.0).alias("ratio"))
+    rest = asked.join(exact.select("asked"), "asked", "left_anti")
+    runs = lambda df, c: df.withColumn("run", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 2, F.lit(1))), lambda i: F.substring(c, i, F.lit(3))))))
+    pairs = runs(rest, "name").join(runs(titles, "title"), "run").groupBy("asked", "name", "number", "title").agg(F.count("*").alias("shared"))
+    near = pairs.filter(F.col("shared") * 2 >= F.length("name") - 2).withColumn("ratio", text.seq_ratio("name", "title")).filter("ratio >= 0.75")
+    best = near.groupBy("asked").agg(F.min_by(F.struct("number", "ratio"), F.struct(-F.col("ratio"), "number")).alias("b"))
+    return exact.unionByName(best.select("asked", "b.number", "b.ratio"))
+
+
+@query("lyric_coverage")
+def lyric_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How much of each test item its best document covers, in order, at least 0.9.
+
+    Candidates share a four-word run with the item; only they are compared.
+    """
+    pieces = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    runs = lambda df: df.filter(F.size("w") >= 4).withColumn("run", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("w") - 4), lambda i: F.xxhash64(*[F.get("w", i + k) for k in range(4)])))))
+    items = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("item"), pieces(F.col("text")).alias("w"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", pieces(F.col("text")).alias("w"))
+    pairs = runs(docs.select("doc_id", "w")).select("doc_id", "run").join(runs(items).select("item_id", "run"), "run").groupBy("doc_id", "item_id").agg(F.count("*").alias("n")).filter("n >= 4")
+    scored = pairs.join(items.select("item_id", "item"), "item_id").join(docs.select("doc_id", "text"), "doc_id").withColumn("coverage", text.seq_coverage("item", "text"))
+    best = scored.filter("coverage >= 0.9").groupBy("item_id").agg(F.min_by(F.struct("doc_id", "coverage"), F.struct(-F.col("coverage"), "doc_id")).alias("b"))
+    return best.select("item_id", "b.doc_id", "b.coverage")
