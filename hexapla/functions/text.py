@@ -9,6 +9,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 CJK = r"\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}"
 #: File extensions that are written differently.
@@ -201,25 +202,25 @@ def plain_key(c: Column) -> Column:
     return F.lower(F.regexp_replace(nfkc(c), r"[\s.．。·]", ""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def html_unescape(s: pd.Series) -> pd.Series:
     """Entities to characters."""
     return s.map(lambda x: x if x is None else html.unescape(x))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     """Unicode's compatibility composition."""
     return s.map(lambda x: x if x is None else unicodedata.normalize("NFKC", x))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def seq_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Twice the matching blocks' length over both lengths; null if either is null. Not an edit distance."""
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y, autojunk=False).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def seq_coverage(part: pd.Series, whole: pd.Series) -> pd.Series:
     """The part of ``part`` that is found in ``whole`` in order: 1 if contained, else matching blocks' length over its own."""
 
@@ -233,7 +234,7 @@ def seq_coverage(part: pd.Series, whole: pd.Series) -> pd.Series:
     return pd.Series([one(x, y) for x, y in zip(part, whole, strict=True)], dtype="float64")
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def display_width(s: pd.Series) -> pd.Series:
     """Columns that a text takes in a terminal: two for wide characters."""
     return s.map(lambda x: 0 if x is None else sum(2 if unicodedata.east_asian_width(ch) in "WF" else 1 for ch in x)).astype("int32")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hexapla.functions import text, values
-from hexapla.operators import resources
+from hexapla.operators import matching, resources
 from hexapla.plans.registry import query
 from hexapla.sources.tables import table
 
@@ -65,18 +65,19 @@ def path_numbers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", text.path_number(p).alias("number"))
 
 
-@query("natural_key_order", r"SELECT p_partkey, row_number() OVER (ORDER BY coalesce(try_cast(regexp_extract(k, '^(\d+)', 1) AS INT), 1000000), k) AS place FROM (SELECT p_partkey, CASE WHEN p_partkey % 50 = 0 THEN 'x' || p_partkey ELSE p_partkey || '_a' END AS k FROM part WHERE p_partkey < 500)")
+@query("natural_key_order", r"SELECT p_partkey, coalesce(try_cast(regexp_extract(k, '^(\d+)', 1) AS INT), 1000000) AS head, k FROM (SELECT p_partkey, CASE WHEN p_partkey % 50 = 0 THEN 'x' || p_partkey ELSE p_partkey || '_a' END AS k FROM part)")
 def natural_key_order(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Text keys in the order of their numbers."""
-    p = table(spark, sf_dir, "part").filter("p_partkey < 500").selectExpr("p_partkey", "if(p_partkey % 50 = 0, concat('x', p_partkey), concat(p_partkey, '_a')) as k").withColumn("head", text.number_head(F.col("k")))
-    return p.selectExpr("p_partkey", "row_number() over (order by head, k) as place")
+    """Text keys in the order of their numbers."""
+    keys = table(spark, sf_dir, "part").selectExpr("p_partkey", "if(p_partkey % 50 = 0, concat('x', p_partkey), concat(p_partkey, '_a')) as k")
+    return keys.withColumn("head", text.number_head(F.col("k"))).orderBy("head", "k")
 
 
-@query("natural_sort", "SELECT p_partkey, row_number() OVER (ORDER BY p_partkey % 7, p_partkey // 7) AS place FROM part WHERE p_partkey < 500")
+@query("natural_sort", "SELECT p_partkey, p_partkey % 7 AS first, p_partkey // 7 AS second FROM part")
 def natural_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names in the order of the numbers in them."""
-    p = table(spark, sf_dir, "part").filter("p_partkey < 500").selectExpr("p_partkey", "concat('s', p_partkey % 7, '.', floor(p_partkey / 7), '.txt') as k").withColumn("key", text.natural_key(F.col("k")))
-    return p.selectExpr("p_partkey", "row_number() over (order by key) as place")
+    keyed = table(spark, sf_dir, "part").select("p_partkey", text.natural_key(F.expr("concat('s', p_partkey % 7, '.', floor(p_partkey / 7), '.txt')")).alias("key"))
+    number = lambda i: F.get(F.col("key"), F.lit(i))["n"].cast("long")
+    return keyed.orderBy("key").select("p_partkey", number(1).alias("first"), number(3).alias("second"))
 
 
 @query("html_to_text")
@@ -93,23 +94,9 @@ def ocr_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("contains_match", "SELECT item_id, doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)")
 def contains_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items that a document contains.
-
-    The pairs are found by their words: an item's first four whole words must follow each other in the document, which is
-    an equality that can be joined on; ``contains`` then decides. Items of fewer words are compared with every document in
-    one pass, since no join key can be had from them.
-    """
-    docs, items = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("item"))
-    pieces = lambda c: F.regexp_extract_all(c, F.lit(r"\S+"), F.lit(0))
-    gram = lambda w, i: F.xxhash64(*[F.get(w, i + k) for k in range(4)])
-    keyed = items.withColumn("w", pieces(F.col("item"))).withColumn("gram", F.when(F.size("w") >= 6, gram(F.col("w"), F.lit(1))))
-    words = docs.select("doc_id", pieces(F.col("text")).alias("w"))
-    grams = words.filter(F.size("w") >= 4).select("doc_id", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("w") - 4), lambda i: gram(F.col("w"), i)))).alias("gram"))
-    pairs = grams.join(keyed.filter("gram is not null").select("item_id", "item", "gram"), "gram").select("doc_id", "item_id", "item").distinct()
-    long = pairs.join(docs, "doc_id").filter(F.col("text").contains(F.col("item"))).select("item_id", "doc_id")
-    few = keyed.filter("gram is null").agg(F.collect_list(F.struct("item_id", "item")).alias("items"))
-    short = docs.join(F.broadcast(few)).select("doc_id", F.explode(F.filter("items", lambda x: F.col("text").contains(x["item"]))).alias("x")).select("x.item_id", "doc_id")
-    return long.unionByName(short)
+    """Items that a document contains."""
+    items = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("item"))
+    return matching.contained(items, table(spark, sf_dir, "documents"))
 
 
 @query("props_map", "SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k, len(json_keys(props)) AS n FROM events")
@@ -194,35 +181,13 @@ def review_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("fuzzy_titles")
 def fuzzy_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Changed part names matched to the nearest title, exact first, then by matching blocks.
-
-    Titles are compared only within blocks that share a three-letter run, since the ratio is at least 0.75 and therefore
-    short names share such a run; each name's best title stays if its ratio is 0.75 or more.
-    """
-    named = F.concat_ws(" ", "p_name", "p_type", "p_brand", "p_size")
-    part = table(spark, sf_dir, "part").select("p_partkey", text.compare_key(named).alias("title"))
-    titles = part.groupBy("title").agg(F.min("p_partkey").alias("number"), F.count("*").alias("n")).filter("n = 1").drop("n")
-    asked = part.filter("p_partkey % 20 = 0").select(F.col("p_partkey").alias("asked"), F.concat("title", F.lit("x")).alias("name"))
-    exact = asked.join(titles, F.col("name") == F.col("title")).select("asked", "number", F.lit(1.0).alias("ratio"))
-    rest = asked.join(exact.select("asked"), "asked", "left_anti")
-    runs = lambda df, c: df.withColumn("run", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(1), F.greatest(F.length(c) - 2, F.lit(1))), lambda i: F.substring(c, i, F.lit(3))))))
-    pairs = runs(rest, "name").join(runs(titles, "title"), "run").groupBy("asked", "name", "number", "title").agg(F.count("*").alias("shared"))
-    near = pairs.filter(F.col("shared") * 2 >= F.length("name") - 2).withColumn("ratio", text.seq_ratio("name", "title")).filter("ratio >= 0.75")
-    best = near.groupBy("asked").agg(F.min_by(F.struct("number", "ratio"), F.struct(-F.col("ratio"), "number")).alias("b"))
-    return exact.unionByName(best.select("asked", "b.number", "b.ratio"))
+    """All part names, changed at their ends, matched to the titles."""
+    names = table(spark, sf_dir, "part").groupBy(text.compare_key(F.col("p_name")).alias("title")).agg(F.min("p_partkey").alias("number"))
+    asked = names.select(F.col("number").alias("asked"), F.concat("title", F.lit("x")).alias("name"))
+    return matching.exact_then_fuzzy(asked, names)
 
 
 @query("lyric_coverage")
 def lyric_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """How much of each test item its best document covers, in order, at least 0.9.
-
-    Candidates share a four-word run with the item; only they are compared.
-    """
-    pieces = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    runs = lambda df: df.filter(F.size("w") >= 4).withColumn("run", F.explode(F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("w") - 4), lambda i: F.xxhash64(*[F.get("w", i + k) for k in range(4)])))))
-    items = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("item"), pieces(F.col("text")).alias("w"))
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", pieces(F.col("text")).alias("w"))
-    pairs = runs(docs.select("doc_id", "w")).select("doc_id", "run").join(runs(items).select("item_id", "run"), "run").groupBy("doc_id", "item_id").agg(F.count("*").alias("n")).filter("n >= 4")
-    scored = pairs.join(items.select("item_id", "item"), "item_id").join(docs.select("doc_id", "text"), "doc_id").withColumn("coverage", text.seq_coverage("item", "text"))
-    best = scored.filter("coverage >= 0.9").groupBy("item_id").agg(F.min_by(F.struct("doc_id", "coverage"), F.struct(-F.col("coverage"), "doc_id")).alias("b"))
-    return best.select("item_id", "b.doc_id", "b.coverage")
+    """The document that covers most of each test item."""
+    return matching.best_coverage(table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("item")), table(spark, sf_dir, "documents"))
