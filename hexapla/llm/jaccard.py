@@ -86,6 +86,11 @@ class _Sender:
         self.seq += 1
         return (self.task << 32) | self.seq
 
+    @staticmethod
+    def head(block: int) -> int:
+        """The bucket, below 0, of a block's head: heads are spread over tasks, and sort before their block's rows."""
+        return -1 - (block ^ (block >> 32) * 7919) % 4096
+
     def deal(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The order of the tokens by bucket, and where each bucket begins in it."""
         bucket = ((tokens >> np.uint64(32)) % np.uint64(self.buckets)).astype(np.int64)
@@ -133,7 +138,7 @@ def shared_counts(docs: DataFrame, buckets: int, parts: int) -> DataFrame:
             low = (tokens[order] & np.uint64(0xFFFFFFFF)).astype("<u4")
             owner = np.repeat(np.arange(len(sets)), lengths)[order]
             marks = b"".join(hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in sets)
-            rows = [(block, -1, np.array(ids, "<i8").tobytes() + lengths.astype("<i8").tobytes(), marks)]
+            rows = [(block, s.head(block), np.array(ids, "<i8").tobytes() + lengths.astype("<i8").tobytes(), marks)]
             for b in range(buckets):
                 i, j = int(starts[b]), int(starts[b + 1])
                 if i < j:
@@ -156,7 +161,7 @@ def shared_counts(docs: DataFrame, buckets: int, parts: int) -> DataFrame:
     def gather(batches):
         for rows in _blocks(batches):
             head = rows[0]
-            if head[1] != -1:
+            if head[1] >= 0:
                 raise ValueError("a block has lost its head")
             k = len(head[2]) // 16
             ids, lengths = np.frombuffer(head[2], "<i8").reshape(2, k)
@@ -376,7 +381,7 @@ def search_groups(members: DataFrame, percent: int = PERCENT) -> DataFrame:
 
 def _stars(prefix: DataFrame) -> DataFrame:
     """(a, b): each set and the least set of each of its lists."""
-    least = prefix.groupBy("token").agg(F.min("rep").alias("b"), F.count("*").alias("c")).filter("c > 1").select(F.col("token").alias("k"), "b")
+    least = written(prefix.groupBy("token").agg(F.min("rep").alias("b"), F.count("*").alias("c")).filter("c > 1").select(F.col("token").alias("k"), "b"), "jaccard-least")
     return prefix.join(least, F.col("token") == F.col("k")).filter("rep <> b").select(F.col("rep").alias("a"), "b").distinct()
 
 
@@ -436,9 +441,9 @@ def linked_documents(docs: DataFrame, percent: int = PERCENT, group_sets: int =
     parts = max(1, min(buckets, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     counted = written(shared_counts(docs.filter("doc_id is not null"), buckets, parts), "jaccard-counts")
     near = counted.filter((F.col("n") > 0) & (100 * F.col("shared") >= percent * F.col("n")))
-    first = near.groupBy("mark").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"))
-    classes = written(near.join(first.select(F.col("mark").alias("m"), "rep"), F.col("mark") == F.col("m")).select("doc_id", "rep").distinct(), "jaccard-classes")
-    reps = written(first.select("rep", "n"), "jaccard-reps")
+    # written, so that both sides of the join are plain exchanges, of which Spark splits large partitions
+    reps = written(near.groupBy("mark").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n")), "jaccard-reps")
+    classes = written(near.join(reps.select(F.col("mark").alias("m"), "rep"), F.col("mark") == F.col("m")).select("doc_id", "rep").distinct(), "jaccard-classes")
     few = max(1, (reps.agg(F.sum("n")).first()[0] or 0) // BUCKET)
     texts = docs.join(reps.select(F.col("rep").alias("r")), F.col("doc_id") == F.col("r"), "left_semi")
     blocks = written(set_blocks(texts), "jaccard-sets")
