@@ -127,7 +127,7 @@ def shared_anchors(docs: DataFrame, buckets: int, parts: int) -> DataFrame:
             order, starts = s.deal(anchor)
             block, low = s.number(), (anchor[order] & np.uint64(0xFFFFFFFF)).astype("<u4")
             per = np.bincount(text, minlength=len(texts)).astype("<i8")
-            rows = [(block, -1, np.array(ids, "<i8").tobytes() + per.tobytes(), b"".join(marks) + anchor.tobytes())]
+            rows = [(block, s.head(block), np.array(ids, "<i8").tobytes() + per.tobytes(), b"".join(marks) + anchor.tobytes())]
             # an anchor counts once for each text: a second one in the same text is no other row's
             for b in range(buckets):
                 i, j = int(starts[b]), int(starts[b + 1])
@@ -235,7 +235,7 @@ def spans(cut: DataFrame, buckets: int, parts: int) -> DataFrame:
             text, start, runs, anchor = text[at], start[at], runs[at], anchor[at]
             order, starts = s.deal(anchor)
             block, doc = s.number(), np.array(ids, "<i8")
-            rows = [(block, -1, doc.tobytes(), b"".join(marks))]
+            rows = [(block, s.head(block), doc.tobytes(), b"".join(marks))]
             for b in range(buckets):
                 here = order[starts[b] : starts[b + 1]]
                 if len(here):
@@ -316,7 +316,7 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     buckets = max(1, size // 19 // BUCKET)
     parts = max(1, min(buckets, int(spark.conf.get("spark.sql.shuffle.partitions"))))
     marked = written(shared_anchors(docs, buckets, parts), "substrings-anchors").distinct()
-    first = marked.groupBy("mark").agg(F.min("doc_id").alias("first")).withColumnRenamed("mark", "f_mark")
+    first = written(marked.groupBy("mark").agg(F.min("doc_id").alias("first")).withColumnRenamed("mark", "f_mark"), "substrings-first")
     known = written(marked.join(first, F.col("mark") == F.col("f_mark")).select("doc_id", "mark", (F.col("doc_id") > F.col("first")).alias("copy"), "bits"), "substrings-copies")
     wanted = known.filter("not copy and bits is not null").select(F.col("doc_id").alias("w_id"), F.col("mark").alias("w_mark"), "bits")
     cut = docs.join(wanted, (F.col("doc_id") == F.col("w_id")) & (F.col("mark") == F.col("w_mark"))).select("doc_id", "mark", "text", "bits")
