@@ -86,10 +86,11 @@ def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", text.html_to_text(F.col("html")).alias("text"))
 
 
-@query("ocr_lines", r"SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(l, '…+|\.{3,}', ' ', 'g'), '[|¦]+', ' ', 'g'), '[\t\n\f\r ]+', ' ', 'g')) AS line FROM (SELECT doc_id, string_split(text, chr(10))[1] AS l FROM documents)")
+@query("ocr_lines", r"SELECT doc_id, line_no, trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace(ls[line_no + 1], '\[?\(?\d+(?:\.\d+)?,[\t\n\f\r ]*\d+(?:\.\d+)?\)?\]?', ' ', 'g'), '…+|\.{3,}', ' ', 'g'), '[|¦]+', ' ', 'g'), '[·•]+', ' ', 'g'), '[\t\n\f\r ]+', ' ', 'g')) AS line FROM (SELECT doc_id, ls, unnest(range(0, len(ls)))::INT AS line_no FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))")
 def ocr_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First lines cleaned of what recognition leaves."""
-    return table(spark, sf_dir, "documents").select("doc_id", text.ocr_line(F.get(F.split("text", "\n"), F.lit(0))).alias("line"))
+    """All lines cleaned of what recognition leaves."""
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
+    return lines.select("doc_id", "line_no", text.ocr_line(F.col("raw")).alias("line"))
 
 
 @query("contains_match", "SELECT item_id, doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)")
