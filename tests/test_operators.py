@@ -127,3 +127,21 @@ def test_learning_rounds(spark):
     learned = vote.learn_rounds(votes, seed, 2, 60)
     assert ("cF", "F") in rows(learned)
     assert learned.count() == 11
+
+
+def test_reports(spark):
+    from hexapla.operators import reports
+
+    df = spark.createDataFrame([("a", None)], "a string, b string")
+    with pytest.raises(ValueError, match="without"):
+        reports.map_lines(df, ["a", "b"])
+    wide = spark.createDataFrame([("ab", 2)], "t string, w int")
+    row = wide.select(reports.centred(F.col("t"), F.col("w"), 5).alias("c"), reports.text_width(F.col("t"), {"a": 0.5}).alias("x"), reports.repaired(F.lit("ÖÐ")).alias("g")).first()
+    assert tuple(row) == (" ab  ", 1.5, "中")
+
+
+def test_deletion_needs_equal_digests(spark):
+    from hexapla.sources import files
+
+    twins = spark.createDataFrame([("p", "d", "d"), ("q", "d", "e"), ("r", None, None)], "path string, digest string, twin_digest string")
+    assert [r.path for r in files.deletable(twins).collect()] == ["p"]
