@@ -26,6 +26,8 @@ from hexapla.llm.tokens import over_ids
 
 #: Ids in a sequence.
 SIZE = 1024
+#: Distinct pieces of text whose ids a worker keeps while it cuts documents.
+MOST_PIECES = 1_000_000
 #: Ranks are counted apart for each length and one of so many salts.
 SALTS = 256
 
@@ -100,15 +102,16 @@ def pieces(docs: DataFrame, path: str, end: int = 0, size: int = SIZE) -> DataFr
 
     names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
     schema = pa.schema([(n, pa.int64()) for n in names])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(over_ids(path, end, make_row, schema), ", ".join(f"{n} long" for n in names))
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(over_ids(path, end, make_row, schema, MOST_PIECES), ", ".join(f"{n} long" for n in names))
 
 
 def packed(cut: DataFrame, size: int = SIZE, salts: int = SALTS) -> DataFrame:
     """``cut`` (doc_id, start, length, ...) with ``sequence_id`` and ``offset``. ``cut`` is read more than once and should
     be a written table.
 
-    To the driver come the counts of at most ``size`` lengths; what is broadcast has at most ``size`` times ``salts``
-    rows, or one row for each length and pattern, however many documents there are.
+    To the driver come the counts of at most ``size`` lengths; what is broadcast has one row for each length and pattern,
+    however many documents there are. The ranks' bases, ``size`` times ``salts`` rows at most, are joined on the
+    partitioning that the ranks have already.
     """
     spark = cut.sparkSession
     salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(salts)).cast("int"))
@@ -119,10 +122,10 @@ def packed(cut: DataFrame, size: int = SIZE, salts: int = SALTS) -> DataFrame:
     places = [*slots(patterns), *([(size, 0, full, sum(n for _, n in patterns), 0)] if full else [])]
     place = spark.createDataFrame(places or [(0, 0, 0, 0, 0)], "p_length long, lo long, hi long, first long, offset long")
     before = F.sum("n").over(Window.partitionBy("length").orderBy("salt").rowsBetween(Window.unboundedPreceding, -1))
-    bases = counts.select(F.col("length").alias("b_length"), F.col("salt").alias("b_salt"), F.coalesce(before, F.lit(0)).alias("base"))
+    bases = written(counts.select(F.col("length").alias("b_length"), F.col("salt").alias("b_salt"), F.coalesce(before, F.lit(0)).alias("base")), "pack-bases")
     tie = [c for c in ("ids_crc32", "doc_tokens") if c in cut.columns]
     within = F.row_number().over(Window.partitionBy("length", "salt").orderBy("doc_id", "start", *tie)) - 1
-    ranked = salted.withColumn("within", within).join(F.broadcast(bases), (F.col("length") == F.col("b_length")) & (F.col("salt") == F.col("b_salt")))
+    ranked = salted.withColumn("within", within).join(bases, (F.col("length") == F.col("b_length")) & (F.col("salt") == F.col("b_salt")))
     ranked = ranked.withColumn("rank", F.col("base") + F.col("within"))
     on = (F.col("length") == F.col("p_length")) & (F.col("rank") >= F.col("lo")) & (F.col("rank") < F.col("hi"))
     return ranked.join(F.broadcast(place), on).select(*cut.columns, (F.col("first") + F.col("rank") - F.col("lo")).alias("sequence_id"), "offset")

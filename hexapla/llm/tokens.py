@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import gc
 import hashlib
+import json
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
@@ -56,6 +57,7 @@ class PieceEncoder:
         self.first, self.spaced = {}, {}  # ids of pieces at a line's start, and of pieces after a space
         (self.newline,) = self._whole(["\n"])
         self.newline_id = int.from_bytes(self.newline, "little")
+        self.model = self.tokenizer.model if _is_plain_byte_level(self.tokenizer) else None
 
     def plain(self, text: str) -> bool:
         """Whether single spaces and line feeds are all its white space, so that it can be cut there."""
@@ -78,11 +80,21 @@ class PieceEncoder:
         data, cuts = ids.tobytes(), (4 * ends).tolist()
         return [data[i:j] for i, j in zip([0, *[c + 4 for c in cuts]], [*cuts, len(data)], strict=True)]
 
+    def _words(self, before: str, words: list[str]) -> list[bytes]:
+        """The same for words of Latin letters, each of which is one piece of the pre-tokenizer's: the library's model is
+        given their bytes in its own alphabet."""
+        lead, tokenize = _ALPHABET[32] if before else "", self.model.tokenize
+        spelt = [w if w.isascii() else w.encode().decode("latin-1").translate(_ALPHABET) for w in words]
+        return [array("I", [t.id for t in tokenize(lead + w)]).tobytes() for w in spelt]
+
     def _learn(self, kept: dict[str, bytes], pieces: set[str], before: str) -> None:
         """Keep the ids of ``before`` + piece. A letter or digit and a tail of points and commas are separate anyway."""
         pieces = pieces.difference(kept)
         stems = list({p.rstrip(".,") for p in pieces}.difference(kept, ("",)))
-        kept.update(zip(stems, self._pieces(before, stems), strict=True))
+        latin = [p for p in stems if p.isalpha() and (p.isascii() or max(p) < "\u0250")] if self.model else []
+        kept.update(zip(latin, self._words(before, latin), strict=True))
+        rest = list(set(stems).difference(latin)) if latin else stems
+        kept.update(zip(rest, self._pieces(before, rest), strict=True))
         for p in pieces.difference(stems):
             stem = p.rstrip(".,")
             kept[p] = kept[stem] + self._tail(p[len(stem) :]) if stem and stem[-1].isalnum() else self._whole([before + p])[0]
@@ -95,30 +107,49 @@ class PieceEncoder:
     def encode(self, texts: list[str]) -> list[bytes]:
         cut = [[line.split(" ") for line in t.split("\n")] if self.plain(t) else None for t in texts]
         lines = [line for c in cut if c is not None for line in c]
-        begin, after = {line[0] for line in lines}, set(chain.from_iterable(lines))
+        heads = [line.pop(0) for line in lines]  # what is left of each line stands after spaces
+        begin, after = set(heads), set(chain.from_iterable(lines))
         if len(self.spaced) + len(self.first) > self.most:  # what these texts have too is kept
             self.first = {p: self.first[p] for p in begin.intersection(self.first)}
             self.spaced = {p: self.spaced[p] for p in after.intersection(self.spaced)}
         self._learn(self.first, begin, "")
         self._learn(self.spaced, after, " ")
-        first, spaced = self.first, self.spaced.__getitem__
+        first, spaced, head = self.first, self.spaced.__getitem__, iter(heads)
         rest = iter(self._whole([t for t, c in zip(texts, cut, strict=True) if c is None]))
         return [
-            next(rest) if c is None else self.newline.join([b"".join((first[line[0]], *map(spaced, line[1:]))) for line in c])
+            next(rest) if c is None else self.newline.join([b"".join((first[next(head)], *map(spaced, line))) for line in c])
             for c in cut
         ]
 
 
+def _byte_alphabet() -> dict[int, str]:
+    """The letter of byte-level vocabularies for each byte: itself if it can be printed, else the next one from U+0100 on."""
+    printed = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = (b for b in range(256) if b not in printed)
+    return {b: chr(b) for b in printed} | {b: chr(0x100 + k) for k, b in enumerate(others)}
+
+
+_ALPHABET = _byte_alphabet()
+
+
+def _is_plain_byte_level(tokenizer) -> bool:
+    """Whether the tokenizer is a byte-level one that changes nothing before or after its model."""
+    parts = json.loads(tokenizer.to_str())
+    first = parts["pre_tokenizer"] or {}
+    return parts["normalizer"] is None and first.get("type") == "ByteLevel" and not first["add_prefix_space"] and first["use_regex"]
+
+
 _encoders: dict[str, PieceEncoder] = {}
 
 
-def encoder(path: str) -> PieceEncoder:
-    """This worker's encoder for the vocabulary file."""
+def encoder(path: str, most: int = MOST_PIECES) -> PieceEncoder:
+    """This worker's encoder for the vocabulary file, which keeps ``most`` pieces."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     if path not in _encoders:
         _encoders[path] = PieceEncoder(path)
+    _encoders[path].most = most
     return _encoders[path]
 
 
@@ -137,12 +168,12 @@ def chunks(batches: Iterator[pa.RecordBatch], most: int = CHUNK_CHARS) -> Iterat
         yield keys, texts
 
 
-def over_ids(path: str, end: int, make_row: Callable[[], Callable], schema: pa.Schema) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def over_ids(path: str, end: int, make_row: Callable[[], Callable], schema: pa.Schema, most: int = MOST_PIECES) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """For mapInArrow over (doc_id, text): ``make_row()``, called once a task, gives a function that yields the tuples of
     a document from its id and its ids, as bytes that end with the id ``end``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, last, row = encoder(path), end.to_bytes(4, "little"), make_row()
+        enc, last, row = encoder(path, most), end.to_bytes(4, "little"), make_row()
         gc.disable()  # the ids make many small objects and no cycles
         for keys, texts in chunks(batches):
             out = [x for i, ids in zip(keys, enc.encode(texts), strict=True) for x in row(i, ids + last)]
