@@ -42,6 +42,7 @@ SHARD_CHARS = 24 << 20
 LEVEL = 3
 #: White space (as the pre-tokenizer's pattern takes it) other than the space and the line feed.
 OTHER_SPACE = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
+_ASCII_SPACE = OTHER_SPACE[:8]
 _DOUBLE = ("  ", "\n\n", " \n", "\n ")
 
 
@@ -61,7 +62,7 @@ class PieceEncoder:
 
     def plain(self, text: str) -> bool:
         """Whether single spaces and line feeds are all its white space, so that it can be cut there."""
-        return not any(s in text for s in _DOUBLE) and not any(c in text for c in OTHER_SPACE) and not any(s in text for s in self.special)
+        return not any(s in text for s in _DOUBLE) and not any(c in text for c in (_ASCII_SPACE if text.isascii() else OTHER_SPACE)) and not any(s in text for s in self.special)
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
