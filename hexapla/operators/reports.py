@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def text_report(sections: dict[str, tuple[DataFrame, Column, list[Column | str], int | None]]) -> DataFrame:
@@ -56,9 +58,20 @@ def sibling(path: Column, ext: str) -> Column:
     return F.regexp_replace(path, r"\.[^./]*$", "." + ext)
 
 
-def repaired(text: Column, wrong: str = "ISO-8859-1", right: str = "GBK") -> Column:
-    """A text that was decoded with the wrong character set, decoded with the right one."""
-    return F.decode(F.encode(text, wrong), right)
+def repaired(text: Column, wrong: str = "latin-1", right: str = "gbk") -> Column:
+    """A text that was decoded with the wrong character set, decoded with the right one; as it is if that can't be."""
+
+    @F.pandas_udf(T.StringType())
+    def repair(s: pd.Series) -> pd.Series:
+        def one(x):
+            try:
+                return x if x is None else x.encode(wrong).decode(right)
+            except UnicodeError:
+                return x
+
+        return s.map(one)
+
+    return repair(text)
 
 
 def centred(text: Column, width: Column, pad: int) -> Column:
