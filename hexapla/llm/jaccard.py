@@ -12,15 +12,21 @@ link:
    of their prefixes. Sets that share prefix shingles form groups, the components of that relation.
 4. Within a group the sets are searched one by one in an inverted index of those before: the short lists are merged (by a
    heap; by sorting where they hold many documents), documents that occur often enough there are probed for in the long
-   lists, and those that reach the required overlap are compared. Lists whose documents all are in the component of the set at hand are passed over, since only
-   links to other components change the result.
+   lists, and those that reach the required overlap are compared. This finds every link.
 
-Groups too large for one task are first thinned out: each set is compared with the least set of its lists, the linked
-ones become components, and only shingles whose documents are in different components are kept. What is left of a large
-group is searched by pairs of blocks.
+The links themselves can be as many as the pairs of documents, so they are counted where they are found: each document
+gets the number of its links, copies counted by the sizes of their classes, and of the links only those that join
+components leave the task. Groups too large for one task are searched by pairs of blocks; a set is in the task of its
+block and another one if it shares a shingle of its prefix with a set of that block, so each pair is compared once.
+
+Where components are all that is asked for (deduplication), lists whose documents all are in the component of the set at
+hand are passed over, since only links to other components change the result. Large groups are then thinned out: each
+set is compared with the least set of its lists, the linked ones become components, and only shingles whose documents are
+in different components are kept. What is left is searched by pairs of blocks.
 
 Defined cases: a text that is null, empty or without words has an empty set and is linked with nothing. Repeated rows are
-linked as copies. Rows without doc_id are left out of the join and form no component (null). Other columns are ignored.
+linked as copies, and each counts as a link of the others. Rows without doc_id are left out of the join, form no component
+and have no number of links (null). Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -59,6 +65,10 @@ def need(n: int | np.ndarray, percent: int = PERCENT):
     return -(-percent * n // 100)
 
 
+def _mark(tokens: np.ndarray) -> bytes:
+    return hashlib.blake2b(tokens.tobytes(), digest_size=16).digest()
+
+
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list[np.ndarray]]]:
     """doc_ids and sets, a bounded number of bytes at a time."""
     ids, texts, size = [], [], 0
@@ -127,7 +137,8 @@ def _frequency(rows: list[tuple]) -> list[np.ndarray]:
 
 
 def shared_counts(docs: DataFrame, buckets: int, parts: int) -> DataFrame:
-    """(doc_id, n, mark, shared): each row's number of shingles, a digest of the set, and how many other rows have too."""
+    """(doc_id, n, mark, class, shared): each row's number of shingles, a digest of the set and the first half of it as a
+    number, and how many shingles other rows have too."""
 
     def send(batches):
         s = _Sender(buckets)
@@ -137,7 +148,7 @@ def shared_counts(docs: DataFrame, buckets: int, parts: int) -> DataFrame:
             order, starts = s.deal(tokens)
             low = (tokens[order] & np.uint64(0xFFFFFFFF)).astype("<u4")
             owner = np.repeat(np.arange(len(sets)), lengths)[order]
-            marks = b"".join(hashlib.blake2b(x.tobytes(), digest_size=16).digest() for x in sets)
+            marks = b"".join(map(_mark, sets))
             rows = [(block, s.head(block), np.array(ids, "<i8").tobytes() + lengths.astype("<i8").tobytes(), marks)]
             for b in range(buckets):
                 i, j = int(starts[b]), int(starts[b + 1])
@@ -167,11 +178,12 @@ def shared_counts(docs: DataFrame, buckets: int, parts: int) -> DataFrame:
             ids, lengths = np.frombuffer(head[2], "<i8").reshape(2, k)
             shared = sum((np.frombuffer(r[3], "<u4").astype(np.int64) for r in rows[1:]), np.zeros(k, np.int64))
             marks = [head[3][16 * i : 16 * i + 16] for i in range(k)]
-            yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(lengths), pa.array(marks), pa.array(shared)], ["doc_id", "n", "mark", "shared"])
+            numbers = np.frombuffer(head[3], "<i8")[::2]
+            yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, lengths, marks, numbers, shared)], ["doc_id", "n", "mark", "class", "shared"])
 
     sent = docs.mapInArrow(send, _BUCKETED).repartition(parts, "bucket").sortWithinPartitions("bucket")
     back = sent.mapInArrow(count, _BUCKETED).repartition("block").sortWithinPartitions("block", "bucket")
-    return back.mapInArrow(gather, "doc_id long, n long, mark binary, shared long")
+    return back.mapInArrow(gather, "doc_id long, n long, mark binary, class long, shared long")
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
@@ -188,8 +200,9 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
         yield rows
 
 
-def set_blocks(docs: DataFrame) -> DataFrame:
-    """(block, head, body): blocks of documents with their sets; ``head`` has ids and sizes, ``body`` the hashes."""
+def set_blocks(docs: DataFrame, by_class: bool = False) -> DataFrame:
+    """(block, head, body): blocks of documents with their sets; ``head`` has ids and sizes, ``body`` the hashes. The ids
+    are doc_ids, or the numbers of the classes."""
 
     def make(batches):
         s, ids, sets = _Sender(1), [], []
@@ -201,7 +214,7 @@ def set_blocks(docs: DataFrame) -> DataFrame:
         size = 0
         for some, found in _chunks(batches):
             for i, x in zip(some, found, strict=True):
-                ids.append(i)
+                ids.append(int.from_bytes(_mark(x)[:8], "little", signed=True) if by_class else i)
                 sets.append(x)
                 size += len(x)
                 if size > BLOCK_SHINGLES:
@@ -345,6 +358,69 @@ class Search:
         return found if found >= least else 0
 
 
+class AllLinks:
+    """T-occurrence search of sets among those before, for the number of links of each."""
+
+    def __init__(self, percent: int = PERCENT):
+        self.percent = percent
+        self.reps: list[int] = []
+        self.lists: dict[int, array] = {}
+        self.joins: list[tuple[int, int]] = []  # links that join components
+        self.sizes, self.copies, self.links, self.label = np.zeros((4, 64), np.int64)
+
+    def add(self, rep: int, copies: int, tokens: np.ndarray, search: bool = True, keep: bool = True) -> None:
+        """Search for a set that stands for ``copies`` documents, and ``keep`` it in the index. A set that comes twice,
+        one right after the other, counts once."""
+        k = len(self.reps)
+        if k and self.reps[-1] == rep:
+            return
+        if k == len(self.sizes):
+            self.sizes, self.copies, self.links, self.label = (np.concatenate([x, np.zeros(k, np.int64)]) for x in (self.sizes, self.copies, self.links, self.label))
+        self.reps.append(rep)
+        self.sizes[k], self.copies[k], self.label[k] = len(tokens), copies, k
+        keys = tokens.tolist()
+        found = self._search(k, [x for t in keys if (x := self.lists.get(t)) is not None]) if search else ()
+        if len(found):
+            self.links[k] += self.copies[found].sum()
+            self.links[found] += copies
+            labels, firsts = np.unique(self.label[found], return_index=True)
+            self.joins += [(rep, self.reps[found[i]]) for i in firsts]
+            self.label[k] = labels[0]
+            if len(labels) > 1:
+                self.label[:k][np.isin(self.label[:k], labels)] = labels[0]
+        if keep:
+            for t in keys:
+                if t in self.lists:
+                    self.lists[t].append(k)
+                else:
+                    self.lists[t] = array("i", (k,))
+
+    def _search(self, k: int, lists: list[array]) -> np.ndarray:
+        """The sets before ``k`` that it links to, of which ``lists`` are those of its shingles."""
+        least = need(int(self.sizes[k]), self.percent)
+        if len(lists) < least:
+            return np.zeros(0, np.int64)
+        lists.sort(key=len)
+        cut = max(bisect_left(lists, LONG_LIST, key=len), len(lists) - least + 1)
+        short, long = lists[:cut], lists[cut:]
+        if sum(map(len, short)) > HEAP:
+            counts = np.bincount(np.concatenate([np.frombuffer(x, np.int32) for x in short]))
+            found = np.flatnonzero(counts >= max(least - len(long), 1))
+            overlap = counts[found]
+        else:
+            merged = Search._merged(short, max(least - len(long), 1))
+            found, overlap = np.array(merged, np.int64).reshape(-1, 2).T
+        for x in long:
+            ids = np.frombuffer(x, np.int32)
+            overlap = overlap + (ids[np.minimum(np.searchsorted(ids, found), len(ids) - 1)] == found)
+        return found[100 * overlap >= self.percent * (self.sizes[k] + self.sizes[found] - overlap)]
+
+    def counted(self) -> list[tuple[int, int | None, int]]:
+        """(set, null, number of links) of the sets with links, and (set, other set, 0) of the links that join components."""
+        some = np.flatnonzero(self.links[: len(self.reps)])
+        return [(self.reps[i], None, n) for i, n in zip(some.tolist(), self.links[some].tolist(), strict=True)] + [(a, b, 0) for a, b in self.joins]
+
+
 def linked(x: np.ndarray, y: np.ndarray, percent: int = PERCENT) -> bool:
     """Whether two sets link."""
     same = len(x) + len(y) - len(np.union1d(x, y))
@@ -432,8 +508,58 @@ def links(prefix: DataFrame, sets: DataFrame, percent: int = PERCENT, group_sets
     return found.unionByName(near).unionByName(more)
 
 
-def linked_documents(docs: DataFrame, percent: int = PERCENT, group_sets: int = GROUP_SETS, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
-    """(doc_id, n_shingles, component_id) of each row of ``docs`` (doc_id, text)."""
+def count_groups(members: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """(a, b, n): the number of links that each set of a task has in it (b is null), and the links that join components (n
+    is 0). ``members`` are (task, side, rep, copies, tokens); sets of side 2 are searched among themselves, and those of
+    side 1 among those of side 0."""
+
+    def run(batches):
+        now, s = None, AllLinks(percent)
+        for b in batches:
+            out = []
+            for task, side, rep, copies, tokens in zip(*[c.to_pylist() for c in b.columns], strict=True):
+                if task != now:
+                    out += s.counted()
+                    now, s = task, AllLinks(percent)
+                s.add(rep, copies, np.frombuffer(tokens, "<u8"), side > 0, side != 1)
+            if out:
+                yield _link_rows(out)
+        if out := s.counted():
+            yield _link_rows(out)
+
+    dealt = members.repartition("task").sortWithinPartitions("task", "side", "rep")
+    return dealt.select("task", "side", "rep", "copies", "tokens").mapInArrow(run, "a long, b long, n long")
+
+
+def _link_rows(rows: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["a", "b", "n"])
+
+
+def all_links(prefix: DataFrame, sets: DataFrame, copies: DataFrame, percent: int = PERCENT, group_sets: int = GROUP_SETS, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
+    """(a, b, n) as of ``count_groups``, over all sets; a set's numbers add up. ``prefix`` (token, rep), ``sets`` (rep, n,
+    tokens) and ``copies`` (c, copies, size), the rows of each class and the size of its set, are written tables."""
+    stars = written(_stars(prefix), "jaccard-stars")
+    groups = written(components(stars).join(copies, F.col("node") == F.col("c")).select("node", "component", "copies", "size"), "jaccard-groups")
+    weight = groups.groupBy("component").agg(F.count("*").alias("m"), F.sum("size").alias("t")).filter((F.col("m") > group_sets) | (F.col("t") > group_shingles))
+    blocks = F.greatest(F.ceil(F.col("m") / group_sets), F.ceil(F.col("t") / group_shingles)).cast("int")
+    large = written(weight.select(F.col("component").alias("l"), blocks.alias("k")), "jaccard-large")
+    small = groups.join(large, F.col("component") == F.col("l"), "left_anti")
+    tasks = small.select(F.col("component").alias("task"), F.lit(2).alias("side"), F.col("node").alias("r"), "copies")
+    if not large.isEmpty():
+        placed = groups.join(large, F.col("component") == F.col("l")).withColumn("mine", F.pmod(F.xxhash64("node"), F.col("k")).cast("int"))
+        marked = written(prefix.join(placed, F.col("rep") == F.col("node")).select("token", "rep", "copies", "l", "mine").distinct(), "jaccard-marked")
+        there = marked.groupBy("token").agg(F.collect_set("mine").alias("blocks")).withColumnRenamed("token", "t")
+        near = marked.join(there, F.col("token") == F.col("t")).groupBy("rep", "copies", "l", "mine").agg(F.array_distinct(F.flatten(F.collect_set("blocks"))).alias("blocks"))
+        other = near.withColumn("other", F.explode("blocks"))
+        task = F.xxhash64("l", F.least("mine", "other"), F.greatest("mine", "other"))
+        side = F.when(F.col("mine") == F.col("other"), 2).when(F.col("mine") > F.col("other"), 1).otherwise(0)
+        tasks = tasks.unionByName(other.select(task.alias("task"), side.alias("side"), F.col("rep").alias("r"), "copies"))
+    return count_groups(tasks.join(sets, F.col("r") == F.col("rep")).select("task", "side", "rep", "copies", "tokens"), percent)
+
+
+def linked_documents(docs: DataFrame, percent: int = PERCENT, group_sets: int = GROUP_SETS, group_shingles: int = GROUP_SHINGLES, count: bool = False) -> DataFrame:
+    """(doc_id, n_shingles, component_id) of each row of ``docs`` (doc_id, text); with ``count`` also n_links, with how many
+    other rows it links."""
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -442,19 +568,32 @@ def linked_documents(docs: DataFrame, percent: int = PERCENT, group_sets: int =
     counted = written(shared_counts(docs.filter("doc_id is not null"), buckets, parts), "jaccard-counts")
     near = counted.filter((F.col("n") > 0) & (100 * F.col("shared") >= percent * F.col("n")))
     # written, so that both sides of the join are plain exchanges, of which Spark splits large partitions
-    reps = written(near.groupBy("mark").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n")), "jaccard-reps")
-    classes = written(near.join(reps.select(F.col("mark").alias("m"), "rep"), F.col("mark") == F.col("m")).select("doc_id", "rep").distinct(), "jaccard-classes")
+    reps = written(near.groupBy("mark", "class").agg(F.min("doc_id").alias("rep"), F.min("n").alias("n"), F.count("*").alias("copies")), "jaccard-reps")
+    classes = written(near.join(reps.select(F.col("mark").alias("m"), "rep"), F.col("mark") == F.col("m")).select("doc_id", "class", "rep").distinct(), "jaccard-classes")
     few = max(1, (reps.agg(F.sum("n")).first()[0] or 0) // BUCKET)
     texts = docs.join(reps.select(F.col("rep").alias("r")), F.col("doc_id") == F.col("r"), "left_semi")
-    blocks = written(set_blocks(texts), "jaccard-sets")
+    blocks = written(set_blocks(texts, count), "jaccard-sets")
     sets = sets_of(blocks)
     prefix = written(prefixes(blocks, few, max(1, min(few, parts)), percent), "jaccard-prefixes")
-    joined = written(components(written(links(prefix, sets, percent, group_sets, group_shingles), "jaccard-links")), "jaccard-components")
+    if count:
+        copies = reps.select(F.col("class").alias("c"), "copies", F.col("n").alias("size"))
+        every = written(all_links(prefix, sets, copies, percent, group_sets, group_shingles), "jaccard-links")
+        number = lambda side: reps.select(F.col("class").alias(f"c{side}"), F.col("rep").alias(f"r{side}"))
+        pairs = every.filter("b is not null").join(number("a"), F.col("a") == F.col("ca")).join(number("b"), F.col("b") == F.col("cb")).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
+    else:
+        pairs = links(prefix, sets, percent, group_sets, group_shingles)
+    joined = written(components(written(pairs, "jaccard-pairs")), "jaccard-components")
     found = classes.join(joined.select("node", "component"), F.col("rep") == F.col("node"), "left").groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("component"))
-    out = counted.select("doc_id", F.col("n").alias("n_shingles")).join(found.withColumnRenamed("doc_id", "f"), F.col("doc_id") == F.col("f"), "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    out = counted.select("doc_id", "class", F.col("n").alias("n_shingles")).join(found.withColumnRenamed("doc_id", "f"), F.col("doc_id") == F.col("f"), "left")
+    out = out.select("doc_id", "class", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
+    if count:
+        found = every.filter("b is null").groupBy("a").agg(F.sum("n").alias("more"))
+        numbers = written(copies.join(found, F.col("c") == F.col("a"), "left").select("c", (F.col("copies") - 1 + F.coalesce("more", F.lit(0))).alias("n_links")), "jaccard-numbers")
+        mine = classes.join(numbers, F.col("class") == F.col("c")).select(F.col("doc_id").alias("d"), "c", "n_links")
+        out = out.join(mine, (F.col("doc_id") == F.col("d")) & (F.col("class") == F.col("c")), "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
+    out = out.drop("class", "d", "c")
     lost = docs.filter("doc_id is null")
-    none = lost.mapInArrow(_sizes, "doc_id long, n_shingles long").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"))
+    none = lost.mapInArrow(_sizes, "doc_id long, n_shingles long").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"), *([F.lit(None).cast("long").alias("n_links")] if count else []))
     return out.unionByName(none)
 
 

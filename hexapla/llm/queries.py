@@ -114,8 +114,9 @@ def vocabulary(name: str = "byte_bpe_50k.json") -> str:
 
 
 def op1_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The component of every document under Jaccard similarity of 0.75 or more of 5-word shingles."""
-    return jaccard.linked_documents(_table(spark, sf_dir, "documents"))
+    """The component of every document under Jaccard similarity of 0.75 or more of 5-word shingles, and with how many
+    documents it links."""
+    return jaccard.linked_documents(_table(spark, sf_dir, "documents"), count=True)
 
 
 def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:

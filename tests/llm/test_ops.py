@@ -83,6 +83,30 @@ def test_jaccard(docs, limits):
     assert [r for r in got if r[0] is None] == [(None, len(shingle_set(TEXTS[0][1])), None)]
 
 
+@pytest.mark.parametrize("limits", [{}, {"group_sets": 4, "group_shingles": 200}])
+def test_jaccard_counts_every_link(spark, limits):
+    base = prose(60, 70).split()
+    texts = [(i, " ".join(base[: 60 - i % 7] + [f"end{i % 11}"])) for i in range(30)] + list(TEXTS)[:20]
+    texts = [(100 + k, t) for k, (_, t) in enumerate(texts)] + [(100, texts[0][1]), (101, texts[40][1])]
+    sets = [shingle_set(t) for _, t in texts]
+    linked = [sum(1 for j, y in enumerate(sets) if j != k and x and y and 100 * len(x & y) >= 75 * len(x | y)) for k, x in enumerate(sets)]
+    rows = spark.createDataFrame([*texts, (None, texts[0][1])], "doc_id long, text string").repartition(3)
+    got = jaccard.linked_documents(rows, count=True, **limits).collect()
+    want = brute_components(texts)
+    assert sorted(tuple(r) for r in got if r.doc_id is not None) == sorted((i, len(x), want[i], n) for (i, _), x, n in zip(texts, sets, linked, strict=True))
+    assert [tuple(r)[2:] for r in got if r.doc_id is None] == [(None, None)] and max(linked) > 20
+
+
+def test_jaccard_probes_long_lists(monkeypatch):
+    monkeypatch.setattr(jaccard, "LONG_LIST", 2)
+    r = random.Random(9)
+    sets = [np.array(sorted(r.sample(range(24), r.randint(12, 20))), np.uint64) for _ in range(120)]
+    s = jaccard.AllLinks()
+    for k, x in enumerate(sets):
+        s.add(k, 1, x)
+    assert s.links[:120].tolist() == [sum(jaccard.linked(x, y) for y in sets) - 1 for x in sets]
+
+
 def test_jaccard_of_nothing(empty):
     assert jaccard.linked_documents(empty).count() == 0
     assert jaccard.deduplicated(empty).columns == empty.columns
