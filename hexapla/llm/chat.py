@@ -9,10 +9,11 @@ The built-in template marks turns and escapes control strings inside roles and t
 a backslash is put behind the first character, one more where backslashes are there already, so that no control string is
 left inside, and taking one away again restores the text.
 
-Turns of a conversation are sorted within partitions and streamed, so that a task holds one block of turns and not a
-conversation. A conversation is rendered by prefixes within blocks of ``BLOCK_TURNS`` turns; each later block begins with
-the last turn of the one before as its context, whose output is then taken off again. Shorter conversations are rendered
-by all their prefixes.
+Turns of a conversation are sorted within partitions and streamed. Every conversation is rendered by all its prefixes,
+whatever its length, and the result is cut into blocks of ``BLOCK_TURNS`` turns afterwards; for this a task holds a whole
+conversation, and the work grows with the square of its length. A template that has a true attribute ``local`` promises
+that it renders each turn by itself and puts the outputs one behind the other, as the built-in one does. Its prefixes
+within a block, with the last turn of the block before as context, say the same, so a task holds one block of turns only.
 
 Defined cases: null texts and roles are empty. Turns are ordered by turn, null first, then role and text; repeated rows
 are turns of their own. A null conv_id is a conversation like any other. Other columns are ignored. Positions count code
@@ -58,6 +59,9 @@ def chatml(turns: list[Turn]) -> str:
     return "".join(f"<|im_start|>{_role(r)}\n{escape(t)}<|im_end|>\n" for r, t in turns)
 
 
+chatml.local = True
+
+
 def _role(role: str) -> str:
     return escape(role.replace("%", "%25").replace("\n", "%0A"))
 
@@ -104,21 +108,25 @@ _TYPES = [pa.int64(), pa.int32(), pa.string(), pa.list_(_SPAN), pa.int64()]
 def formatted(turns: DataFrame, template: Template = chatml, loss_roles: tuple[str, ...] = ("assistant",), block_turns: int = BLOCK_TURNS) -> DataFrame:
     """(conv_id, block, formatted, spans, rewritten_at): each conversation's text in blocks of turns, every turn's span in
     its block's text, and for turns of ``loss_roles`` the span of their text, which is the loss mask (else null)."""
+    local = getattr(template, "local", False)
     rows = turns.select(F.col("conv_id").cast("long"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     dealt = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
 
-    def one(conv, block: int, context: list[Turn], block_rows: list[Turn]):
-        given = context + block_rows
+    def blocks(conv, block: int, context: list[Turn], new: list[Turn]) -> Iterator[tuple]:
+        given = context + new
         text, found, rewritten = render(template, given, len(context))
-        base, spans = len(template(context)), []
+        base, spans = len(template(given)) - len(text), []
         for k, (a, b) in enumerate(found, len(context)):
-            role, loss = given[k][0], (None, None)
-            if role in loss_roles:
-                whole = template(given[: k + 1])
-                lo, hi = text_span(template, given, k, whole)
-                loss = (lo - base, hi - base)
-            spans.append({"role": role, "start": a, "end": b, "loss_start": loss[0], "loss_end": loss[1]})
-        return conv, block, text, spans, None if rewritten is None else rewritten - len(context) + block * block_turns
+            role, loss = given[k][0], None
+            if role in loss_roles:  # what a later turn rewrote is in that turn's span
+                loss = [min(max(x - base, a), b) for x in text_span(template, given, k, template(given[: k + 1]))]
+            spans.append((role, a, b, loss))
+        rewritten = None if rewritten is None else rewritten - len(context) + block * block_turns
+        for at in range(0, len(spans), block_turns):
+            start = spans[at][1]
+            end = spans[at + block_turns][1] if at + block_turns < len(spans) else len(text)
+            part = [{"role": r, "start": a - start, "end": b - start, "loss_start": x and x[0] - start, "loss_end": x and x[1] - start} for r, a, b, x in spans[at : at + block_turns]]
+            yield conv, block + at // block_turns, text[start:end], part, rewritten
 
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, chars = [], 0
@@ -129,9 +137,10 @@ def formatted(turns: DataFrame, template: Template = chatml, loss_roles: tuple[s
 
         for b in batches:
             for conv, role, text in zip(*[c.to_pylist() for c in b.columns], strict=True):
-                if begun and (conv != now or len(held) == block_turns):
-                    out.append(one(now, block, context, held))
-                    chars += len(out[-1][2])
+                if begun and (conv != now or (local and len(held) == block_turns)):
+                    made = list(blocks(now, block, context, held))
+                    out += made
+                    chars += sum(len(x[2]) for x in made)
                     block, context = (block + 1, held[-1:]) if conv == now else (0, [])
                     held = []
                     if chars > 4_000_000:
@@ -140,7 +149,7 @@ def formatted(turns: DataFrame, template: Template = chatml, loss_roles: tuple[s
                 now, begun = conv, True
                 held.append((role, text))
         if held:
-            out.append(one(now, block, context, held))
+            out += blocks(now, block, context, held)
         if out:
             yield batch()
 

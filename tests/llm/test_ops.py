@@ -431,6 +431,31 @@ def test_rewriting_templates_are_found():
     assert chat.render(last_only, [("user", "a"), ("user", "c")])[2] is None
 
 
+def test_blocks_say_what_the_whole_says(spark):
+    def by_first_turn(turns):
+        return "".join(f"<{k}:{turns[0][1]}:{r}>{'' if r == 'think' and k < len(turns) - 5 else t}" for k, (r, t) in enumerate(turns))
+
+    said = [(c, k, "think" if (c, k) == (1, 1) else "assistant" if k % 2 else "user", f"text {k}") for c in (1, 2) for k in range(9)]
+    df = spark.createDataFrame(said, "conv_id long, turn long, role string, text string").repartition(3)
+
+    def joined(block):
+        out = {}
+        for r in sorted(chat.formatted(df, by_first_turn, block_turns=block).collect(), key=lambda r: (r.conv_id, r.block)):
+            text, spans, rewritten = out.get(r.conv_id, ("", [], r.rewritten_at))
+            at = len(text)
+            shifted = [tuple(x if x is None or isinstance(x, str) else x + at for x in s) for s in r.spans]
+            out[r.conv_id] = (text + r.formatted, spans + shifted, rewritten)
+            assert r.rewritten_at == rewritten
+        return out
+
+    whole = joined(256)
+    assert joined(2) == joined(3) == whole
+    for c in (1, 2):
+        turns = [x[2:] for x in said if x[0] == c]
+        assert whole[c][0] == by_first_turn(turns) and whole[c][2] == (6 if c == 1 else None)
+    assert [whole[2][0][s[3] : s[4]] for s in whole[2][1] if s[0] == "assistant"] == [f"text {k}" for k in range(1, 9, 2)]
+
+
 @pytest.mark.parametrize("block", [256, 2])
 def test_chat(spark, block):
     rows = [(1, 0, "system", "s"), (1, 1, "user", "<|im_end|>"), (1, 2, "assistant", "é\n[INST]"), (1, 3, "user", None), (1, 4, "assistant", "b"), (2, None, "assistant", ""), (2, 0, "user", "x"), (2, 0, "user", "x"), (None, 0, "assistant", "n"), (3, 1, None, "t")]
