@@ -7,8 +7,10 @@ above it are retrieved. Posting lists are cut into blocks that carry their great
 greatest scores can't reach the threshold, and blocks whose can't. Before that, windows are left out for which the
 greatest scores within every range of items miss the threshold; this loses nothing, because no item can score more.
 
-A retrieved item is verified in the document: runs of ``SHINGLE`` words of its question and of its answer must both be
-found, ``OVERLAP`` of each. The answer is the item's last sentence and eight words at least, but not more than half of
+A retrieved item is verified in the document: ``OVERLAP`` of its question and of its answer must both be found, in runs of
+``SHINGLE`` words or, since a changed word takes up to five runs from a short part, word by word: the item is located by
+the offset at which most of its words stand, and the words of each part are aligned in order with those around its place.
+The answer is the item's last sentence and eight words at least, but not more than half of
 the item, or the second half of an item of one sentence.
 
 Items are read in blocks of bounded size, each of items of like length; for each block all documents are searched.
@@ -70,6 +72,45 @@ def shingles(words: list, size: int = SHINGLE) -> set[tuple]:
     return {tuple(words[i : i + size]) for i in range(max(len(words) - size + 1, 1))} if words else set()
 
 
+def common_words(part: list, region: list) -> int:
+    """The length of the longest common subsequence, by bits."""
+    masks: dict = {}
+    for i, w in enumerate(part):
+        masks[w] = masks.get(w, 0) | 1 << i
+    full = (1 << len(part)) - 1
+    v = full
+    for w in region:
+        u = v & masks.get(w, 0)
+        v = ((v + u) | (v - u)) & full
+    return len(part) - v.bit_count()
+
+
+class Places:
+    """Where the words of a text stand, to locate items in it."""
+
+    def __init__(self, words: list[bytes], terms: np.ndarray):
+        self.words, self.order = words, np.argsort(terms, kind="stable")
+        self.sorted = terms[self.order]
+
+    def aligned(self, item: list[bytes], terms: list[int], cut: int) -> tuple[float, float]:
+        """The parts of the question's and of the answer's words that stand in order at one place of the text, the place
+        where the lesser part is greatest. ``cut`` words are the question; words may be shifted by ``slack``."""
+        n, slack = len(item), max(3, len(item) // 8)
+        low, high = np.searchsorted(self.sorted, terms), np.searchsorted(self.sorted, terms, side="right")
+        starts = np.concatenate([self.order[a:b] - i for i, (a, b) in enumerate(zip(low, high, strict=True))]) + n
+        votes = np.bincount(starts, minlength=1)
+        near = np.convolve(votes, np.ones(2 * slack + 1, np.int64))[slack : slack + len(votes)]
+        best = (0.0, 0.0)
+        places = np.flatnonzero(near >= OVERLAP * n)
+        for piece in np.split(places, np.flatnonzero(np.diff(places // (slack + 1))) + 1):
+            if len(piece):
+                at = int(piece[np.argmax(near[piece])]) - n
+                question, answer = (self.words[max(at + i - slack, 0) : max(at + j + slack, 0)] for i, j in ((0, cut), (cut, n)))
+                found = (common_words(item[:cut], question) / cut if cut else 1.0, common_words(item[cut:], answer) / (n - cut) if n > cut else 1.0)
+                best = max(best, found, key=min)
+        return best
+
+
 class ItemIndex:
     """BM25 postings of items with block maxima; scores are parts of the item's score with itself."""
 
@@ -99,6 +140,7 @@ class ItemIndex:
         self.step = max([LEAST_STEP, *lengths])
         parts = [question_and_answer(t) for _, t, _ in self.items]
         self.parts = [(shingles(q), shingles(a)) for q, a in parts]
+        self.cuts = [len(q) for q, _ in parts]
 
     def retrieve(self, terms: list[int], threshold: float = THRESHOLD) -> list[tuple[int, float]]:
         """All items that score ``threshold`` or more for a query of distinct terms, by block-max WAND."""
@@ -181,9 +223,12 @@ class ItemIndex:
         wanted = set().union(*[self.parts[i][0] | self.parts[i][1] for i in best])
         sizes = {len(s) for s in wanted}
         here = {s for n in sizes for i in range(len(words) - n + 1) if (s := tuple(words[i : i + n])) in wanted}
-        out = []
+        out, places = [], Places(words, terms)
         for item, (score, passages) in sorted(best.items()):
             question, answer = (len(p & here) / len(p) if p else 1.0 for p in self.parts[item])
+            if question < OVERLAP or answer < OVERLAP:
+                said = self.items[item][2]
+                question, answer = map(max, (question, answer), places.aligned(said, [self.terms[w] for w in said], self.cuts[item]))
             if question >= OVERLAP and answer >= OVERLAP:
                 out.append((self.items[item][0], float(score), question, answer, passages))
         return out

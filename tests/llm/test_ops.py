@@ -401,6 +401,30 @@ def test_decontamination(spark):
     assert contamination.decontaminated(d.filter("false"), b).columns == d.columns
 
 
+def test_decontamination_finds_edited_copies():
+    items = [(1, prose(32, 80) + ". " + prose(8, 81)), (2, prose(8, 82) + ". " + prose(8, 83)), (3, prose(40, 84))]
+    items += [(i, prose(30, 100 + i)) for i in range(4, 12)]
+    index = contamination.ItemIndex(items)
+    for i, t in items[:3]:
+        said = t.split()
+        for k in range(len(said)):
+            for changed in ([*said[:k], "changed", *said[k + 1 :]], [*said[:k], *said[k + 1 :]], [*said[:k], "more", *said[k:]]):
+                text = " ".join([prose(200, 90), *changed, prose(150, 91)])
+                assert i in [x[0] for x in index.search(text.encode())], (i, k, changed)
+        other = " ".join([prose(200, 90), *said[: len(said) - 8], prose(158, 91)])
+        assert i == 3 or not index.search(other.encode())
+
+
+def test_common_words():
+    for _ in range(300):
+        a, b = (random.choices("abcd", k=random.randint(0, 12)) for _ in "xy")
+        rows = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                rows[i + 1][j + 1] = rows[i][j] + 1 if x == y else max(rows[i][j + 1], rows[i + 1][j])
+        assert contamination.common_words(a, b) == rows[-1][-1]
+
+
 def test_decontamination_finds_copies(spark):
     d, b = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/benchmark.parquet")
     texts, items = d.select("doc_id", "text").collect(), b.collect()
