@@ -19,13 +19,16 @@ def exact_then_fuzzy(asked: DataFrame, titles: DataFrame, percent: int = 75) ->
     """From (asked, name) and (number, title): (asked, number, ratio), equal titles first, else the title of the greatest
     matching-blocks ratio, ``percent`` at least, ties to the lower number. Titles of several numbers match exactly only.
 
-    A ratio of three quarters means matching blocks of three quarters of both; candidates share a run of two characters,
-    which all but titles of scattered single matches do.
+    Candidates share a run of two characters, or a character where both are short. M matches without a common run have M - 1
+    gaps, so two titles of L characters together, M of them at least ``percent`` L / 200, have at most 200 / (3 ``percent``
+    - 200) characters; none is lost. (At two thirds and less, all share single characters.)
     """
+    both = 200 // (3 * percent - 200) if 3 * percent > 200 else None
+    keys = lambda c: F.array_distinct(F.concat(_runs(c, 2), F.when(F.lit(both is None) | (F.length(c) < (both or 0)), _runs(c, 1)).otherwise(F.array())))
     one = titles.groupBy("title").agg(F.min("number").alias("number"), F.count("*").alias("n"))
     exact = asked.join(one, F.col("name") == F.col("title")).select("asked", "number", F.lit(1.0).alias("ratio"))
-    rest = asked.join(exact.select("asked"), "asked", "left_anti").withColumn("run", F.explode(_runs(F.col("name"), 2)))
-    known = one.filter("n = 1").withColumn("run", F.explode(_runs(F.col("title"), 2)))
+    rest = asked.join(exact.select("asked"), "asked", "left_anti").withColumn("run", F.explode(keys(F.col("name"))))
+    known = one.filter("n = 1").withColumn("run", F.explode(keys(F.col("title"))))
     la, lb = F.length("name"), F.length("title")
     pairs = rest.join(known, "run").groupBy("asked", "name", "number", "title").agg(F.count("*").alias("shared"))
     near = pairs.filter(200 * F.least(la, lb) >= percent * (la + lb)).withColumn("ratio", seq_ratio("name", "title")).filter(F.col("ratio") * 100 >= percent)

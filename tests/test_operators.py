@@ -140,6 +140,23 @@ def test_reports(spark):
     assert tuple(row) == (" ab  ", 1.5, "中")
 
 
+def test_fuzzy_titles_lose_nothing(spark):
+    import itertools
+    from difflib import SequenceMatcher
+
+    from hexapla.operators import matching
+
+    titles = [(k, "".join(t)) for k, t in enumerate([*itertools.product("abcd", repeat=3), *itertools.product("ab", "cd", "ab", "ef"), *itertools.product("ae", "bf", "c", "dg", "h")])]
+    names = ["ac", "xa", "bxdx", "axcx", "abd", "a", "abcdh", "ebgh", "acbfe", "bdbe", "zz"]
+    got = {r.asked: (r.number, r.ratio) for r in matching.exact_then_fuzzy(spark.createDataFrame(list(enumerate(names)), "asked int, name string"), spark.createDataFrame(titles, "number int, title string")).collect()}
+    for k, name in enumerate(names):
+        exact = [(1.0, i) for i, t in titles if t == name]
+        best = exact or sorted((-SequenceMatcher(None, name, t, autojunk=False).ratio(), i) for i, t in titles)
+        ratio, number = abs(best[0][0]), best[0][1]
+        assert got.get(k) == ((number, ratio) if ratio >= 0.75 else None), name
+    assert 0 in got
+
+
 def test_deletion_needs_equal_digests(spark):
     from hexapla.sources import files
 
