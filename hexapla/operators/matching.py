@@ -43,11 +43,20 @@ def _word_runs(df: DataFrame, words: str, size: int) -> DataFrame:
 
 def best_coverage(items: DataFrame, docs: DataFrame, percent: int = 90, size: int = 4) -> DataFrame:
     """From (item_id, item) and (doc_id, text): (item_id, doc_id, coverage) of the document that covers most of each item, in
-    order, ``percent`` at least, ties to the lower doc_id. Candidates share ``size`` runs of ``size`` words."""
+    order, ``percent`` at least, ties to the lower doc_id.
+
+    Documents that contain the item are all found, and items of fewer than ``2 * size - 1`` words are compared with every
+    document. For other items candidates share ``size`` runs of ``size`` words; documents that cover a longer item but are
+    edited so densely that they share fewer runs are not found.
+    """
     pieces = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    items, docs = items.select("item_id", "item"), docs.select("doc_id", "text")
     left = _word_runs(items.select("item_id", pieces(F.col("item")).alias("w")), "w", size).select("item_id", "run")
     right = _word_runs(docs.select("doc_id", pieces(F.col("text")).alias("w")), "w", size).select("doc_id", "run")
-    pairs = right.join(left, "run").groupBy("doc_id", "item_id").agg(F.count("*").alias("n")).filter(F.col("n") >= size)
+    pairs = right.join(left, "run").groupBy("doc_id", "item_id").agg(F.count("*").alias("n")).filter(F.col("n") >= size).select("doc_id", "item_id")
+    short = items.filter(F.size(pieces(F.col("item"))) < 2 * size - 1)
+    long = items.join(short.select("item_id"), "item_id", "left_anti")
+    pairs = pairs.unionByName(contained(long, docs, size).select("doc_id", "item_id")).unionByName(docs.select("doc_id").crossJoin(short.select("item_id"))).distinct()
     scored = pairs.join(items, "item_id").join(docs.select("doc_id", "text"), "doc_id").withColumn("coverage", seq_coverage("item", "text"))
     best = scored.filter(F.col("coverage") * 100 >= percent).groupBy("item_id").agg(F.min_by(F.struct("doc_id", "coverage"), F.struct(-F.col("coverage"), "doc_id")).alias("b"))
     return best.select("item_id", "b.doc_id", "b.coverage")

@@ -157,6 +157,22 @@ def test_fuzzy_titles_lose_nothing(spark):
     assert 0 in got
 
 
+def test_coverage_of_short_and_edited_items(spark):
+    from difflib import SequenceMatcher
+
+    from hexapla.operators import matching
+
+    words = [f"{a}{b}ord" for a in "bcdfgh" for b in "aeiou"]
+    items = ["sing", "sing to joy", "sing to the king of joy", " ".join(words[:15]), " ".join(words[10:30]), "!?", "", " ".join(words[3:9])]
+    docs = ["oh sing to the kinh of joy!", "we sing to joy", "all " + " ".join(words[:15]), " ".join([*words[10:19], "x", *words[20:30]]), "what!?", "sing to the king of joy", " ".join(words[2:10])]
+    i, d = spark.createDataFrame(list(enumerate(items)), "item_id int, item string"), spark.createDataFrame(list(enumerate(docs)), "doc_id int, text string")
+    want = []
+    for k, x in enumerate(items):
+        best = min((-(1.0 if x in y else sum(b.size for b in SequenceMatcher(None, x, y, autojunk=False).get_matching_blocks()) / len(x)), j) for j, y in enumerate(docs))
+        want += [(k, best[1], -best[0])] if best[0] <= -0.9 else []
+    assert rows(matching.best_coverage(i, d)) == sorted(want, key=str)
+
+
 def test_deletion_needs_equal_digests(spark):
     from hexapla.sources import files
 
