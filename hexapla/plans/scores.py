@@ -76,7 +76,7 @@ def field_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
        FROM (SELECT x AS code, upper(x) AS symbol FROM (SELECT unnest(c) AS x FROM r)) WHERE code <> 'user' GROUP BY 1, 2""",
 )
 def greedy_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What rows of codes teach when they are laid on lines of symbols."""
+    """What rows of codes teach when they are laid on lines of symbols, in one pass (L5; L4 and L6 are open)."""
     turns = F.transform(F.array_sort(F.collect_list(F.struct("turn", "role"))), lambda x: x["role"])
     rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(turns.alias("codes")).withColumn("symbols", F.transform("codes", lambda x: F.upper(x)))
     return vote.tally(assembly.greedy_votes(rows, {"user": "USER"}), "code", "symbol").select("code", "symbol", "n")
