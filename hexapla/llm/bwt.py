@@ -3,19 +3,23 @@
 Every round inserts one symbol of each document, from the last to the first: the suffixes of length j are put among the
 shorter ones. Where they go follows from the symbols alone, and how much they have in common with their neighbours from
 the least common prefix between the places of their tails. The transform, the common prefixes and the suffixes' owners
-are files that each round reads once from front to back and writes anew; they are kept in memory while they are small.
+are files that each round reads once from front to back and writes anew. They lie in a folder of the cluster's shared
+file system, one for each collection, that goes when the collection is done; a lost task leaves its folder behind and
+begins another. Collections below ``IN_MEMORY``, and those on file systems that Arrow can't open, keep them in memory.
 """
 
 from __future__ import annotations
 
-import tempfile
+import uuid
 
 import numpy as np
+import pyarrow as pa
+from pyarrow import fs
 
 #: Files of the construction and the type of their records.
 FILES = {"symbol": np.uint16, "prefix": np.uint8, "owner": np.int32, "length": np.uint8}
-#: Collections of more bytes have their files on disk.
-IN_MEMORY = 16 << 20
+#: Collections of more bytes have their columns in files.
+IN_MEMORY = 1 << 20
 #: Documents may have so many bytes at most: lengths and common prefixes are files of single bytes.
 MOST_BYTES = 255
 
@@ -33,10 +37,50 @@ def _range_minimum(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.
     return out
 
 
-def build(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+class Columns:
+    """The columns of a collection: files in a folder of their own, or arrays where no folder is given."""
+
+    def __init__(self, folder: str | None = None):
+        self.held, self.system, self.path = {}, None, None
+        if folder:
+            try:
+                self.system, path = fs.FileSystem.from_uri(folder)
+            except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+                return
+            self.path = f"{path.rstrip('/')}/{uuid.uuid4().hex}"
+            self.system.create_dir(self.path, recursive=True)
+
+    def write(self, **columns: np.ndarray) -> None:
+        for name, values in columns.items():
+            values = np.ascontiguousarray(values, FILES[name])
+            if self.system is None:
+                self.held[name] = values
+            else:
+                with self.system.open_output_stream(f"{self.path}/{name}") as out:
+                    out.write(values.data.cast("B") if len(values) else b"")
+
+    def read(self) -> list[np.ndarray]:
+        if self.system is None:
+            return [self.held[name] for name in FILES]
+        found = []
+        for name, kind in FILES.items():
+            with self.system.open_input_stream(f"{self.path}/{name}") as file:
+                found.append(np.frombuffer(file.read(), kind))
+        return found
+
+    def __enter__(self) -> Columns:
+        return self
+
+    def __exit__(self, *_) -> None:
+        if self.system is not None:
+            self.system.delete_dir(self.path)
+
+
+def build(documents: list[bytes], folder: str | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(owner, length, prefix): all suffixes of the documents in order, and what each has in common with the one before.
 
-    The end of a document sorts before any byte, and equal suffixes sort by their documents' numbers.
+    The end of a document sorts before any byte, and equal suffixes sort by their documents' numbers. ``folder`` is where
+    the files are put.
     """
     m = len(documents)
     sizes = np.fromiter(map(len, documents), np.int64, m)
@@ -45,25 +89,11 @@ def build(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     ends = np.cumsum(sizes)
     data = np.frombuffer(b"".join(documents), np.uint8).astype(np.uint16) + 1  # 0 is the end
     before = lambda doc, length: np.where(sizes[doc] > length, data[np.maximum(ends[doc] - length - 1, 0)] if len(data) else 0, 0).astype(np.uint16)
-    with tempfile.TemporaryDirectory(prefix="hexapla-bwt-") as folder:
-
-        small, held = len(data) <= IN_MEMORY, {}
-
-        def write(**columns):
-            for name, values in columns.items():
-                values = values.astype(FILES[name], copy=False)
-                if small:
-                    held[name] = values
-                else:
-                    values.tofile(f"{folder}/{name}")
-
-        def read():
-            return [held[name] if small else np.fromfile(f"{folder}/{name}", kind) for name, kind in FILES.items()]
-
+    with Columns(folder if len(data) > IN_MEMORY else None) as columns:
         first = np.arange(m)
-        write(symbol=before(first, np.zeros(m, np.int64)), prefix=np.zeros(m), owner=first, length=np.zeros(m))
+        columns.write(symbol=before(first, np.zeros(m, np.int64)), prefix=np.zeros(m), owner=first, length=np.zeros(m))
         for j in range(1, int(sizes.max(initial=0)) + 1):
-            symbol, prefix, owner, length = read()
+            symbol, prefix, owner, length = columns.read()
             order = np.argsort(symbol, kind="stable")
             order = order[len(symbol) - np.count_nonzero(symbol) :]  # without documents that have ended
             fresh = np.flatnonzero(length[order] == j - 1)  # ranks of the suffixes of length j
@@ -89,14 +119,14 @@ def build(documents: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             out["owner"][place], out["length"][place], out["symbol"][place] = who, j, before(who, np.full(len(who), j))
             out["prefix"][place] = own
             out["prefix"][place[k] + 1] = after
-            write(**out)
-        _, prefix, owner, length = read()
+            columns.write(**out)
+        _, prefix, owner, length = columns.read()
     return owner, length, prefix
 
 
-def least_by_prefix(documents: list[bytes], values: np.ndarray, depth: int) -> list[np.ndarray]:
+def least_by_prefix(documents: list[bytes], values: np.ndarray, depth: int, folder: str | None = None) -> list[np.ndarray]:
     """For each document and each place where ``depth`` bytes begin, the least value of a document with these bytes."""
-    owner, length, prefix = build(documents)
+    owner, length, prefix = build(documents, folder)
     long = np.flatnonzero(length >= depth)
     groups = np.cumsum(prefix >= depth, dtype=np.int64)  # equal prefixes follow each other: count the breaks
     groups = np.arange(len(prefix)) - groups

@@ -101,11 +101,13 @@ class _Sender:
         """The bucket, below 0, of a block's head: heads are spread over tasks, and sort before their block's rows."""
         return -1 - (block ^ (block >> 32) * 7919) % 4096
 
-    def deal(self, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The order of the tokens by bucket, and where each bucket begins in it."""
-        bucket = ((tokens >> np.uint64(32)) % np.uint64(self.buckets)).astype(np.int64)
+    def deal(self, tokens: np.ndarray) -> tuple[np.ndarray, dict[int, tuple[int, int]]]:
+        """The order of the tokens by bucket, and where each bucket that has tokens begins and ends in it."""
+        bucket = ((tokens >> np.uint64(32)) % np.uint64(self.buckets)).astype(np.uint16 if self.buckets <= 1 << 16 else np.int64)
         order = np.argsort(bucket, kind="stable")
-        return order, np.searchsorted(bucket[order], np.arange(self.buckets + 1))
+        dealt = bucket[order]
+        first = np.flatnonzero(np.concatenate([np.ones(min(len(dealt), 1), bool), dealt[1:] != dealt[:-1]]))
+        return order, dict(zip(dealt[first].tolist(), zip(first.tolist(), [*first[1:].tolist(), len(dealt)], strict=True), strict=False))
 
 
 _BUCKETED = "block long, bucket int, head binary, body binary"
@@ -145,15 +147,13 @@ def shared_counts(docs: DataFrame, buckets: int, parts: int) -> DataFrame:
         for ids, sets in _chunks(batches):
             block, tokens = s.number(), np.concatenate(sets)
             lengths = np.fromiter(map(len, sets), np.int64, len(sets))
-            order, starts = s.deal(tokens)
+            order, cuts = s.deal(tokens)
             low = (tokens[order] & np.uint64(0xFFFFFFFF)).astype("<u4")
             owner = np.repeat(np.arange(len(sets)), lengths)[order]
             marks = b"".join(map(_mark, sets))
             rows = [(block, s.head(block), np.array(ids, "<i8").tobytes() + lengths.astype("<i8").tobytes(), marks)]
-            for b in range(buckets):
-                i, j = int(starts[b]), int(starts[b + 1])
-                if i < j:
-                    rows.append((block, b, np.bincount(owner[i:j], minlength=len(sets)).astype("<u4").tobytes(), low[i:j].tobytes()))
+            for b, (i, j) in cuts.items():
+                rows.append((block, b, np.stack(np.unique(owner[i:j], return_counts=True)).astype("<u4").tobytes(), low[i:j].tobytes()))
             yield _bucket_rows(rows)
 
     def count(batches):
@@ -164,9 +164,9 @@ def shared_counts(docs: DataFrame, buckets: int, parts: int) -> DataFrame:
                 continue
             out = []
             for row, df in zip(rows, _frequency(rows), strict=True):
-                per = np.frombuffer(row[2], "<u4").astype(np.int64)
-                found = np.add.reduceat(np.append(df > 1, 0), np.concatenate([[0], np.cumsum(per)[:-1]])) * (per > 0)
-                out.append((row[0], bucket, b"", found.astype("<u4").tobytes()))
+                owner, per = np.frombuffer(row[2], "<u4").reshape(2, -1).astype(np.int64)
+                found = np.add.reduceat((df > 1).astype("<u4"), np.cumsum(per) - per)
+                out.append((row[0], bucket, owner.astype("<u4").tobytes(), found.astype("<u4").tobytes()))
             yield _bucket_rows(out)
 
     def gather(batches):
@@ -176,7 +176,9 @@ def shared_counts(docs: DataFrame, buckets: int, parts: int) -> DataFrame:
                 raise ValueError("a block has lost its head")
             k = len(head[2]) // 16
             ids, lengths = np.frombuffer(head[2], "<i8").reshape(2, k)
-            shared = sum((np.frombuffer(r[3], "<u4").astype(np.int64) for r in rows[1:]), np.zeros(k, np.int64))
+            shared = np.zeros(k, np.int64)
+            for r in rows[1:]:
+                shared[np.frombuffer(r[2], "<u4")] += np.frombuffer(r[3], "<u4")
             marks = [head[3][16 * i : 16 * i + 16] for i in range(k)]
             numbers = np.frombuffer(head[3], "<i8")[::2]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, lengths, marks, numbers, shared)], ["doc_id", "n", "mark", "class", "shared"])
@@ -252,9 +254,9 @@ def prefixes(blocks: DataFrame, buckets: int, parts: int, percent: int = PERCENT
         for b in batches:
             for block, _, _, body in zip(*[c.to_pylist() for c in b.columns], strict=True):
                 tokens = np.frombuffer(body, "<u8")
-                order, starts = s.deal(tokens)
+                order, cuts = s.deal(tokens)
                 low = (tokens[order] & np.uint64(0xFFFFFFFF)).astype("<u4")
-                rows = [(block, k, b"", low[starts[k] : starts[k + 1]].tobytes()) for k in range(buckets) if starts[k] < starts[k + 1]]
+                rows = [(block, k, b"", low[i:j].tobytes()) for k, (i, j) in cuts.items()]
                 if rows:
                     yield _bucket_rows(rows)
 

@@ -29,9 +29,10 @@ def _powers(n: int, base: int) -> np.ndarray:
 _tables: dict[str, np.ndarray] = {}
 
 
-def _table(name: str, n: int, base: int) -> np.ndarray:
+def powers(name: str, n: int) -> np.ndarray:
+    """The first ``n`` powers, or more, of the base ("power") or of its inverse ("inverse")."""
     if len(_tables.get(name, ())) < n:
-        _tables[name] = _powers(max(n, 1 << 20), base)
+        _tables[name] = _powers(max(n, 1 << 20), _BASE if name == "power" else pow(_BASE, -1, 1 << 64))
     return _tables[name]
 
 
@@ -46,8 +47,8 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         ends = np.append(ends, len(data))
     n = len(data) + 1
     total = np.zeros(n, np.uint64)
-    np.cumsum(_BYTE[data] * _table("power", n, _BASE)[: n - 1], out=total[1:])
-    words = (total[ends] - total[starts]) * _table("inverse", n, pow(_BASE, -1, 1 << 64))[starts]
+    np.cumsum(_BYTE[data] * powers("power", n)[: n - 1], out=total[1:])
+    words = (total[ends] - total[starts]) * powers("inverse", n)[starts]
     counts = np.diff(np.searchsorted(starts, np.concatenate([[0], np.cumsum(sizes)])))
     return _mix(words + (ends - starts).astype(np.uint64)), counts
 

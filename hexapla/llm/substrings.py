@@ -8,8 +8,9 @@ same anchor, so that each 50-byte string is in one segment whole, and equal stri
   of documents send them packed, and get one bit for each back;
 - segments with different anchors need not be sorted together. Those left are dealt out by anchor, and the collection of
   each bucket is built column by column (see ``bwt``), one symbol of each segment a round, in sequential files;
-- equal segments are sent once by each block, and sorted once, with the least doc_id. A segment that is the only one of
-  its anchor needs no sorting either.
+- equal segments are sent once by each block, and sorted once, with the least doc_id. Strings of a segment that differ
+  from those of all others of its anchor in the bytes around the anchor are cut off before;
+- where one anchor has too many segments for a collection, each of their strings is a document of several collections.
 
 In the sorted suffixes, runs with 50 bytes in common give each 50-byte string its least doc_id; where that is smaller
 than the document's own, the string's bytes go. Of documents with equal texts only the first is cut into segments; the
@@ -21,8 +22,7 @@ others. Repeated rows of a doc_id don't take from each other. Other columns are
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,14 +31,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hexapla.llm.bwt import least_by_prefix
-from hexapla.llm.common import written
+from hexapla.llm.common import new_path, written
 from hexapla.llm.jaccard import _blocks, _bucket_rows, _BUCKETED, _by_bucket, _Sender
+from hexapla.llm.shingles import powers
 
 #: Bytes of the strings compared, and of their anchors.
 DEPTH, ANCHOR = 50, 16
 WINDOW = DEPTH - ANCHOR + 1
+#: Offsets of the anchor in a string that are looked at together when segments are compared.
+OFFSETS = 9
 #: Bytes of text in a block, anchors in a bucket of counts, and segments sorted together.
-BLOCK_BYTES, BUCKET, MOST_SEGMENTS = 2 << 20, 1_000_000, 20_000
+BLOCK_BYTES, BUCKET, MOST_SEGMENTS = 2 << 20, 250_000, 100_000
 
 _BYTE = np.random.default_rng(50).integers(1, 1 << 63, 256, np.uint64) | np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
@@ -124,15 +127,13 @@ def shared_anchors(docs: DataFrame, buckets: int, parts: int) -> DataFrame:
         s = _Sender(buckets)
         for ids, marks, texts in _texts(batches):
             text, _, _, anchor = segments(texts)
-            order, starts = s.deal(anchor)
+            order, cuts = s.deal(anchor)
             block, low = s.number(), (anchor[order] & np.uint64(0xFFFFFFFF)).astype("<u4")
             per = np.bincount(text, minlength=len(texts)).astype("<i8")
             rows = [(block, s.head(block), np.array(ids, "<i8").tobytes() + per.tobytes(), b"".join(marks) + anchor.tobytes())]
             # an anchor counts once for each text: a second one in the same text is no other row's
-            for b in range(buckets):
-                i, j = int(starts[b]), int(starts[b + 1])
-                if i < j:
-                    rows.append((block, b, text[order[i:j]].astype("<u4").tobytes(), low[i:j].tobytes()))
+            for b, (i, j) in cuts.items():
+                rows.append((block, b, text[order[i:j]].astype("<u4").tobytes(), low[i:j].tobytes()))
             yield _bucket_rows(rows)
 
     def count(batches):
@@ -159,10 +160,10 @@ def shared_anchors(docs: DataFrame, buckets: int, parts: int) -> DataFrame:
             ids, per = np.frombuffer(rows[0][2], "<i8").reshape(2, -1)
             n = len(ids)
             marks, anchor = [rows[0][3][16 * i : 16 * i + 16] for i in range(n)], np.frombuffer(rows[0][3][16 * n :], "<u8")
-            order, starts = s.deal(anchor)
+            order, cuts = s.deal(anchor)
             bits = np.zeros(len(anchor), np.uint8)
             for r in rows[1:]:
-                i, j = int(starts[r[1]]), int(starts[r[1] + 1])
+                i, j = cuts[r[1]]
                 bits[order[i:j]] = np.unpackbits(np.frombuffer(r[3], np.uint8), count=j - i)
             found = [np.packbits(x).tobytes() if x.any() else None for x in np.split(bits, np.cumsum(per)[:-1])]
             yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(marks, pa.binary()), pa.array(found, pa.binary())], ["doc_id", "mark", "bits"])
@@ -175,55 +176,100 @@ def shared_anchors(docs: DataFrame, buckets: int, parts: int) -> DataFrame:
 _SENT = ["<u4", "<u4", "<i8", "<u4", "<u1", "<u8", "<u1"]  # text, start, doc_id, which; strings, anchor and bytes of each
 
 
-def sort_segments(kept: list[bytes], anchors: np.ndarray, ids: np.ndarray) -> list[np.ndarray]:
+def _hashed(data: np.ndarray) -> Callable[[np.ndarray, np.ndarray], np.ndarray]:
+    """A function that gives a hash of data[a:z] for arrays of such places."""
+    n = len(data) + 1
+    total = np.zeros(n, np.uint64)
+    np.cumsum(_BYTE[data] * powers("power", n)[: n - 1], out=total[1:])
+    inverse = powers("inverse", n)
+    return lambda a, z: (total[z] - total[a]) * inverse[a]
+
+
+def shared_parts(kept: list[bytes], anchors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(low, high): of each of these different segments the strings that another one may have, from number ``low`` up to
+    ``high``; none where they are equal. The strings left out are in no other segment.
+
+    A string has its anchor at one of WINDOW offsets. These are taken in four ranges; all strings of a range have some bytes
+    around the anchor in common, and another segment with the string has the same bytes around its own.
+    """
+    sizes = np.fromiter(map(len, kept), np.int64, len(kept))
+    low, high = np.full(len(kept), np.iinfo(np.int64).max), np.zeros(len(kept), np.int64)
+    data = np.frombuffer(b"".join(kept), np.uint8)
+    begins, hashed = np.cumsum(sizes) - sizes, _hashed(data)
+    owner = np.repeat(np.arange(len(kept)), sizes)
+    at = np.flatnonzero(_anchor_hashes(data) == anchors[owner[: len(data) - ANCHOR + 1]]) if len(data) else np.zeros(0, np.int64)
+    who = owner[at]
+    place = at - begins[who]
+    for a in range(0, WINDOW, OFFSETS):
+        z = min(a + OFFSETS, WINDOW) - 1
+        right = ANCHOR + WINDOW - 1 - z
+        inside = np.flatnonzero((place >= a) & (place + right <= sizes[who]))
+        key, mine, spot = hashed(at[inside] - a, at[inside] + right), who[inside], place[inside]
+        order = np.lexsort((mine, key))
+        key, mine, spot = key[order], mine[order], spot[order]
+        first = np.concatenate([np.ones(min(len(key), 1), bool), key[1:] != key[:-1]])
+        other = np.concatenate([np.zeros(min(len(key), 1), bool), (key[1:] == key[:-1]) & (mine[1:] != mine[:-1])])
+        group = np.cumsum(first) - 1
+        found = np.flatnonzero((np.bincount(group, other) > 0)[group]) if len(group) else group
+        mine, spot = mine[found], spot[found]
+        np.minimum.at(low, mine, np.maximum(spot - z, 0))
+        np.maximum.at(high, mine, np.minimum(spot - a, sizes[mine] - DEPTH) + 1)
+    return np.minimum(low, high), high
+
+
+def sort_segments(kept: list[bytes], anchors: np.ndarray, ids: np.ndarray, folder: str | None = None) -> list[np.ndarray]:
     """For each of these different segments the least doc_id of each of its strings, among all of them."""
-    order = np.argsort(anchors, kind="stable")
-    a = anchors[order]
-    first = np.flatnonzero(np.concatenate([[True], a[1:] != a[:-1]])) if len(a) else np.zeros(0, np.int64)
-    sizes = np.diff(np.append(first, len(a)))
-    out: list[np.ndarray | None] = [None] * len(kept)
-    batch: list[int] = []
-
-    def sort():
-        for k, least in zip(batch, least_by_prefix([kept[k] for k in batch], ids[batch], DEPTH), strict=True):
-            out[k] = least
-        batch.clear()
-
-    for i, n in zip(first.tolist(), sizes.tolist(), strict=True):
-        some = order[i : i + n].tolist()
-        if n == 1:
-            out[some[0]] = np.full(len(kept[some[0]]) - DEPTH + 1, ids[some[0]])
-            continue
-        if batch and len(batch) + n > MOST_SEGMENTS:
-            sort()
-        if n > MOST_SEGMENTS:
-            for k, least in zip(some, _sort_by_string([kept[k] for k in some], ids[some]), strict=True):
-                out[k] = least
-        else:
-            batch += some
-    sort()
+    low, high = shared_parts(kept, anchors)
+    out = [np.full(len(x) - DEPTH + 1, i) for x, i in zip(kept, ids.tolist(), strict=True)]
+    some = np.flatnonzero(low < high)
+    some = some[np.argsort(anchors[some], kind="stable")]
+    parts = [kept[k][a : z + DEPTH - 1] for k, a, z in zip(some.tolist(), low[some].tolist(), high[some].tolist(), strict=True)]
+    first = np.flatnonzero(np.diff(anchors[some], prepend=~anchors[some[:1]]))
+    ends = [*first[1:].tolist(), len(some)]
+    at = 0
+    while at < len(some):
+        fit = [z for z in ends if at < z <= at + MOST_SEGMENTS]
+        end = fit[-1] if fit else next(z for z in ends if z > at)
+        sort = least_by_prefix if fit else _sort_by_string
+        for k, least in zip(some[at:end].tolist(), sort(parts[at:end], ids[some[at:end]], DEPTH, folder), strict=True):
+            out[k][low[k] : high[k]] = least
+        at = end
     return out
 
 
-def _sort_by_string(kept: list[bytes], ids: np.ndarray) -> list[np.ndarray]:
-    """The same for too many segments of one anchor: their strings, by a hash, in collections of bounded size."""
-    sizes = [len(x) - DEPTH + 1 for x in kept]
-    strings: dict[bytes, int] = {}
-    for x, n, i in zip(kept, sizes, ids.tolist(), strict=True):
-        for s in range(n):
-            w = x[s : s + DEPTH]
-            strings[w] = min(strings.get(w, i), i)
-    every = sorted(strings, key=lambda w: hashlib.blake2b(w, digest_size=8).digest())
-    for at in range(0, len(every), MOST_SEGMENTS):
-        part = every[at : at + MOST_SEGMENTS]
-        for w, least in zip(part, least_by_prefix(part, np.array([strings[w] for w in part]), DEPTH), strict=True):
-            strings[w] = int(least[0])
-    return [np.array([strings[x[s : s + DEPTH]] for s in range(n)]) for x, n in zip(kept, sizes, strict=True)]
-
-
-def spans(cut: DataFrame, buckets: int, parts: int) -> DataFrame:
+def _sort_by_string(parts: list[bytes], ids: np.ndarray, depth: int, folder: str | None) -> list[np.ndarray]:
+    """The same for too many segments of one anchor: all their strings, ordered by hash, in collections of bounded size.
+    Where equal strings are in several collections, these are joined by one more of one string for each."""
+    sizes = np.fromiter((len(x) - depth + 1 for x in parts), np.int64, len(parts))
+    owner = np.repeat(np.arange(len(parts)), sizes)
+    step = np.arange(len(owner)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    start = np.repeat(np.cumsum(sizes + depth - 1) - sizes - depth + 1, sizes) + step
+    data = b"".join(parts)
+    hashes = _hashed(np.frombuffer(data, np.uint8))(start, start + depth)
+    order = np.argsort(hashes, kind="stable")
+    string = lambda i: data[start[i] : start[i] + depth]
+    least, cut = ids[owner], []
+    for at in range(0, len(order), MOST_SEGMENTS):
+        here = order[at : at + MOST_SEGMENTS]
+        least[here] = np.concatenate(least_by_prefix([string(i) for i in here], least[here], depth, folder))
+        cut += [np.flatnonzero(hashes[here] == hashes[here[k]]) + at for k in ((0,) if at + len(here) == len(order) else (0, len(here) - 1))]
+    ends = np.unique(np.concatenate(cut)) if len(order) > MOST_SEGMENTS else np.zeros(0, np.int64)
+    one: dict[tuple[int, bytes], int] = {}
+    for i in order[ends].tolist():
+        one.setdefault((int(least[i]), string(i)), i)
+    if one:
+        joined = np.concatenate(least_by_prefix([w for _, w in one], np.array([i for i, _ in one]), depth, folder))
+        lowest = {}
+        for (_, w), i in zip(one, joined.tolist(), strict=True):
+            lowest[w] = i
+        for i in order[ends].tolist():
+            least[i] = lowest[string(i)]
+    return np.split(least, np.cumsum(sizes)[:-1])
+
+
+def spans(cut: DataFrame, buckets: int, parts: int, folder: str) -> DataFrame:
     """(doc_id, mark, spans) of the rows of ``cut`` (doc_id, mark, text, bits) that lose bytes; spans are pairs of 32-bit
-    integers, the start and the end of each run of removed bytes."""
+    integers, the start and the end of each run of removed bytes. The collections' files are put under ``folder``."""
 
     def send(batches):
         s = _Sender(buckets)
@@ -233,17 +279,16 @@ def spans(cut: DataFrame, buckets: int, parts: int) -> DataFrame:
             flags = [np.unpackbits(np.frombuffer(b, np.uint8), count=n) for b, n in zip(bits, per, strict=True)]
             at = np.flatnonzero(np.concatenate(flags)) if flags else np.zeros(0, np.int64)
             text, start, runs, anchor = text[at], start[at], runs[at], anchor[at]
-            order, starts = s.deal(anchor)
+            order, cuts = s.deal(anchor)
             block, doc = s.number(), np.array(ids, "<i8")
             rows = [(block, s.head(block), doc.tobytes(), b"".join(marks))]
-            for b in range(buckets):
-                here = order[starts[b] : starts[b + 1]]
-                if len(here):
-                    which: dict[bytes, int] = {}
-                    each = [which.setdefault(texts[t][a : a + n + DEPTH - 1], len(which)) for t, a, n in zip(text[here].tolist(), start[here].tolist(), runs[here].tolist(), strict=True)]
-                    one = np.unique(np.array(each), return_index=True)[1]
-                    body = _pack(text[here].astype("<u4"), start[here].astype("<u4"), doc[text[here]], np.array(each, "<u4"), runs[here][one].astype("<u1"), anchor[here][one], np.frombuffer(b"".join(which), np.uint8))
-                    rows.append((block, b, b"", body))
+            for b, (i, j) in cuts.items():
+                here = order[i:j]
+                which: dict[bytes, int] = {}
+                each = [which.setdefault(texts[t][a : a + n + DEPTH - 1], len(which)) for t, a, n in zip(text[here].tolist(), start[here].tolist(), runs[here].tolist(), strict=True)]
+                one = np.unique(np.array(each), return_index=True)[1]
+                body = _pack(text[here].astype("<u4"), start[here].astype("<u4"), doc[text[here]], np.array(each, "<u4"), runs[here][one].astype("<u1"), anchor[here][one], np.frombuffer(b"".join(which), np.uint8))
+                rows.append((block, b, b"", body))
             yield _bucket_rows(rows)
 
     def sort(batches):
@@ -268,7 +313,7 @@ def spans(cut: DataFrame, buckets: int, parts: int) -> DataFrame:
             ids = np.array(least, np.int64)
             for _, _, _, doc, each in held:
                 np.minimum.at(ids, each, doc)
-            found = sort_segments(list(known), np.array(anchors, np.uint64), ids)
+            found = sort_segments(list(known), np.array(anchors, np.uint64), ids, folder)
             sizes = np.fromiter(map(len, found), np.int64, len(found))
             begins, flat = np.cumsum(sizes) - sizes, np.concatenate(found)
             for block, text, start, doc, each in held:
@@ -320,7 +365,7 @@ def removed_spans(docs: DataFrame) -> DataFrame:
     known = written(marked.join(first, F.col("mark") == F.col("f_mark")).select("doc_id", "mark", (F.col("doc_id") > F.col("first")).alias("copy"), "bits"), "substrings-copies")
     wanted = known.filter("not copy and bits is not null").select(F.col("doc_id").alias("w_id"), F.col("mark").alias("w_mark"), "bits")
     cut = docs.join(wanted, (F.col("doc_id") == F.col("w_id")) & (F.col("mark") == F.col("w_mark"))).select("doc_id", "mark", "text", "bits")
-    found = written(spans(cut, buckets, parts), "substrings-spans").distinct()
+    found = written(spans(cut, buckets, parts, new_path(spark, "substrings-columns")), "substrings-spans").distinct()
     found = found.select(F.col("doc_id").alias("s_id"), F.col("mark").alias("s_mark"), "spans")
     return known.join(found, (F.col("doc_id") == F.col("s_id")) & (F.col("mark") == F.col("s_mark")), "left").select("doc_id", "mark", "copy", "spans")
 

@@ -145,12 +145,12 @@ def test_components(spark, one_task):
     assert sorted(tuple(r) for r in graph.components(df, one_task).collect()) == sorted((x, root(x)) for x in nodes)
 
 
-def test_bwt_is_the_suffix_order(monkeypatch):
-    for memory in (1 << 20, 0):
+def test_bwt_is_the_suffix_order(monkeypatch, tmp_path):
+    for memory in (1 << 20, -1):
         monkeypatch.setattr(bwt, "IN_MEMORY", memory)
         for _ in range(30):
             d = [bytes(random.choices(b"ab\x00\xff", k=random.randint(0, 12))) for _ in range(random.randint(1, 9))]
-            owner, length, prefix = bwt.build(d)
+            owner, length, prefix = bwt.build(d, f"file://{tmp_path}")
             got = [(d[o][len(d[o]) - n :], o) for o, n in zip(owner, length, strict=True)]
             assert got == sorted((x[len(x) - j :], i) for i, x in enumerate(d) for j in range(len(x) + 1))
             for k in range(1, len(got)):
@@ -158,6 +158,25 @@ def test_bwt_is_the_suffix_order(monkeypatch):
                 assert prefix[k] == next((i for i, (p, q) in enumerate(zip(a, b, strict=False)) if p != q), min(len(a), len(b)))
 
 
+def test_large_collections_are_files(tmp_path, monkeypatch):
+    """At the default bound: a collection of more than a megabyte is built in files, which go at the end."""
+    r = random.Random(8)
+    d = [bytes(r.choices(b"abcd", k=60)) for _ in range(18_000)]
+    files = []
+    write = bwt.Columns.write
+
+    def spy(self, **columns):
+        write(self, **columns)
+        files.append(sorted(p.name for p in tmp_path.rglob("*") if p.is_file()))
+
+    monkeypatch.setattr(bwt.Columns, "write", spy)
+    owner, length, _ = bwt.build(d, f"file://{tmp_path}")
+    assert len(files) == 61 and all(f == sorted(bwt.FILES) for f in files) and not list(tmp_path.iterdir())
+    some = sorted(r.sample(range(len(owner)), 2000))
+    tails = [d[o][len(d[o]) - n :] for o, n in zip(owner[some], length[some], strict=True)]
+    assert tails == sorted(tails)
+
+
 def brute_removed(texts):
     first, out = {}, []
     for i, t in sorted((x for x in texts if x[0] is not None), key=lambda x: x[0]):
@@ -175,20 +194,31 @@ def brute_removed(texts):
     return out
 
 
-@pytest.mark.parametrize("most", [20_000, 1])
+@pytest.mark.parametrize("most", [100_000, 1])
 def test_substrings(docs, monkeypatch, most):
     monkeypatch.setattr(substrings, "MOST_SEGMENTS", most)
     got = [(r.doc_id, bytes(r.kept), r.n_bytes, r.n_removed, r.n_spans) for r in substrings.deduplicated(docs).collect()]
     assert sorted(got, key=str) == sorted(brute_removed(TEXTS), key=str)
 
 
-def test_sorting_by_string_agrees(monkeypatch):
-    kept = [bytes(random.choices(b"ab", k=random.randint(50, 60))) for _ in range(20)]
-    kept = list(dict.fromkeys(kept + [kept[0][:55] + b"zz", b"q" + kept[0][:54]]))
-    ids = np.arange(len(kept))[::-1].copy()
-    whole = substrings.sort_segments(kept, np.zeros(len(kept), np.uint64), ids)
-    apart = substrings._sort_by_string(kept, ids)
-    assert all((a == b).all() for a, b in zip(whole, apart, strict=True))
+@pytest.mark.parametrize("most", [1, 7, 100_000])
+def test_sorting_segments(monkeypatch, most):
+    """Segments that share strings in all places, of few anchors, against a dictionary of all strings."""
+    monkeypatch.setattr(substrings, "MOST_SEGMENTS", most)
+    r = random.Random(most)
+    base = bytes(r.choices(b"abc", k=400))
+    texts = [base[r.randint(0, 200) :][: r.randint(60, 300)] + bytes(r.choices(b"abc", k=r.randint(0, 80))) for _ in range(60)]
+    text, start, runs, anchor = substrings.segments(texts)
+    known = {}
+    for t, a, n, h in zip(text.tolist(), start.tolist(), runs.tolist(), anchor.tolist(), strict=True):
+        known.setdefault(texts[t][a : a + n + 49], (h, t))
+    kept, ids = list(known), np.array([t for _, t in known.values()])
+    want = {}
+    for x, i in zip(kept, ids.tolist(), strict=True):
+        for k in range(len(x) - 49):
+            want[x[k : k + 50]] = min(want.get(x[k : k + 50], i), i)
+    found = substrings.sort_segments(kept, np.array([h for h, _ in known.values()], np.uint64), ids)
+    assert [f.tolist() for f in found] == [[want[x[k : k + 50]] for k in range(len(x) - 49)] for x in kept]
 
 
 def test_substrings_of_nothing(empty):
