@@ -10,9 +10,10 @@ link:
 2. Documents with equal sets form a class; its least doc_id stands for it from here on.
 3. Of each representative's shingles, rarest first, a prefix of one quarter and one is kept; linked sets share a shingle
    of their prefixes. Sets that share prefix shingles form groups, the components of that relation.
-4. Within a group the sets are searched one by one in an inverted index of those before: the short lists are merged (by a
-   heap; by sorting where they hold many documents), documents that occur often enough there are probed for in the long
-   lists, and those that reach the required overlap are compared. This finds every link.
+4. Within a group the sets are searched one by one in an inverted index of those before, by DivideSkip: the longest lists
+   are set apart, as many as the required overlap and the longest one's length say; the short ones are merged (by a heap;
+   by counting where they hold many documents), documents that occur often enough there are probed for in the long lists
+   by bisection, and those that reach the required overlap are compared. This finds every link.
 
 The links themselves can be as many as the pairs of documents, so they are counted where they are found: each document
 gets the number of its links, copies counted by the sizes of their classes, and of the links only those that join
@@ -33,8 +34,9 @@ from __future__ import annotations
 
 import hashlib
 import heapq
+import math
 from array import array
-from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from itertools import groupby
 
@@ -55,9 +57,9 @@ CHUNK_BYTES, BLOCK_SHINGLES = 2 << 20, 250_000
 #: Shingles that a bucket of hashes is to have.
 BUCKET = 1_000_000
 #: A group of more sets, or more shingles, is thinned out and searched by pairs of blocks of so many.
-GROUP_SETS, GROUP_SHINGLES = 3_000, 2_000_000
-#: Lists of more documents are probed and not merged, and so many documents are merged by a heap at most.
-LONG_LIST, HEAP = 8_192, 128
+GROUP_SETS, GROUP_SHINGLES = 1_000, 2_000_000
+#: So many documents are merged by a heap at most; what a list's length, as its binary logarithm, counts against probing.
+HEAP, PROBE = 256, 1.0
 
 
 def need(n: int | np.ndarray, percent: int = PERCENT):
@@ -288,11 +290,41 @@ def prefixes(blocks: DataFrame, buckets: int, parts: int, percent: int = PERCENT
     return back.mapInArrow(gather, "token long, rep long")
 
 
+def occurrences(lists: list[array], least: int, work: Counter) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers that are in ``least`` of the lists or more, and in how many, by DivideSkip. ``work`` counts the merges by
+    heap, those by counting, and the lists probed.
+
+    With L lists set apart, a number must be in ``least`` - L of the others. The more are set apart, the fewer candidates
+    there are to merge and the more to probe; L is ``least`` over one and the weighted logarithm of the longest list.
+    """
+    lists.sort(key=len)
+    apart = min(int(least / (PROBE * math.log2(len(lists[-1]) + 1) + 1)), least - 1)
+    short, long = lists[: len(lists) - apart], lists[len(lists) - apart :]
+    if sum(map(len, short)) > HEAP:
+        counts = np.bincount(np.concatenate([np.frombuffer(x, np.int32) for x in short]))
+        found = np.flatnonzero(counts >= least - apart)
+        overlap = counts[found]
+        work["counted"] += 1
+    else:
+        merged = [(y, n) for y, run in groupby(heapq.merge(*short)) if (n := sum(1 for _ in run)) >= least - apart]
+        found, overlap = np.array(merged, np.int64).reshape(-1, 2).T
+        work["heaped"] += 1
+    for left in range(apart - 1, -1, -1):
+        if not len(found):
+            break
+        ids = np.frombuffer(long[left], np.int32)
+        overlap = overlap + (ids[np.minimum(np.searchsorted(ids, found), len(ids) - 1)] == found)
+        able = overlap + left >= least
+        found, overlap = found[able], overlap[able]
+        work["probed"] += 1
+    return found, overlap
+
+
 class Search:
     """T-occurrence search of sets among those before, for links that join components."""
 
     def __init__(self, percent: int = PERCENT):
-        self.percent = percent
+        self.percent, self.work = percent, Counter()
         self.sizes: list[int] = []
         self.lists: dict[int, array] = {}
         self.only: dict[int, int] = {}  # of a list whose documents are in one component, one of them
@@ -322,49 +354,24 @@ class Search:
         return joined
 
     def _search(self, k: int, keys: list[int]) -> list[int]:
-        least = need(self.sizes[k], self.percent)
+        least, mine, joined = need(self.sizes[k], self.percent), self.root(k), []
         if len(keys) < least:
-            return []
-        mine = self.root(k)
-        lists = sorted((self.lists[t] for t in keys if t not in self.only or self.root(self.only[t]) != mine), key=len)
+            return joined
+        lists = [self.lists[t] for t in keys if t not in self.only or self.root(self.only[t]) != mine]
         if len(lists) < least:
-            return []
-        cut = max(bisect_left(lists, LONG_LIST, key=len), len(lists) - least + 1)
-        short, long = lists[:cut], lists[cut:]
-        joined = []
-        for y, found in self._merged(short, least - len(long)):
-            if self.root(y) != self.root(k):
-                overlap = self._probed(y, found, long, least)
-                if 100 * overlap >= self.percent * (self.sizes[k] + self.sizes[y] - overlap):
-                    self.above[self.root(k)] = self.root(y)
-                    joined.append(y)
+            return joined
+        for y, overlap in zip(*(x.tolist() for x in occurrences(lists, least, self.work)), strict=True):
+            if self.root(y) != self.root(k) and 100 * overlap >= self.percent * (self.sizes[k] + self.sizes[y] - overlap):
+                self.above[self.root(k)] = self.root(y)
+                joined.append(y)
         return joined
 
-    @staticmethod
-    def _merged(lists: list[array], least: int) -> list[tuple[int, int]]:
-        """Documents that are in ``least`` of the lists, and in how many."""
-        if sum(map(len, lists)) > HEAP:
-            counts = np.bincount(np.concatenate([np.frombuffer(x, np.int32) for x in lists]))
-            found = np.flatnonzero(counts >= max(least, 1))
-            return list(zip(found.tolist(), counts[found].tolist(), strict=True))
-        return [(y, n) for y, run in groupby(heapq.merge(*lists)) if (n := sum(1 for _ in run)) >= least]
-
-    @staticmethod
-    def _probed(y: int, found: int, lists: list[array], least: int) -> int:
-        """In how many lists ``y`` is, of which ``found`` are known; 0 if it can't be ``least``."""
-        for done, x in enumerate(lists):
-            if found + len(lists) - done < least:
-                return 0
-            at = bisect_left(x, y)
-            found += at < len(x) and x[at] == y
-        return found if found >= least else 0
-
 
 class AllLinks:
     """T-occurrence search of sets among those before, for the number of links of each."""
 
     def __init__(self, percent: int = PERCENT):
-        self.percent = percent
+        self.percent, self.work = percent, Counter()
         self.reps: list[int] = []
         self.lists: dict[int, array] = {}
         self.joins: list[tuple[int, int]] = []  # links that join components
@@ -402,19 +409,7 @@ class AllLinks:
         least = need(int(self.sizes[k]), self.percent)
         if len(lists) < least:
             return np.zeros(0, np.int64)
-        lists.sort(key=len)
-        cut = max(bisect_left(lists, LONG_LIST, key=len), len(lists) - least + 1)
-        short, long = lists[:cut], lists[cut:]
-        if sum(map(len, short)) > HEAP:
-            counts = np.bincount(np.concatenate([np.frombuffer(x, np.int32) for x in short]))
-            found = np.flatnonzero(counts >= max(least - len(long), 1))
-            overlap = counts[found]
-        else:
-            merged = Search._merged(short, max(least - len(long), 1))
-            found, overlap = np.array(merged, np.int64).reshape(-1, 2).T
-        for x in long:
-            ids = np.frombuffer(x, np.int32)
-            overlap = overlap + (ids[np.minimum(np.searchsorted(ids, found), len(ids) - 1)] == found)
+        found, overlap = occurrences(lists, least, self.work)
         return found[100 * overlap >= self.percent * (self.sizes[k] + self.sizes[found] - overlap)]
 
     def counted(self) -> list[tuple[int, int | None, int]]:
