@@ -4,7 +4,10 @@ Each document gets integer metrics from its whole text. Mergeable quantile sketc
 language and source: log-linear histograms that keep the five leading bits of a value, so that counts of equal cells
 add up in any order and a quantile is off by less than one part in sixteen, always to the lower side. Sketches of
 groups below ``min_docs`` documents are merged upwards: language and source, then language, then all. The thresholds
-come from the sketches' quartiles and are joined back to the documents.
+come from the sketches alone and are joined back to the documents: for word length, which has a spread, fences beyond
+the quartiles; for shares that are nought in most documents, and whose quartiles say nothing, the cut of the sketch that
+sets its upper part apart best, by the variance between both parts. A cut that explains too little of the variance, or
+has too many documents above it, is no threshold, and the group has none for that metric.
 
 Defined cases: a null or empty text has no words, fails the base rules and is not kept. Null languages or sources are
 groups of their own. Repeated rows are each judged and returned. An empty table gives an empty result. Other columns
@@ -20,13 +23,13 @@ from pyspark.sql.window import Window
 from hexapla.llm.common import WORD, let, without, written
 
 WINDOW = 5
-#: metric: (least distance to the median that counts as far, whether low values are bad too), in the metric's unit.
-METRICS = {
-    "symbols_pm": (60, False),
-    "dup_lines_pm": (400, False),
-    "repeat_pm": (190, False),
-    "word_len_x10": (30, True),
-}
+#: How each metric gets its thresholds: fences in interquartile ranges, low and high; or a cut, in the metric's unit or by
+#: its cells' ranks, which are as logarithms (symbols spread over orders of magnitude).
+METRICS = {"symbols_pm": "ranks", "dup_lines_pm": "values", "repeat_pm": "values", "word_len_x10": "fences"}
+#: Interquartile ranges from the quartiles to the fences.
+RANGES = 3
+#: A cut must explain so much of the variance, and have one document in so many above it at most.
+EXPLAINED, ONE_IN = 0.6, 4
 #: Groups with fewer documents take the thresholds of the group above.
 MIN_DOCS = 200
 
@@ -86,6 +89,12 @@ def cell(value: Column) -> Column:
     return F.call_function("shiftleft", F.call_function("shiftright", value, shift), shift)
 
 
+def rank(cell_: Column) -> Column:
+    """The cell's place among the cells: its leading bits, and sixteen for each bit that was cleared."""
+    shift = F.greatest(F.length(F.bin(cell_)) - 5, F.lit(0))
+    return (F.call_function("shiftright", cell_, shift) + 16 * shift).cast("long")
+
+
 def sketches(measured: DataFrame) -> DataFrame:
     """(lang, source, metric, cell, n) over documents with words; merging two sketches is adding ``n`` by cell."""
     parts = F.array(*[F.struct(F.lit(m).alias("metric"), cell(F.col(m)).alias("cell")) for m in METRICS])
@@ -98,22 +107,32 @@ def sketches(measured: DataFrame) -> DataFrame:
 
 def thresholds(sketch: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """(lang, source, metric, low, high, n_docs) for each language and source, from the sketch of the narrowest group
-    that has ``min_docs`` documents. A value is far if it lies beyond three interquartile ranges, and by at least the
-    metric's least distance, from the quartiles."""
+    that has ``min_docs`` documents. A value is far if it is above ``high`` or below ``low``."""
     level = F.explode(F.array(*[F.lit(k) for k in range(3)])).alias("level")
     leveled = sketch.select(
         level, "lang", "source", "metric", "cell", "n"
     ).withColumns({"lang": F.when(F.col("level") < 2, F.col("lang")), "source": F.when(F.col("level") < 1, F.col("source"))})
     merged = leveled.groupBy("level", "lang", "source", "metric", "cell").agg(F.sum("n").alias("n"))
+    by = lambda kind: F.col("metric").isin([m for m, k in METRICS.items() if k == kind])
+    merged = merged.withColumn("at", F.when(by("ranks"), rank(F.col("cell"))).otherwise(F.col("cell")))
     key = ["level", "lang", "source", "metric"]
-    run = merged.withColumns({"upto": F.sum("n").over(Window.partitionBy(*key).orderBy("cell")), "total": F.sum("n").over(Window.partitionBy(*key))})
-    at = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("total") * q, F.col("cell")))
-    quartiles = run.groupBy(*key).agg(at(1).alias("q1"), at(2).alias("q2"), at(3).alias("q3"), F.max("total").alias("n_docs"))
-    least = F.create_map(*[F.lit(x) for m, (d, _) in METRICS.items() for x in (m, d)])[F.col("metric")]
-    low_too = F.col("metric").isin([m for m, (_, low) in METRICS.items() if low])
-    fences = quartiles.withColumns({
-        "high": F.greatest(F.expr("q3 + 3 * (q3 - q1)"), F.col("q2") + least).cast("long"),
-        "low": F.when(low_too, F.least(F.expr("q1 - 3 * (q3 - q1)"), F.col("q2") - least)).cast("long"),
+    whole, upto = Window.partitionBy(*key), Window.partitionBy(*key).orderBy("cell")
+    run = merged.withColumns({
+        "upto": F.sum("n").over(upto), "total": F.sum("n").over(whole),
+        "sum_upto": F.sum(F.expr("n * at")).over(upto).cast("double"), "sum": F.sum(F.expr("n * at")).over(whole).cast("double"),
+        "squares": F.sum(F.expr("n * at * at")).over(whole).cast("double"),
+    })
+    # between the parts' means; divided by the product of the parts' sizes and by the variance it is the part explained
+    apart = run.withColumn("apart", F.expr("sum_upto * total - sum * upto"))
+    explained = F.expr("case when upto < total then apart * apart / (double(upto) * (total - upto)) / (total * squares - sum * sum) end")
+    scored = apart.withColumn("explained", explained)
+    quartile = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("total") * q, F.col("cell")))
+    cut = F.max(F.when(F.col("explained").isNotNull(), F.struct("explained", (-F.col("cell")).alias("less"), (F.col("total") - F.col("upto")).alias("above"))))
+    groups_ = scored.groupBy(*key).agg(quartile(1).alias("q1"), quartile(3).alias("q3"), F.max("total").alias("n_docs"), cut.alias("cut"))
+    good = (F.col("cut.explained") >= EXPLAINED) & (F.col("cut.above") * ONE_IN <= F.col("n_docs"))
+    fences = groups_.withColumns({
+        "high": F.when(by("fences"), F.expr(f"q3 + {RANGES} * (q3 - q1)")).when(good, -F.col("cut.less")).cast("long"),
+        "low": F.when(by("fences"), F.expr(f"q1 - {RANGES} * (q3 - q1)")).cast("long"),
     })
     groups = sketch.select("lang", "source", "metric").distinct()
     pick = None
@@ -129,6 +148,11 @@ def thresholds(sketch: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     return best.select("lang", "source", "metric", "b.low", "b.high", "b.n_docs")
 
 
+def measured(docs: DataFrame) -> DataFrame:
+    """The counts of each row with the metrics made from them, written to the shared folder."""
+    return written(features(docs), "quality-counts").withColumns({m: F.expr(e) for m, e in _metrics().items()})
+
+
 def judged(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     """Each row's counts, metrics, ``base_failed``, ``kept`` and ``failed`` (the metrics that were far).
 
@@ -136,12 +160,11 @@ def judged(docs: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     have one row per language and source; they too are written, so that Spark broadcasts them by their known size and
     otherwise joins by shuffle, splitting hot groups.
     """
-    counts = written(features(docs), "quality-counts")
-    measured = counts.withColumns({m: F.expr(e) for m, e in _metrics().items()})
-    wide = thresholds(sketches(measured), min_docs).groupBy("lang", "source").pivot("metric", list(METRICS)).agg(F.first("low").alias("low"), F.first("high").alias("high"))
+    rows = measured(docs)
+    wide = thresholds(sketches(rows), min_docs).groupBy("lang", "source").pivot("metric", list(METRICS)).agg(F.first("low").alias("low"), F.first("high").alias("high"))
     limits = written(wide.select(F.col("lang").alias("t_lang"), F.col("source").alias("t_source"), *[F.col(f"{m}_{x}") for m in METRICS for x in ("low", "high")]).coalesce(1), "quality-thresholds")
-    joined = measured.join(limits, F.col("lang").eqNullSafe(F.col("t_lang")) & F.col("source").eqNullSafe(F.col("t_source")), "left")
-    failed = F.array_compact(F.array(*[F.when((F.col(m) > F.col(f"{m}_high")) | F.coalesce(F.col(m) < F.col(f"{m}_low"), F.lit(False)), F.lit(m)) for m in METRICS]))
+    joined = rows.join(limits, F.col("lang").eqNullSafe(F.col("t_lang")) & F.col("source").eqNullSafe(F.col("t_source")), "left")
+    failed = F.array_compact(F.array(*[F.when(F.coalesce(F.col(m) > F.col(f"{m}_high"), F.lit(False)) | F.coalesce(F.col(m) < F.col(f"{m}_low"), F.lit(False)), F.lit(m)) for m in METRICS]))
     base = F.expr("n_words < 10 or 100 * n_repeat_words > 20 * n_words")
     return joined.select(
         "doc_id", "lang", "source", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", *METRICS,

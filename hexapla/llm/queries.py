@@ -51,21 +51,26 @@ v AS (SELECT lang, source, 'a' AS metric, a AS x FROM m WHERE n_words > 0 UNION
 s AS (SELECT level, CASE WHEN level < 2 THEN lang END AS lang, CASE WHEN level < 1 THEN source END AS source, metric,
              (x >> greatest(length(bin(x)) - 5, 0)) << greatest(length(bin(x)) - 5, 0) AS cell, count(*) AS n
       FROM v, range(3) AS l(level) GROUP BY ALL),
-u AS (SELECT *, sum(n) OVER (PARTITION BY level, lang, source, metric ORDER BY cell) AS upto,
-             sum(n) OVER (PARTITION BY level, lang, source, metric) AS total FROM s),
-q AS (SELECT level, lang, source, metric, min(cell) FILTER (4 * upto >= total) AS q1,
-             min(cell) FILTER (4 * upto >= 2 * total) AS q2, min(cell) FILTER (4 * upto >= 3 * total) AS q3,
+p AS (SELECT *, CASE WHEN metric = 'a' THEN (cell >> greatest(length(bin(cell)) - 5, 0)) + 16 * greatest(length(bin(cell)) - 5, 0) ELSE cell END AS at FROM s),
+u AS (SELECT *, sum(n) OVER o AS upto, sum(n) OVER w AS total, (sum(n * at) OVER o)::DOUBLE AS sum_upto, (sum(n * at) OVER w)::DOUBLE AS sum_all,
+             (sum(n * at * at) OVER w)::DOUBLE AS squares FROM p
+      WINDOW w AS (PARTITION BY level, lang, source, metric), o AS (PARTITION BY level, lang, source, metric ORDER BY cell)),
+x AS (SELECT *, sum_upto * total::DOUBLE - sum_all * upto::DOUBLE AS apart FROM u),
+y AS (SELECT level, lang, source, metric, cell, total - upto AS above,
+             apart * apart / (upto::DOUBLE * (total - upto)::DOUBLE) / (total::DOUBLE * squares - sum_all * sum_all) AS explained
+      FROM x WHERE upto < total QUALIFY row_number() OVER (PARTITION BY level, lang, source, metric ORDER BY explained DESC, cell) = 1),
+q AS (SELECT level, lang, source, metric, min(cell) FILTER (4 * upto >= total) AS q1, min(cell) FILTER (4 * upto >= 3 * total) AS q3,
              max(total) AS n_docs FROM u GROUP BY ALL),
-least_far AS (SELECT * FROM (VALUES ('a', 60), ('b', 400), ('e', 190), ('f', 30)) AS x(metric, far)),
-fence AS (SELECT level, lang, source, q.metric, n_docs, greatest(q3 + 3 * (q3 - q1), q2 + far) AS high,
-                 CASE WHEN q.metric = 'f' THEN least(q1 - 3 * (q3 - q1), q2 - far) END AS low
-          FROM q JOIN least_far ON q.metric = least_far.metric),
+fence AS (SELECT q.level, q.lang, q.source, q.metric, n_docs,
+                 CASE WHEN q.metric = 'f' THEN q3 + 3 * (q3 - q1) WHEN explained >= 0.6 AND above * 4 <= n_docs THEN cell END AS high,
+                 CASE WHEN q.metric = 'f' THEN q1 - 3 * (q3 - q1) END AS low
+          FROM q LEFT JOIN y ON q.level = y.level AND q.metric = y.metric AND q.lang IS NOT DISTINCT FROM y.lang AND q.source IS NOT DISTINCT FROM y.source),
 keys AS (SELECT DISTINCT lang, source, metric FROM v),
-best AS (SELECT k.lang, k.source, k.metric, arg_min(f.high, f.level) AS high, min(f.level) AS level
+best AS (SELECT k.lang, k.source, k.metric, min(f.level) AS level
          FROM keys k JOIN fence f ON k.metric = f.metric AND (f.level = 2 OR (f.n_docs >= 200
               AND f.lang IS NOT DISTINCT FROM k.lang AND (f.level = 1 OR f.source IS NOT DISTINCT FROM k.source)))
          GROUP BY ALL),
-lim AS (SELECT b.*, f.low FROM best b JOIN fence f ON f.metric = b.metric AND f.level = b.level
+lim AS (SELECT b.*, f.low, f.high FROM best b JOIN fence f ON f.metric = b.metric AND f.level = b.level
         AND (b.level = 2 OR (f.lang IS NOT DISTINCT FROM b.lang AND (b.level = 1 OR f.source IS NOT DISTINCT FROM b.source)))),
 far AS (SELECT DISTINCT m.doc_id FROM m JOIN lim ON m.lang IS NOT DISTINCT FROM lim.lang
             AND m.source IS NOT DISTINCT FROM lim.source

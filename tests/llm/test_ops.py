@@ -97,14 +97,22 @@ def test_jaccard_counts_every_link(spark, limits):
     assert [tuple(r)[2:] for r in got if r.doc_id is None] == [(None, None)] and max(linked) > 20
 
 
-def test_jaccard_probes_long_lists(monkeypatch):
-    monkeypatch.setattr(jaccard, "LONG_LIST", 2)
+def test_jaccard_merges_and_probes():
+    """At default parameters short lists are merged by the heap and by counting, and long ones probed."""
     r = random.Random(9)
-    sets = [np.array(sorted(r.sample(range(24), r.randint(12, 20))), np.uint64) for _ in range(120)]
-    s = jaccard.AllLinks()
-    for k, x in enumerate(sets):
-        s.add(k, 1, x)
-    assert s.links[:120].tolist() == [sum(jaccard.linked(x, y) for y in sets) - 1 for x in sets]
+    some = [np.array(sorted(r.sample(range(24), r.randint(12, 20))), np.uint64) for _ in range(120)]
+    base = list(range(60))
+    near = [np.array(sorted({*r.sample(base, r.randint(48, 60)), *r.sample(range(100, 200), r.randint(0, 8))}), np.uint64) for _ in range(300)]
+    for sets in (some, near, some[:10]):
+        s = jaccard.AllLinks()
+        for k, x in enumerate(sets):
+            s.add(k, 1, x)
+        assert s.links[: len(sets)].tolist() == [sum(jaccard.linked(x, y) for y in sets) - 1 for x in sets]
+        joining = jaccard.Search()
+        joined = [(k, y) for k, x in enumerate(sets) for y in joining.add(x)]
+        assert len(joined) == len(sets) - len({s.label[k] for k in range(len(sets))})
+        assert s.work["heaped"] and s.work["probed"] > len(sets) // 2 and joining.work["probed"]
+        assert s.work["counted"] or len(sets) == 10
 
 
 def test_jaccard_of_nothing(empty):
@@ -393,6 +401,34 @@ def test_quality(docs):
     assert quality.judged(docs.filter("false")).count() == 0
 
 
+def test_thresholds_follow_the_group(spark):
+    """Each group's thresholds come from its own sketch: the same text is far in one source and not in the other."""
+    r = random.Random(12)
+    say = lambda n, size: " ".join("".join(r.choices("abcdefghij", k=size + r.randint(0, 2))) for _ in range(n))
+    marked = lambda n: " ".join(("#" if k < n else "a") + w for k, w in enumerate(say(60, 4).split()))
+    rows = [(i, marked(60 * (i % 20 == 0)), "en", "plain") for i in range(300)]
+    rows += [(1000 + i, marked(r.randint(20, 60)), "en", "code") for i in range(300)]
+    rows += [(2000 + i, say(60, 9), "de", "long") for i in range(300)]
+    probe = marked(40)
+    rows += [(5000, probe, "en", "plain"), (5001, probe, "en", "code"), (5002, say(60, 9), "en", "plain"), (5003, say(60, 4), "de", "long"), (5004, say(60, 9), "de", "long")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    got = {g.doc_id: g for g in quality.judged(docs).filter("doc_id >= 5000").collect()}
+    assert {i: g.failed for i, g in got.items()} == {5000: ["symbols_pm"], 5001: [], 5002: ["word_len_x10"], 5003: ["word_len_x10"], 5004: []}
+    assert [got[i].kept for i in range(5000, 5005)] == [False, True, False, False, True]
+    limits = {(t.source, t.metric): (t.low, t.high, t.n_docs) for t in quality.thresholds(quality.sketches(quality.measured(docs))).collect()}
+    assert limits["plain", "symbols_pm"][1] is not None and limits["code", "symbols_pm"][1] is None
+    assert limits["plain", "word_len_x10"][1] < limits["long", "word_len_x10"][0]
+    assert limits["plain", "word_len_x10"][2] == 302
+    assert {t.n_docs for t in quality.thresholds(quality.sketches(quality.measured(docs)), 400).filter("lang = 'en'").collect()} == {603}
+
+
+def test_sketches_merge_and_are_close(spark):
+    values = [0, 1, 31, 32, 33, 63, 64, 65, 1000, 10**6, 10**12]
+    got = [tuple(x) for x in spark.createDataFrame([(v,) for v in values], "v long").select("v", quality.cell(F.col("v")), quality.rank(quality.cell(F.col("v")))).collect()]
+    assert all(c <= v and 16 * (v - c) <= v for v, c, _ in got) and [k for *_, k in got] == sorted(k for *_, k in got)
+    assert len({k for *_, k in got}) == len({c for _, c, _ in got})
+
+
 def test_quality_keeps_labelled(spark):
     df = quality.judged(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).join(spark.read.parquet("/root/testdata/sf0.01/labels.parquet"), "doc_id")
     good = df.filter("quality = 1 and not base_failed")
