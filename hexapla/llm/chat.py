@@ -3,7 +3,9 @@
 A template is any function from turns to a text. It is called with successive prefixes of a conversation, and each
 output is compared with the one before: what is added is the turn's span, and where the earlier output is not a prefix of
 the later one, the template rewrites history and the conversation is marked so, with the turn at which it happens.
-Within a turn's span the text is located by rendering the turn with other texts and comparing the outputs.
+Where a turn's text stands in the final output, which is where the loss mask lies, is found by rendering the conversation
+with other texts for that turn and comparing the outputs. A text that isn't there, because a later turn rewrote it or the
+template leaves it out, has no loss span; of a text that is there several times, the first place counts.
 
 The built-in template marks turns and escapes control strings inside roles and texts reversibly: in each control string
 a backslash is put behind the first character, one more where backslashes are there already, so that no control string is
@@ -92,12 +94,22 @@ def render(template: Template, turns: list[Turn], first: int = 0) -> tuple[str,
     return done[base:], [(a - base, b - base) for a, b in spans], rewritten
 
 
-def text_span(template: Template, turns: list[Turn], k: int, whole: str) -> tuple[int, int]:
-    """Where turn ``k``'s text stands in ``whole``, the output of ``turns[:k + 1]``: the outputs for two other texts, of one
-    letter each, first differ where the text begins, and what follows the letter follows the text."""
-    one, other = (template([*turns[:k], (turns[k][0], x)]) for x in "ab")
-    start = next(i for i, (a, b) in enumerate(zip(one, other, strict=True)) if a != b)
-    return start, len(whole) - (len(one) - start - 1)
+def text_span(template: Template, turns: list[Turn], k: int, whole: str) -> tuple[int, int] | None:
+    """Where turn ``k``'s text stands in ``whole``, the output of ``turns``; None if it doesn't.
+
+    The outputs for two other texts, of one letter each, differ where the text stands and nowhere else. As often as they
+    differ, ``whole`` is longer than they are by the text but for a letter; what is before and behind must agree.
+    """
+    one, other = (template([*turns[:k], (turns[k][0], x), *turns[k + 1 :]]) for x in "ab")
+    if len(one) != len(other):
+        return None
+    places = [i for i, (a, b) in enumerate(zip(one, other, strict=True)) if a != b] if one != other else []
+    if not places or (len(whole) - len(one)) % len(places):
+        return None
+    size, start = (len(whole) - len(one)) // len(places) + 1, places[0]
+    last = places[1] if len(places) > 1 else len(one)
+    fits = size >= 0 and whole[:start] == one[:start] and whole[start + size : start + size + last - start - 1] == one[start + 1 : last]
+    return (start, start + size) if fits else None
 
 
 OUT = "conv_id long, block int, formatted string, spans array<struct<role:string,start:long,end:long,loss_start:long,loss_end:long>>, rewritten_at long"
@@ -107,7 +119,8 @@ _TYPES = [pa.int64(), pa.int32(), pa.string(), pa.list_(_SPAN), pa.int64()]
 
 def formatted(turns: DataFrame, template: Template = chatml, loss_roles: tuple[str, ...] = ("assistant",), block_turns: int = BLOCK_TURNS) -> DataFrame:
     """(conv_id, block, formatted, spans, rewritten_at): each conversation's text in blocks of turns, every turn's span in
-    its block's text, and for turns of ``loss_roles`` the span of their text, which is the loss mask (else null)."""
+    its block's text, and for turns of ``loss_roles`` the span of their text, which is the loss mask (else, and where the
+    final output doesn't have the text, null). Spans of texts that were moved may lie outside their block's text."""
     local = getattr(template, "local", False)
     rows = turns.select(F.col("conv_id").cast("long"), "turn", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
     dealt = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn", "role", "text").select("conv_id", "role", "text")
@@ -115,11 +128,16 @@ def formatted(turns: DataFrame, template: Template = chatml, loss_roles: tuple[s
     def blocks(conv, block: int, context: list[Turn], new: list[Turn]) -> Iterator[tuple]:
         given = context + new
         text, found, rewritten = render(template, given, len(context))
-        base, spans = len(template(given)) - len(text), []
+        final, spans = template(given), []
+        base = len(final) - len(text)
         for k, (a, b) in enumerate(found, len(context)):
             role, loss = given[k][0], None
-            if role in loss_roles:  # what a later turn rewrote is in that turn's span
-                loss = [min(max(x - base, a), b) for x in text_span(template, given, k, template(given[: k + 1]))]
+            if role in loss_roles and local:  # the turn's output is the same without the others
+                loss = text_span(template, given[k : k + 1], 0, text[a:b])
+                loss = loss and (a + loss[0], a + loss[1])
+            elif role in loss_roles:
+                loss = text_span(template, given, k, final)
+                loss = loss and (loss[0] - base, loss[1] - base)
             spans.append((role, a, b, loss))
         rewritten = None if rewritten is None else rewritten - len(context) + block * block_turns
         for at in range(0, len(spans), block_turns):

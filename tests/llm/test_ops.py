@@ -521,6 +521,54 @@ def test_rewriting_templates_are_found():
     assert chat.render(last_only, [("user", "a"), ("user", "c")])[2] is None
 
 
+def test_loss_is_where_the_final_output_has_it():
+    """Templates that rewrite, ignore, repeat or change texts: the loss span is the text in the final output, or none."""
+
+    def latest_think(turns):
+        return "".join(f"<{r}>{'' if r == 'think' and k < len(turns) - 1 else t}" for k, (r, t) in enumerate(turns))
+
+    turns = [("user", "a"), ("think", "hello"), ("assistant", "ANSWER"), ("user", "c"), ("think", "end")]
+    whole = latest_think(turns)
+    found = [chat.text_span(latest_think, turns, k, whole) for k in range(5)]
+    assert [s and whole[slice(*s)] for s in found] == ["a", None, "ANSWER", "c", "end"]
+    ignores = lambda ts: "".join(f"<{r}>" for r, _ in ts)
+    assert chat.text_span(ignores, turns, 2, ignores(turns)) is None
+    first_again = lambda ts: "".join(f"<{r}>{t}" for r, t in ts) + ts[0][1]
+    whole = first_again([("user", "again"), ("assistant", "")])
+    assert whole[slice(*chat.text_span(first_again, [("user", "again"), ("assistant", "")], 0, whole))] == "again"
+    assert chat.text_span(first_again, [("user", "again"), ("assistant", "")], 1, whole) == (22, 22)
+    shouts = lambda ts: "".join(f"<{r}>{t.upper()}" for r, t in ts)
+    whole = shouts(turns)
+    assert whole[slice(*chat.text_span(shouts, turns, 1, whole))] == "HELLO"
+    trims = lambda ts: "".join(f"<{r}>{t.strip()}" for r, t in ts)
+    padded = [("user", "  x "), ("assistant", " yes  ")]
+    assert trims(padded)[slice(*chat.text_span(trims, padded, 1, trims(padded)))] == "yes"
+
+
+def test_rewritten_loss_in_the_table(spark):
+    def latest_think(turns):
+        return "".join(f"<{r}>{'' if r == 'think' and k < len(turns) - 1 else t}" for k, (r, t) in enumerate(turns))
+
+    said = [(1, 0, "user", "a"), (1, 1, "think", "hello"), (1, 2, "assistant", "ANSWER"), (1, 3, "user", "c")]
+    rows = chat.formatted(spark.createDataFrame(said, "conv_id long, turn long, role string, text string"), latest_think, ("assistant", "think")).collect()
+    assert [r.formatted for r in rows] == ["<user>a<think><assistant>ANSWER<user>c"] and rows[0].rewritten_at == 2
+    assert [s.loss_start is not None and rows[0].formatted[s.loss_start : s.loss_end] for s in rows[0].spans] == [False, False, "ANSWER", False]
+
+
+def test_long_conversations(spark):
+    """More turns than a block has, at the default: the whole history is rendered, and nothing is lost between blocks."""
+    numbered = lambda ts: "".join(f"<{k}:{r}>{t}" for k, (r, t) in enumerate(ts))
+    n = chat.BLOCK_TURNS + 20
+    said = [(1, k, "assistant" if k % 2 else "user", f"t{k}" + "y" * (200_000 if k == 5 else 0)) for k in range(n)]
+    df = spark.createDataFrame(said, "conv_id long, turn long, role string, text string").repartition(3)
+    rows = sorted(chat.formatted(df, numbered).collect(), key=lambda r: r.block)
+    assert len(rows) == 2 and "".join(r.formatted for r in rows) == numbered([x[2:] for x in said])
+    loss = [r.formatted[s.loss_start : s.loss_end] for r in rows for s in r.spans if s.loss_start is not None]
+    assert loss == [t for _, k, _, t in said if k % 2]
+    digest = chat.round_trip(df).first()
+    assert (digest.n_turns, digest.loss_chars) == (n, sum(map(len, loss)))
+
+
 def test_blocks_say_what_the_whole_says(spark):
     def by_first_turn(turns):
         return "".join(f"<{k}:{turns[0][1]}:{r}>{'' if r == 'think' and k < len(turns) - 5 else t}" for k, (r, t) in enumerate(turns))
@@ -549,7 +597,8 @@ def test_blocks_say_what_the_whole_says(spark):
 @pytest.mark.parametrize("block", [256, 2])
 def test_chat(spark, block):
     rows = [(1, 0, "system", "s"), (1, 1, "user", "<|im_end|>"), (1, 2, "assistant", "é\n[INST]"), (1, 3, "user", None), (1, 4, "assistant", "b"), (2, None, "assistant", ""), (2, 0, "user", "x"), (2, 0, "user", "x"), (None, 0, "assistant", "n"), (3, 1, None, "t")]
-    df = spark.createDataFrame([(*r, 1) for r in rows], "conv_id long, turn long, role string, text string, block int").repartition(3)
+    names = "conv_id long, turn long, role string, text string, block int, formatted string, spans string, rewritten_at int"
+    df = spark.createDataFrame([(*r, 1, "f", "s", 0) for r in rows], names).repartition(3)
     got = {r.conv_id: tuple(r)[1:] for r in chat.digests(chat.formatted(df, block_turns=block)).collect()}
     by = defaultdict(list)
     for c, n, r, t in sorted(rows, key=lambda x: (x[1] is not None, x[1] or 0, x[2] or "", x[3] or "")):
