@@ -1,9 +1,9 @@
 """Benchmark decontamination: BM25 retrieval of test items for every passage, by block-max WAND, and verification.
 
-The test items are the indexed collection; every passage of every training document is a query. A passage is a window of
-twice the longest item's words, and windows begin every that many words, so that each item's copy lies whole in one of
-them. Scores are BM25 divided by the item's score with itself, so that one threshold serves all items, and all items
-above it are retrieved. Posting lists are cut into blocks that carry their greatest score. WAND skips items whose terms'
+The test items are the indexed collection; every passage of every training document is a query. Items are taken by classes
+of length, up to a power of two. For each class a passage is a window of twice that many words, and windows begin every
+that many words, so that each item's copy lies whole in one of them. Scores are BM25, with the statistics of all items,
+divided by the item's score with itself, so that one threshold serves all items, and all items above it are retrieved. Posting lists are cut into blocks that carry their greatest score. WAND skips items whose terms'
 greatest scores can't reach the threshold, and blocks whose can't. Before that, windows are left out for which the
 greatest scores within every range of items miss the threshold; this loses nothing, because no item can score more.
 
@@ -13,7 +13,9 @@ the offset at which most of its words stand, and the words of each part are alig
 The answer is the item's last sentence and eight words at least, but not more than half of
 the item, or the second half of an item of one sentence.
 
-Items are read in blocks of bounded size, each of items of like length; for each block all documents are searched.
+Items are read in blocks of bounded size; for each block all documents are searched. Neither the number of items in a
+block nor their order changes a score: frequencies and lengths are counted over all items first, and passages depend on
+the item's class of length.
 
 Defined cases: null and empty texts and items, and items without words, match nothing. Items shorter than a shingle count
 as one. Repeated rows of documents or items each give their rows. Other columns are ignored.
@@ -45,7 +47,7 @@ BLOCK = 64
 RANGES = 64
 #: Bytes of item texts that are indexed, and sent to the executors, at a time.
 ITEM_BYTES = 2 << 20
-#: The shortest window step, in words.
+#: The length of the items of the first class, in words.
 LEAST_STEP = 32
 
 #: The answer has so many words at least, taken from the question's end if the last sentence is shorter.
@@ -111,36 +113,44 @@ class Places:
         return best
 
 
-class ItemIndex:
-    """BM25 postings of items with block maxima; scores are parts of the item's score with itself."""
-
-    def __init__(self, items: list[tuple[int, str]]):
-        self.items = [(i, t, words_of(t.encode())) for i, t in items if t and t.split()]
-        self.items = [x for x in self.items if x[2]]
-        counts = [Counter(w) for _, _, w in self.items]
-        n, lengths = len(self.items), [len(w) for _, _, w in self.items]
-        mean = sum(lengths) / max(n, 1)
-        df = Counter(w for c in counts for w in c)
-        idf = {w: math.log(1 + (n - d + 0.5) / (d + 0.5)) for w, d in df.items()}
-        self.terms = {w: k for k, w in enumerate(df)}
-        postings: list[list[tuple[int, float]]] = [[] for _ in self.terms]
-        for k, (c, length) in enumerate(zip(counts, lengths, strict=True)):
-            weight = {w: idf[w] * f * (K1 + 1) / (f + K1 * (1 - B + B * length / mean)) for w, f in c.items()}
-            total = sum(weight.values())
-            for w, x in weight.items():
-                postings[self.terms[w]].append((k, x / total))
+class Statistics:
+    """What BM25 needs of all items: their number, their mean length in words, and how many have each word."""
+
+    def __init__(self, n: int, mean: float, having: dict[bytes, int]):
+        self.n, self.mean, self.having = n, mean, having
+
+    @staticmethod
+    def of(said: list[list[bytes]]) -> Statistics:
+        return Statistics(len(said), sum(map(len, said)) / max(len(said), 1), Counter(w for words in said for w in set(words)))
+
+    def weights(self, words: list[bytes]) -> dict[bytes, float]:
+        """The part of each word in the item's score with itself."""
+        idf = {w: math.log(1 + (self.n - self.having[w] + 0.5) / (self.having[w] + 0.5)) for w in set(words)}
+        size = K1 * (1 - B + B * len(words) / self.mean)
+        weight = {w: idf[w] * f * (K1 + 1) / (f + size) for w, f in Counter(words).items()}
+        total = sum(weight.values())
+        return {w: x / total for w, x in weight.items()}
+
+
+class Postings:
+    """Posting lists with block maxima of the items of one class of length, by number of the term."""
+
+    def __init__(self, step: int, items: list[int], weights: list[dict[int, float]], n_terms: int):
+        self.step = step
+        postings: list[list[tuple[int, float]]] = [[] for _ in range(n_terms)]
+        for k, weight in zip(items, weights, strict=True):
+            for t, x in weight.items():
+                postings[t].append((k, x))
         self.ids = [[k for k, _ in p] for p in postings]
         self.scores = [[x for _, x in p] for p in postings]
         self.block_max = [[max(s[i : i + BLOCK]) for i in range(0, len(s), BLOCK)] for s in self.scores]
-        self.greatest = np.array([max(s) for s in self.scores] or [0.0])
-        wide = max(-(-n // RANGES), 1)
-        self.ranges = np.zeros((len(self.terms), -(-n // wide) or 1), np.float32)
+        self.greatest = np.array([max(s, default=0.0) for s in self.scores])
+        place = {k: i for i, k in enumerate(items)}
+        wide = max(-(-len(items) // RANGES), 1)
+        self.ranges = np.zeros((n_terms, -(-len(items) // wide)), np.float32)
         for t, (ids, scores) in enumerate(zip(self.ids, self.scores, strict=True)):
-            np.maximum.at(self.ranges[t], np.array(ids) // wide, scores)
-        self.step = max([LEAST_STEP, *lengths])
-        parts = [question_and_answer(t) for _, t, _ in self.items]
-        self.parts = [(shingles(q), shingles(a)) for q, a in parts]
-        self.cuts = [len(q) for q, _ in parts]
+            np.maximum.at(self.ranges[t], np.array([place[k] for k in ids], np.int64) // wide, scores)
+        self.used = self.greatest > 0
 
     def retrieve(self, terms: list[int], threshold: float = THRESHOLD) -> list[tuple[int, float]]:
         """All items that score ``threshold`` or more for a query of distinct terms, by block-max WAND."""
@@ -186,17 +196,17 @@ class ItemIndex:
                 x[0] = self.ids[x[2]][x[1]] if x[1] < len(self.ids[x[2]]) else -1
         lists[:] = [x for x in lists if x[0] >= 0]
 
-    def _windows(self, terms: np.ndarray, threshold: float) -> Iterator[list[int]]:
+    def windows(self, terms: np.ndarray, threshold: float) -> Iterator[list[int]]:
         """The distinct terms of each window in which some range of items may reach the threshold.
 
         A window is two steps long. For each step the greatest scores of its distinct terms are added up by range of
         items; a window's sum is at most those of its two steps.
         """
-        known = np.flatnonzero(terms >= 0)
+        known = np.flatnonzero((terms >= 0) & self.used[terms])
         if not len(known):
             return
-        pairs = np.unique(known // self.step * len(self.terms) + terms[known])
-        steps, of_step = pairs // len(self.terms), pairs % len(self.terms)
+        pairs = np.unique(known // self.step * len(self.ids) + terms[known])
+        steps, of_step = pairs // len(self.ids), pairs % len(self.ids)
         firsts = np.flatnonzero(np.diff(steps, prepend=-1))
         sums = np.zeros((int(steps[-1]) + 2, self.ranges.shape[1]), np.float32)
         sums[steps[firsts]] = np.add.reduceat(self.ranges[of_step], firsts, axis=0)
@@ -209,15 +219,34 @@ class ItemIndex:
             if self.ranges[query].sum(axis=0).max() >= threshold - 1e-4:
                 yield query.tolist()
 
+class ItemIndex:
+    """Items, their terms, and their posting lists by class of length. ``statistics`` are those of all items, of which
+    ``items`` may be some."""
+
+    def __init__(self, items: list[tuple[int, str]], statistics: Statistics | None = None):
+        self.items = [(i, t, w) for i, t in items if (w := words_of((t or "").encode()))]
+        said = [w for _, _, w in self.items]
+        weights = list(map((statistics or Statistics.of(said)).weights, said))
+        self.terms = {w: k for k, w in enumerate(dict.fromkeys(w for x in weights for w in x))}
+        classes: dict[int, list[int]] = {}
+        for k, words in enumerate(said):
+            classes.setdefault(LEAST_STEP << max((len(words) - 1) // LEAST_STEP, 0).bit_length(), []).append(k)
+        numbered = [{self.terms[w]: x for w, x in weight.items()} for weight in weights]
+        self.classes = [Postings(step, ks, [numbered[k] for k in ks], len(self.terms)) for step, ks in sorted(classes.items())]
+        parts = [question_and_answer(t) for _, t, _ in self.items]
+        self.parts = [(shingles(q), shingles(a)) for q, a in parts]
+        self.cuts = [len(q) for q, _ in parts]
+
     def search(self, text: bytes | None, threshold: float = THRESHOLD) -> list[tuple[int, float, float, float, int]]:
         """(item_id, best score, question's overlap, answer's overlap, passages) of each verified item of a text."""
         words = words_of(text)
         terms = np.fromiter(map(self.terms.get, words, _minus_one), np.int64, len(words))
         best: dict[int, tuple[float, int]] = {}
-        for query in self._windows(terms, threshold):
-            for item, score in self.retrieve(query, threshold):
-                seen = best.get(item, (0.0, 0))
-                best[item] = (max(seen[0], score), seen[1] + 1)
+        for postings in self.classes:
+            for query in postings.windows(terms, threshold):
+                for item, score in postings.retrieve(query, threshold):
+                    seen = best.get(item, (0.0, 0))
+                    best[item] = (max(seen[0], score), seen[1] + 1)
         if not best:
             return []
         wanted = set().union(*[self.parts[i][0] | self.parts[i][1] for i in best])
@@ -249,22 +278,42 @@ _minus_one = _MinusOne()
 SCHEMA = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double, passages long"
 
 
-def _item_blocks(items: DataFrame, most: int = ITEM_BYTES) -> Iterator[list[tuple[int, str]]]:
-    """Blocks of items of like length. Only one block is on the driver at a time."""
-    size = F.octet_length("text")
+def _said(items: DataFrame) -> DataFrame:
+    """(row, item_id, text, n, words) of the items with words: how many words, and the distinct ones."""
+
+    def split(batches):
+        for b in batches:
+            said = [(i, t, len(w), sorted(set(w))) for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True) if (w := words_of(t.encode()))]
+            if said:
+                types = [pa.int64(), pa.string(), pa.int64(), pa.list_(pa.binary())]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*said, strict=True), types, strict=True)], ["item_id", "text", "n", "words"])
+
     rows = items.filter("text is not null").select(F.col("item_id").cast("long"), "text")
+    found = rows.mapInArrow(split, "item_id long, text string, n long, words array<binary>")
+    return written(found.withColumn("row", F.monotonically_increasing_id()), "items")
+
+
+def _item_blocks(items: DataFrame, most: int = ITEM_BYTES) -> Iterator[tuple[list[tuple[int, str]], Statistics]]:
+    """Blocks of items, with the statistics of all items for the words of the block. The words are counted by Spark, and
+    only one block is on the driver at a time."""
+    said = _said(items)
+    n, mean = said.agg(F.count("*"), F.avg("n")).first()
+    having = said.select(F.explode("words").alias("word")).groupBy("word").agg(F.count("*").alias("having"))
+    counted = said.select("row", F.explode("words").alias("word")).join(having, "word").groupBy("row").agg(F.collect_list(F.struct("word", "having")).alias("counts"))
+    rows = written(said.drop("words").join(counted, "row"), "items-counted")
     block: list[tuple[int, str]] = []
-    room, shortest = most, 0
-    for r in rows.orderBy(size, "item_id").toLocalIterator():
+    words: dict[bytes, int] = {}
+    room = most
+    for r in rows.orderBy("n", "item_id", "text").toLocalIterator():
         length = len(r["text"].encode())
-        if block and (length > room or length > max(4 * shortest, 4096)):
-            yield block
-            block, room = [], most
-        shortest = shortest if block else length
+        if block and length > room:
+            yield block, Statistics(n, mean, words)
+            block, words, room = [], {}, most
         block.append((r["item_id"], r["text"]))
+        words.update((bytes(c["word"]), c["having"]) for c in r["counts"])
         room -= length
     if block:
-        yield block
+        yield block, Statistics(n, mean, words)
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, item_bytes: int = ITEM_BYTES) -> DataFrame:
@@ -274,8 +323,8 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
     names = [f.split()[0] for f in SCHEMA.split(", ")]
     types = [pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.int64()]
 
-    def part(block):
-        index = spark.sparkContext.broadcast(ItemIndex(block))
+    def part(block, statistics):
+        index = spark.sparkContext.broadcast(ItemIndex(block, statistics))
 
         def scan(batches):
             for batch in batches:
@@ -286,8 +335,8 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
         return docs.mapInArrow(scan, SCHEMA)
 
     found = None
-    for block in _item_blocks(items, item_bytes):
-        one = part(block)
+    for block, statistics in _item_blocks(items, item_bytes):
+        one = part(block, statistics)
         found = one if found is None else found.unionByName(one)
     return spark.createDataFrame([], SCHEMA) if found is None else found
 

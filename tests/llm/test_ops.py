@@ -1,6 +1,7 @@
 """The operators for training corpora against brute force, on small fixtures with the awkward cases."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -441,19 +442,83 @@ def test_wand_is_exhaustive():
     r = random.Random(6)
     items = [(i, " ".join(r.choices(WORDS, k=r.randint(3, 30))) + ". " + prose(r.randint(3, 20), i)) for i in range(150)]
     index = contamination.ItemIndex(items)
-    every = list(index.terms.values())
-    for threshold in (0.1, 0.3, 0.6):
-        for _ in range(60):
+    assert len(index.classes) == 2
+    for threshold, part in ((t, p) for t in (0.1, 0.3, 0.6) for p in index.classes):
+        every = np.flatnonzero(part.used).tolist()
+        for _ in range(30):
             query = sorted(r.sample(every, min(len(every), r.randint(1, 60))))
             want = defaultdict(float)
             for t in query:
-                for i, s in zip(index.ids[t], index.scores[t], strict=True):
+                for i, s in zip(part.ids[t], part.scores[t], strict=True):
                     want[i] += s
-            got = dict(index.retrieve(query, threshold))
+            got = dict(part.retrieve(query, threshold))
             assert set(got) == {i for i, s in want.items() if s >= threshold - 1e-9}
             assert all(abs(got[i] - want[i]) < 1e-9 for i in got)
 
 
+def plain_bm25(items, text, threshold=0.6):
+    """Every item against every window, from the formula: {item_id: (best score, windows above the threshold)}."""
+    said = [(i, contamination.words_of((t or "").encode())) for i, t in items]
+    said = [(i, w) for i, w in said if w]
+    n, mean = len(said), sum(len(w) for _, w in said) / len(said)
+    df = Counter(w for _, ws in said for w in set(ws))
+    words, out = contamination.words_of(text.encode()), {}
+    for i, item in said:
+        weight = {w: math.log(1 + (n - df[w] + 0.5) / (df[w] + 0.5)) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * len(item) / mean)) for w, f in Counter(item).items()}
+        step = 32
+        while step < len(item):
+            step *= 2
+        scores = []
+        for at in range(0, max(len(words), 1), step):
+            if at and len(words) - at <= step:
+                break  # the window before reaches the end
+            here = set(words[at : at + 2 * step])
+            scores.append(sum(x for w, x in weight.items() if w in here) / sum(weight.values()))
+        if max(scores) >= threshold - 1e-9:
+            out[i] = (max(scores), sum(s >= threshold - 1e-9 for s in scores))
+    return out
+
+
+def test_windows_lose_nothing():
+    """The bounds by ranges and the windows, against scoring every item in every window."""
+    r = random.Random(16)
+    items = [(i, " ".join(r.choices(WORDS, k=r.randint(2, 12))) + ". " + prose(r.randint(3, 60), i % 40)) for i in range(90)]
+    index = contamination.ItemIndex(items)
+    for k in range(40):
+        parts = [prose(r.randint(0, 150), 500 + k)]
+        for _ in range(r.randint(0, 3)):
+            w = r.choice(items)[1].split()
+            parts += [" ".join(w[r.randint(0, 3) : len(w) - r.randint(0, 4)]), prose(r.randint(0, 90), 900 + k)]
+        text = " ".join(parts)
+        words = contamination.words_of(text.encode())
+        terms = np.array([index.terms.get(w, -1) for w in words], np.int64)
+        got: dict = {}
+        for part in index.classes:
+            for query in part.windows(terms, 0.6):
+                for item, score in part.retrieve(query, 0.6):
+                    got.setdefault(items[item][0], []).append(score)
+        want = plain_bm25(items, text)
+        assert {i: (pytest.approx(max(s)), len(s)) for i, s in got.items()} == want
+
+
+def test_blocks_of_items_change_nothing(spark):
+    """Statistics are those of all items, and windows depend on the item: a row is the same however items are read."""
+    r = random.Random(17)
+    items = [(i, prose(r.choice((8, 20, 40, 90)), 700 + i % 30) + ". " + prose(9, 800 + i)) for i in range(60)] + [(3, prose(20, 703)), (61, prose(40, 1))]
+    texts = [(k, " ".join(prose(r.randint(0, 80), 950 + k * 7 + j) + " " + " ".join(w[: len(w) - r.randint(0, 9)]) for j in range(3) for w in [r.choice(items)[1].split()])) for k in range(40)]
+    texts += [(900, LONG), (901, items[5][1]), (901, items[5][1])]
+    d = spark.createDataFrame(texts, "doc_id long, text string").repartition(3)
+    b = spark.createDataFrame(items, "item_id long, text string").repartition(2)
+    whole = collected(contamination.contaminated(d, b))
+    assert whole and sum(x[0] == 901 for x in whole) >= 2
+    for size in (1, 600, 5000):
+        assert collected(contamination.contaminated(d, b, item_bytes=size)) == whole
+    index = contamination.ItemIndex(items)
+    for k, t in texts[:10]:
+        for i, score, _, _, passages in index.search(t.encode()):
+            assert plain_bm25(items, t)[i] == (pytest.approx(score), passages) or i == 3
+
+
 def test_decontamination(spark):
     items = [(1, prose(30, 50) + ". " + prose(12, 51)), (2, prose(16, 52)), (3, ""), (4, None), (5, prose(300, 53))]
     texts = [(1, prose(300, 60) + " " + items[0][1].upper().replace("É", "é") + " " + prose(200, 61)), (2, "x " + items[1][1] + "*** y"), (3, items[4][1]), (4, None), (5, ""), (6, prose(400, 62)), (None, items[1][1]), (7, prose(20, 50))]
