@@ -1,16 +1,17 @@
 """Licence scans by a positional index of rare licence words.
 
 The words of licence templates are indexed by template and position. How rare a licence word is comes from the number of
-documents of the whole corpus that have it. In each file the occurrences of its rarest licence words are looked up; an
-occurrence proposes a place for each template that has the word, and the other rare words of the template are
-intersected at their relative positions. A place stands if enough of them agree and all mandatory key phrases of the
-template are there, word by word. Base phrases are templates that are one key phrase.
-
-A template can only stand where its key phrases do, so the look-up uses, for each template, the rarest word of its key
-phrases: this loses nothing and skips files without such a word.
+documents of the whole corpus that have it. Of each file the licence words are looked up, those of highest IDF first: a
+template is looked at if the file has the rarest word of its key phrases, and then all other words of these. The postings
+of the template's ``RARE`` rarest words are intersected by relative position: each occurrence in the file, less the word's
+place in the template, votes for a place of the template. Only the rarest of them propose places, as many as a place that
+stands cannot all miss; the others add to these. A place stands if ``AGREE`` of the rare words vote for it and all
+mandatory key phrases are there, word by word. Nothing that fulfils this is lost. Base phrases are templates that are one
+key phrase, all of whose words must agree.
 
 Defined cases: a null or empty text has no words and no labels. Repeated rows and null doc_ids are each returned. Other
-columns are ignored. Words count from 0.
+columns are ignored. Words count from 0. A template may begin before a file's first word or end after its last, if enough
+of it is there. Of equally rare words of a template the earlier ones are taken.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ RARE = 12
 
 @dataclass(frozen=True)
 class Template:
+    """A licence's text or notice, and the phrases of it that must be there word by word."""
+
     label: str
     text: str
     keys: tuple[str, ...]
@@ -41,8 +44,8 @@ class Template:
 # Phrases and labels of the contract.
 BASE = (("cc-by", "cc by"), ("gpl", "general public license"), ("reserved", "all rights reserved"))
 
-# Notices that licences prescribe or that are in common use, with the phrases that must be there.
-TEMPLATES = (
+# Sentences of licences that often stand alone, with the phrases that must be there.
+NOTICES = (
     Template("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ("permission is hereby granted free of charge",)),
     Template("mit", "released under the mit license", ("mit license",)),
     Template("apache-2.0", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license", ("apache license version 2 0",)),
@@ -61,6 +64,87 @@ TEMPLATES = (
     Template("zlib", "this software is provided as is without any express or implied warranty in no event will the authors be held liable", ("without any express or implied warranty",)),
 )
 
+_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated
+documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to
+whom the Software is furnished to do so, subject to the following conditions: The above copyright notice and this
+permission notice shall be included in all copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS",
+WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR
+A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES
+OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE
+SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."""
+_BSD_TWO = """Redistribution and use in source and binary forms, with or without modification, are permitted provided that
+the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of
+conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this
+list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."""
+_BSD_THIRD = """3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or
+promote products derived from this software without specific prior written permission."""
+_BSD_END = """THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED
+WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL,
+EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE,
+DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT
+LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF
+THE POSSIBILITY OF SUCH DAMAGE."""
+_SOFTWARE_USE = """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
+hereby granted"""
+_ISC_END = """THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING
+ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT,
+INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION
+OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS
+SOFTWARE."""
+_ZLIB = """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held
+liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any
+purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following
+restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original
+software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is
+not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original
+software. 3. This notice may not be removed or altered from any source distribution."""
+_UNLICENSE = """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify,
+publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any
+purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the author or
+authors of this software dedicate any and all copyright interest in the software to the public domain. We make this
+dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this
+dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under
+copyright law."""
+_BOOST = """Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and
+accompanying documentation covered by this license (the "Software") to use, reproduce, display, distribute, execute, and
+transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is
+furnished to do so, all subject to the following: The copyright notices in the Software and this entire statement, including
+the above license grant, this restriction and the following disclaimer, must be included in all copies of the Software, in
+whole or in part, and all derivative works of the Software, unless such copies or derivative works are solely in the form of
+machine-executable object code generated by a source language processor."""
+_APACHE = """Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance
+with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by
+applicable law or agreed to in writing, software distributed under the License is distributed on an "AS IS" BASIS, WITHOUT
+WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing
+permissions and limitations under the License."""
+_GNU = """you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software Foundation,
+either version {} of the License, or (at your option) any later version. This program is distributed in the hope that it will
+be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.
+See the GNU {} for more details."""
+_MPL = """This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not
+distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."""
+
+# The texts of short licences, without their copyright lines, and the notices that long ones prescribe.
+TEXTS = (
+    Template("mit", _GRANT, ("permission is hereby granted free of charge", "sublicense and or sell copies of the software")),
+    Template("bsd-2-clause", f"{_BSD_TWO} {_BSD_END}", ("redistribution and use in source and binary forms", "provided with the distribution this software is provided by")),
+    Template("bsd-3-clause", f"{_BSD_TWO} {_BSD_THIRD} {_BSD_END}", ("redistribution and use in source and binary forms", "to endorse or promote products derived from this software")),
+    Template("isc", f"{_SOFTWARE_USE}, provided that the above copyright notice and this permission notice appear in all copies. {_ISC_END}", ("with or without fee is hereby granted provided that",)),
+    Template("0bsd", f"{_SOFTWARE_USE}. {_ISC_END}", ("with or without fee is hereby granted the software is provided",)),
+    Template("zlib", _ZLIB, ("altered source versions must be plainly marked as such",)),
+    Template("unlicense", _UNLICENSE, ("free and unencumbered software", "overt act of relinquishment in perpetuity")),
+    Template("bsl-1.0", _BOOST, ("machine executable object code generated by a source language processor",)),
+    Template("apache-2.0", _APACHE, ("under the apache license version 2 0",)),
+    Template("gpl-2", _GNU.format("General Public License", "2", "General Public License"), ("gnu general public license", "either version 2 of the license")),
+    Template("gpl-3", _GNU.format("General Public License", "3", "General Public License"), ("gnu general public license", "either version 3 of the license")),
+    Template("lgpl-2.1", _GNU.format("Lesser General Public License", "2.1", "Lesser General Public License"), ("gnu lesser general public license", "either version 2 1 of the license")),
+    Template("agpl-3", _GNU.format("Affero General Public License", "3", "Affero General Public License"), ("gnu affero general public license", "either version 3 of the license")),
+    Template("mpl-2.0", _MPL, ("mozilla public license v 2 0",)),
+)
+TEMPLATES = NOTICES + TEXTS
+
 _FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or 48 <= c <= 57 or 97 <= c <= 122 else 32 for c in range(256))
 
 
@@ -90,41 +174,71 @@ def document_frequencies(docs: DataFrame, templates: tuple[Template, ...] = TEMP
     return dict.fromkeys(vocabulary, 0) | {r["word"].encode(): r["n"] for r in found}
 
 
+@dataclass(frozen=True)
+class Plan:
+    """How a template is looked for: its words and their IDF, the positions of its rarest words, rarest first, how many of
+    these must agree, and its key phrases with their positions."""
+
+    label: str
+    words: list[bytes]
+    idf: list[float]
+    rare: list[int]
+    need: int
+    keys: list[tuple[int, list[bytes]]]
+
+
 class LicenceIndex:
-    """Templates by their rarest key word, with what is to agree at relative positions."""
+    """The positional index: for each rare word of the templates the places where it stands in them."""
 
     def __init__(self, frequencies: dict[bytes, int], total: int, templates: tuple[Template, ...] = TEMPLATES):
-        idf = lambda w: math.log((total + 1) / (frequencies.get(w, 0) + 1)) + 1
-        self.postings: dict[bytes, list[tuple[int, int]]] = {}
-        self.plans = []
+        self.idf = {w: math.log((total + 1) / (n + 1)) + 1 for w, n in frequencies.items()}
+        self.plans: list[Plan] = []
+        self.postings: dict[bytes, list[tuple[int, int, int]]] = {}  # of each word (plan, its number among the rare, position)
+        self.guards: dict[bytes, list[int]] = {}  # plans by the rarest word of their key phrases
+        self.musts: list[frozenset[bytes]] = []
         for label, text, keys in [*[(lb, p, (p,)) for lb, p in BASE], *[(t.label, t.text, t.keys) for t in templates]]:
             words = words_of(text.encode())
             places = []
             for key in keys:
                 k = words_of(key.encode())
                 places.append((next(i for i in range(len(words)) if words[i : i + len(k)] == k), k))
-            rare = sorted(range(len(words)), key=lambda i: (-idf(words[i]), i))[:RARE]
-            at = max((i for p, k in places for i in range(p, p + len(k))), key=lambda i: (idf(words[i]), -i))
-            self.postings.setdefault(words[at], []).append((len(self.plans), at))
-            self.plans.append((label, words, places, rare, [idf(w) for w in words]))
+            phrase = len(self.plans) < len(BASE)
+            rare = sorted(range(len(words)), key=lambda i: (-self.idf[words[i]], i))[: None if phrase else RARE]
+            must = frozenset(w for _, k in places for w in k)
+            self.guards.setdefault(max(must, key=lambda w: (self.idf[w], w)), []).append(len(self.plans))
+            for n, i in enumerate(rare):
+                self.postings.setdefault(words[i], []).append((len(self.plans), n, i))
+            self.musts.append(must)
+            self.plans.append(Plan(label, words, [self.idf[w] for w in words], rare, len(rare) if phrase else math.ceil(AGREE * len(rare)), places))
 
     def places(self, words: list[bytes]) -> list[tuple[int, int, int, float]]:
         """(plan, start, end, score) of every template that stands in the words; score is its share of IDF mass found."""
-        here = self.postings.keys() & set(words)
-        found = []
-        if not here:
-            return found
-        n = len(words)
+        here = self.idf.keys() & set(words)
+        wanted = {plan for w in here & self.guards.keys() for plan in self.guards[w] if self.musts[plan] <= here}
+        if not wanted:
+            return []
+        where: dict[bytes, list[int]] = {w: [] for w in here if any(plan in wanted for plan, _, _ in self.postings.get(w, ()))}
         for p, w in enumerate(words):
-            if w in here:
-                for plan, at in self.postings[w]:
-                    _, text, keys, rare, idf = self.plans[plan]
-                    start = p - at
-                    agree = sum(0 <= start + i < n and words[start + i] == text[i] for i in rare)
-                    if all(start + i >= 0 and words[start + i : start + i + len(k)] == k for i, k in keys) and agree >= AGREE * len(rare):
-                        same = [0 <= start + i < n and words[start + i] == x for i, x in enumerate(text)]
-                        found.append((plan, max(start, 0), min(start + len(text), n), sum(v for v, s in zip(idf, same, strict=True) if s) / sum(idf)))
-        return found
+            if w in where:
+                where[w].append(p)
+        votes: dict[int, dict[int, int]] = {plan: {} for plan in wanted}
+        looked = sorted(((n, plan, i, w) for w in where for plan, n, i in self.postings[w] if plan in wanted))
+        for n, plan, i, w in looked:  # of each template the words of highest IDF first
+            cast = votes[plan]
+            if n <= len(self.plans[plan].rare) - self.plans[plan].need:
+                for p in where[w]:
+                    cast[p - i] = cast.get(p - i, 0) + 1
+            else:
+                for start in cast.keys() & {p - i for p in where[w]}:
+                    cast[start] += 1
+        found = []
+        for k, cast in votes.items():
+            plan = self.plans[k]
+            for start, agree in cast.items():
+                if agree >= plan.need and all(start + i >= 0 and words[start + i : start + i + len(x)] == x for i, x in plan.keys):
+                    same = sum(v for i, (x, v) in enumerate(zip(plan.words, plan.idf, strict=True), start) if 0 <= i < len(words) and words[i] == x)
+                    found.append((k, max(start, 0), min(start + len(plan.words), len(words)), min(same / sum(plan.idf), 1.0)))
+        return sorted(found)
 
 
 SCHEMA = (
@@ -151,8 +265,8 @@ def licences(docs: DataFrame, templates: tuple[Template, ...] = TEMPLATES) -> Da
             found = index.places(words)
             base = [f for f in found if f[0] < len(BASE)]
             starts = [f[1] for f in base]
-            label = lambda fs: ",".join(sorted({index.plans[f[0]][0] for f in fs}))
-            spans = [{"label": index.plans[p][0], "first": a, "after": b, "score": s} for p, a, b, s in sorted(found, key=lambda f: (f[1], f[0]))]
+            label = lambda fs: ",".join(sorted({index.plans[f[0]].label for f in fs}))
+            spans = [{"label": index.plans[p].label, "first": a, "after": b, "score": s} for p, a, b, s in sorted(found, key=lambda f: (f[1], f[0]))]
             out.append((doc_id, len(words), len(base), min(starts, default=None), max(starts, default=None), label(base), label(found), max((f[3] for f in found), default=0.0), spans))
             if len(out) == 2048:
                 yield batch()

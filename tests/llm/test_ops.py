@@ -686,3 +686,50 @@ def test_licences(docs):
         assert set(r.base_labels.split(",")) <= set(r.labels.split(",")) and 0 <= r.score <= 1
     assert next(r for r in got if r.doc_id == 18).labels == "cc-by,cc-by-nc,reserved"
     assert licences.licences(docs.filter("false")).count() == 0
+
+
+def plain_places(words, index):
+    """Every template at every place of a text, by the rule."""
+    found = []
+    for k, plan in enumerate(index.plans):
+        for start in range(-len(plan.words), len(words)):
+            at = lambda i: words[start + i] if 0 <= start + i < len(words) else None  # noqa: E731, B023
+            keys = all(at(i + j) == x for i, key in plan.keys for j, x in enumerate(key))
+            if keys and sum(at(i) == plan.words[i] for i in plan.rare) >= plan.need:
+                same = sum(v for i, v in enumerate(plan.idf) if at(i) == plan.words[i])
+                found.append((k, max(start, 0), min(start + len(plan.words), len(words)), pytest.approx(same / sum(plan.idf))))
+    return sorted(found, key=lambda f: f[:3])
+
+
+def test_licence_places_are_all_found():
+    r = random.Random(21)
+    vocabulary = {w for t in (*[t.text for t in licences.TEMPLATES], *[p for _, p in licences.BASE]) for w in licences.words_of(t.encode())}
+    index = licences.LicenceIndex({w: r.randint(0, 90) for w in sorted(vocabulary)}, 100)
+    ties = licences.LicenceIndex(dict.fromkeys(vocabulary, 5), 100)
+    several = 0
+    for _ in range(60):
+        words = []
+        for _ in range(r.randint(0, 3)):
+            said = licences.words_of(r.choice(licences.TEMPLATES).text.encode())
+            said = said[r.randint(0, 1) * r.randint(0, 20) :]
+            for _ in range(r.randint(0, 4) * bool(said)):
+                k = r.randrange(len(said))
+                said = r.choice(([*said[:k], b"changed", *said[k + 1 :]], [*said[:k], *said[k + 1 :], b"more"], said))
+            words += [*r.choices([b"all", b"rights", b"reserved", b"cc", b"by", b"other"], k=r.randint(0, 20)), *said]
+        for x in (index, ties):
+            want = plain_places(words, x)
+            assert x.places(words) == want
+            several += len(want) > 1
+    assert several > 20
+
+
+def test_licences_are_told_apart(spark):
+    texts = [(k, f"Copyright 2001 somebody\n{t.text}\nint main;", t.label) for k, t in enumerate(licences.TEXTS)]
+    texts += [(50, prose(3000, 22) + " all rights " * 3000 + licences.TEXTS[0].text, "mit"), (51, "all rights reserved " * 5, "reserved"), (51, "all rights reserved " * 5, "reserved")]
+    names = "doc_id long, text string, labels string, score int, places string"
+    got = licences.licences(spark.createDataFrame([(*t, 1, "p") for t in texts], names).repartition(3)).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert next(x for i, _, x in texts if i == r.doc_id) in r.labels.split(",") and r.score > 0.99
+    by = {r.doc_id: set(r.labels.split(",")) for r in got}
+    assert "bsd-3-clause" not in by[1] and "bsd-2-clause" not in by[2] and "0bsd" not in by[3] and "gpl-3" not in by[9]
