@@ -3,8 +3,8 @@
 A document's ids are cut into full sequences and one rest. Full sequences stand alone. Of the rests only the number of
 each length is kept: lengths are placed longest first, each into the pattern with the most room left, and the counts of
 patterns are updated, so that the work depends on the number of lengths and not of documents. Patterns are then joined
-back to the rests by rank within their length. Ranks come from counts by length and salt, so no length, however common,
-is gathered in one task.
+back to the rests by rank within their length. Ranks come from counts by length and salt; a length has a salt for every
+``SALT_ROWS`` of its pieces, so no length, however common, is gathered in one task, and tasks don't grow with the input.
 
 Defined cases: null and empty texts have the end id alone and are packed like any other. Rows with equal or null doc_ids
 are pieces of their own. Other columns are ignored. An empty table gives an empty result.
@@ -28,8 +28,8 @@ from hexapla.llm.tokens import over_ids
 SIZE = 1024
 #: Distinct pieces of text whose ids a worker keeps while it cuts documents.
 MOST_PIECES = 1_000_000
-#: Ranks are counted apart for each length and one of so many salts.
-SALTS = 256
+#: Ranks are counted apart for each length and salt; a salt is to have so many pieces.
+SALT_ROWS = 4_096
 
 
 def pack_histogram(counts: dict[int, int], size: int = SIZE) -> list[tuple[tuple[int, ...], int]]:
@@ -105,18 +105,19 @@ def pieces(docs: DataFrame, path: str, end: int = 0, size: int = SIZE) -> DataFr
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(over_ids(path, end, make_row, schema, MOST_PIECES), ", ".join(f"{n} long" for n in names))
 
 
-def packed(cut: DataFrame, size: int = SIZE, salts: int = SALTS) -> DataFrame:
+def packed(cut: DataFrame, size: int = SIZE, salt_rows: int = SALT_ROWS) -> DataFrame:
     """``cut`` (doc_id, start, length, ...) with ``sequence_id`` and ``offset``. ``cut`` is read more than once and should
     be a written table.
 
-    To the driver come the counts of at most ``size`` lengths; what is broadcast has one row for each length and pattern,
-    however many documents there are. The ranks' bases, ``size`` times ``salts`` rows at most, are joined on the
-    partitioning that the ranks have already.
+    To the driver come the counts of at most ``size`` lengths, and what is broadcast has one row for each length or for
+    each length and pattern, however many documents there are. The ranks' bases, a row for every ``salt_rows`` pieces and
+    one a length, are joined on the partitioning that the ranks have already.
     """
     spark = cut.sparkSession
-    salted = cut.withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.lit(salts)).cast("int"))
-    counts = written(salted.groupBy("length", "salt").agg(F.count("*").alias("n")).coalesce(1), "pack-counts")
-    histogram = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    salts = spark.createDataFrame([(k, -(-n // salt_rows)) for k, n in sorted(histogram.items())] or [(0, 1)], "s_length long, salts long")
+    salted = cut.join(F.broadcast(salts), F.col("length") == F.col("s_length")).withColumn("salt", F.pmod(F.xxhash64("doc_id", "start"), F.col("salts"))).select(*cut.columns, "salt")
+    counts = written(salted.groupBy("length", "salt").agg(F.count("*").alias("n")), "pack-counts")
     full = histogram.pop(size, 0)
     patterns = pack_histogram(histogram, size)
     places = [*slots(patterns), *([(size, 0, full, sum(n for _, n in patterns), 0)] if full else [])]
