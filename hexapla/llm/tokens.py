@@ -11,6 +11,12 @@ hash, and each document's id, number of ids, and offset and length of the frame,
 seek. Ids are serialized as unsigned little-endian integers of 16 bits where the vocabulary allows it, else of 32.
 Shards and dictionary are written by Spark's own writers, so they can be in any store that Spark can write, and what a
 lost executor had to write is written by another.
+
+Defined cases: a null or empty text has the end id alone. Rows are in the order of doc_id, null first, then of text;
+repeated rows are documents of their own, and a null doc_id cannot be asked for by ``wanted``. The dictionary is trained on
+the first ``DICT_IDS`` ids of at most ``DICT_DOCS`` sampled documents; with too few or too short ones to train on there is
+none, the dictionary file is empty and its hash that of no bytes, and frames are compressed without. An empty table has
+shards without documents, or none. Other columns are ignored.
 """
 
 from __future__ import annotations
@@ -308,7 +314,8 @@ def round_trip(docs: DataFrame, path: str, end: int = 2) -> DataFrame:
     read = written(read_ids(spark, target).select("shard_first", "place", "doc_id", "local_start", "n_ids", F.crc32("ids").alias("ids_crc32")), "token-ids-read")
     shards = read.groupBy("shard_first").agg(F.sum("n_ids").alias("n"))
     before = F.sum("n").over(Window.orderBy(F.col("shard_first").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1))
-    starts = shards.select(F.col("shard_first").alias("s_first"), F.coalesce(before, F.lit(0)).alias("before"))
-    return read.join(F.broadcast(starts), F.col("shard_first").eqNullSafe(F.col("s_first"))).select(
+    # written, so that Spark broadcasts it by its known size only
+    starts = written(shards.select(F.col("shard_first").alias("s_first"), F.coalesce(before, F.lit(0)).alias("before")), "token-ids-starts")
+    return read.join(starts, F.col("shard_first").eqNullSafe(F.col("s_first"))).select(
         "doc_id", (F.col("before") + F.col("local_start")).alias("start"), F.col("n_ids").alias("n_tokens"), "ids_crc32"
     )

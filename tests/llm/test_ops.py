@@ -267,6 +267,22 @@ def test_token_files(spark, docs, tmp_path):
     assert some == {i: encoded(t, 2).tobytes() for i, t in rows if i in (7, 13)}
 
 
+def test_token_files_in_all_cases(spark):
+    """Without a dictionary to train, with repeated rows, ties, a null id, and columns of the file's own names."""
+    rows = [(3, "same"), (3, "same"), (3, "other"), (None, "no id"), (-5, None), (2**40, ""), (7, LONG * 20)]
+    names = "doc_id long, text string, n_ids int, frame string, shard string, shard_first int, place int, ids string"
+    df = spark.createDataFrame([(*r, 1, "f", "s", 2, 3, "i") for r in rows], names).repartition(3)
+    start, want = 0, []
+    for i, t in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
+        ids = encoded(t, 2)
+        want.append((i, start, len(ids), zlib.crc32(ids.tobytes())))
+        start += len(ids)
+    assert collected(tokens.round_trip(df, vocabulary())) == sorted(want, key=lambda r: tuple((x is not None, str(x)) for x in r))
+    few = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    assert tokens.train_dictionary(few, vocabulary(), 2, False, 1) == b""
+    assert tokens.round_trip(few, vocabulary()).first().n_tokens == 2
+
+
 def test_token_files_of_nothing(empty):
     assert tokens.round_trip(empty, vocabulary()).count() == 0
 
@@ -308,6 +324,13 @@ def test_packing(docs, size):
     check_packing(packing.packed_documents(docs, vocabulary(), size=size).collect(), TEXTS, size)
 
 
+def test_packing_with_many_salts(spark, docs):
+    cut = tokens.written(packing.pieces(docs, vocabulary(), 0, 64), "test-pieces")
+    rows = packing.packed(cut, 64, salt_rows=3).collect()
+    check_packing(rows, TEXTS, 64)
+    assert max(r.sequence_id for r in rows) == len({r.sequence_id for r in rows}) - 1
+
+
 def test_packing_of_nothing(empty):
     assert packing.packed_documents(empty, vocabulary()).count() == 0
 
