@@ -1,7 +1,7 @@
 """Language identification by string kernels.
 
 The kernel of two texts is the number of byte n-grams (of one to three bytes, A-Z lower-cased) that both have, over the
-geometric mean of how many each has: a blended-spectrum presence kernel. n-grams that no landmark has are left out.
+geometric mean of how many each has: a blended-spectrum presence kernel.
 Landmarks are a bounded sample of labelled texts; the Nyström method maps a text to its kernels with the landmarks, times
 the inverse square root of the landmarks' own kernel matrix. One-versus-rest ridge regression on a bounded sample of
 labelled rows gives a weight for each landmark and language; the two maps are one matrix, so that a batch of texts is
@@ -22,8 +22,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-#: Bounds of the sample that is learned from: rows, and landmarks among them, for each language.
-ROWS, LANDMARKS = 400, 32
+#: Bounds of the sample that is learned from: rows, and landmarks among them, for each language; and landmarks in all, of
+#: which each language then has its part, one at least.
+ROWS, LANDMARKS, MOST_LANDMARKS = 400, 32, 256
 RIDGE = 1e-2
 #: Texts scored at a time.
 BATCH = 128
@@ -61,12 +62,14 @@ class Spectrum:
 
     def kernels(self, texts: list[bytes]) -> np.ndarray:
         """One row for each text, one column for each landmark."""
-        present = np.zeros((len(texts), len(self.grams) + 1), np.float32)
-        for row, text in zip(present, texts, strict=True):
+        present, others = np.zeros((len(texts), len(self.grams) + 1), np.float32), np.zeros(len(texts), np.float32)
+        for k, text in enumerate(texts):
             for codes in gram_codes(text):
-                row[self.column[codes]] = 1
+                at = self.column[codes]
+                present[k, at] = 1
+                others[k] += len(np.unique(codes[at == len(self.grams)]))
         present = present[:, :-1]
-        norm = np.sqrt(present.sum(1))
+        norm = np.sqrt(present.sum(1) + others)
         return (present @ self.weight) / np.maximum(norm[:, None] * self.norm[None, :], 1)
 
 
@@ -128,6 +131,7 @@ def fit(docs: DataFrame, rows: int = ROWS, landmarks: int = LANDMARKS) -> Model:
         for (labels, _), texts in _batches(batches, 2):
             yield pa.RecordBatch.from_arrays([pa.array(labels, pa.int32()), pa.array([np.unique(np.concatenate(gram_codes(t))).astype("<i4").tobytes() for t in texts])], ["label", "codes"])
 
+    landmarks = min(landmarks, max(1, MOST_LANDMARKS // len(languages)))
     marks = ranked.filter(F.col("rank") <= landmarks).mapInArrow(codes, "label int, codes binary").collect()
     spectrum = Spectrum([np.frombuffer(r["codes"], "<i4") for r in sorted(marks, key=lambda r: (r["label"], bytes(r["codes"])))])
     shared = spark.sparkContext.broadcast(spectrum)

@@ -1,5 +1,6 @@
 """The operators for training corpora against brute force, on small fixtures with the awkward cases."""
 
+import functools
 import hashlib
 import math
 import random
@@ -352,6 +353,41 @@ def test_language(spark):
     assert language.identified(df.filter("false")).count() == 0
 
 
+def test_language_is_the_formula():
+    """Kernels by sets of n-grams, and the regression by least squares in the Nystroem space."""
+    texts = [t or "" for _, t in TEXTS if t] + ["Aa aA", "é", prose(30, 31), prose(25, 32), "der und die", "the and ing"]
+    fold = lambda t: t.encode().translate(language._FOLD)
+    grams = functools.cache(lambda t: {t[i : i + n] for n in (1, 2, 3) for i in range(len(t) - n + 1)})
+    kernel = lambda a, b: len(grams(fold(a)) & grams(fold(b))) / math.sqrt(len(grams(fold(a))) * len(grams(fold(b))))
+    marks, labels = texts[::3], np.arange(len(texts)) % 3
+    s = language.Spectrum([np.unique(np.concatenate(language.gram_codes(t.encode()))) for t in marks]).ready()
+    k = s.kernels([t.encode() for t in texts])
+    assert np.allclose(k, [[kernel(a, b) for b in marks] for a in texts], atol=1e-5)
+    values, vectors = np.linalg.eigh(np.array([[kernel(a, b) for b in marks] for a in marks]))
+    kept = values > 1e-8 * values.max()
+    phi = k.astype(float) @ vectors[:, kept] / np.sqrt(values[kept])
+    root = np.sqrt(1 / np.bincount(labels)[labels])[:, None]
+    x = phi * root
+    ridge = math.sqrt(language.RIDGE * np.trace(x.T @ x) / x.shape[1])
+    target = np.where(labels[:, None] == np.arange(3), 1.0, -1.0) * root
+    w = np.linalg.lstsq(np.vstack([x, ridge * np.eye(x.shape[1])]), np.vstack([target, np.zeros((x.shape[1], 3))]), rcond=None)[0]
+    assert np.allclose(k @ language.fit_weights(s, k, labels, 3), phi @ w, atol=1e-4)
+
+
+def test_language_in_all_cases(spark):
+    """Very long texts, ties, repeated rows, many languages, and columns of the operator's own names."""
+    rows = [(i, f"{'abc' if i % 2 else 'xyz'} {i % 7} words of it", "b" if i % 2 else "a") for i in range(60)]
+    rows += [(100, "abc " * 300_000, None), (101, "xyz", None), (101, "xyz", None)]
+    names = "doc_id long, text string, lang string, held_out int, score string, label int, rank int, letters int, h int"
+    df = spark.createDataFrame([(*r, 1, "s", 2, 3, 4, 5) for r in rows], names).repartition(3)
+    got = language.identified(df).collect()
+    assert len(got) == len(rows) and [g.lang_pred for g in got if g.doc_id == 101] == ["a", "a"]
+    same = spark.createDataFrame([(i, "equal words", "xy"[i % 2]) for i in range(40)] + [(90, "equal words", "x")], "doc_id long, text string, lang string")
+    often = same.filter(~language.held_out(F.col("doc_id"))).groupBy("lang").count().collect()
+    first = min(often, key=lambda r: (-r["count"], r["lang"])).lang
+    assert {g.lang_pred for g in language.identified(same).collect()} <= {"x", "y"} and first in ("x", "y")
+
+
 def test_language_ignores_held_out_labels(spark):
     df = spark.read.parquet(f"{SF}/documents.parquet")
     wrong = df.withColumn("lang", F.when(language.held_out(F.col("doc_id")), "zz").otherwise(F.col("lang")))
