@@ -14,8 +14,6 @@ from pyspark.sql import types as T
 CJK = r"\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}"
 #: File extensions that are written differently.
 EXTENSION_ALIASES = {"mp4": "m4a", "jpeg": "jpg", "htm": "html"}
-#: Chinese digits.
-CHINESE_DIGITS = {"一": 1, "二": 2, "三": 3, "四": 4, "五": 5, "六": 6, "七": 7, "八": 8, "九": 9, "十": 10}
 
 
 def strip(c: Column) -> Column:
@@ -166,27 +164,6 @@ def ocr_line(c: Column) -> Column:
     return strip(c)
 
 
-def label_kind(c: Column) -> Column:
-    """A stanza's label as (kind, number): chorus, or verse with a Latin or Chinese number."""
-    number = F.regexp_extract(c, r"(\d+)", 1).try_cast("int")
-    for k, v in CHINESE_DIGITS.items():
-        number = F.coalesce(number, F.when(c.contains(k), F.lit(v)))
-    chorus = c.rlike("(?i)副歌|和|chorus|refrain")
-    kind = F.when(chorus, F.lit("chorus")).when(number.isNotNull(), F.lit("verse")).otherwise(F.lit("none"))
-    return F.struct(kind.alias("kind"), F.when(~chorus, number).alias("number"))
-
-
-def header_fields(c: Column) -> Column:
-    """A slide's header line as (old_no, new_no, version, key_sig, time_sig, tempo, title)."""
-    take = lambda p: F.nullif(F.regexp_extract(c, p, 1), F.lit(""))
-    title = F.regexp_replace(c, r"(?i)\(新?\s*\d+\)|^\s*\d+\s*[A-Za-z]?(?=\s)|\b1\s*=\s*[#b♯♭]?[A-G][#b♯♭]?|\b\d+\s*/\s*\d+\b|[♩=]\s*\d+", " ")
-    return F.struct(
-        take(r"^\s*(\d+)").alias("old_no"), take(r"\(新?\s*(\d+)\)").alias("new_no"), take(r"^\s*\d+\s*([A-Za-z])(?=\s)").alias("version"),
-        take(r"\b1\s*=\s*([#b♯♭]?[A-G][#b♯♭]?)").alias("key_sig"), take(r"\b(\d+\s*/\s*\d+)\b").alias("time_sig"), take(r"[♩=]\s*(\d+)\s*$").try_cast("int").alias("tempo"),
-        strip(F.regexp_replace(title, r"\s+", " ")).alias("title"),
-    )
-
-
 def grade(c: Column) -> Column:
     """The digit 0 to 7 of a symbol; null if it has none."""
     return F.nullif(F.regexp_extract(c, "([0-7])", 1), F.lit(""))

@@ -5,8 +5,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from hexapla.functions.text import seq_coverage, seq_ratio
+from hexapla.functions.notation import VERSIONS
+from hexapla.functions.text import CJK, seq_coverage, seq_ratio
 
 
 def _runs(c: Column, size: int) -> Column:
@@ -16,8 +18,11 @@ def _runs(c: Column, size: int) -> Column:
 
 
 def exact_then_fuzzy(asked: DataFrame, titles: DataFrame, percent: int = 75) -> DataFrame:
-    """From (asked, name) and (number, title): (asked, number, ratio), equal titles first, else the title of the greatest
-    matching-blocks ratio, ``percent`` at least, ties to the lower number. Titles of several numbers match exactly only.
+    """From (asked, name[, version]) and (number, title): (asked, number, ratio, kind). Equal titles come first, ``exact`` or,
+    where several numbers have the title, ``multi`` with the lowest; else, as ``fuzzy``, the title of the greatest
+    matching-blocks ratio, ``percent`` at least, ties to the lower number. Titles of several numbers match exactly only. A
+    title that ends in a version mark is compared without it, and not at all with a name of another version. Empty names
+    and titles match nothing.
 
     Candidates share a run of two characters, or a character where both are short. M matches without a common run have M - 1
     gaps, so two titles of L characters together, M of them at least ``percent`` L / 200, have at most 200 / (3 ``percent``
@@ -25,15 +30,21 @@ def exact_then_fuzzy(asked: DataFrame, titles: DataFrame, percent: int = 75) ->
     """
     both = 200 // (3 * percent - 200) if 3 * percent > 200 else None
     keys = lambda c: F.array_distinct(F.concat(_runs(c, 2), F.when(F.lit(both is None) | (F.length(c) < (both or 0)), _runs(c, 1)).otherwise(F.array())))
-    one = titles.groupBy("title").agg(F.min("number").alias("number"), F.count("*").alias("n"))
-    exact = asked.join(one, F.col("name") == F.col("title")).select("asked", "number", F.lit(1.0).alias("ratio"))
+    asked = asked.select("asked", "name", F.coalesce("version", F.lit("")).alias("version") if "version" in asked.columns else F.lit("").alias("version")).filter("name <> ''")
+    one = titles.filter("title <> ''").groupBy("title").agg(F.min("number").alias("number"), F.count("*").alias("n"))
+    equal = asked.join(one, F.col("name") == F.col("title"))
+    exact = equal.select("asked", "number", F.lit(1.0).alias("ratio"), F.when(F.col("n") == 1, "exact").otherwise("multi").alias("kind"))
+    marked = F.right("title", F.lit(1)).isin(*VERSIONS)
+    base = F.when(marked, F.expr("left(title, length(title) - 1)")).otherwise(F.col("title"))
+    known = one.filter("n = 1").select("number", base.alias("base"), F.when(marked, F.right("title", F.lit(1))).otherwise("").alias("mark")).filter("base <> ''")
+    known = known.withColumn("run", F.explode(keys(F.col("base"))))
     rest = asked.join(exact.select("asked"), "asked", "left_anti").withColumn("run", F.explode(keys(F.col("name"))))
-    known = one.filter("n = 1").withColumn("run", F.explode(keys(F.col("title"))))
-    la, lb = F.length("name"), F.length("title")
-    pairs = rest.join(known, "run").groupBy("asked", "name", "number", "title").agg(F.count("*").alias("shared"))
-    near = pairs.filter(200 * F.least(la, lb) >= percent * (la + lb)).withColumn("ratio", seq_ratio("name", "title")).filter(F.col("ratio") * 100 >= percent)
+    la, lb = F.length("name"), F.length("base")
+    fits = (F.col("version") == "") | (F.col("mark") == "") | (F.col("version") == F.col("mark"))
+    pairs = rest.join(known, "run").filter(fits & (200 * F.least(la, lb) >= percent * (la + lb))).select("asked", "name", "number", "base").distinct()
+    near = pairs.withColumn("ratio", seq_ratio("name", "base")).filter(F.col("ratio") * 100 >= percent)
     best = near.groupBy("asked").agg(F.min_by(F.struct("number", "ratio"), F.struct(-F.col("ratio"), "number")).alias("b"))
-    return exact.unionByName(best.select("asked", "b.number", "b.ratio"))
+    return exact.unionByName(best.select("asked", "b.number", "b.ratio", F.lit("fuzzy").alias("kind")))
 
 
 def _word_runs(df: DataFrame, words: str, size: int) -> DataFrame:
@@ -41,39 +52,67 @@ def _word_runs(df: DataFrame, words: str, size: int) -> DataFrame:
     return df.filter(F.size(words) >= size).withColumn("run", F.explode(F.array_distinct(each)))
 
 
+def _by_rare_characters(items: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, item_id) of documents that may have ``percent`` of an item's characters, none lost.
+
+    Such a document lacks few of them, so it has one of the item's rarest characters, taken until they are more than it may
+    lack. Only documents with so many of the item's characters, each as often, are left.
+    """
+    letters = lambda df, i, c: df.select(i, F.explode(F.split(c, "")).alias("ch")).filter("ch <> ''").groupBy(i, "ch").agg(F.count("*").alias("n"))
+    there = letters(docs, "doc_id", "text")
+    wanted = letters(items, "item_id", "item")
+    often = there.groupBy("ch").agg(F.count("*").alias("df")).join(wanted.select("ch").distinct(), "ch", "left_semi")
+    order = Window.partitionBy("item_id").orderBy(F.coalesce("df", F.lit(0)), "ch")
+    size = F.sum("n").over(Window.partitionBy("item_id"))
+    ranked = wanted.join(often, "ch", "left").withColumns({"before": F.sum("n").over(order) - F.col("n"), "size": size})
+    need = F.ceil(percent * F.col("size") / 100)
+    keys = ranked.filter(F.col("before") <= F.col("size") - need).select("item_id", "ch", need.alias("need"))
+    pairs = there.select("doc_id", "ch").join(keys, "ch").select("doc_id", "item_id", "need").distinct()
+    both = pairs.join(wanted.withColumnRenamed("n", "m"), "item_id").join(there, ["doc_id", "ch"])
+    return both.groupBy("doc_id", "item_id", "need").agg(F.sum(F.least("n", "m")).alias("shared")).filter("shared >= need").select("doc_id", "item_id")
+
+
 def best_coverage(items: DataFrame, docs: DataFrame, percent: int = 90, size: int = 4) -> DataFrame:
     """From (item_id, item) and (doc_id, text): (item_id, doc_id, coverage) of the document that covers most of each item, in
-    order, ``percent`` at least, ties to the lower doc_id.
+    order, ``percent`` at least, ties to the lower doc_id. Empty items match nothing.
 
-    Documents that contain the item are all found, and items of fewer than ``2 * size - 1`` words are compared with every
-    document. For other items candidates share ``size`` runs of ``size`` words; documents that cover a longer item but are
-    edited so densely that they share fewer runs are not found.
+    Items of fewer than ``2 * size - 1`` words, and all with CJK characters, whose words aren't set apart, have all
+    documents looked for by their rarest characters. So do documents that contain the item. For longer items candidates
+    share ``size`` runs of ``size`` words; documents that cover such an item but are edited so densely that they share
+    fewer runs are not found.
     """
     pieces = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    items, docs = items.select("item_id", "item"), docs.select("doc_id", "text")
-    left = _word_runs(items.select("item_id", pieces(F.col("item")).alias("w")), "w", size).select("item_id", "run")
+    items, docs = items.select("item_id", "item").filter("item <> ''"), docs.select("doc_id", "text")
+    short = items.filter((F.size(pieces(F.col("item"))) < 2 * size - 1) | F.col("item").rlike(f"[{CJK}]"))
+    long = items.join(short.select("item_id"), "item_id", "left_anti")
+    left = _word_runs(long.select("item_id", pieces(F.col("item")).alias("w")), "w", size).select("item_id", "run")
     right = _word_runs(docs.select("doc_id", pieces(F.col("text")).alias("w")), "w", size).select("doc_id", "run")
     pairs = right.join(left, "run").groupBy("doc_id", "item_id").agg(F.count("*").alias("n")).filter(F.col("n") >= size).select("doc_id", "item_id")
-    short = items.filter(F.size(pieces(F.col("item"))) < 2 * size - 1)
-    long = items.join(short.select("item_id"), "item_id", "left_anti")
-    pairs = pairs.unionByName(contained(long, docs, size).select("doc_id", "item_id")).unionByName(docs.select("doc_id").crossJoin(short.select("item_id"))).distinct()
-    scored = pairs.join(items, "item_id").join(docs.select("doc_id", "text"), "doc_id").withColumn("coverage", seq_coverage("item", "text"))
+    pairs = pairs.unionByName(contained(long, docs, size).select("doc_id", "item_id")).unionByName(_by_rare_characters(short, docs, percent)).distinct()
+    scored = pairs.join(items, "item_id").join(docs, "doc_id").withColumn("coverage", seq_coverage("item", "text"))
     best = scored.filter(F.col("coverage") * 100 >= percent).groupBy("item_id").agg(F.min_by(F.struct("doc_id", "coverage"), F.struct(-F.col("coverage"), "doc_id")).alias("b"))
     return best.select("item_id", "b.doc_id", "b.coverage")
 
 
 def contained(items: DataFrame, docs: DataFrame, size: int = 4) -> DataFrame:
-    """From (item_id, item) and (doc_id, text): (item_id, doc_id) where the document contains the item.
+    """From (item_id, item) and (doc_id, text): (item_id, doc_id) where the document contains the item. Empty items are left
+    out.
 
     An item's words from the second to the last but one stand whole in the document, so ``size`` of them are a key to join
-    on. Items with fewer words have no such key and are compared with every document in one pass.
+    on. Items with fewer words are joined by their rarest character, and those that may be there are compared.
     """
     pieces = lambda c: F.regexp_extract_all(c, F.lit(r"\S+"), F.lit(0))
+    items, docs = items.select("item_id", "item").filter("item <> ''"), docs.select("doc_id", "text")
     keyed = items.withColumn("w", pieces(F.col("item"))).withColumn("run", F.when(F.size("w") >= size + 2, F.xxhash64(*[F.get("w", F.lit(1 + k)) for k in range(size)])))
     runs = _word_runs(docs.select("doc_id", pieces(F.col("text")).alias("w")), "w", size).select("doc_id", "run")
-    pairs = runs.join(keyed.filter("run is not null").select("item_id", "item", "run"), "run").select("doc_id", "item_id", "item").distinct()
-    long = pairs.join(docs.select("doc_id", "text"), "doc_id").filter(F.col("text").contains(F.col("item"))).select("item_id", "doc_id")
-    few = keyed.filter("run is null").agg(F.collect_list(F.struct("item_id", "item")).alias("items"))
-    here = F.filter("items", lambda x: F.col("text").contains(x["item"]))
-    short = docs.select("doc_id", "text").join(few).select("doc_id", F.explode(here).alias("x")).select("x.item_id", "doc_id")
-    return long.unionByName(short)
+    pairs = runs.join(keyed.filter("run is not null").select("item_id", "run"), "run").select("doc_id", "item_id").distinct()
+    every = pairs.unionByName(_by_rare_characters(keyed.filter("run is null").select("item_id", "item"), docs, 100))
+    return every.join(items, "item_id").join(docs, "doc_id").filter(F.col("text").contains(F.col("item"))).select("item_id", "doc_id")
+
+
+def tolerant_join(one: DataFrame, two: DataFrame, key: str, name: str) -> DataFrame:
+    """(key, name, found): rows of ``one`` with whether ``two`` has a row of the same key whose name is equal, or contains it
+    or is contained in it. Empty names are in every other."""
+    other = two.select(F.col(key).alias("_k"), F.col(name).alias("_n"))
+    fits = (F.col(key) == F.col("_k")) & ((F.col(name) == F.col("_n")) | F.col(name).contains(F.col("_n")) | F.col("_n").contains(F.col(name)))
+    return one.select(key, name).join(other, fits, "left_semi").withColumn("found", F.lit(True)).unionByName(one.select(key, name).join(other, fits, "left_anti").withColumn("found", F.lit(False)))

@@ -13,20 +13,23 @@ from hexapla.functions.blank import keep_nonblank
 
 
 def upsert(target: DataFrame, source: DataFrame, key: str, kinds: dict[str, str], overwrite: tuple[str, ...] = ()) -> DataFrame:
-    """Rows of either table, one for each key (unique in both). Columns in ``kinds`` take the source's value unless it is
-    blank for its kind; those in ``overwrite`` always do; others keep the target's value."""
+    """Rows of either table, one for each key (unique in both). A key that the target lacks is inserted with the source's
+    values as they come, blank or not, in all columns that the source has. Where the target has the key, columns in
+    ``kinds`` take the source's value unless it is blank for its kind, those in ``overwrite`` always do, and others keep
+    the target's."""
     t, s = target.alias("t"), source.alias("s")
     joined = t.join(s, F.col(f"t.{key}") == F.col(f"s.{key}"), "full_outer")
-    there = F.col(f"s.{key}").isNotNull()
+    there, fresh = F.col(f"s.{key}").isNotNull(), F.col(f"t.{key}").isNull()
     out = [F.coalesce(F.col(f"s.{key}"), F.col(f"t.{key}")).alias(key)]
     for c in (c for c in target.columns if c != key):
-        old, new = F.col(f"t.{c}"), F.col(f"s.{c}")
+        old = F.col(f"t.{c}")
+        new = F.col(f"s.{c}") if c in source.columns else F.lit(None).cast(target.schema[c].dataType)
         if c in kinds:
-            out.append(F.when(there, keep_nonblank(new, old, kinds[c])).otherwise(old).alias(c))
+            out.append(F.when(fresh, new).when(there, keep_nonblank(new, old, kinds[c])).otherwise(old).alias(c))
         elif c in overwrite:
             out.append(F.when(there, new).otherwise(old).alias(c))
         else:
-            out.append(old.alias(c))
+            out.append(F.when(fresh, new).otherwise(old).alias(c))
     return joined.select(*out)
 
 

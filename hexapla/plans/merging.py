@@ -42,15 +42,16 @@ def snapshot_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _UPSERT = """coalesce(o.c_custkey, n.c_custkey) AS c_custkey,
-    CASE WHEN n.c_custkey IS NULL OR n.name IS NULL OR n.name IN ('', 'Unknown') THEN o.name ELSE n.name END AS name,
-    CASE WHEN n.c_custkey IS NULL OR n.segment IS NULL OR n.segment = '' THEN o.segment ELSE n.segment END AS segment,
-    o.stamp AS stamp, CASE WHEN n.c_custkey IS NULL THEN o.balance ELSE n.balance END AS balance,
-    CASE WHEN n.c_custkey IS NULL OR n.raw IS NULL OR n.raw = '' THEN o.raw ELSE n.raw END AS raw"""
+    CASE WHEN o.c_custkey IS NULL THEN n.name WHEN n.name IS NULL OR n.name IN ('', 'Unknown') THEN o.name ELSE n.name END AS name,
+    CASE WHEN o.c_custkey IS NULL THEN n.segment WHEN n.segment IS NULL OR n.segment = '' THEN o.segment ELSE n.segment END AS segment,
+    CASE WHEN o.c_custkey IS NULL THEN n.stamp ELSE o.stamp END AS stamp, CASE WHEN n.c_custkey IS NULL THEN o.balance ELSE n.balance END AS balance,
+    CASE WHEN o.c_custkey IS NULL THEN n.raw WHEN n.raw IS NULL OR n.raw = '' THEN o.raw ELSE n.raw END AS raw"""
 
 
 @query("keep_nonblank_upsert", f"WITH {_SNAPSHOTS} SELECT {_UPSERT} FROM o FULL JOIN n ON o.c_custkey = n.c_custkey")
 def keep_nonblank_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A conditional upsert: blank incoming values keep the old ones, by each column's kind of blank (K1, K4)."""
+    """A conditional upsert: blank incoming values keep the old ones, by each column's kind of blank; new keys are inserted as
+    they come (K1, K4)."""
     old, new = _snapshots(spark, sf_dir)
     return merge.upsert(old, new, "c_custkey", _KINDS, ("balance",))
 
@@ -66,21 +67,21 @@ def apply_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.apply_diff(old, new, merge.snapshot_diff(new, old, "c_custkey", "stamp", "raw"), "c_custkey", _KINDS, ("balance",))
 
 
-@query("watermark", "SELECT max(stamp) AS watermark FROM (SELECT c_nationkey::VARCHAR AS stamp FROM customer)")
+@query("watermark", "SELECT max(strftime(ts, '%Y-%m-%d %H:%M:%S')) AS watermark FROM events WHERE ts IS NOT NULL")
 def watermark(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The greatest stamp, as text."""
-    return table(spark, sf_dir, "customer").agg(F.max(F.col("c_nationkey").cast("string")).alias("watermark"))
+    return table(spark, sf_dir, "events").agg(F.max(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("watermark"))
 
 
 @query(
     "pending_by_mark",
-    """SELECT doc_id, md5(text) AS mark FROM documents WHERE doc_id % 3 = 0 OR doc_id % 5 = 0""",
+    """WITH a AS (SELECT conv_id, turn, role, md5(text) AS mark FROM conversations), f AS (SELECT conv_id, mark FROM a WHERE turn = 0), l AS (SELECT conv_id, mark FROM a WHERE turn = 1)
+       SELECT f.conv_id, f.mark FROM f WHERE NOT EXISTS (SELECT 1 FROM l WHERE l.conv_id = f.conv_id AND (l.mark = f.mark OR length(l.mark || f.mark) = 0))""",
 )
 def pending_by_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What is not done, or was done from other content."""
-    every = table(spark, sf_dir, "documents").select("doc_id", F.md5("text").alias("mark"))
-    done = every.filter("doc_id % 3 <> 0").withColumn("mark", F.when(F.col("doc_id") % 5 == 0, F.lit("other")).otherwise(F.col("mark")))
-    return merge.pending(every, done, "doc_id", "mark")
+    """What is not done, or was done from other content: first turns whose text is not that of the second."""
+    every = table(spark, sf_dir, "conversations").select("conv_id", "turn", F.md5("text").alias("mark"))
+    return merge.pending(every.filter("turn = 0").drop("turn"), every.filter("turn = 1").drop("turn"), "conv_id", "mark")
 
 
 @query(
@@ -163,10 +164,15 @@ def write_if_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merge.only_changed(c.filter("c_custkey % 9 <> 0").selectExpr("c_custkey", "c_acctbal as balance"), c.selectExpr("c_custkey", "c_acctbal + if(c_custkey % 6 = 0, 1, 0) as balance"), "c_custkey", ["balance"])
 
 
-@query("migrated", "SELECT r_regionkey, r_name, 'unchecked' AS integrity_status, 0 AS n FROM region")
+@query("migrated", """SELECT c_custkey, c_mktsegment, CASE WHEN c_acctbal < 0 THEN 'failed' ELSE 'unchecked' END AS integrity_status,
+    '{"' || lower(c_mktsegment) || '":"' || c_name || '"}' AS versions, 0 AS n FROM customer""")
 def migrated(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Columns added with defaults, in the canonical order."""
-    return merge.migrate(table(spark, sf_dir, "region"), {"integrity_status": F.lit("unchecked"), "n": F.lit(0)}, ["r_regionkey", "r_name", "integrity_status", "n"])
+    """Columns added by cases, as JSON and with defaults, in the canonical order."""
+    status = F.when(F.col("c_acctbal") < 0, "failed").otherwise("unchecked")
+    versions = F.to_json(F.create_map(F.lower("c_mktsegment"), "c_name"))
+    rows = table(spark, sf_dir, "customer").select("c_custkey", "c_mktsegment", "c_acctbal", "c_name")
+    added = rows.withColumns({"integrity_status": status, "versions": versions}).drop("c_acctbal", "c_name")
+    return merge.migrate(added, {"n": F.lit(0)}, ["c_custkey", "c_mktsegment", "integrity_status", "versions", "n"])
 
 
 @query("table_difference", "SELECT n_nationkey, CASE WHEN n_nationkey % 5 = 0 THEN upper(n_name) || '!' ELSE n_name END AS n_name, 'two' AS side FROM nation WHERE n_nationkey % 5 = 0 UNION ALL SELECT n_nationkey, n_name, 'one' FROM nation WHERE n_nationkey % 5 = 0")

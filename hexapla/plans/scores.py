@@ -5,62 +5,96 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexapla.functions import text
+from hexapla.functions import notation
 from hexapla.operators import assembly, vote
 from hexapla.plans.registry import query
+from hexapla.sources.scratch import kept
 from hexapla.sources.tables import table
 
 
+#: Phrase gap, pitch, window, block gap and tolerance of the queries below.
+_SIZES = {"gap": 2.0, "pitch": 60.0, "window": 8.0, "block_gap": 2.0, "tolerance": 900.0}
+
+
 def _marks(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """Events of a user as a page's marks: views are syllables, the others notes on layers."""
+    """Events of a user as a page's marks: views are syllables, the others notes on layers, and purchases holds."""
     e = table(spark, sf_dir, "events").select("event_id", "event_type", F.col("user_id").alias("doc"), F.lit(1).alias("page"), F.floor(F.col("value") / 8).cast("double").alias("y"), (F.unix_timestamp("ts") % 3600).cast("double").alias("x"))
-    notes = e.filter("event_type <> 'view'").select("doc", "page", "y", "x", F.col("event_id").alias("note"))
+    notes = e.filter("event_type <> 'view'").select("doc", "page", "y", "x", F.col("event_id").alias("note"), (F.col("event_type") == "purchase").alias("hold"))
     return notes, e.filter("event_type = 'view'").select("doc", "page", "y", "x", F.col("event_id").alias("syllable"))
 
 
 _MARKS = """
     e AS (SELECT event_id, event_type, user_id AS doc, floor(value / 8)::DOUBLE AS y, (floor(epoch(ts))::BIGINT % 3600)::DOUBLE AS x FROM events),
-    n AS (SELECT * FROM e WHERE event_type <> 'view'), s AS (SELECT * FROM e WHERE event_type = 'view'),
-    h AS (SELECT doc, y, sum(g) OVER (PARTITION BY doc ORDER BY y) AS phrase FROM (SELECT doc, y, CASE WHEN y - lag(y) OVER (PARTITION BY doc ORDER BY y) > 1 THEN 1 ELSE 0 END AS g FROM (SELECT DISTINCT doc, y FROM n))),
-    c AS (SELECT doc, phrase, y, count(*) AS k FROM n JOIN h USING (doc, y) GROUP BY 1, 2, 3),
-    l AS (SELECT doc, phrase, y, k FROM (SELECT *, row_number() OVER (PARTITION BY doc, phrase ORDER BY k DESC, y) AS r FROM c) WHERE r = 1),
-    b AS (SELECT s.event_id, s.doc, s.x, (SELECT min(l.y) FROM l WHERE l.doc = s.doc AND l.y > s.y AND l.y <= s.y + 6) AS y FROM s),
-    d AS (SELECT b.doc, b.y, b.event_id, min(abs(b.x - n.x)) AS distance FROM b JOIN n ON n.doc = b.doc AND n.y = b.y GROUP BY 1, 2, 3),
-    t AS (SELECT doc, y, count(*) AS syllables, max(distance) AS worst FROM d GROUP BY 1, 2),
-    f AS (SELECT l.doc, l.k AS notes, coalesce(t.syllables, 0) AS syllables, l.k - coalesce(t.syllables, 0) AS count_delta,
-                 l.k = coalesce(t.syllables, 0) AND coalesce(t.worst, 0) <= 300 AS align_ok FROM l LEFT JOIN t ON l.doc = t.doc AND l.y = t.y)"""
-
-
-@query("line_facts", f"WITH {_MARKS} SELECT doc, notes, syllables, count_delta, align_ok FROM f")
+    n AS (SELECT *, event_type = 'purchase' AS hold FROM e WHERE event_type <> 'view'), s AS (SELECT * FROM e WHERE event_type = 'view'),
+    h AS (SELECT doc, y, sum(g) OVER (PARTITION BY doc ORDER BY y) AS phrase FROM (SELECT doc, y, CASE WHEN y - lag(y) OVER (PARTITION BY doc ORDER BY y) > 2 THEN 1 ELSE 0 END AS g FROM (SELECT DISTINCT doc, y FROM n))),
+    c AS (SELECT doc, phrase, y, count(*) FILTER (NOT hold) AS k FROM n JOIN h USING (doc, y) GROUP BY 1, 2, 3),
+    w AS (SELECT doc, y, count(*) AS m FROM s GROUP BY 1, 2),
+    nb AS (SELECT p.doc, p.phrase, w.y, w.m FROM (SELECT doc, phrase, max(y) AS bottom FROM c GROUP BY 1, 2) p JOIN w ON w.doc = p.doc AND w.y > p.bottom AND w.y <= p.bottom + 8),
+    bl AS (SELECT * FROM (SELECT *, sum(g) OVER (PARTITION BY doc, phrase ORDER BY y) AS island FROM (SELECT *, CASE WHEN y - lag(y) OVER (PARTITION BY doc, phrase ORDER BY y) > 2 THEN 1 ELSE 0 END AS g FROM nb)) WHERE island = 0),
+    um AS (SELECT doc, phrase, m FROM (SELECT doc, phrase, m, row_number() OVER (PARTITION BY doc, phrase ORDER BY count(*) DESC, m) AS r FROM bl GROUP BY 1, 2, 3) WHERE r = 1),
+    st AS (SELECT bl.doc, bl.phrase, bl.y, bl.m, row_number() OVER (PARTITION BY bl.doc, bl.phrase ORDER BY bl.y) AS stanza FROM bl JOIN um ON bl.doc = um.doc AND bl.phrase = um.phrase AND bl.m = um.m),
+    bad AS (SELECT c.doc, c.phrase, c.y, count(*) AS bad FROM c JOIN st ON st.doc = c.doc AND st.phrase = c.phrase AND st.stanza = 1 JOIN s ON s.doc = c.doc AND s.y = st.y
+            WHERE (SELECT min(abs(n.x - s.x)) FROM n WHERE n.doc = c.doc AND n.y = c.y) > 900 GROUP BY 1, 2, 3),
+    l AS (SELECT doc, phrase, y, k FROM (SELECT c.*, row_number() OVER (PARTITION BY c.doc, c.phrase ORDER BY coalesce(abs(c.k - st.m), 0), coalesce(bad.bad, 0), c.y) AS r
+          FROM c LEFT JOIN st ON st.doc = c.doc AND st.phrase = c.phrase AND st.stanza = 1 LEFT JOIN bad ON bad.doc = c.doc AND bad.phrase = c.phrase AND bad.y = c.y) WHERE r = 1),
+    d AS (SELECT l.doc, l.phrase, st.stanza, s.event_id, min(abs(s.x - n.x)) AS distance FROM l JOIN st ON st.doc = l.doc AND st.phrase = l.phrase JOIN s ON s.doc = st.doc AND s.y = st.y JOIN n ON n.doc = l.doc AND n.y = l.y GROUP BY 1, 2, 3, 4),
+    t AS (SELECT doc, phrase, stanza, count(*) AS syllables, max(distance) AS worst FROM d GROUP BY 1, 2, 3),
+    f AS (SELECT l.doc, coalesce(t.stanza, 0)::INT AS stanza, l.k AS notes, coalesce(t.syllables, 0) AS syllables, l.k - coalesce(t.syllables, 0) AS count_delta,
+                 l.k = coalesce(t.syllables, 0) AND coalesce(t.worst, 0) <= 900 AS align_ok FROM l LEFT JOIN t ON l.doc = t.doc AND l.phrase = t.phrase)"""
+
+
+@query("line_facts", f"WITH {_MARKS} SELECT doc, stanza, notes, syllables, count_delta, align_ok FROM f")
 def line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Melody lines with their syllables: counts, their difference and alignment."""
-    notes, syllables = assembly.assemble(*_marks(spark, sf_dir), gap=1.0, pitch=60.0, window=6.0)
-    return assembly.line_facts(notes, syllables, 300.0).drop("line")
+    """Melody lines with their stanzas: counts, their difference and alignment."""
+    notes, syllables = assembly.assemble(*_marks(spark, sf_dir), **_SIZES)
+    return assembly.line_facts(notes, syllables, _SIZES["tolerance"]).drop("line")
 
 
 @query("score_headers", f"WITH {_MARKS} SELECT doc, count(*) AS lines, sum(notes)::BIGINT AS notes, sum(syllables)::BIGINT AS syllables, count(*) FILTER (count_delta < 0) AS defects, NOT bool_or(count_delta < 0) AS ok FROM f GROUP BY 1")
 def score_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents of melody lines, and whether any has too few notes."""
-    notes, syllables = assembly.assemble(*_marks(spark, sf_dir), gap=1.0, pitch=60.0, window=6.0)
-    return assembly.headers(assembly.line_facts(notes, syllables, 300.0), F.lit(False))
+    """Documents of melody lines, and whether any has too few notes."""
+    notes, syllables = assembly.assemble(*_marks(spark, sf_dir), **_SIZES)
+    return assembly.headers(assembly.line_facts(notes, syllables, _SIZES["tolerance"]), F.lit(False))
 
 
 @query(
     "header_fields",
-    """SELECT p_partkey, p_partkey::VARCHAR AS old_no, CASE WHEN p_partkey % 3 = 0 THEN (p_partkey + 1)::VARCHAR END AS new_no, CASE WHEN p_partkey % 2 = 0 THEN 'B' END AS version,
-       CASE WHEN p_partkey % 5 = 0 THEN 'bE' ELSE 'C' END AS key_sig, '3/4' AS time_sig, (60 + p_size)::INT AS tempo FROM part""",
+    """SELECT p_partkey, p_partkey::VARCHAR AS old_no, CASE WHEN p_partkey % 3 = 0 THEN (p_partkey + 1)::VARCHAR ELSE '' END AS new_no,
+       CASE p_partkey % 4 WHEN 0 THEN '甲' WHEN 2 THEN '乙' ELSE '' END AS version, CASE WHEN p_partkey % 11 = 0 THEN '三' ELSE '' END AS tail_label,
+       '晨光' || replace(p_name, ' ', '') || '歌' AS title, CASE WHEN p_partkey % 5 = 0 THEN '降E大调' WHEN p_partkey % 5 < 4 THEN 'G调' ELSE '' END AS key_sig,
+       CASE WHEN p_partkey % 7 = 0 THEN '' ELSE (2 + p_size % 5)::VARCHAR || '/4' END AS time_sig, CASE WHEN p_partkey % 2 = 0 THEN '♩=' || (60 + p_size) ELSE '' END AS tempo FROM part""",
 )
 def header_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Numbers, version, key, time and tempo from header lines."""
-    line = F.expr("concat(p_partkey, if(p_partkey % 2 = 0, ' B', ''), ' ', p_name, if(p_partkey % 3 = 0, concat(' (', p_partkey + 1, ')'), ''), ' 1=', if(p_partkey % 5 = 0, 'bE', 'C'), ' 3/4 ♩=', 60 + p_size)")
-    return table(spark, sf_dir, "part").select("p_partkey", text.header_fields(line).alias("h")).select("p_partkey", "h.old_no", "h.new_no", "h.version", "h.key_sig", "h.time_sig", "h.tempo")
+    """Header lines put together from their fields, in the orders that occur, and taken apart again."""
+    line = F.expr("""concat(if(p_partkey % 4 = 0, '(甲)', ''), ' ', p_partkey, if(p_partkey % 4 = 2, ' (乙)', ''), if(p_partkey % 3 = 0, concat(' (', p_partkey + 1, ')'), ''),
+        if(p_partkey % 6 < 3, ' 、', ''), '晨光', p_name, '歌  ', if(p_partkey % 5 = 0, ' 降E大调', if(p_partkey % 5 < 4, ' G 调', '')), if(p_partkey % 7 = 0, '', concat(' ', 2 + p_size % 5, ' / 4')),
+        if(p_partkey % 2 = 0, concat(' ♩= ', 60 + p_size), ''), if(p_partkey % 11 = 0, '   (三)', ''))""")
+    return table(spark, sf_dir, "part").select("p_partkey", notation.header(line).alias("h")).select("p_partkey", "h.*").drop("title_line")
 
 
-@query("stanza_labels", "SELECT p_partkey, CASE WHEN p_size % 4 = 0 THEN 'chorus' WHEN p_size % 4 = 3 THEN 'none' ELSE 'verse' END AS kind, CASE WHEN p_size % 4 = 1 THEN p_size WHEN p_size % 4 = 2 THEN 3 END AS number FROM part")
+@query(
+    "stanza_labels",
+    """SELECT p_partkey, CASE p_size % 6 WHEN 0 THEN 'chorus' WHEN 5 THEN '' ELSE 'verse' END AS kind,
+       CASE p_size % 6 WHEN 1 THEN p_size WHEN 2 THEN 1 + p_partkey % 10 ELSE 0 END::INT AS number FROM part""",
+)
 def stanza_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Labels of stanzas as kind and number."""
-    label = F.expr("case p_size % 4 when 0 then '副歌' when 1 then concat('verse ', p_size) when 2 then '第三節' else 'coda' end")
-    return table(spark, sf_dir, "part").select("p_partkey", text.label_kind(label).alias("l")).select("p_partkey", "l.kind", "l.number")
+    """Labels of stanzas as kind and number: choruses, digits, one numeral, two of them, words, none."""
+    label = F.expr("case p_size % 6 when 0 then ' 副歌 ' when 1 then cast(p_size as string) when 2 then substring('一二三四五六七八九十', cast(1 + p_partkey % 10 as int), 1) when 3 then '十一' when 4 then '和散那' else ' ' end")
+    return table(spark, sf_dir, "part").select("p_partkey", notation.label_kind(label).alias("l")).select("p_partkey", "l.kind", "l.number")
+
+
+@query(
+    "notation_lines",
+    r"""SELECT doc_id, line_no, NOT regexp_matches(line, '[\x{3400}-\x{9fff}\x{3040}-\x{30ff}]') AND length(bare) > 0
+              AND length(regexp_replace(bare, '[^1-7qwertyuQWERTYU!#$@adfghjsADFGHJS`/\\|?()\[\]089=ikKPpo_+:.*^~''"%&-]', '', 'g')) * 10 >= 6 * length(bare) AS is_notation,
+       length(regexp_replace(line, '[^1-7qwertyuQWERTYU!#$@adfghjsADFGHJS]', '', 'g')) AS notes FROM (
+       SELECT doc_id, line_no, ls[line_no + 1] AS line, regexp_replace(ls[line_no + 1], '[\t\n\f\r ]', '', 'g') AS bare
+       FROM (SELECT doc_id, ls, unnest(range(0, len(ls)))::INT AS line_no FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents)))""",
+)
+def notation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which lines are notation, and how many notes each has."""
+    lines = table(spark, sf_dir, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    return lines.select("doc_id", "line_no", notation.is_notation(F.col("line")).alias("is_notation"), notation.count_of(F.col("line"), notation.NOTE_HEADS).cast("long").alias("notes"))
 
 
 @query("field_checks", "SELECT doc_id, length(text) = n_chars AS same_size, lang IS NOT DISTINCT FROM CASE WHEN doc_id % 8 = 0 THEN NULL ELSE lang END AS same_lang FROM documents")
@@ -72,11 +106,20 @@ def field_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "greedy_votes",
-    """WITH r AS (SELECT conv_id, list_distinct(list(role)) AS c FROM conversations GROUP BY 1) SELECT symbol, code, count(*) AS n
-       FROM (SELECT x AS code, upper(x) AS symbol FROM (SELECT unnest(c) AS x FROM r)) WHERE code <> 'user' GROUP BY 1, 2""",
+    """WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]+')[1:12] AS ws FROM documents WHERE lang = 'en'),
+       t AS (SELECT DISTINCT unnest(CASE WHEN doc_id % 3 = 0 THEN ws[1:2] ELSE ws END) AS x FROM w WHERE len(ws) = 12)
+       SELECT md5(x) AS code, upper(x) AS symbol FROM t UNION ALL SELECT 'bar', '|'""",
 )
 def greedy_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What rows of codes teach when they are laid on lines of symbols, in one pass (L5; L4 and L6 are open)."""
-    turns = F.transform(F.array_sort(F.collect_list(F.struct("turn", "role"))), lambda x: x["role"])
-    rows = table(spark, sf_dir, "conversations").groupBy("conv_id").agg(turns.alias("codes")).withColumn("symbols", F.transform("codes", lambda x: F.upper(x)))
-    return vote.tally(assembly.greedy_votes(rows, {"user": "USER"}), "code", "symbol").select("code", "symbol", "n")
+    """A dictionary learned from rows laid on lines, in rounds.
+
+    The rows are the first twelve words of English documents, two rows in three. In the third there are two words, each with
+    a bar close behind, so that it can only be aligned with skips, and the bar turns out to be a line mark.
+    """
+    words = F.slice(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)), 1, 12)
+    rows = table(spark, sf_dir, "documents").filter("lang = 'en'").select("doc_id", words.alias("w")).filter(F.size("w") == 12)
+    third, two = F.col("doc_id") % 3 == 0, F.slice("w", 1, 2)
+    codes = F.when(third, F.flatten(F.transform(two, lambda x: F.array(F.md5(x), F.lit("bar"))))).otherwise(F.transform("w", F.md5))
+    places = F.transform(codes, lambda c, i: i * 20.0 - F.when(c == "bar", 10.0).otherwise(0.0))
+    symbols = F.transform(F.when(third, two).otherwise(F.col("w")), F.upper)
+    return vote.align_rounds(rows.select(codes.alias("codes"), places.alias("places"), symbols.alias("symbols")), keep=kept)

@@ -95,7 +95,7 @@ def ocr_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("contains_match", "SELECT item_id, doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)")
 def contains_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Items that a document contains."""
+    """Items that a document contains."""
     items = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("item"))
     return matching.contained(items, table(spark, sf_dir, "documents"))
 
@@ -127,13 +127,16 @@ def version_maps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resources.versions(items)
 
 
-@query("record_view", "SELECT doc_id, lang || '、' || source AS names, CASE WHEN doc_id % 6 = 0 THEN 'Unknown' ELSE lang END AS lyricist, CASE WHEN len(l) > 0 THEN l[1] ELSE '' END AS verse_1, CASE WHEN len(l) > 1 THEN l[2] ELSE '' END AS verse_2, CASE WHEN len(l) > 2 THEN l[3] ELSE '' END AS verse_3, least(len(l), 3) AS verse_count FROM (SELECT *, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '') AS l FROM documents)")
+_SLOTS = ", ".join(f"CASE WHEN len(l) >= {k} THEN l[{k}] ELSE '' END AS verse_{k}" for k in range(1, 11))
+
+
+@query("record_view", f"SELECT doc_id, lang || '、' || source AS names, CASE WHEN doc_id % 6 = 0 THEN 'Unknown' ELSE lang END AS lyricist, {_SLOTS}, least(len(l), 10) AS verse_count FROM (SELECT *, list_filter(list_transform(string_split(text, chr(10)), lambda x: trim(x)), lambda x: x <> '') AS l FROM documents)")
 def record_view(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A record flattened: names joined, verses in fixed columns."""
+    """A record flattened: names joined, up to ten verses in fixed columns."""
     lines = F.transform(F.split("text", "\n"), lambda x: F.struct(x.alias("text")))
     d = table(spark, sf_dir, "documents").withColumn("verses", values.texts_of(lines, "text"))
     names = F.filter(F.array(F.when(F.col("doc_id") % 6 != 0, F.col("lang"))), lambda x: x.isNotNull())
-    return d.select("doc_id", F.array_join(F.array("lang", "source"), "、").alias("names"), values.joined_or(names, "、", "Unknown").alias("lyricist"), *values.fixed_slots(F.col("verses"), 3, "verse"), F.least(F.size("verses"), F.lit(3)).cast("long").alias("verse_count"))
+    return d.select("doc_id", F.array_join(F.array("lang", "source"), "、").alias("names"), values.joined_or(names, "、", "Unknown").alias("lyricist"), *values.fixed_slots(F.col("verses"), 10, "verse"), F.least(F.size("verses"), F.lit(10)).cast("long").alias("verse_count"))
 
 
 @query("long_verses", "SELECT c_custkey, k AS verse_no, CASE k WHEN 1 THEN c_name ELSE c_mktsegment END AS text FROM customer, (VALUES (1), (2)) AS v(k)")
@@ -182,13 +185,28 @@ def review_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("fuzzy_titles")
 def fuzzy_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All part names, changed at their ends or with a character inside dropped, matched to the titles."""
-    names = table(spark, sf_dir, "part").groupBy(text.compare_key(F.col("p_name")).alias("title")).agg(F.min("p_partkey").alias("number"))
-    asked = names.select(F.col("number").alias("asked"), F.when(F.col("number") % 2 == 0, F.concat("title", F.lit("x"))).otherwise(F.expr("concat(left(title, length(title) div 2), substring(title, length(title) div 2 + 2))")).alias("name"))
-    return matching.exact_then_fuzzy(asked, names)
+    """All part names, changed at their ends or with a character inside dropped, matched to the titles; every third title has a version mark, and some
+    names another one (J16, N5)."""
+    names = table(spark, sf_dir, "part").groupBy(text.compare_key(F.col("p_name")).alias("base")).agg(F.min("p_partkey").alias("number"))
+    titles = names.select("number", F.when(F.col("number") % 3 == 0, F.concat("base", F.lit("甲"))).otherwise(F.col("base")).alias("title"))
+    changed = F.when(F.col("number") % 2 == 0, F.concat("base", F.lit("x"))).otherwise(F.expr("concat(left(base, length(base) div 2), substring(base, length(base) div 2 + 2))"))
+    asked = names.select(F.col("number").alias("asked"), changed.alias("name"), F.when(F.col("number") % 5 == 0, "乙").otherwise("").alias("version"))
+    return matching.exact_then_fuzzy(asked, titles)
+
+
+@query(
+    "tolerant_names",
+    """SELECT p_partkey, name, p_partkey % 4 <> 3 AS found FROM (SELECT p_partkey, CASE p_partkey % 4 WHEN 0 THEN p_name WHEN 1 THEN p_name || ' more' WHEN 2 THEN substring(p_name, 2) ELSE '?' || p_name END AS name FROM part)""",
+)
+def tolerant_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names that equal, contain or are contained in the name of the same number."""
+    p = table(spark, sf_dir, "part")
+    name = F.expr("case p_partkey % 4 when 0 then p_name when 1 then concat(p_name, ' more') when 2 then substring(p_name, 2) else concat('?', p_name) end")
+    other = F.when(F.col("p_partkey") % 4 == 3, F.concat("p_name", F.lit("!"))).otherwise(F.col("p_name"))
+    return matching.tolerant_join(p.select("p_partkey", name.alias("name")), p.select("p_partkey", other.alias("name")), "p_partkey", "name")
 
 
 @query("lyric_coverage")
 def lyric_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The document that covers most of each test item."""
+    """The document that covers most of each test item."""
     return matching.best_coverage(table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("item")), table(spark, sf_dir, "documents"))

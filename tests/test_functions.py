@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from hexapla.functions import text, values
+from hexapla.functions import notation, text, values
 
 
 def one(spark, column, value, kind="string"):
@@ -26,13 +26,34 @@ def test_text(spark, function, value, want):
     assert one(spark, function, value) == want
 
 
-def test_label_and_header(spark):
-    assert tuple(one(spark, text.label_kind, "副歌")) == ("chorus", None)
-    assert tuple(one(spark, text.label_kind, "第三節")) == ("verse", 3)
-    assert tuple(one(spark, text.label_kind, "x")) == ("none", None)
-    h = one(spark, text.header_fields, "12 A Some Title (新34) 1=bE 3/4 ♩=90")
-    assert (h["old_no"], h["new_no"], h["version"], h["key_sig"], h["time_sig"], h["tempo"]) == ("12", "34", "A", "bE", "3/4", 90)
-    assert h["title"].startswith("Some Title")
+@pytest.mark.parametrize(("label", "want"), [("副歌", ("chorus", 0)), (" 三 ", ("verse", 3)), ("十一", ("verse", 0)), ("12", ("verse", 12)), ("和散那", ("verse", 0)), ("", ("", 0)), (None, ("", 0))])
+def test_labels(spark, label, want):
+    assert tuple(one(spark, notation.label_kind, label)) == want
+
+
+@pytest.mark.parametrize(
+    ("line", "want"),
+    [
+        ("349 (475) 、救主正在等待   降E大调 3/4 ♩=88", ("349", "475", "", "", "救主正在等待", "降E大调", "3/4", "♩=88")),
+        ("51 (乙)万古灵磐", ("51", "", "乙", "", "万古灵磐", "", "", "")), ("(甲) 51、万古灵磐 G调", ("51", "", "甲", "", "万古灵磐", "G调", "", "")),
+        ("7、来 ♩=80   (三)", ("7", "", "", "三", "来", "", "", "♩=80")), ("没有编号的标题", ("", "", "", "", "", "", "", "")), ("", ("",) * 8),
+    ],
+)
+def test_headers(spark, line, want):
+    h = one(spark, notation.header, line)
+    assert (h.old_no, h.new_no, h.version, h.tail_label, h.title, h.key_sig, h.time_sig, h.tempo) == want and h.title_line == line.strip()
+
+
+@pytest.mark.parametrize(("line", "want"), [("1 2 3/|5`", True), ("救主", False), ("", False), ("  ", False), ("1救", False), ("zzzz1", False), ("bbcc12345 6", True), ("- . &", True)])
+def test_notation_lines(spark, line, want):
+    assert one(spark, notation.is_notation, line) is want
+
+
+def test_notation_parts(spark):
+    assert one(spark, notation.noise, "1–2。–") == ["–", "。"] and one(spark, notation.signature, "\\1 2|3 |?") == "12|3"
+    assert one(spark, lambda c: notation.count_of(c, notation.NOTE_HEADS), "1q!A/|`") == 4
+    assert tuple(one(spark, notation.marker, " 2 / 3 ")) == (2, 3) and one(spark, notation.marker, "2/x") is None
+    assert one(spark, notation.label_of_line, "（副歌）") == "副歌" and one(spark, notation.label_of_line, "x (三)") == ""
 
 
 def test_similarity(spark):

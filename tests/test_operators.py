@@ -22,11 +22,19 @@ def test_upsert_is_idempotent(spark):
     new = spark.createDataFrame([("1", "Unknown", "{y}", 5), ("2", "b", "{}", None), ("51_a", "c", "", 7)], "no string, name string, audio string, n int")
     kinds = {"name": "name", "audio": "json_object"}
     out = merge.upsert(old, new, "no", kinds, ("n",))
-    assert rows(out) == [("1", "a", "{y}", 5), ("2", "b", "{x}", None), ("51_a", "c", None, 7)]
+    assert rows(out) == [("1", "a", "{y}", 5), ("2", "b", "{x}", None), ("51_a", "c", "", 7)]
     blank = new.select("no", F.lit("").alias("name"), F.lit("[]").alias("audio"), "n")
     assert rows(merge.upsert(out, blank.withColumn("audio", F.lit("")), "no", kinds, ("n",))) == rows(out)
 
 
+def test_upsert_inserts_as_it_comes(spark):
+    """A new key is a plain insert: its blanks are values, and columns without a rule are taken too."""
+    old = spark.createDataFrame([("1", "a", "completed", 5, "x")], "no string, name string, status string, n int, own string")
+    new = spark.createDataFrame([("2", "Unknown", "pending", 7), ("1", "Unknown", "pending", 6)], "no string, name string, status string, n int")
+    out = merge.upsert(old, new, "no", {"name": "name", "status": "download_status"})
+    assert rows(out) == [("1", "a", "completed", 5, "x"), ("2", "Unknown", "pending", 7, None)]
+
+
 def test_diff_states(spark):
     src = spark.createDataFrame([("1", "t1"), ("2", "t0"), ("3", ""), ("4", "t"), ("6", "t")], "no string, up string")
     dst = spark.createDataFrame([("1", "t1", "r"), ("2", "t1", "r"), ("3", "t", "r"), ("5", "t", "r"), ("6", "t", None)], "no string, up string, raw string")
@@ -107,12 +115,40 @@ def test_anchors_and_pairs():
     assert vote.pair_votes(codes, a, b) == [("c5", "F")]
     assert vote.pair_votes(codes, list("abcde?ghijk"), list("abcdeFXghijk")) == []
     assert vote.pair_votes(codes[:4], list("a?c?"), list("abcd")) == []
+    # from an anchor to the next known element, ahead and behind
+    assert vote.pair_votes(codes, list("12345?7?"), list("12345678")) == [("c5", "6")]
+    assert vote.pair_votes(codes, list("?1?34567"), list("x1234567")) == [("c2", "2")]
+    assert vote.pair_votes(codes, list("?1?34567"), list("x9234567")) == []
+    # two anchors of three cover enough together; unknown elements don't count against the coverage
+    assert vote.pair_votes(codes, list("123?567??"), list("1234567")) == [("c3", "4")]
 
 
 def test_greedy_alignment():
-    assert vote.greedy_align(["x", "y", "x"], ["1", "2", "1"], {}) == ({"x": "1", "y": "2"}, 0)
-    assert vote.greedy_align(["x", "x"], ["1", "2"], {}, skips=0) is None
-    assert vote.greedy_align(["bar", "x"], ["1"], {"bar": "|"}) == ({"x": "1"}, 1)
+    far = [0.0, 20.0, 40.0, 60.0]
+    assert vote.greedy_align(["x", "y", "x"], far, ["1", "2", "1"], {}, 15) == ({"x": "1", "y": "2"}, [])
+    assert vote.greedy_align(["x", "x"], far, ["1", "2"], {}, 15) is None  # one code, two symbols
+    assert vote.greedy_align(["bar", "x"], far, ["1"], {"bar": "|"}, 15) == ({"x": "1"}, [])
+    assert vote.greedy_align(["x", "dot", "y"], [0.0, 8.0, 25.0], ["1", "2"], {}, 15) == ({"x": "1", "y": "2"}, ["dot"])
+    assert vote.greedy_align(["x", "dot", "y"], far, ["1", "2"], {"x": "1"}, 15) is None  # dot takes 2, y fits nothing known
+    assert vote.greedy_align(["x", "y"], far, ["1"], {"x": "1"}, 15) == ({}, ["y"])
+    assert vote.greedy_align(["x", "y"], far, ["1"], {"x": "1", "y": "2"}, 15) is None  # a known note is left over
+    assert vote.greedy_align(["x"], far, ["1", "2"], {}, 15) is None
+    assert vote.greedy_align([], [], [], {}, 15) == ({}, [])
+
+
+def test_alignment_in_rounds(spark):
+    """A clean row starts it; what it teaches lets others align; conflicts are unlearned, marks fixed after two skips."""
+    data = [
+        (list("abc"), [0.0, 20.0, 40.0], list("123")),
+        (list("a.b"), [0.0, 5.0, 20.0], list("12")),
+        (list("d.c"), [0.0, 5.0, 20.0], list("43")),
+        (list("xy"), [0.0, 20.0], list("56")), (list("xz"), [0.0, 20.0], list("77")),
+    ]
+    rows_ = spark.createDataFrame(data, "codes array<string>, places array<double>, symbols array<string>").repartition(2)
+    got = {r.code: r.symbol for r in vote.align_rounds(rows_).collect()}
+    assert got == {"a": "1", "b": "2", "c": "3", "d": "4", "y": "6", ".": "|"} or got == {"a": "1", "b": "2", "c": "3", "d": "4", "y": "6", "z": "7", ".": "|"}
+    decode = lambda codes: spark.createDataFrame([(codes, {"a": "1", "b": "2"})], "c array<string>, m map<string,string>").select(vote.merged_decode(F.col("c"), F.col("m"))).first()[0]
+    assert (decode(["a", "?", "b"]), decode(["?", "a"]), decode([])) == (["1", "2"], None, [])
 
 
 def test_learning_rounds(spark):
@@ -157,6 +193,63 @@ def test_fuzzy_titles_lose_nothing(spark):
     assert 0 in got
 
 
+def test_titles_in_cjk_and_by_version(spark):
+    """Every pair of short titles is found that the ratio allows; version marks keep versions apart."""
+    import random
+    from difflib import SequenceMatcher
+
+    from hexapla.operators import matching
+
+    r = random.Random(3)
+    titles = [(k, "".join(r.choices("主耶穌我愛恩典之光", k=r.randint(1, 9)))) for k in range(250)]
+    names = [(k, "".join(r.choices("主耶穌我愛恩典之光", k=r.randint(1, 9)))) for k in range(250)] + [(900, "恩典"), (901, "主耶穌")]
+    titles += [(300, "恩之典之"), (301, "主我耶我穌")]
+    single = {t for _, t in titles if sum(u == t for _, u in titles) == 1}
+    got = {x.asked: (x.number, x.ratio, x.kind) for x in matching.exact_then_fuzzy(spark.createDataFrame(names, "asked int, name string"), spark.createDataFrame(titles, "number int, title string")).collect()}
+    for k, name in names:
+        same = [i for i, t in titles if t == name]
+        if same:
+            assert got[k] == (min(same), 1.0, "exact" if len(same) == 1 else "multi")
+            continue
+        best = min(((-SequenceMatcher(None, name, t, autojunk=False).ratio(), i) for i, t in titles if t in single), default=(0, 0))
+        assert got.get(k) == ((best[1], -best[0], "fuzzy") if best[0] <= -0.75 else None), name
+    asked = spark.createDataFrame([(1, "萬古靈磐", "甲"), (2, "萬古靈磐", "乙"), (3, "萬古靈磐", ""), (4, "", ""), (5, "萬古靈磐", "丙")], "asked int, name string, version string")
+    known = spark.createDataFrame([("51_a", "萬古靈磐甲"), ("51_b", "萬古靈磐乙"), ("9", "甲"), ("8", "")], "number string, title string")
+    found = {x.asked: x.number for x in matching.exact_then_fuzzy(asked, known).collect()}
+    assert found == {1: "51_a", 2: "51_b", 3: "51_a"}
+    one = spark.createDataFrame([(1, "恩典"), (2, "主耶穌")], "asked int, name string")
+    two = spark.createDataFrame([(1, "恩之典"), (2, "主我耶我穌")], "number int, title string")
+    assert {x.asked: round(x.ratio, 3) for x in matching.exact_then_fuzzy(one, two).collect()} == {1: 0.8, 2: 0.75}
+
+
+def test_coverage_of_cjk_and_containment(spark):
+    """Items without word boundaries, against all pairs."""
+    import random
+    from difflib import SequenceMatcher
+
+    from hexapla.operators import matching
+
+    r = random.Random(4)
+    docs = ["".join(r.choices("主耶穌我愛恩典之光在天上的父", k=r.randint(5, 60))) for _ in range(60)] + ["plain words here", ""]
+    items = []
+    for k in range(40):
+        d = r.choice(docs[:60])
+        a = r.randint(0, max(0, len(d) - 20))
+        x = list(d[a : a + r.randint(2, 25)])
+        for _ in range(r.randint(0, 2)):
+            x[r.randrange(len(x))] = "新"
+        items.append("".join(x))
+    i, d = spark.createDataFrame(list(enumerate(items)), "item_id int, item string"), spark.createDataFrame(list(enumerate(docs)), "doc_id int, text string")
+    want = []
+    for k, x in enumerate(items):
+        best = min((-(1.0 if x in y else sum(b.size for b in SequenceMatcher(None, x, y, autojunk=False).get_matching_blocks()) / len(x)), j) for j, y in enumerate(docs))
+        want += [(k, best[1], -best[0])] if best[0] <= -0.9 else []
+    assert rows(matching.best_coverage(i, d)) == sorted(want, key=str) and len(want) > 15
+    more = spark.createDataFrame([(100, "words"), (101, "n words h"), (102, ""), (103, "在天")], "item_id int, item string").unionByName(i)
+    held = {(x.item_id, x.item): x.item for x in more.collect()}
+    assert rows(matching.contained(more, d)) == sorted([(k, j) for (k, x) in held for j, y in enumerate(docs) if x and x in y], key=str)
+
+
 def test_coverage_of_short_and_edited_items(spark):
     from difflib import SequenceMatcher
 
@@ -169,7 +262,7 @@ def test_coverage_of_short_and_edited_items(spark):
     want = []
     for k, x in enumerate(items):
         best = min((-(1.0 if x in y else sum(b.size for b in SequenceMatcher(None, x, y, autojunk=False).get_matching_blocks()) / len(x)), j) for j, y in enumerate(docs))
-        want += [(k, best[1], -best[0])] if best[0] <= -0.9 else []
+        want += [(k, best[1], -best[0])] if x and best[0] <= -0.9 else []
     assert rows(matching.best_coverage(i, d)) == sorted(want, key=str)
 
 
