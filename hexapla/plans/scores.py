@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hexapla.functions import notation
-from hexapla.operators import assembly, vote
+from hexapla.operators import assembly, slides, vote
 from hexapla.plans.registry import query
 from hexapla.sources.scratch import kept
 from hexapla.sources.tables import table
@@ -123,3 +123,39 @@ def greedy_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
     places = F.transform(codes, lambda c, i: i * 20.0 - F.when(c == "bar", 10.0).otherwise(0.0))
     symbols = F.transform(F.when(third, two).otherwise(F.col("w")), F.upper)
     return vote.align_rounds(rows.select(codes.alias("codes"), places.alias("places"), symbols.alias("symbols")), keep=kept)
+
+
+_FAULTS = "p_partkey % 5 = 1 AS numbering, p_partkey % 11 = 3 AS structure, p_partkey % 7 = 2 AND p_partkey % 13 <> 4 AS tune, p_partkey % 13 = 4 AS short, p_partkey % 3 = 0 AS chorus, p_partkey % 17 = 5 AS renamed"
+
+
+@query(
+    "slide_headers",
+    f"""SELECT p_partkey || '.ppt' AS file, p_partkey AS number, CASE WHEN renamed THEN 'lyric' ELSE 'exact' END AS kind, chorus::INT::BIGINT AS chorus_slides, 4::BIGINT AS pair_count,
+        CASE WHEN short THEN 22 ELSE 24 END::BIGINT AS note_total, NOT numbering AS marker_ok, NOT structure AS structure_ok, NOT tune AS repeats, 'ok' AS verse_match,
+        array_to_string(list_filter([CASE WHEN numbering THEN 'numbering' END, CASE WHEN structure THEN 'structure' END, CASE WHEN tune THEN 'tune' END, CASE WHEN short THEN 'too few notes' END], lambda x: x IS NOT NULL), ';') AS review_reason
+        FROM (SELECT p_partkey, {_FAULTS} FROM part)""",
+)
+def slide_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two slides for each part, some with a fault, and what the checks find.
+
+    The lyrics spell the part's number in CJK characters, each line in another alphabet, so each hymn has its own.
+    """
+    p = table(spark, sf_dir, "part").selectExpr("p_partkey", *[x.strip().replace(" AS ", " as ") for x in _FAULTS.split(", ")])
+    spelt = lambda a: F.translate(F.lpad(F.col("p_partkey").cast("string"), 6, "0"), "0123456789", a)
+    first, second = (spelt("天地日月山川風雲花草"), spelt("春夏秋冬晨午暮夜星光")), (spelt("東西南北中上下左右前"), spelt("父母兄弟姊妹親友鄰人"))
+    name = F.concat(F.lit("讚美"), spelt("一二三四五六七八九十"))
+    title = F.when(F.col("renamed"), "不同的名字").otherwise(name)
+    notes = lambda other: F.when(F.col("short"), "1 2 3 5 6").when(other, "1 2 3 5 6 6").otherwise("1 2 3 5 6 5")
+    more = F.when(F.col("structure"), "（旁白）\r").otherwise("")
+    body = lambda said, other: F.concat(notes(other), F.lit("\r"), said[0], F.lit("，\r"), F.lit("5 5 3 3 2 1 |\r"), said[1], F.lit("。\r"))
+    one = F.concat(F.col("p_partkey").cast("string"), F.lit("、"), title, F.lit(" G调 3/4 ♩=88\r"), body(first, F.lit(False)), more, F.lit("1/2\r。"))
+    two = F.concat(F.when(F.col("chorus"), "1\r(副歌)\r").otherwise(""), body(second, F.col("tune")), F.when(F.col("numbering"), "2/3").otherwise("2/2"))
+    two = F.when(F.col("chorus"), F.substring(two, 3, 1 << 20)).otherwise(two)
+    text = F.explode(F.array(F.struct(F.lit(1).alias("stanza_no"), one.alias("text")), F.struct(F.lit(2).alias("stanza_no"), two.alias("text"))))
+    shown = p.select(F.concat(F.col("p_partkey").cast("string"), F.lit(".ppt")).alias("file"), text.alias("s")).select("file", "s.*")
+    verse = lambda said: F.concat(said[0], F.lit("\n"), said[1])
+    texts = F.explode(F.array(F.struct(F.lit(1).alias("verse_no"), verse(first).alias("verse")), F.struct(F.lit(2).alias("verse_no"), F.when(F.col("chorus"), "").otherwise(verse(second)).alias("verse"))))
+    verses = p.select(F.col("p_partkey").alias("number"), texts.alias("v")).select("number", "v.*")
+    choruses = p.select(F.col("p_partkey").alias("number"), F.when(F.col("chorus"), verse(second)).alias("chorus"))
+    got = slides.slide_headers(shown, p.select(F.col("p_partkey").alias("number"), name.alias("title")), verses, choruses, keep=kept)
+    return got.select("file", "number", "kind", "chorus_slides", "pair_count", "note_total", "marker_ok", "structure_ok", "repeats", "verse_match", "review_reason")

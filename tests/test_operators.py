@@ -129,7 +129,7 @@ def test_greedy_alignment():
     assert vote.greedy_align(["x", "x"], far, ["1", "2"], {}, 15) is None  # one code, two symbols
     assert vote.greedy_align(["bar", "x"], far, ["1"], {"bar": "|"}, 15) == ({"x": "1"}, [])
     assert vote.greedy_align(["x", "dot", "y"], [0.0, 8.0, 25.0], ["1", "2"], {}, 15) == ({"x": "1", "y": "2"}, ["dot"])
-    assert vote.greedy_align(["x", "dot", "y"], far, ["1", "2"], {"x": "1"}, 15) is None  # dot takes 2, y fits nothing known
+    assert vote.greedy_align(["x", "dot", "y"], far, ["1", "2"], {"x": "1"}, 15) == ({"dot": "2"}, ["y"])  # behind the end, unknown codes may follow
     assert vote.greedy_align(["x", "y"], far, ["1"], {"x": "1"}, 15) == ({}, ["y"])
     assert vote.greedy_align(["x", "y"], far, ["1"], {"x": "1", "y": "2"}, 15) is None  # a known note is left over
     assert vote.greedy_align(["x"], far, ["1", "2"], {}, 15) is None
@@ -271,3 +271,41 @@ def test_deletion_needs_equal_digests(spark):
 
     twins = spark.createDataFrame([("p", "d", "d"), ("q", "d", "e"), ("r", None, None)], "path string, digest string, twin_digest string")
     assert [r.path for r in files.deletable(twins).collect()] == ["p"]
+
+
+def test_lines_of_slides(spark):
+    """Headers, labels, pairs, orphans, what stands behind the number, and slides with nothing on them."""
+    from hexapla.operators import slides
+
+    texts = [
+        ("a", 1, "7、来 ♩=80 (三)\r1 2 3\r主愛我\r(副歌)\r5 6\r5 5\r旁白\r又一行\r1/3\r。\r後面"),
+        ("a", 2, "1 2 3\r主愛我\r( 二 )\r3 2 1\r我愛主\r。\r…"),
+        ("a", 3, None), ("b", 1, "   \r \r"), ("b", 2, "只有標題"), ("b", 3, "3/3"),
+    ]
+    df = spark.createDataFrame(texts, "file string, stanza_no int, text string").repartition(2)
+    got = {(r.file, r.stanza_no): r for r in slides.stanzas(slides.slide_lines(df)).collect()}
+    assert len(got) == 6
+    a = got["a", 1]
+    assert [(p.line_no, p.notes, p.lyric) for p in a.pairs] == [(1, "1 2 3", "主愛我"), (2, "5 6", ""), (3, "5 5", "旁白")]
+    assert (a.k, a.m, a.orphans, a.label, a.label_kind, a.header.title, a.header.old_no, a.tune, a.said) == (1, 3, 1, "三", "verse", "来", "7", "123|56|55", "主愛我旁白")
+    b = got["a", 2]
+    assert (b.k, b.header, b.label, b.orphans, len(b.pairs)) == (None, None, "二", 0, 2)
+    for key in (("a", 3), ("b", 1), ("b", 3)):
+        assert (got[key].pairs, got[key].orphans, got[key].label) == ([], 0, "")
+    assert got["b", 2].header.title_line == "只有標題" and got["b", 3].k == 3
+    facts = {r.file: r for r in slides.file_facts(slides.stanzas(slides.slide_lines(df))).collect()}
+    assert (facts["a"].slide_count, facts["a"].title, facts["a"].marker_ok, facts["a"].structure_ok) == (3, "来", False, False)
+    assert slides.slide_lines(df.filter("false")).count() == 0
+
+
+def test_chorus_or_verse(spark):
+    from hexapla.operators import slides
+
+    verses = [("1", 1, "主愛我我知道"), ("1", 2, "因聖經告訴我"), ("2", 1, "因聖經告訴我"), ("1", 3, "")]
+    shown = [("f", 1, "", "主愛我，我知道"), ("f", 2, "", "因聖經告訢我"), ("f", 3, "", "是主真愛我"), ("f", 4, "chorus", "另外的字"), ("f", 5, "", ""), ("g", 1, "", "因聖經告訴我")]
+    s = spark.createDataFrame(shown, "file string, stanza_no int, label_kind string, said string")
+    v = spark.createDataFrame(verses, "number string, verse_no int, verse string")
+    c = spark.createDataFrame([("1", "是主真愛我是主真愛我"), ("2", None)], "number string, chorus string")
+    hymn = spark.createDataFrame([("f", "1"), ("g", None)], "file string, number string")
+    got = rows(slides.stanza_matches(s, hymn, v, c))
+    assert got == [("f", 1, False, 1, 1.0), ("f", 2, False, 2, 0.833), ("f", 3, True, 0, 1.0), ("f", 4, True, 0, 0.0), ("f", 5, False, 0, 0.0), ("g", 1, False, 0, 0.0)]
