@@ -2,19 +2,35 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.window import Window
+
 
+def text_report(sections: dict[str, tuple[DataFrame, Column, list[Column | str], int | None]], keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
+    """(section, ordinal, text): for each section the lines of a table in an order without ties, the first so many if a
+    number is given.
 
-def text_report(sections: dict[str, tuple[DataFrame, Column, list[Column | str], int | None]]) -> DataFrame:
-    """(section, ordinal, text): for each section the lines of a table in an order, the first so many if a number is given."""
+    Sections without a number can be of any size: their rows are dealt out by ranges of the order, and numbered from the
+    counts of the ranges before. ``keep`` writes a table and reads it back; the ranges must be the same when they are counted
+    and when they are numbered.
+    """
     out = None
     for name, (rows, line, order, most) in sections.items():
-        picked = rows.orderBy(*order) if most is None else rows.orderBy(*order).limit(most)
-        keyed = picked.select(F.struct(*[F.col(c) if isinstance(c, str) else c for c in order]).alias("o"), line.alias("text"))
-        one = keyed.selectExpr(f"'{name}' as section", "row_number() over (order by o) as ordinal", "text")
+        keyed = rows.select(F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"o{k}") for k, c in enumerate(order)]).alias("o"), line.alias("text"))
+        if most is not None:
+            one = keyed.orderBy("o").limit(most).withColumn("ordinal", F.row_number().over(Window.orderBy("o")))
+        else:
+            ranged = keep(keyed.repartitionByRange("o").withColumn("part", F.spark_partition_id()))
+            counts = ranged.groupBy("part").agg(F.count("*").alias("n"))
+            before = F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+            numbered = ranged.withColumn("place", F.row_number().over(Window.partitionBy("part").orderBy("o")))
+            one = numbered.join(counts.select("part", before.alias("before")), "part").withColumn("ordinal", (F.col("before") + F.col("place")).cast("int"))
+        one = one.select(F.lit(name).alias("section"), "ordinal", "text")
         out = one if out is None else out.unionByName(one)
     return out
 

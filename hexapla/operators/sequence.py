@@ -94,19 +94,32 @@ def first_within(left: DataFrame, right: DataFrame, key: str, left_id: str, righ
 def overlaps(left: DataFrame, right: DataFrame, key: str, left_id: str, right_id: str, left_span: tuple[str, str], right_span: tuple[str, str], cell: float) -> DataFrame:
     """(key, left_id, right_id) of spans of the same key that overlap, strictly: start < other's end both ways.
 
-    Spans are cut into cells of a width near the usual span's, and joined by key and cell, so that a key's spans are not
-    all compared with each other; a pair is reported in the cell of the later start only.
+    Of two spans that overlap, one begins inside the other, or both begin together. A span is therefore filed under cells of
+    its own size class: it is in one or two cells of a width between its length and twice that. Starts of spans are looked up
+    in the cells that hold them, one for each size class that the key has, so a span of any length makes as few rows.
+    ``cell`` is the width of the least class; all shorter spans are in it.
     """
 
-    def cells(df, i, span, p):
+    def spans(df, i, span, p):
         a, b = F.col(span[0]).cast("double"), F.col(span[1]).cast("double")
-        each = F.explode(F.sequence(F.floor(a / cell).cast("long"), F.floor(b / cell).cast("long")))
-        return df.filter(b > a).select(F.col(key).alias(f"{p}_key"), F.col(i).alias(f"{p}_id"), a.alias(f"{p}_a"), b.alias(f"{p}_b"), each.alias(f"{p}_cell"))
-
-    on = (F.col("l_key") == F.col("r_key")) & (F.col("l_cell") == F.col("r_cell")) & (F.col("l_a") < F.col("r_b")) & (F.col("r_a") < F.col("l_b"))
-    found = cells(left, left_id, left_span, "l").join(cells(right, right_id, right_span, "r"), on)
-    later = F.floor(F.greatest("l_a", "r_a") / cell)
-    return found.filter(F.col("l_cell") == later).select(F.col("l_key").alias(key), F.col("l_id").alias(left_id), F.col("r_id").alias(right_id))
+        level = F.greatest(F.ceil(F.log2((b - a) / cell)), F.lit(0)).cast("int")
+        return df.filter(b > a).select(F.col(key).alias(f"{p}_key"), F.col(i).alias(f"{p}_id"), a.alias(f"{p}_a"), b.alias(f"{p}_b"), level.alias(f"{p}_level"))
+
+    def inside(holders, h, starters, s, strict):
+        """Pairs in which a starter begins within a holder; at the same start only if not ``strict``."""
+        width = F.lit(cell) * F.pow(F.lit(2.0), F.col(f"{h}_level"))
+        place = F.explode(F.array_distinct(F.array(F.floor(F.col(f"{h}_a") / width), F.floor(F.col(f"{h}_b") / width))))
+        filed = holders.withColumn(f"{h}_cell", place)
+        levels = holders.groupBy(F.col(f"{h}_key").alias("k")).agg(F.collect_set(f"{h}_level").alias("levels"))
+        asked = starters.join(levels, F.col(f"{s}_key") == F.col("k")).withColumn("level", F.explode("levels"))
+        asked = asked.withColumn("cell", F.floor(F.col(f"{s}_a") / (F.lit(cell) * F.pow(F.lit(2.0), F.col("level")))))
+        begins = (F.col(f"{s}_a") > F.col(f"{h}_a")) if strict else (F.col(f"{s}_a") >= F.col(f"{h}_a"))
+        on = (F.col(f"{h}_key") == F.col(f"{s}_key")) & (F.col(f"{h}_level") == F.col("level")) & (F.col(f"{h}_cell") == F.col("cell"))
+        return filed.join(asked, on & begins & (F.col(f"{s}_a") < F.col(f"{h}_b"))).select("l_key", "l_id", "r_id")
+
+    one, two = spans(left, left_id, left_span, "l"), spans(right, right_id, right_span, "r")
+    found = inside(one, "l", two, "r", False).unionByName(inside(two, "r", one, "l", True))
+    return found.select(F.col("l_key").alias(key), F.col("l_id").alias(left_id), F.col("r_id").alias(right_id))
 
 
 def layers(glyphs: DataFrame, keys: list[str], y: str, digits: int = 1) -> DataFrame:

@@ -7,23 +7,26 @@ from pyspark.sql import functions as F
 
 from hexapla.operators import reports
 from hexapla.plans.registry import query
+from hexapla.sources.scratch import kept
 from hexapla.sources.tables import table
 
 
 @query(
     "text_report",
     """SELECT 'statuses' AS section, row_number() OVER (ORDER BY n DESC, s) AS ordinal, s || ': ' || n AS text FROM (SELECT o_orderstatus AS s, count(*) AS n FROM orders GROUP BY 1)
-       UNION ALL SELECT 'dearest', row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey), o_orderkey::VARCHAR FROM (SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 5)""",
+       UNION ALL SELECT 'dearest', row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey), o_orderkey::VARCHAR FROM (SELECT * FROM orders ORDER BY o_totalprice DESC, o_orderkey LIMIT 5)
+       UNION ALL SELECT 'all', row_number() OVER (ORDER BY o_custkey, o_orderkey), o_orderkey || ' ' || o_orderstatus FROM orders""",
 )
 def text_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A report of two sections as a table."""
+    """A report of three sections as a table."""
     o = table(spark, sf_dir, "orders")
     counts = o.groupBy("o_orderstatus").agg(F.count("*").alias("n")).withColumn("least", -F.col("n"))
     dear = o.withColumn("least", -F.col("o_totalprice"))
     return reports.text_report({
         "statuses": (counts, F.concat_ws(": ", "o_orderstatus", "n"), ["least", "o_orderstatus"], None),
         "dearest": (dear, F.col("o_orderkey").cast("string"), ["least", "o_orderkey"], 5),
-    })
+        "all": (o, F.concat_ws(" ", "o_orderkey", "o_orderstatus"), ["o_custkey", "o_orderkey"], None),
+    }, keep=kept)
 
 
 @query("map_lines", "SELECT c_custkey || '|' || c_name || '|' || c_mktsegment AS text FROM customer")

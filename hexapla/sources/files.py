@@ -63,5 +63,5 @@ def deletable(twins: DataFrame) -> DataFrame:
 
 def texts_in_order(spark: SparkSession, path: str) -> DataFrame:
     """(name, text) of text files, numbers in names by value."""
-    found = spark.read.option("wholetext", True).text(path).select(F.regexp_extract(F.input_file_name(), r"([^/]*)$", 1).alias("name"), F.col("value").alias("text"))
+    found = spark.read.text(path, wholetext=True).select(F.regexp_extract(F.input_file_name(), r"([^/]*)$", 1).alias("name"), F.col("value").alias("text"))
     return found.orderBy(natural_key(F.col("name")))

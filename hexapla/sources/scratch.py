@@ -1,21 +1,28 @@
-"""Tables that cut the lineage of iterative queries."""
+"""The folder that driver and executors share, and tables in it that cut the lineage of iterative queries."""
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def kept(df: DataFrame) -> DataFrame:
-    """``df`` written to the folder that driver and executors share, ``spark.checkpoint.dir``, and read back. A temporary
-    folder is made only where the session names none."""
-    spark = df.sparkSession
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A fresh path below ``spark.checkpoint.dir``. Only a session with a local master may leave that unset; a temporary
+    folder is then made and set."""
     shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not shared:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         shared = "file://" + tempfile.mkdtemp(prefix="hexapla-")
         spark.conf.set("spark.checkpoint.dir", shared)
-    path = f"{shared.rstrip('/')}/kept-{uuid.uuid4().hex}"
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def kept(df: DataFrame) -> DataFrame:
+    """``df`` written to the shared folder and read back."""
+    path = shared_path(df.sparkSession, "kept")
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

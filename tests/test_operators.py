@@ -123,6 +123,18 @@ def test_anchors_and_pairs():
     assert vote.pair_votes(codes, list("123?567??"), list("1234567")) == [("c3", "4")]
 
 
+def test_longest_runs():
+    import random
+    from difflib import SequenceMatcher
+
+    r = random.Random(2)
+    for _ in range(400):
+        a, b = (r.choices("abc" if r.random() < 0.7 else "ab", k=r.randint(0, 14)) for _ in "xy")
+        a = [x if r.random() < 0.9 else "?" for x in a]
+        found = SequenceMatcher(None, [x if x != "?" else f"?{k}" for k, x in enumerate(a)], b, autojunk=False).find_longest_match()
+        assert vote.Runs(b).longest(a, "?") == ((found.a, found.b, found.size) if found.size else (0, 0, 0))
+
+
 def test_greedy_alignment():
     far = [0.0, 20.0, 40.0, 60.0]
     assert vote.greedy_align(["x", "y", "x"], far, ["1", "2", "1"], {}, 15) == ({"x": "1", "y": "2"}, [])
@@ -152,17 +164,15 @@ def test_alignment_in_rounds(spark):
 
 
 def test_learning_rounds(spark):
-    pairs = spark.createDataFrame([([f"c{x}" for x in "abcdeFghijk"], list("abcdeFghijk"))] * 2, "codes array<string>, symbols array<string>")
-    seed = spark.createDataFrame([(f"c{x}", x) for x in "abcdeghijk"], "code string, symbol string")
-
-    def votes(known):
-        d = {r.code: r.symbol for r in known.collect()}
-        seen = pairs.withColumn("known", F.transform("codes", lambda c: F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for kv in d.items() for x in kv]), c), F.lit("?"))))
-        return vote.votes_of_pairs(seen)
-
-    learned = vote.learn_rounds(votes, seed, 2, 60)
-    assert ("cF", "F") in rows(learned)
-    assert learned.count() == 11
+    """A code learned in one round is the anchor that teaches the next; only lines that hold a new code are looked at again."""
+    lines = [("abcde?ghijk", "abcdeFghijk")] * 2 + [("xyFzzw", "xyFzzw")] * 2 + [("abc", "abc"), ("qqqq", "qqqq"), ("", "")]
+    codes = [[f"c{x}" if x != "?" else "cF" for x in a] for a, _ in lines]
+    df = spark.createDataFrame([(k, c, list(b)) for k, (c, (_, b)) in enumerate(zip(codes, lines, strict=True))], "line long, codes array<string>, symbols array<string>").repartition(2)
+    seed = spark.createDataFrame([(f"c{x}", x) for x in "abcdeghijkxyz"], "code string, symbol string")
+    learned = vote.learn_rounds(df, seed, 2, 60)
+    assert set(rows(learned)) - {(f"c{x}", x) for x in "abcdeghijkxyz"} == {("cF", "F")}
+    assert rows(vote.learn_rounds(df, seed, 3, 60)) == rows(seed)
+    assert rows(vote.learn_rounds(df.filter("false"), seed, 2, 60)) == rows(seed)
 
 
 def test_reports(spark):

@@ -10,7 +10,7 @@ from hexapla.streaming import snapshots
 
 
 def test_pages(spark, tmp_path):
-    (tmp_path / "page_1.json").write_text(json.dumps({"data": [{"no": "1", "name": "a", "lyrics": [{"text": "x"}]}, {"no": "2"}], "current_page": 1, "last_page": 3, "total": 4}))
+    (tmp_path / "page_1.json").write_text(json.dumps({"data": [{"no": "1", "name": "a", "lyrics": [{"text": "x"}]}, {"no": "2"}], "current_page": 1, "last_page": 3, "total": 4}, indent=1))
     (tmp_path / "page_2.json").write_text("{broken")
     (tmp_path / "page_3.json").write_text('[{"no": "9"}]')
     pages = records.pages(spark, f"file://{tmp_path}")
@@ -28,7 +28,7 @@ def test_url_map(spark, tmp_path):
 def test_reports(spark, tmp_path):
     schema = T.StructType([T.StructField("no", T.StringType())])
     assert records.report(spark, f"file://{tmp_path}/none.json", schema).count() == 0
-    (tmp_path / "r.json").write_text('[{"no": "1"}, {"no": "2"}]')
+    (tmp_path / "r.json").write_text('[{"no": "1"},\n {"no": "2"}]\n')
     assert records.report(spark, f"file://{tmp_path}/r.json", schema).count() == 2
     records.append_lines(spark.createDataFrame([("1", None, "u")], "id string, d string, url string"), ["id", "d", "url"], f"file://{tmp_path}/out")
     assert spark.read.text(f"file://{tmp_path}/out").first()[0] == "1||u"
@@ -69,3 +69,34 @@ def test_session_stream(spark, tmp_path):
     stream = snapshots.session_stream(spark.readStream.schema("u long, t timestamp").parquet(f"file://{tmp_path}/ev"), ["u"], "t", "5 minutes", "1 minute")
     snapshots.run_to_end(stream, lambda df, n: seen.extend(r.n for r in df.collect()), f"file://{tmp_path}/cp2")
     assert seen == [2]
+
+
+def test_a_failed_report_leaves_the_old_one(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    path = f"file://{tmp_path}/report"
+    records.write_report(spark.createDataFrame([(1, "a")], "k int, v string"), path)
+    broken = spark.createDataFrame([(2, "b")], "k int, v string").withColumn("v", F.expr("raise_error('no')"))
+    try:
+        records.write_report(broken, path)
+    except Exception as e:  # noqa: BLE001
+        assert "no" in str(e)
+    assert [tuple(r) for r in spark.read.schema("k int, v string").json(path).collect()] == [(1, "a")]
+    assert records.rebuild_table(spark.createDataFrame([(3, "c"), (4, "d")], "k int, v string"), path) == 2
+    assert sorted(r.k for r in spark.read.parquet(path).collect()) == [3, 4]
+
+
+def test_overlaps_of_all_lengths(spark):
+    import random
+
+    from hexapla.operators import sequence
+
+    r = random.Random(5)
+    make = lambda n: [(r.choice("xy"), i, a := r.uniform(-50, 50), a + r.choice((0, 0.5, 3, 40, 10_000)) * r.random()) for i in range(n)]
+    a, b = make(80), make(80)
+    a += [("x", 900, 1.0, 2.0), ("x", 901, 1.0, 2.0)]
+    b += [("x", 900, 1.0, 2.0), ("x", 901, 2.0, 3.0), ("x", 902, 0.0, 1.0)]
+    one = spark.createDataFrame(a, "k string, i int, s double, t double")
+    two = spark.createDataFrame(b, "k string, j int, s double, t double")
+    got = sorted(tuple(x) for x in sequence.overlaps(one, two, "k", "i", "j", ("s", "t"), ("s", "t"), 2.0).collect())
+    assert got == sorted((k, i, j) for k, i, s, t in a for m, j, u, v in b if k == m and s < t and u < v and s < v and u < t)
