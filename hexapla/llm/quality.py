@@ -128,7 +128,9 @@ def thresholds(sketch: DataFrame, min_docs: int = MIN_DOCS) -> DataFrame:
     scored = apart.withColumn("explained", explained)
     quartile = lambda q: F.min(F.when(F.col("upto") * 4 >= F.col("total") * q, F.col("cell")))
     cut = F.max(F.when(F.col("explained").isNotNull(), F.struct("explained", (-F.col("cell")).alias("less"), (F.col("total") - F.col("upto")).alias("above"))))
-    groups_ = scored.groupBy(*key).agg(quartile(1).alias("q1"), quartile(3).alias("q3"), F.max("total").alias("n_docs"), cut.alias("cut"))
+    # the upper quartile by its cell's end: where all values are in a cell, that cell is the spread
+    q3 = quartile(3) + F.call_function("shiftleft", F.lit(1).cast("long"), F.greatest(F.length(F.bin(quartile(3))) - 5, F.lit(0)))
+    groups_ = scored.groupBy(*key).agg(quartile(1).alias("q1"), q3.alias("q3"), F.max("total").alias("n_docs"), cut.alias("cut"))
     good = (F.col("cut.explained") >= EXPLAINED) & (F.col("cut.above") * ONE_IN <= F.col("n_docs"))
     fences = groups_.withColumns({
         "high": F.when(by("fences"), F.expr(f"q3 + {RANGES} * (q3 - q1)")).when(good, -F.col("cut.less")).cast("long"),

@@ -51,16 +51,17 @@ v AS (SELECT lang, source, 'a' AS metric, a AS x FROM m WHERE n_words > 0 UNION
 s AS (SELECT level, CASE WHEN level < 2 THEN lang END AS lang, CASE WHEN level < 1 THEN source END AS source, metric,
              (x >> greatest(length(bin(x)) - 5, 0)) << greatest(length(bin(x)) - 5, 0) AS cell, count(*) AS n
       FROM v, range(3) AS l(level) GROUP BY ALL),
-p AS (SELECT *, CASE WHEN metric = 'a' THEN (cell >> greatest(length(bin(cell)) - 5, 0)) + 16 * greatest(length(bin(cell)) - 5, 0) ELSE cell END AS at FROM s),
-u AS (SELECT *, sum(n) OVER o AS upto, sum(n) OVER w AS total, (sum(n * at) OVER o)::DOUBLE AS sum_upto, (sum(n * at) OVER w)::DOUBLE AS sum_all,
-             (sum(n * at * at) OVER w)::DOUBLE AS squares FROM p
+p AS (SELECT *, CASE WHEN metric = 'a' THEN (cell >> greatest(length(bin(cell)) - 5, 0)) + 16 * greatest(length(bin(cell)) - 5, 0) ELSE cell END AS spot FROM s),
+u AS (SELECT *, sum(n) OVER o AS upto, sum(n) OVER w AS total, (sum(n * spot) OVER o)::DOUBLE AS sum_upto, (sum(n * spot) OVER w)::DOUBLE AS sum_all,
+             (sum(n * spot * spot) OVER w)::DOUBLE AS squares FROM p
       WINDOW w AS (PARTITION BY level, lang, source, metric), o AS (PARTITION BY level, lang, source, metric ORDER BY cell)),
 x AS (SELECT *, sum_upto * total::DOUBLE - sum_all * upto::DOUBLE AS apart FROM u),
 y AS (SELECT level, lang, source, metric, cell, total - upto AS above,
              apart * apart / (upto::DOUBLE * (total - upto)::DOUBLE) / (total::DOUBLE * squares - sum_all * sum_all) AS explained
       FROM x WHERE upto < total QUALIFY row_number() OVER (PARTITION BY level, lang, source, metric ORDER BY explained DESC, cell) = 1),
-q AS (SELECT level, lang, source, metric, min(cell) FILTER (4 * upto >= total) AS q1, min(cell) FILTER (4 * upto >= 3 * total) AS q3,
+q0 AS (SELECT level, lang, source, metric, min(cell) FILTER (4 * upto >= total) AS q1, min(cell) FILTER (4 * upto >= 3 * total) AS q3,
              max(total) AS n_docs FROM u GROUP BY ALL),
+q AS (SELECT level, lang, source, metric, n_docs, q1, q3 + (1 << greatest(length(bin(q3)) - 5, 0)) AS q3 FROM q0),
 fence AS (SELECT q.level, q.lang, q.source, q.metric, n_docs,
                  CASE WHEN q.metric = 'f' THEN q3 + 3 * (q3 - q1) WHEN explained >= 0.6 AND above * 4 <= n_docs THEN cell END AS high,
                  CASE WHEN q.metric = 'f' THEN q1 - 3 * (q3 - q1) END AS low

@@ -125,26 +125,28 @@ def spans(text: Column, rule: Rule, order: int) -> Column:
 
 
 def secret_spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES, block_bits: int = BLOCK_BITS) -> DataFrame:
-    """``docs`` with ``spans``: array of (start, ord, end, kind), sorted by start and the rules' order.
+    """``docs`` with ``spans``: array of (start, ord, end, kind), sorted by start and the rules' order. A column of that name
+    is replaced; all others stay, whatever their names.
 
     The candidates are written to the shared folder; Spark broadcasts them if their known size allows it, and joins by
     shuffle if not.
     """
     queries = _queries(rules)
     indexed = [k for k, q in queries.items() if q != ANY]
-    text = F.coalesce(F.col("text"), F.lit(""))
+    text = F.coalesce(F.col("own.text"), F.lit(""))
+    own = docs.alias("own")
     if indexed:
         index = trigram_index(docs, sorted({t for k in indexed for t in trigrams_of(queries[k])}), block_bits)
-        found = written(candidates(index, rules).select(F.col("doc_id").alias("c_doc_id"), F.col("kinds").alias("c_kinds")), "secret-candidates")
-        docs = docs.join(found, F.col("doc_id") == F.col("c_doc_id"), "left")
+        found = written(candidates(index, rules), "secret-candidates").alias("found")
+        own = own.join(found, F.col("own.doc_id") == F.col("found.doc_id"), "left")
     every = []
     for i, r in enumerate(rules):
         s = spans(text, r, i)
         if r.kind in indexed:
-            wanted = F.col("doc_id").isNull() | F.coalesce(F.array_contains("c_kinds", r.kind), F.lit(False))
+            wanted = F.col("own.doc_id").isNull() | F.coalesce(F.array_contains("found.kinds", r.kind), F.lit(False))
             s = F.when(wanted, s).otherwise(F.array().cast("array<struct<start:bigint,ord:int,end:bigint,kind:string>>"))
         every.append(s)
-    return docs.withColumn("spans", F.sort_array(F.concat(*every))).drop("c_doc_id", "c_kinds")
+    return own.select(*[F.col(f"own.`{c}`") for c in docs.columns if c != "spans"], F.sort_array(F.concat(*every)).alias("spans"))
 
 
 def digest(spans_: Column) -> Column:

@@ -37,8 +37,9 @@ TEXTS = [
 @pytest.fixture(scope="module")
 def docs(spark):
     """The fixture with columns whose names the operators use inside."""
-    rows = [(i, t, None if i == 3 else "en" if (i or 0) % 2 else "fr", "s", len(t or ""), "x", 1) for i, t in TEXTS]
-    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, spans string, kept int").repartition(3)
+    inner = ("spans", "kept", "mark", "rep", "copy", "bits", "length", "salt", "offset", "places", "found", "kinds", "token", "n", "rank", "block", "bucket", "item_id", "score", "base_failed", "words", "row")
+    rows = [(i, t, None if i == 3 else "en" if (i or 0) % 2 else "fr", "s", len(t or ""), *["x"] * len(inner)) for i, t in TEXTS]
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{c} string" for c in inner)).repartition(3)
 
 
 @pytest.fixture(scope="module")
@@ -426,6 +427,12 @@ def test_secrets(docs):
     assert secrets.scanned(docs).count() == len(TEXTS)
 
 
+def test_secret_spans_keep_other_columns(docs):
+    found = secrets.secret_spans(docs)
+    assert found.columns == [*[c for c in docs.columns if c != "spans"], "spans"]
+    assert all(r["kinds"] == r["found"] == "x" for r in found.collect())
+
+
 def test_many_secrets_in_one_text(spark):
     t = "é " + "token=abcdefgh1 " * 700
     df = spark.createDataFrame([(1, t)], "doc_id long, text string")
@@ -477,7 +484,7 @@ def test_thresholds_follow_the_group(spark):
     assert [got[i].kept for i in range(5000, 5005)] == [False, True, False, False, True]
     limits = {(t.source, t.metric): (t.low, t.high, t.n_docs) for t in quality.thresholds(quality.sketches(quality.measured(docs))).collect()}
     assert limits["plain", "symbols_pm"][1] is not None and limits["code", "symbols_pm"][1] is None
-    assert limits["plain", "word_len_x10"][1] < limits["long", "word_len_x10"][0]
+    assert all(limits["plain", "word_len_x10"][k] < limits["long", "word_len_x10"][k] for k in (0, 1))
     assert limits["plain", "word_len_x10"][2] == 302
     assert {t.n_docs for t in quality.thresholds(quality.sketches(quality.measured(docs)), 400).filter("lang = 'en'").collect()} == {603}
 
