@@ -4,6 +4,13 @@ Each stage works on what its predecessor kept: quality rules (rejected documents
 document of each group of near copies stays, the one with the least doc_id), benchmark decontamination (documents in
 which a test item is found go), secret scans (secrets are replaced by a mark), and packing. All but the last return the
 columns of documents.
+
+Defined cases: documents with a null or empty text, or with too few words, go in the first stage. Nulls in other columns
+are values like others: a null language or source is a group of its own, a null doc_id is never a copy of another
+document. Repeated rows of a doc_id are judged by the id: all stay if one is kept, all go if one has a test item; rows
+with equal texts and different ids leave the least id. Long texts are worked on whole. An empty table gives an empty
+result in every stage, and an empty ``benchmark`` rejects nothing. Further columns pass through the first four stages,
+whatever their names.
 """
 
 from __future__ import annotations
