@@ -164,6 +164,15 @@ def ocr_line(c: Column) -> Column:
     return strip(c)
 
 
+def index_line(c: Column) -> Column:
+    """A line of an index as (kind, name, number): ``song`` for a name and a number behind it, ``category`` for a name in
+    brackets, else ``other``."""
+    bracket, song = r"(?U)^\s*【\s*(.+?)\s*】\s*$", r"(?U)^\s*(.*\S)\s+(\d+)\s*$"
+    kind = F.when(c.rlike(bracket), "category").when(c.rlike(song), "song").otherwise("other")
+    name = F.when(c.rlike(bracket), F.regexp_extract(c, bracket, 1)).otherwise(F.regexp_extract(c, song, 1))
+    return F.struct(kind.alias("kind"), name.alias("name"), F.when(kind == "song", F.regexp_extract(c, song, 2).try_cast("long")).alias("number"))
+
+
 def grade(c: Column) -> Column:
     """The digit 0 to 7 of a symbol; null if it has none."""
     return F.nullif(F.regexp_extract(c, "([0-7])", 1), F.lit(""))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from hexapla.plans import checking, filing, merging, reporting, scores, sequences, texts, voting  # noqa: F401  they register their queries
+from hexapla.plans import checking, filing, media, merging, reporting, scores, sequences, texts, voting  # noqa: F401  they register their queries
 from hexapla.plans.registry import ORACLE, QUERIES
 
 __all__ = ["ORACLE", "QUERIES"]

@@ -100,3 +100,44 @@ def test_overlaps_of_all_lengths(spark):
     two = spark.createDataFrame(b, "k string, j int, s double, t double")
     got = sorted(tuple(x) for x in sequence.overlaps(one, two, "k", "i", "j", ("s", "t"), ("s", "t"), 2.0).collect())
     assert got == sorted((k, i, j) for k, i, s, t in a for m, j, u, v in b if k == m and s < t and u < v and s < v and u < t)
+
+
+def test_records_of_decks():
+    import struct
+
+    from hexapla.sources import media
+
+    leaf = lambda kind, data: struct.pack("<HHI", 0, kind, len(data)) + data
+    box = lambda data: struct.pack("<HHI", 15, 1, len(data)) + data
+    role = lambda k: leaf(media.ROLE, struct.pack("<I", k))
+    a, b = leaf(media.WIDE, "詩一".encode("utf-16-le")), leaf(media.NARROW, b"two")
+    assert list(media.text_records(box(role(5) + a) + box(box(role(0)) + b))) == [(5, "詩一"), (0, "two")]
+    broken = struct.pack("<HHI", 0, media.WIDE, 999)
+    # a record that its container can't hold ends the container, not what is behind it
+    assert list(media.text_records(box(role(5) + a + broken) + b)) == [(5, "詩一"), (5, "two")]
+    assert list(media.text_records(a + broken + b)) == [(None, "詩一")]
+    assert list(media.text_records(b"")) == [] and list(media.text_records(b"\x00" * 5)) == []
+    deep = b""
+    for _ in range(3000):
+        deep = box(deep)
+    assert list(media.text_records(deep + b)) == [(None, "two")]
+
+
+def test_durations_and_bad_files(spark):
+    import struct
+
+    from hexapla.sources import media
+
+    box = lambda kind, data: struct.pack(">I4s", len(data) + 8, kind) + data
+    old = box(b"moov", box(b"mvhd", bytes(12) + struct.pack(">II", 1000, 144117)))
+    new = box(b"moov", box(b"udta", b"x") + box(b"mvhd", b"\x01" + bytes(19) + struct.pack(">IQ", 1000, 2500)))
+    frame = b"\xff\xfb\x90\x00"
+    xing = frame + bytes(32) + b"Xing" + struct.pack(">II", 1, 1000) + bytes(100)
+    tagged = b"ID3\x03\x00\x00\x00\x00\x00\x0a" + b"\xff\xfb\x90\x00aaaaaa" + frame + bytes(1596)
+    data = [("a", "m4a", box(b"ftyp", b"M4A ") + old), ("b", "mp4", new), ("c", "mp3", xing), ("d", "mp3", tagged), ("e", "mp3", b"\x00" * 50), ("f", "m4a", b"\x00\x00\x00\x30moov"), ("g", "mp3", None), ("h", "wav", b"RIFF"), ("i", "m4a", box(b"moov", box(b"mvhd", bytes(20))))]
+    got = {r.path: (r.seconds, r.reason) for r in media.durations(spark.createDataFrame(data, "path string, ext string, content binary").repartition(3)).collect()}
+    assert got["a"] == (144.117, None) and got["b"] == (2.5, None) and got["c"] == (round(1000 * 1152 / 44100, 3), None) and got["d"] == (0.1, None)
+    assert all(got[k][0] is None and got[k][1] for k in "efghi") and got["g"][1] == "no file"
+    named = spark.createDataFrame([("1", "piano", "a"), ("1", "vocal", "zz"), ("1", "_error", "a"), ("2", "piano", "e")], "no string, version string, path string")
+    maps = {r.no: (r.seconds, r.reasons) for r in media.duration_maps(named, media.durations(spark.createDataFrame(data, "path string, ext string, content binary"))).collect()}
+    assert maps["1"] == ({"piano": 144.117, "vocal": None}, {"vocal": "no file"}) and maps["2"] == ({"piano": None}, {"piano": "no frame"})
