@@ -36,10 +36,11 @@ def scorecard(rows: DataFrame, group: str, present: str, good: str) -> DataFrame
     )
 
 
-def status_text(expected: Column, there: Column) -> Column:
-    """no_files, completed, failed, or partial(x/y)."""
+def status_text(expected: Column, there: Column, directory: Column | None = None) -> Column:
+    """no_files, completed, failed, or partial(x/y); dir_missing where there should be files and ``directory`` is false."""
+    missing = F.lit(False) if directory is None else ~F.coalesce(directory, F.lit(False))
     return (
-        F.when(expected == 0, "no_files").when(there == expected, "completed").when(there == 0, "failed")
+        F.when(expected == 0, "no_files").when(missing, "dir_missing").when(there == expected, "completed").when(there == 0, "failed")
         .otherwise(F.concat(F.lit("partial("), there.cast("string"), F.lit("/"), expected.cast("string"), F.lit(")")))
     )
 

@@ -281,3 +281,15 @@ def key_set_agreement(spark: SparkSession, sf_dir: str) -> DataFrame:
     two = F.when(F.col("event_id") % 4 != 0, F.create_map(F.col("event_type"), F.lit("q")))
     three = F.create_map(F.when(F.col("event_id") % 6 == 0, F.lit("?")).otherwise(F.col("event_type")), F.lit("r"))
     return e.select("event_id", values.same_keys(one, two, three).alias("same"))
+
+
+@query(
+    "directory_status",
+    """SELECT c_custkey, CASE WHEN n = 0 THEN 'no_files' WHEN c_custkey % 6 = 0 THEN 'dir_missing' WHEN there = n THEN 'completed' WHEN there = 0 THEN 'failed' ELSE 'partial(' || there || '/' || n || ')' END AS status
+       FROM (SELECT c_custkey, count(o_orderkey) AS n, count(o_orderkey) FILTER (o_orderstatus <> 'F') AS there FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY 1)""",
+)
+def directory_status(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is there of each parent's files, parents without any and missing directories included."""
+    o = table(spark, sf_dir, "orders").groupBy("o_custkey").agg(F.count("*").alias("n"), F.count_if(F.col("o_orderstatus") != "F").alias("there"))
+    joined = table(spark, sf_dir, "customer").join(o, F.col("c_custkey") == F.col("o_custkey"), "left").fillna(0, ["n", "there"])
+    return joined.select("c_custkey", reconcile.status_text(F.col("n"), F.col("there"), F.col("c_custkey") % 6 != 0).alias("status"))
