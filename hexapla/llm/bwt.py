@@ -19,7 +19,7 @@ from pyarrow import fs
 #: Files of the construction and the type of their records.
 FILES = {"symbol": np.uint16, "prefix": np.uint8, "owner": np.int32, "length": np.uint8}
 #: Collections of more bytes have their columns in files.
-IN_MEMORY = 1 << 20
+IN_MEMORY = 64 << 10
 #: Documents may have so many bytes at most: lengths and common prefixes are files of single bytes.
 MOST_BYTES = 255
 

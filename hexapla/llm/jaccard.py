@@ -5,8 +5,8 @@ another so much shares three quarters of its shingles with it. This is used four
 link:
 
 1. Shingles that no other document has are counted for each document; documents with less than three quarters of shared
-   ones cannot link. To count, blocks of documents send the shingles' hashes, packed, to buckets of hashes, and get counts
-   back. (32 bits of the hash within a bucket are compared; equal bits of different shingles keep a document too many.)
+   ones cannot link. To count, blocks of documents send the shingles' hashes, packed, to buckets of hashes, and get a bit
+   for each back; only buckets that a block has hashes for get a row, so that rows and bytes grow with the shingles. (32 bits of the hash within a bucket are compared; equal bits of different shingles keep a document too many.)
 2. Documents with equal sets form a class; its least doc_id stands for it from here on.
 3. Of each representative's shingles, rarest first, a prefix of one quarter and one is kept; linked sets share a shingle
    of their prefixes. Sets that share prefix shingles form groups, the components of that relation.
@@ -52,8 +52,8 @@ from hexapla.llm.shingles import shingle_sets
 
 #: Similarity in percent.
 PERCENT = 75
-#: Bytes of text whose shingles are made at a time, and shingles of a block of sets.
-CHUNK_BYTES, BLOCK_SHINGLES = 2 << 20, 250_000
+#: Bytes of text, and texts (numbered in 16 bits), whose shingles are made at a time, and shingles of a block of sets.
+CHUNK_BYTES, CHUNK_ROWS, BLOCK_SHINGLES = 2 << 20, 1 << 15, 250_000
 #: Shingles that a bucket of hashes is to have.
 BUCKET = 1_000_000
 #: A group of more sets, or more shingles, is thinned out and searched by pairs of blocks of so many.
@@ -81,7 +81,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[list[int], list
                 ids.append(i)
                 texts.append(t or b"")
                 size += len(texts[-1])
-                if size > CHUNK_BYTES:
+                if size > CHUNK_BYTES or len(ids) == CHUNK_ROWS:
                     yield ids, shingle_sets(texts)
                     ids, texts, size = [], [], 0
     if ids:
@@ -151,11 +151,10 @@ def shared_counts(docs: DataFrame, buckets: int, parts: int) -> DataFrame:
             lengths = np.fromiter(map(len, sets), np.int64, len(sets))
             order, cuts = s.deal(tokens)
             low = (tokens[order] & np.uint64(0xFFFFFFFF)).astype("<u4")
-            owner = np.repeat(np.arange(len(sets)), lengths)[order]
-            marks = b"".join(map(_mark, sets))
-            rows = [(block, s.head(block), np.array(ids, "<i8").tobytes() + lengths.astype("<i8").tobytes(), marks)]
-            for b, (i, j) in cuts.items():
-                rows.append((block, b, np.stack(np.unique(owner[i:j], return_counts=True)).astype("<u4").tobytes(), low[i:j].tobytes()))
+            # whose the shingles are stays with the block's head, in the order in which the buckets' answers come back
+            owner = np.repeat(np.arange(len(sets)), lengths)[order].astype("<u2")
+            rows = [(block, s.head(block), np.array(ids, "<i8").tobytes() + lengths.astype("<i8").tobytes(), b"".join(map(_mark, sets)) + owner.tobytes())]
+            rows += [(block, b, b"", low[i:j].tobytes()) for b, (i, j) in cuts.items()]
             yield _bucket_rows(rows)
 
     def count(batches):
@@ -164,12 +163,7 @@ def shared_counts(docs: DataFrame, buckets: int, parts: int) -> DataFrame:
                 for at in range(0, len(rows), 64):
                     yield _bucket_rows(rows[at : at + 64])
                 continue
-            out = []
-            for row, df in zip(rows, _frequency(rows), strict=True):
-                owner, per = np.frombuffer(row[2], "<u4").reshape(2, -1).astype(np.int64)
-                found = np.add.reduceat((df > 1).astype("<u4"), np.cumsum(per) - per)
-                out.append((row[0], bucket, owner.astype("<u4").tobytes(), found.astype("<u4").tobytes()))
-            yield _bucket_rows(out)
+            yield _bucket_rows([(r[0], bucket, len(df).to_bytes(4, "little"), np.packbits(df > 1).tobytes()) for r, df in zip(rows, _frequency(rows), strict=True)])
 
     def gather(batches):
         for rows in _blocks(batches):
@@ -178,11 +172,11 @@ def shared_counts(docs: DataFrame, buckets: int, parts: int) -> DataFrame:
                 raise ValueError("a block has lost its head")
             k = len(head[2]) // 16
             ids, lengths = np.frombuffer(head[2], "<i8").reshape(2, k)
-            shared = np.zeros(k, np.int64)
-            for r in rows[1:]:
-                shared[np.frombuffer(r[2], "<u4")] += np.frombuffer(r[3], "<u4")
+            bits = [np.unpackbits(np.frombuffer(r[3], np.uint8), count=int.from_bytes(r[2], "little")) for r in rows[1:]]
+            owner = np.frombuffer(head[3], "<u2", offset=16 * k)
+            shared = np.bincount(owner, np.concatenate(bits) if bits else None, k).astype(np.int64)
             marks = [head[3][16 * i : 16 * i + 16] for i in range(k)]
-            numbers = np.frombuffer(head[3], "<i8")[::2]
+            numbers = np.frombuffer(head[3], "<i8", 2 * k)[::2]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, lengths, marks, numbers, shared)], ["doc_id", "n", "mark", "class", "shared"])
 
     sent = docs.mapInArrow(send, _BUCKETED).repartition(parts, "bucket").sortWithinPartitions("bucket")

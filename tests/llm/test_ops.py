@@ -170,9 +170,9 @@ def test_bwt_is_the_suffix_order(monkeypatch, tmp_path):
 
 
 def test_large_collections_are_files(tmp_path, monkeypatch):
-    """At the default bound: a collection of more than a megabyte is built in files, which go at the end."""
+    """At the default bound: a collection of some size is built in files, which go at the end."""
     r = random.Random(8)
-    d = [bytes(r.choices(b"abcd", k=60)) for _ in range(18_000)]
+    d = [bytes(r.choices(b"abcd", k=60)) for _ in range(2_000)]
     files = []
     write = bwt.Columns.write
 
@@ -188,6 +188,20 @@ def test_large_collections_are_files(tmp_path, monkeypatch):
     assert tails == sorted(tails)
 
 
+def test_the_query_builds_files(spark):
+    """The documents of a small table make collections that are built in files below the shared folder."""
+    from pathlib import Path
+
+    from hexapla.llm.common import shared_dir
+
+    shared = Path(shared_dir(spark).removeprefix("file://"))
+    before = set(shared.glob("substrings-columns-*"))
+    found = substrings.deduplicated(spark.read.parquet("/root/testdata/sf0.01/documents.parquet"))
+    assert found.filter("n_removed > 0").count() > 0
+    (folder,) = set(shared.glob("substrings-columns-*")) - before
+    assert not list(folder.iterdir())
+
+
 def brute_removed(texts):
     first, out = {}, []
     for i, t in sorted((x for x in texts if x[0] is not None), key=lambda x: x[0]):
