@@ -10,6 +10,7 @@ begins another. Collections below ``IN_MEMORY``, and those on file systems that
 
 from __future__ import annotations
 
+import re
 import uuid
 
 import numpy as np
@@ -44,7 +45,7 @@ class Columns:
         self.held, self.system, self.path = {}, None, None
         if folder:
             try:
-                self.system, path = fs.FileSystem.from_uri(folder)
+                self.system, path = fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", folder))
             except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
                 return
             self.path = f"{path.rstrip('/')}/{uuid.uuid4().hex}"
