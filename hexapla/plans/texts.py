@@ -80,7 +80,17 @@ def natural_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return keyed.orderBy("key").select("p_partkey", number(1).alias("first"), number(3).alias("second"))
 
 
-@query("html_to_text")
+_BLOCKS = r"(?i)<br\s*/?>|</p>\s*<p[^>]*>|</?(p|div|li|ul|ol|h[1-6]|tr|table|section|article)\b[^>]*>"
+
+
+@query(
+    "html_to_text",
+    rf"""WITH m AS (SELECT page_id, regexp_replace(regexp_replace(coalesce(html, ''), '(?is)<script\b.*?</script\s*>', '', 'g'), '(?is)<style\b.*?</style\s*>', '', 'g') AS h FROM pages),
+        t AS (SELECT page_id, regexp_replace(regexp_replace(h, '{_BLOCKS}', chr(10), 'g'), '(?s)<[^>]*>', '', 'g') AS t FROM m),
+        u AS (SELECT page_id, replace(replace(replace(replace(replace(replace(t, '&copy;', '©'), '&middot;', '·'), '&quot;', '"'), '&lt;', '<'), '&gt;', '>'), '&amp;', '&') AS u FROM t),
+        l AS (SELECT page_id, array_to_string(list_transform(string_split(regexp_replace(u, '\r\n?', chr(10), 'g'), chr(10)), lambda x: regexp_replace(x, '^{_WS}+|{_WS}+$', '', 'g')), chr(10)) AS l FROM u)
+        SELECT page_id, regexp_replace(regexp_replace(l, '\n{{3,}}', chr(10) || chr(10), 'g'), '^{_WS}+|{_WS}+$', '', 'g') AS text FROM l""",
+)
 def html_to_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as plain text."""
     return table(spark, sf_dir, "pages").select("page_id", text.html_to_text(F.col("html")).alias("text"))
