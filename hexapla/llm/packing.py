@@ -29,7 +29,7 @@ SIZE = 1024
 #: Distinct pieces of text whose ids a worker keeps while it cuts documents.
 MOST_PIECES = 1_000_000
 #: Ranks are counted apart for each length and salt; a salt is to have so many pieces.
-SALT_ROWS = 4_096
+SALT_ROWS = 1_024
 
 
 def pack_histogram(counts: dict[int, int], size: int = SIZE) -> list[tuple[tuple[int, ...], int]]:
