@@ -42,7 +42,7 @@ class Columns:
     """The columns of a collection: files in a folder of their own, or arrays where no folder is given."""
 
     def __init__(self, folder: str | None = None):
-        self.held, self.system, self.path = {}, None, None
+        self.held, self.names, self.system, self.path = {}, {}, None, None
         if folder:
             try:
                 self.system, path = fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", folder))
@@ -57,15 +57,19 @@ class Columns:
             if self.system is None:
                 self.held[name] = values
             else:
-                with self.system.open_output_stream(f"{self.path}/{name}") as out:
+                # a new file for each round, so that no store has to bring a file that is written over to its disks
+                before, self.names[name] = self.names.get(name), f"{self.path}/{name}-{uuid.uuid4().hex}"
+                with self.system.open_output_stream(self.names[name]) as out:
                     out.write(values.data.cast("B") if len(values) else b"")
+                if before:
+                    self.system.delete_file(before)
 
     def read(self) -> list[np.ndarray]:
         if self.system is None:
             return [self.held[name] for name in FILES]
         found = []
         for name, kind in FILES.items():
-            with self.system.open_input_stream(f"{self.path}/{name}") as file:
+            with self.system.open_input_stream(self.names[name]) as file:
                 found.append(np.frombuffer(file.read(), kind))
         return found
 
