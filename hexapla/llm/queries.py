@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexapla.llm import chat, contamination, jaccard, language, licences, packing, quality, secrets, substrings, tokens
+from hexapla.llm import chat, contamination, jaccard, language, licences, manifest, packing, quality, secrets, substrings, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -157,5 +157,30 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licences(_table(spark, sf_dir, "documents")).drop("places")
 
 
-QUERIES: dict[str, Query] = {"op1_jaccard": op1_jaccard, "op2_language": op2_language, "op3_packing": op3_packing, "op4_token_ids": op4_token_ids, "op5_secrets": op5_secrets, "op6_substrings": op6_substrings, "op7_quality": op7_quality, "op8_decontamination": op8_decontamination, "op9_chat": op9_chat, "op10_licences": op10_licences}
-ORACLE: dict[str, str] = {"op5_secrets": _op5_sql(), "op7_quality": OP7_SQL}
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Merkle manifest of all documents by language, and which of them still prove after some were altered."""
+    altered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    return manifest.audited(_table(spark, sf_dir, "documents"), altered={"n_chars": F.col("n_chars") + 1}, where=altered)
+
+
+def _op12_sql() -> str:
+    field = lambda c: f"coalesce(strlen(CAST({c} AS VARCHAR)) || ':' || {c}, '-')"
+    leaf = lambda n: f"sha256({' || '.join(map(field, ('doc_id', 'source', 'lang', n, 'text')))})"
+    bits = "list_reduce(range(8), lambda a, k: xor(a >> 1, CASE WHEN a % 2 = 1 THEN 3988292384 ELSE 0 END), xor(c, b))"
+    crc = f"xor(list_reduce(list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT), lambda c, b: {bits}, 4294967295), 4294967295)"
+    up = lambda name: f"SELECT lev + 1, g, i // 2, (n + 1) // 2, sha256(string_agg(h, '' ORDER BY i)) FROM {name} WHERE n > 1 GROUP BY lev, g, i // 2, n"
+    fold = lambda name, nodes: f"""SELECT f.lev + 1, f.g, f.id, f.at // 2, sha256(CASE WHEN f.at % 2 = 1 THEN s.h || f.h ELSE f.h || coalesce(s.h, '') END), f.proof || coalesce(s.h, ''), (f.n + 1) // 2
+            FROM {name} f LEFT JOIN {nodes} s ON s.lev = f.lev AND s.g = f.g AND s.i = xor(f.at, 1) WHERE f.n > 1"""
+    return f"""
+    WITH RECURSIVE d AS (SELECT *, {leaf('n_chars')} AS leaf, {leaf('(n_chars + 1)')} AS other, {crc} % 7 = 0 AS altered FROM documents),
+    k AS (SELECT *, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS g, row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY lang) AS n FROM d),
+    nodes AS (SELECT 0 AS lev, g, i, n, leaf AS h FROM k UNION ALL {up('nodes')}),
+    tops AS (SELECT 0 AS lev, 0 AS g, g AS i, (SELECT count(*) FROM nodes WHERE n = 1) AS n, h FROM nodes WHERE n = 1 UNION ALL {up('tops')}),
+    low AS (SELECT 0 AS lev, g, i AS id, i AS at, CASE WHEN altered THEN other ELSE leaf END AS h, '' AS proof, n FROM k UNION ALL {fold('low', 'nodes')}),
+    high AS (SELECT 0 AS lev, 0 AS g, g || ':' || id AS id, g AS at, h, proof, (SELECT count(*) FROM nodes WHERE n = 1) AS n FROM low WHERE n = 1 UNION ALL {fold('high', 'tops')})
+    SELECT k.doc_id, k.leaf, s.h AS subroot, t.h AS root, sha256(f.proof) AS proof_sha256, f.h AS folded_root, f.h = t.h AS verified
+    FROM k JOIN nodes s ON s.n = 1 AND s.g = k.g JOIN tops t ON t.n = 1 JOIN high f ON f.n = 1 AND f.id = k.g || ':' || k.i"""
+
+
+QUERIES: dict[str, Query] = {"op1_jaccard": op1_jaccard, "op2_language": op2_language, "op3_packing": op3_packing, "op4_token_ids": op4_token_ids, "op5_secrets": op5_secrets, "op6_substrings": op6_substrings, "op7_quality": op7_quality, "op8_decontamination": op8_decontamination, "op9_chat": op9_chat, "op10_licences": op10_licences, "op12_manifest": op12_manifest}
+ORACLE: dict[str, str] = {"op5_secrets": _op5_sql(), "op7_quality": OP7_SQL, "op12_manifest": _op12_sql()}
