@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexapla.llm import chat, contamination, jaccard, language, licences, manifest, packing, quality, secrets, substrings, tokens
+from hexapla.llm import chat, collocations, contamination, jaccard, language, licences, manifest, packing, quality, secrets, substrings, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -182,5 +182,31 @@ def _op12_sql() -> str:
     FROM k JOIN nodes s ON s.n = 1 AND s.g = k.g JOIN tops t ON t.n = 1 JOIN high f ON f.n = 1 AND f.id = k.g || ':' || k.i"""
 
 
-QUERIES: dict[str, Query] = {"op1_jaccard": op1_jaccard, "op2_language": op2_language, "op3_packing": op3_packing, "op4_token_ids": op4_token_ids, "op5_secrets": op5_secrets, "op6_substrings": op6_substrings, "op7_quality": op7_quality, "op8_decontamination": op8_decontamination, "op9_chat": op9_chat, "op10_licences": op10_licences, "op12_manifest": op12_manifest}
-ORACLE: dict[str, str] = {"op5_secrets": _op5_sql(), "op7_quality": OP7_SQL, "op12_manifest": _op12_sql()}
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The phrases of each language whose words occur together most beyond chance."""
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+OP13_SQL = r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+o AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+g AS (SELECT lang, m, array_to_string(ws[i : i + m - 1], ' ') AS phrase, count(*) AS c FROM o, range(1, 6) AS s(m) WHERE i + m - 1 <= len(ws) GROUP BY ALL),
+f AS (SELECT * FROM g WHERE c >= 100),
+total AS (SELECT lang, sum(c)::BIGINT AS n FROM g WHERE m = 1 GROUP BY lang),
+x AS (SELECT lang, m, phrase, c, string_split(phrase, ' ') AS ws FROM f WHERE m > 1),
+inner_ AS (SELECT DISTINCT y.lang, y.phrase FROM x y JOIN (SELECT lang, c, m, unnest(range(2, m)) AS k, ws FROM x) z ON y.lang = z.lang AND y.m = z.k AND z.c >= y.c
+           WHERE list_contains(list_transform(range(1, z.m - z.k + 2), lambda i: array_to_string(z.ws[i : i + z.k - 1], ' ')), y.phrase)),
+cut AS (SELECT x.*, unnest(range(1, m)) AS k FROM x),
+s AS (SELECT cut.lang, cut.phrase, cut.c AS a, l.c AS l, r.c AS r, total.n, k, ((1000 * cut.c::HUGEINT * total.n::HUGEINT) // (l.c::HUGEINT * r.c::HUGEINT))::BIGINT AS score
+      FROM cut JOIN f l ON l.lang = cut.lang AND l.phrase = array_to_string(ws[1 : k], ' ') JOIN f r ON r.lang = cut.lang AND r.phrase = array_to_string(ws[k + 1 :], ' ')
+      JOIN total ON total.lang = cut.lang),
+b AS (SELECT * FROM s WHERE (lang, phrase) NOT IN (SELECT (lang, phrase) FROM inner_) QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+q AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b)
+SELECT lang, rank, phrase, a, l, r, n, score FROM q WHERE rank <= 2000
+"""
+
+
+QUERIES: dict[str, Query] = {"op1_jaccard": op1_jaccard, "op2_language": op2_language, "op3_packing": op3_packing, "op4_token_ids": op4_token_ids, "op5_secrets": op5_secrets, "op6_substrings": op6_substrings, "op7_quality": op7_quality, "op8_decontamination": op8_decontamination, "op9_chat": op9_chat, "op10_licences": op10_licences, "op12_manifest": op12_manifest, "op13_collocations": op13_collocations}
+ORACLE: dict[str, str] = {"op5_secrets": _op5_sql(), "op7_quality": OP7_SQL, "op12_manifest": _op12_sql(), "op13_collocations": OP13_SQL}
