@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hexapla.llm import chat, collocations, contamination, jaccard, language, licences, manifest, packing, quality, secrets, substrings, tokens
+from hexapla.llm import chat, collocations, contamination, jaccard, language, licences, manifest, packing, passages, quality, secrets, substrings, tokens
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -157,6 +157,12 @@ def op10_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.licences(_table(spark, sf_dir, "documents")).drop("places")
 
 
+def op11_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses, and a digest of what it keeps, when 50-word windows of earlier documents are removed."""
+    found = passages.deduplicated(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Merkle manifest of all documents by language, and which of them still prove after some were altered."""
     altered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
@@ -208,5 +214,5 @@ SELECT lang, rank, phrase, a, l, r, n, score FROM q WHERE rank <= 2000
 """
 
 
-QUERIES: dict[str, Query] = {"op1_jaccard": op1_jaccard, "op2_language": op2_language, "op3_packing": op3_packing, "op4_token_ids": op4_token_ids, "op5_secrets": op5_secrets, "op6_substrings": op6_substrings, "op7_quality": op7_quality, "op8_decontamination": op8_decontamination, "op9_chat": op9_chat, "op10_licences": op10_licences, "op12_manifest": op12_manifest, "op13_collocations": op13_collocations}
+QUERIES: dict[str, Query] = {"op1_jaccard": op1_jaccard, "op2_language": op2_language, "op3_packing": op3_packing, "op4_token_ids": op4_token_ids, "op5_secrets": op5_secrets, "op6_substrings": op6_substrings, "op7_quality": op7_quality, "op8_decontamination": op8_decontamination, "op9_chat": op9_chat, "op10_licences": op10_licences, "op11_passages": op11_passages, "op12_manifest": op12_manifest, "op13_collocations": op13_collocations}
 ORACLE: dict[str, str] = {"op5_secrets": _op5_sql(), "op7_quality": OP7_SQL, "op12_manifest": _op12_sql(), "op13_collocations": OP13_SQL}
