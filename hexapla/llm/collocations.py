@@ -42,9 +42,9 @@ from hexapla.llm.common import written
 #: language.
 DEPTH, LEAST, SHARE, FIRST = 5, 100, 100, 2000
 #: Bytes of text in a block; paths in a task's trie, in a range, and between two of the marks that give the quantiles.
-BLOCK_BYTES, MOST_PATHS, RANGE_PATHS, STEP = 4 << 20, 1_000_000, 1_000_000, 20_000
+BLOCK_BYTES, MOST_PATHS, RANGE_PATHS, STEP = 4 << 20, 700_000, 500_000, 10_000
 #: Ranges that tries are dealt out to at a time, marks that these are chosen from, and bytes of a word in a mark.
-MOST_RANGES, MOST_MARKS, MARK_BYTES = 4096, 1_000_000, 64
+MOST_RANGES, MOST_MARKS, MARK_BYTES = 1024, 1_000_000, 64
 
 _FOLD = bytes(10 if chr(c) in ".,;:!?\n\v\f\r" else 32 if c == 9 else c + 32 if 65 <= c <= 90 else c for c in range(256))
 _PIECE = re.compile(rb"[.,;:!?\n\v\f\r]")
