@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import unicodedata
+from collections import Counter
 from difflib import SequenceMatcher
 
 import pandas as pd
@@ -12,6 +13,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 CJK = r"\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}"
+#: Marks that are taken out before syllables are counted, and the characters that are a syllable each.
+UNSUNG = "，。、；：！？「」『』（）()《》〈〉“”‘’…—～~·-–.!?,;:\"'[]{}|/\\"
+SUNG = r"\x{3040}-\x{30ff}\x{3400}-\x{9fff}"
 #: File extensions that are written differently.
 EXTENSION_ALIASES = {"mp4": "m4a", "jpeg": "jpg", "htm": "html"}
 
@@ -66,9 +70,10 @@ def drop_space(c: Column) -> Column:
 
 
 def syllable_count(c: Column) -> Column:
-    """CJK characters, one each, and words of Latin letters or digits, after punctuation is removed."""
-    bare = F.regexp_replace(c, r"[\p{P}\p{S}]", "")
-    return F.regexp_count(bare, F.lit(f"[{CJK}]")) + F.regexp_count(bare, F.lit(r"[\p{IsLatin}\p{N}]+"))
+    """CJK and kana characters, one each, and runs of the letters A to Z, after marks and white space are taken out. Digits are
+    not sung. Words with nothing but space or marks between them are one run: ``hello world`` counts 1."""
+    bare = F.regexp_replace(F.translate(c, UNSUNG, ""), r"(?U)\s+", "")
+    return F.regexp_count(bare, F.lit(f"[{SUNG}]")) + F.regexp_count(bare, F.lit("[A-Za-z]+"))
 
 
 def class_count(c: Column, chars: str) -> Column:
@@ -206,18 +211,26 @@ def seq_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else SequenceMatcher(None, x, y, autojunk=False).ratio() for x, y in zip(a, b, strict=True)], dtype="float64")
 
 
+def _coverage(x: str | None, y: str | None, percent: int = 0) -> float | None:
+    if x is None or y is None:
+        return None
+    if not x or x in y:
+        return 1.0
+    if percent and 100 * (Counter(x) & Counter(y)).total() < percent * len(x):
+        return 0.0
+    return sum(b.size for b in SequenceMatcher(None, x, y, autojunk=False).get_matching_blocks()) / len(x)
+
+
 @F.pandas_udf(T.DoubleType())
 def seq_coverage(part: pd.Series, whole: pd.Series) -> pd.Series:
     """The part of ``part`` that is found in ``whole`` in order: 1 if contained, else matching blocks' length over its own."""
+    return pd.Series([_coverage(x, y) for x, y in zip(part, whole, strict=True)], dtype="float64")
 
-    def one(x, y):
-        if x is None or y is None:
-            return None
-        if not x or x in y:
-            return 1.0
-        return sum(b.size for b in SequenceMatcher(None, x, y, autojunk=False).get_matching_blocks()) / len(x)
 
-    return pd.Series([one(x, y) for x, y in zip(part, whole, strict=True)], dtype="float64")
+@F.pandas_udf(T.DoubleType())
+def coverage_from(part: pd.Series, whole: pd.Series, percent: pd.Series) -> pd.Series:
+    """``seq_coverage``, or 0 where ``whole`` hasn't ``percent`` of the characters of ``part``, in whatever order."""
+    return pd.Series([_coverage(*x) for x in zip(part, whole, percent, strict=True)], dtype="float64")
 
 
 @F.pandas_udf(T.IntegerType())

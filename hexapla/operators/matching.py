@@ -3,12 +3,15 @@ everything."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from hexapla.functions.notation import VERSIONS
-from hexapla.functions.text import CJK, seq_coverage, seq_ratio
+from hexapla.functions.text import coverage_from, seq_ratio
+from hexapla.operators import segments
 
 
 def _runs(c: Column, size: int) -> Column:
@@ -47,11 +50,6 @@ def exact_then_fuzzy(asked: DataFrame, titles: DataFrame, percent: int = 75) ->
     return exact.unionByName(best.select("asked", "b.number", "b.ratio", F.lit("fuzzy").alias("kind")))
 
 
-def _word_runs(df: DataFrame, words: str, size: int) -> DataFrame:
-    each = F.transform(F.sequence(F.lit(0), F.size(words) - size), lambda i: F.xxhash64(*[F.get(words, i + k) for k in range(size)]))
-    return df.filter(F.size(words) >= size).withColumn("run", F.explode(F.array_distinct(each)))
-
-
 def _by_rare_characters(items: DataFrame, docs: DataFrame, percent: int) -> DataFrame:
     """(doc_id, item_id) of documents that may have ``percent`` of an item's characters, none lost.
 
@@ -72,42 +70,37 @@ def _by_rare_characters(items: DataFrame, docs: DataFrame, percent: int) -> Data
     return both.groupBy("doc_id", "item_id", "need").agg(F.sum(F.least("n", "m")).alias("shared")).filter("shared >= need").select("doc_id", "item_id")
 
 
-def best_coverage(items: DataFrame, docs: DataFrame, percent: int = 90, size: int = 4) -> DataFrame:
+#: Items of fewer characters are looked for by their rarest characters.
+SHORT = 12
+
+
+def best_coverage(items: DataFrame, docs: DataFrame, percent: int = 90, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """From (item_id, item) and (doc_id, text): (item_id, doc_id, coverage) of the document that covers most of each item, in
     order, ``percent`` at least, ties to the lower doc_id. Empty items match nothing.
 
-    Items of fewer than ``2 * size - 1`` words, and all with CJK characters, whose words aren't set apart, have all
-    documents looked for by their rarest characters. So do documents that contain the item. For longer items candidates
-    share ``size`` runs of ``size`` words; documents that cover such an item but are edited so densely that they share
-    fewer runs are not found.
+    An item of ``SHORT`` characters or more that may lose k of them is looked for by k + 1 segments: all documents are found
+    that lack some of its characters, or have others between them, at no more than k places together. Shorter items are
+    looked for by their rarest characters, whatever stands between them. ``keep`` writes a table and reads it back.
     """
-    pieces = lambda c: F.regexp_extract_all(F.lower(c), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
     items, docs = items.select("item_id", "item").filter("item <> ''"), docs.select("doc_id", "text")
-    short = items.filter((F.size(pieces(F.col("item"))) < 2 * size - 1) | F.col("item").rlike(f"[{CJK}]"))
-    long = items.join(short.select("item_id"), "item_id", "left_anti")
-    left = _word_runs(long.select("item_id", pieces(F.col("item")).alias("w")), "w", size).select("item_id", "run")
-    right = _word_runs(docs.select("doc_id", pieces(F.col("text")).alias("w")), "w", size).select("doc_id", "run")
-    pairs = right.join(left, "run").groupBy("doc_id", "item_id").agg(F.count("*").alias("n")).filter(F.col("n") >= size).select("doc_id", "item_id")
-    pairs = pairs.unionByName(contained(long, docs, size).select("doc_id", "item_id")).unionByName(_by_rare_characters(short, docs, percent)).distinct()
-    scored = pairs.join(items, "item_id").join(docs, "doc_id").withColumn("coverage", seq_coverage("item", "text"))
-    best = scored.filter(F.col("coverage") * 100 >= percent).groupBy("item_id").agg(F.min_by(F.struct("doc_id", "coverage"), F.struct(-F.col("coverage"), "doc_id")).alias("b"))
-    return best.select("item_id", "b.doc_id", "b.coverage")
-
-
-def contained(items: DataFrame, docs: DataFrame, size: int = 4) -> DataFrame:
+    length = F.length("item")
+    fits = (length >= SHORT) & segments.segment_size(length, percent).isNotNull()
+    short = _by_rare_characters(items.filter(~fits), docs, percent).join(items, "item_id").join(docs, "doc_id")
+    pairs = segments.candidates(items.filter(fits), docs, percent, keep).unionByName(short)
+    # comparing takes long, and few pairs would else be left in a few tasks
+    spread = pairs.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "item_id", "doc_id")
+    scored = spread.select("item_id", "doc_id", coverage_from("item", "text", F.lit(percent)).alias("coverage"))
+    best = scored.groupBy("item_id").agg(F.min_by(F.struct("doc_id", "coverage"), F.struct(-F.col("coverage"), "doc_id")).alias("b"))
+    return best.select("item_id", "b.doc_id", "b.coverage").filter(F.col("coverage") * 100 >= percent)
+
+
+def contained(items: DataFrame, docs: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """From (item_id, item) and (doc_id, text): (item_id, doc_id) where the document contains the item. Empty items are left
-    out.
-
-    An item's words from the second to the last but one stand whole in the document, so ``size`` of them are a key to join
-    on. Items with fewer words are joined by their rarest character, and those that may be there are compared.
-    """
-    pieces = lambda c: F.regexp_extract_all(c, F.lit(r"\S+"), F.lit(0))
+    out. An item is its only segment; of one character, it is looked for by that."""
     items, docs = items.select("item_id", "item").filter("item <> ''"), docs.select("doc_id", "text")
-    keyed = items.withColumn("w", pieces(F.col("item"))).withColumn("run", F.when(F.size("w") >= size + 2, F.xxhash64(*[F.get("w", F.lit(1 + k)) for k in range(size)])))
-    runs = _word_runs(docs.select("doc_id", pieces(F.col("text")).alias("w")), "w", size).select("doc_id", "run")
-    pairs = runs.join(keyed.filter("run is not null").select("item_id", "run"), "run").select("doc_id", "item_id").distinct()
-    every = pairs.unionByName(_by_rare_characters(keyed.filter("run is null").select("item_id", "item"), docs, 100))
-    return every.join(items, "item_id").join(docs, "doc_id").filter(F.col("text").contains(F.col("item"))).select("item_id", "doc_id")
+    one = segments.segment_size(F.length("item"), 100).isNull()
+    short = _by_rare_characters(items.filter(one), docs, 100).join(items, "item_id").join(docs, "doc_id")
+    return segments.candidates(items.filter(~one), docs, 100, keep).unionByName(short).filter(F.col("text").contains(F.col("item"))).select("item_id", "doc_id")
 
 
 def tolerant_join(one: DataFrame, two: DataFrame, key: str, name: str) -> DataFrame:

@@ -96,7 +96,7 @@ def file_facts(slides: DataFrame) -> DataFrame:
     return got.select("file", *fields, version.alias("version"), "slide_count", period["period"].alias("period"), period["repeats"].alias("repeats"), F.coalesce(marker, F.lit(False)).alias("marker_ok"), "structure_ok")
 
 
-def hymn_of_files(facts: DataFrame, slides: DataFrame, hymns: DataFrame, verses: DataFrame) -> DataFrame:
+def hymn_of_files(facts: DataFrame, slides: DataFrame, hymns: DataFrame, verses: DataFrame, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """(file, number, score, kind): each file's hymn. Titles decide, by version where they have one; where they give none or
     several, the lyrics of the first slides are looked up among all verses, and the first slide that is covered by one to
     nine tenths names the hymn (``lyric``). ``hymns`` are (number, title), ``verses`` (number, verse_no, verse)."""
@@ -108,7 +108,7 @@ def hymn_of_files(facts: DataFrame, slides: DataFrame, hymns: DataFrame, verses:
     first = open_.withColumn("place", F.row_number().over(Window.partitionBy("file").orderBy("stanza_no"))).filter(F.col("place") <= LOOKED_UP)
     items = first.select(F.struct("file", "place").alias("item_id"), compare_text(F.col("said")).alias("item"))
     texts = verses.select(F.struct("number", "verse_no").alias("doc_id"), compare_text(F.col("verse")).alias("text")).filter("text <> ''")
-    said = best_coverage(items, texts).select("item_id.file", "item_id.place", F.col("doc_id.number").alias("l_number"), F.round("coverage", 3).alias("l_score"))
+    said = best_coverage(items, texts, keep=keep).select("item_id.file", "item_id.place", F.col("doc_id.number").alias("l_number"), F.round("coverage", 3).alias("l_score"))
     by_lyric = said.groupBy("file").agg(F.min_by(F.struct("l_number", "l_score"), "place").alias("l"))
     got = known.join(by_lyric, "file", "left")
     there = F.col("l").isNotNull()
@@ -150,7 +150,7 @@ def slide_headers(slides: DataFrame, hymns: DataFrame, verses: DataFrame, chorus
     """
     one = keep(stanzas(slide_lines(slides)))
     facts = keep(file_facts(one))
-    hymn = keep(hymn_of_files(facts, one, hymns, verses))
+    hymn = keep(hymn_of_files(facts, one, hymns, verses, keep))
     matched = stanza_matches(one, hymn, verses, choruses).groupBy("file").agg(F.count_if("is_chorus").alias("chorus_slides"), F.min("score").alias("verse_score"))
     lines = line_counts(one).groupBy("file").agg(
         F.count("*").alias("pair_count"), F.sum("note_count").alias("note_total"), F.count_if(F.col("count_delta") < 0).alias("short"), F.count_if(F.col("noise") != "").alias("noisy")

@@ -138,7 +138,8 @@ _FAULTS = "p_partkey % 5 = 1 AS numbering, p_partkey % 11 = 3 AS structure, p_pa
 def slide_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two slides for each part, some with a fault, and what the checks find.
 
-    The lyrics spell the part's number in CJK characters, each line in another alphabet, so each hymn has its own.
+    The lyrics spell the part's number in CJK characters, each line in another alphabet, so each hymn has its own. The first
+    line has a verse number, which is not sung.
     """
     p = table(spark, sf_dir, "part").selectExpr("p_partkey", *[x.strip().replace(" AS ", " as ") for x in _FAULTS.split(", ")])
     spelt = lambda a: F.translate(F.lpad(F.col("p_partkey").cast("string"), 6, "0"), "0123456789", a)
@@ -147,8 +148,8 @@ def slide_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     title = F.when(F.col("renamed"), "不同的名字").otherwise(name)
     notes = lambda other: F.when(F.col("short"), "1 2 3 5 6").when(other, "1 2 3 5 6 6").otherwise("1 2 3 5 6 5")
     more = F.when(F.col("structure"), "（旁白）\r").otherwise("")
-    body = lambda said, other: F.concat(notes(other), F.lit("\r"), said[0], F.lit("，\r"), F.lit("5 5 3 3 2 1 |\r"), said[1], F.lit("。\r"))
-    one = F.concat(F.col("p_partkey").cast("string"), F.lit("、"), title, F.lit(" G调 3/4 ♩=88\r"), body(first, F.lit(False)), more, F.lit("1/2\r。"))
+    body = lambda said, other, ahead="": F.concat(notes(other), F.lit("\r" + ahead), said[0], F.lit("，\r"), F.lit("5 5 3 3 2 1 |\r"), said[1], F.lit("。\r"))
+    one = F.concat(F.col("p_partkey").cast("string"), F.lit("、"), title, F.lit(" G调 3/4 ♩=88\r"), body(first, F.lit(False), "1. "), more, F.lit("1/2\r。"))
     two = F.concat(F.when(F.col("chorus"), "1\r(副歌)\r").otherwise(""), body(second, F.col("tune")), F.when(F.col("numbering"), "2/3").otherwise("2/2"))
     two = F.when(F.col("chorus"), F.substring(two, 3, 1 << 20)).otherwise(two)
     text = F.explode(F.array(F.struct(F.lit(1).alias("stanza_no"), one.alias("text")), F.struct(F.lit(2).alias("stanza_no"), two.alias("text"))))

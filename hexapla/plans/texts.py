@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from hexapla.functions import text, values
 from hexapla.operators import matching, resources
 from hexapla.plans.registry import query
+from hexapla.sources.scratch import kept
 from hexapla.sources.tables import table
 
 #: White space as RE2 and Java both take it.
@@ -26,10 +27,17 @@ def compare_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", text.compare_key(F.col("text"), {"é": "e", "è": "e"}).alias("key"))
 
 
-@query("word_counts", r"SELECT doc_id, len(regexp_extract_all(regexp_replace(text, '[\p{P}\p{S}]', '', 'g'), '[\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}\x{f900}-\x{faff}]')) + len(regexp_extract_all(regexp_replace(text, '[\p{P}\p{S}]', '', 'g'), '[\p{Latin}\p{N}]+')) AS n FROM documents")
+_UNSUNG = text.UNSUNG.replace("'", "''")
+
+
+@query(
+    "word_counts",
+    rf"""SELECT doc_id, len(regexp_extract_all(t, '[{text.SUNG}]')) + len(regexp_extract_all(t, '[A-Za-z]+')) AS n
+        FROM (SELECT doc_id, regexp_replace(translate('3. 主愛ひかり ' || text, '{_UNSUNG}', ''), '[\s\p{{Z}}]', '', 'g') AS t FROM documents)""",
+)
 def word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Syllables: CJK characters and Latin words."""
-    return table(spark, sf_dir, "documents").select("doc_id", text.syllable_count(F.col("text")).cast("long").alias("n"))
+    """Syllables of all texts, each behind a numbered line of CJK and kana characters."""
+    return table(spark, sf_dir, "documents").select("doc_id", text.syllable_count(F.concat(F.lit("3. 主愛ひかり "), "text")).cast("long").alias("n"))
 
 
 @query("class_counts", r"SELECT doc_id, len(regexp_extract_all(text, '[aeiou]')) AS vowels, len(regexp_extract_all(text, '[0-9]')) AS digits, array_to_string(list_sort(list_distinct(list_filter(string_split(regexp_replace(text, '[\p{L}\p{N} \n.,]', '', 'g'), ''), lambda x: x <> ''))), '') AS noise FROM documents")
@@ -107,7 +115,7 @@ def ocr_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def contains_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Items that a document contains."""
     items = table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("item"))
-    return matching.contained(items, table(spark, sf_dir, "documents"))
+    return matching.contained(items, table(spark, sf_dir, "documents"), kept)
 
 
 @query("props_map", "SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k, len(json_keys(props)) AS n FROM events")
@@ -219,4 +227,4 @@ def tolerant_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("lyric_coverage")
 def lyric_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The document that covers most of each test item."""
-    return matching.best_coverage(table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("item")), table(spark, sf_dir, "documents"))
+    return matching.best_coverage(table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("item")), table(spark, sf_dir, "documents"), keep=kept)

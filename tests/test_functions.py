@@ -18,7 +18,7 @@ def one(spark, column, value, kind="string"):
         (text.keep_alnum, "a-b 1!é", "ab1é"), (text.safe_name, "a/b?c", "abc"), (text.safe_name, "??", "Unknown"), (text.safe_name, None, "Unknown"),
         (text.extension, ".MP4", "m4a"), (text.extension, "", ""), (text.url_name, "http://h/a/b.pdf?x=1#y", "b.pdf"), (text.url_extension, "http://h/a/b.PDF?x", "pdf"), (text.url_extension, "http://h/a/", ""),
         (text.path_number, "012_34_a/x", "34_a"), (text.number_head, "51_a", 51), (text.number_head, "x", 1_000_000), (text.code_of_hex, "zz", None), (text.code_of_hex, "00ff", 255),
-        (text.syllable_count, "你好, ab c1!", 4), (text.grade, "x5y", "5"), (text.grade, "x", None), (text.font_family, "ABCDEF+Song", "Song"), (text.drop_space, " a \n b", "ab"),
+        (text.syllable_count, "你好, ab c1!", 3), (text.syllable_count, "3. 主愛我", 3), (text.syllable_count, "ひかり", 3), (text.syllable_count, "hello 12", 1), (text.syllable_count, "hello world", 1), (text.syllable_count, "a=b 2c", 3), (text.grade, "x5y", "5"), (text.grade, "x", None), (text.font_family, "ABCDEF+Song", "Song"), (text.drop_space, " a \n b", "ab"),
         (text.nfkc, "Ａ１", "A1"), (text.plain_key, "Ａ．１ b", "a1b"), (text.display_width, "a你", 3), (text.ocr_line, "[1, 2] a……b | c", "a b c"),
     ],
 )

@@ -276,6 +276,50 @@ def test_coverage_of_short_and_edited_items(spark):
     assert rows(matching.best_coverage(i, d)) == sorted(want, key=str)
 
 
+def test_coverage_of_edited_items_of_all_lengths(spark):
+    """Characters changed, dropped and put between, as many as an item may lose, anywhere: as all pairs."""
+    import random
+    from difflib import SequenceMatcher
+
+    from hexapla.operators import matching
+
+    r = random.Random(9)
+    cjk = [chr(0x4E00 + k) for k in range(900)]
+    docs = ["".join(r.choices(cjk, k=r.randint(20, 400))) for _ in range(40)] + [" ".join("".join(r.choices("abcdefghiklmnoprstuvwy", k=r.randint(3, 9))) for _ in range(r.randint(10, 60))) for _ in range(40)] + ["", None]
+    items = []
+    for _ in range(150):
+        d = r.choice(docs[:80])
+        a = r.randint(0, max(0, len(d) - 60))
+        x = list(d[a : a + r.randint(12, 300)])
+        for _ in range(r.randint(0, len(x) // 10)):
+            at, how = r.randrange(len(x)), r.random()
+            x[at : at + 1] = ["新"] if how < 0.5 else [] if how < 0.75 else [x[at], "#"]
+        items.append("".join(x))
+    words = docs[60].split(" ")
+    items += [" ".join(w[:-1] + "ß" if k % 4 == 0 else w for k, w in enumerate(words)), docs[3], docs[3][:12], docs[3][5:18]]
+    i, d = spark.createDataFrame(list(enumerate(items)), "item_id int, item string"), spark.createDataFrame(list(enumerate(docs)), "doc_id int, text string")
+    want = []
+    for k, x in enumerate(items):
+        best = min((-(1.0 if x in y else sum(b.size for b in SequenceMatcher(None, x, y, autojunk=False).get_matching_blocks()) / len(x)), j) for j, y in enumerate(docs) if y)
+        want += [(k, best[1], -best[0])] if best[0] <= -0.9 else []
+    assert rows(matching.best_coverage(i, d)) == sorted(want, key=str) and len(want) > 130
+
+
+def test_candidates_grow_with_the_rows(spark):
+    """Ten times the rows, ten times the pairs to compare."""
+    import random
+
+    from hexapla.operators import segments
+
+    counts = []
+    for n in (300, 3000):
+        r = random.Random(n)
+        texts = [(k, "".join(chr(0x4E00 + int(5000 * r.random() ** 2)) for _ in range(40))) for k in range(n)]
+        items = [(k, t[3:30]) for k, t in texts if k % 3 == 0]
+        counts.append(segments.candidates(spark.createDataFrame(items, "item_id int, item string"), spark.createDataFrame(texts, "doc_id int, text string"), 90).count())
+    assert counts[0] >= 100 and counts[1] <= 11 * counts[0]
+
+
 def test_deletion_needs_equal_digests(spark):
     from hexapla.sources import files
 
