@@ -104,25 +104,63 @@ def field_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select("doc_id", (F.length("text") == F.col("n_chars")).alias("same_size"), F.col("lang").eqNullSafe(F.when(F.col("doc_id") % 8 != 0, F.col("lang"))).alias("same_lang"))
 
 
+_BARRED = """WITH l AS (SELECT doc_id, unnest(string_split(lower(text), chr(10))) AS line FROM documents WHERE lang = 'en'),
+    w AS MATERIALIZED (SELECT row_number() OVER () AS id, doc_id % 3 = 0 AS barred, regexp_extract_all(line, '[a-z]+') AS ws FROM l),
+    p AS (SELECT id, barred, left(md5(x), 5) AS code, upper(x) AS symbol FROM (SELECT id, barred, unnest(ws) AS x FROM w)),
+    odd AS (SELECT DISTINCT id FROM p GROUP BY id, code HAVING count(DISTINCT symbol) > 1),
+    v0 AS (SELECT DISTINCT code, symbol FROM p WHERE NOT barred AND id NOT IN (SELECT id FROM odd)),
+    k0 AS (SELECT code, min(symbol) AS symbol FROM v0 GROUP BY code HAVING count(*) = 1),
+    bad AS (SELECT DISTINCT p.id FROM p JOIN k0 USING (code) WHERE p.symbol <> k0.symbol),
+    fits AS (SELECT * FROM p WHERE barred AND id NOT IN (SELECT id FROM odd UNION ALL SELECT id FROM bad)),
+    v1 AS (SELECT DISTINCT code, symbol FROM fits UNION SELECT * FROM v0),
+    k AS (SELECT code, min(symbol) AS symbol FROM v1 GROUP BY code HAVING count(*) = 1
+          UNION ALL SELECT 'bar', '|' WHERE (SELECT count(*) FROM fits) >= 2)"""
+
+
+def _barred(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(row, codes, places, symbols) of all lines of English documents: words, and five digits of their hashes, which differ
+    for most words. In every third document each word has a bar close behind it."""
+    line = F.explode(F.split(F.lower("text"), "\n")).alias("line")
+    rows = table(spark, sf_dir, "documents").filter("lang = 'en'").select("doc_id", line).select("doc_id", F.regexp_extract_all("line", F.lit("[a-z]+"), F.lit(0)).alias("w"))
+    hashed = F.transform("w", lambda x: F.left(F.md5(x), F.lit(5)))
+    codes = F.when(F.col("doc_id") % 3 == 0, F.flatten(F.transform(hashed, lambda x: F.array(x, F.lit("bar"))))).otherwise(hashed)
+    places = F.transform(codes, lambda c, i: i * 20.0 - F.when(c == "bar", 10.0).otherwise(0.0))
+    return rows.filter(F.size("w") > 0).select("doc_id", codes.alias("codes"), places.alias("places"), F.transform("w", F.upper).alias("symbols"))
+
+
+@query("greedy_votes", f"{_BARRED} SELECT code, symbol FROM k")
+def greedy_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A dictionary learned from all rows laid on their lines, in rounds (L5, L6, A11, A12). Codes of several words are
+    conflicts; rows in which a code would stand for two symbols don't fit; the bar turns out to be a line mark."""
+    return vote.align_rounds(_barred(spark, sf_dir), keep=kept)
+
+
 @query(
-    "greedy_votes",
-    """WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z]+')[1:12] AS ws FROM documents WHERE lang = 'en'),
-       t AS (SELECT DISTINCT unnest(CASE WHEN doc_id % 3 = 0 THEN ws[1:2] ELSE ws END) AS x FROM w WHERE len(ws) = 12)
-       SELECT md5(x) AS code, upper(x) AS symbol FROM t UNION ALL SELECT 'bar', '|'""",
+    "decoded_rows",
+    f"""{_BARRED}, d AS (SELECT id, list_transform(ws, lambda x: left(md5(x), 5)) AS cs FROM w WHERE len(ws) > 0),
+        e AS (SELECT id, pos, symbol FROM (SELECT id, unnest(cs) AS code, unnest(range(len(cs))) AS pos FROM d) LEFT JOIN k USING (code)),
+        g AS (SELECT id, bool_or(pos = 0 AND symbol IS NULL) AS gone, string_agg(symbol, ' ' ORDER BY pos) AS said FROM e GROUP BY id)
+        SELECT sha256(coalesce(CASE WHEN gone THEN NULL ELSE said END, '?')) AS said, count(*) AS n FROM g GROUP BY 1""",
 )
-def greedy_votes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A dictionary learned from rows laid on lines, in rounds.
+def decoded_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All rows decoded by what was learned from them; codes that weren't are merged into the one before (L4)."""
+    rows = kept(_barred(spark, sf_dir).select(F.monotonically_increasing_id().alias("row"), "codes", "places", "symbols"))
+    got = vote.decoded_rows(rows, vote.align_rounds(rows, keep=kept))
+    return got.groupBy(F.sha2(F.coalesce(F.array_join("symbols", " "), F.lit("?")), 256).alias("said")).agg(F.count("*").alias("n"))
 
-    The rows are the first twelve words of English documents, two rows in three. In the third there are two words, each with
-    a bar close behind, so that it can only be aligned with skips, and the bar turns out to be a line mark.
-    """
-    words = F.slice(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]+"), F.lit(0)), 1, 12)
-    rows = table(spark, sf_dir, "documents").filter("lang = 'en'").select("doc_id", words.alias("w")).filter(F.size("w") == 12)
-    third, two = F.col("doc_id") % 3 == 0, F.slice("w", 1, 2)
-    codes = F.when(third, F.flatten(F.transform(two, lambda x: F.array(F.md5(x), F.lit("bar"))))).otherwise(F.transform("w", F.md5))
-    places = F.transform(codes, lambda c, i: i * 20.0 - F.when(c == "bar", 10.0).otherwise(0.0))
-    symbols = F.transform(F.when(third, two).otherwise(F.col("w")), F.upper)
-    return vote.align_rounds(rows.select(codes.alias("codes"), places.alias("places"), symbols.alias("symbols")), keep=kept)
+
+@query(
+    "row_line_matches",
+    """WITH r AS (SELECT user_id AS row, list(event_type ORDER BY ts, event_id)[1:6] AS c FROM events GROUP BY 1), l AS (SELECT o_custkey AS line, list(o_orderpriority ORDER BY o_orderkey)[1:6] AS s FROM orders GROUP BY 1)
+       SELECT row, line FROM r JOIN l ON len(c) = len(s) AND len(c) >= 4 WHERE len(list_distinct(list_transform(range(1, len(c) + 1), lambda i: c[i] || '~' || s[i]))) = len(list_distinct(c))""",
+)
+def row_line_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each user's first six events against each customer's first six orders: rows whose codes each stand beside one symbol of
+    the line (J22)."""
+    first = lambda df, by, order, value: df.groupBy(by).agg(F.slice(F.transform(F.array_sort(F.collect_list(F.struct(*order, value))), lambda x: x[value]), 1, 6).alias("s"))
+    rows = first(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], "event_type").select(F.col("user_id").alias("row"), F.col("s").alias("codes"))
+    lines = first(table(spark, sf_dir, "orders"), "o_custkey", ["o_orderkey"], "o_orderpriority").select(F.col("o_custkey").alias("line"), F.col("s").alias("symbols"))
+    return vote.rows_on_lines(rows, lines)
 
 
 _FAULTS = "p_partkey % 5 = 1 AS numbering, p_partkey % 11 = 3 AS structure, p_partkey % 7 = 2 AND p_partkey % 13 <> 4 AS tune, p_partkey % 13 = 4 AS short, p_partkey % 3 = 0 AS chorus, p_partkey % 17 = 5 AS renamed"

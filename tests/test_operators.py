@@ -159,8 +159,24 @@ def test_alignment_in_rounds(spark):
     rows_ = spark.createDataFrame(data, "codes array<string>, places array<double>, symbols array<string>").repartition(2)
     got = {r.code: r.symbol for r in vote.align_rounds(rows_).collect()}
     assert got == {"a": "1", "b": "2", "c": "3", "d": "4", "y": "6", ".": "|"} or got == {"a": "1", "b": "2", "c": "3", "d": "4", "y": "6", "z": "7", ".": "|"}
-    decode = lambda codes: spark.createDataFrame([(codes, {"a": "1", "b": "2"})], "c array<string>, m map<string,string>").select(vote.merged_decode(F.col("c"), F.col("m"))).first()[0]
-    assert (decode(["a", "?", "b"]), decode(["?", "a"]), decode([])) == (["1", "2"], None, [])
+    known = spark.createDataFrame([("a", "1"), ("b", "2"), ("bar", "|")], "code string, symbol string")
+    asked = spark.createDataFrame([(1, ["a", "?", "b", "bar", "a"]), (2, ["?", "a"]), (3, []), (4, ["bar", "?", "b"]), (5, None)], "row int, codes array<string>")
+    assert {r.row: r.symbols for r in vote.decoded_rows(asked, known).collect()} == {1: ["1", "2", "1"], 2: None, 3: [], 4: ["2"], 5: None}
+
+
+def test_rows_on_lines(spark):
+    """Rows against lines, all pairs, with and without a key; a symbol may stand for several codes."""
+    import random
+
+    r = random.Random(5)
+    make = lambda n, letters: [(k % 3, k, r.choices(letters, k=r.randint(0, 7))) for k in range(n)]
+    rows_, lines = make(60, "abcd"), make(80, "123")
+    df, dl = spark.createDataFrame(rows_, "doc int, row int, codes array<string>"), spark.createDataFrame(lines, "doc int, line int, symbols array<string>")
+    fits = lambda c, s: len(c) == len(s) >= 4 and len(set(zip(c, s, strict=True))) == len(set(c))
+    want = [(i, k) for _, i, c in rows_ for _, k, s in lines if fits(c, s)]
+    assert rows(vote.rows_on_lines(df, dl)) == sorted(want, key=str) and len(want) > 20
+    want = [(d, i, k) for d, i, c in rows_ for e, k, s in lines if d == e and fits(c, s)]
+    assert rows(vote.rows_on_lines(df, dl, ["doc"])) == sorted(want, key=str)
 
 
 def test_learning_rounds(spark):
