@@ -4,10 +4,14 @@ The words of licence templates are indexed by template and position. How rare a
 documents of the whole corpus that have it. Of each file the licence words are looked up, those of highest IDF first: a
 template is looked at if the file has the rarest word of its key phrases, and then all other words of these. The postings
 of the template's ``RARE`` rarest words are intersected by relative position: each occurrence in the file, less the word's
-place in the template, votes for a place of the template. Only the rarest of them propose places, as many as a place that
-stands cannot all miss; the others add to these. A place stands if ``AGREE`` of the rare words vote for it and all
-mandatory key phrases are there, word by word. Nothing that fulfils this is lost. Base phrases are templates that are one
-key phrase, all of whose words must agree.
+place in the template, is an offset, and a place of the template needs ``AGREE`` of the rare words at about its offset.
+
+A licence is often printed with words put in, left out or changed, such as the holder's name. So offsets may drift, by
+``DRIFT`` words and one more for every ``STRETCH`` words between. A place is where the first mandatory key phrase stands;
+each further one must stand, word by word, where its offset has drifted no further than that from the one before, the
+nearest if there are several; and a rare word counts if it stands as near to where the nearest key phrase wants it. A word
+changed within a key phrase loses the label: it is mandatory. Nothing that fulfils this is lost. Base phrases are places of
+their own words alone.
 
 Defined cases: a null or empty text has no words and no labels. Repeated rows and null doc_ids are each returned. Other
 columns are ignored. Words count from 0. A template may begin before a file's first word or end after its last, if enough
@@ -17,6 +21,7 @@ of it is there. Of equally rare words of a template the earlier ones are taken.
 from __future__ import annotations
 
 import math
+from bisect import bisect_left, bisect_right
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,6 +35,8 @@ from pyspark.sql import functions as F
 AGREE = 0.5
 #: Of each template so many of its rarest words are intersected.
 RARE = 12
+#: Words by which a template's parts may be out of place, and words between them that allow one more.
+DRIFT, STRETCH = 4, 8
 
 
 @dataclass(frozen=True)
@@ -187,6 +194,18 @@ class Plan:
     keys: list[tuple[int, list[bytes]]]
 
 
+def allowed(distance: int) -> int:
+    """By how many words offsets of two parts of a template may differ that are ``distance`` words apart."""
+    return DRIFT + distance // STRETCH
+
+
+def nearest(offsets: list[int], wanted: int, most: int) -> int | None:
+    """Of sorted offsets the one nearest to ``wanted``, the lower of equals, if it is no further than ``most`` from it."""
+    k = bisect_left(offsets, wanted)
+    best = min(offsets[max(k - 1, 0) : k + 1], key=lambda x: (abs(x - wanted), x), default=None)
+    return best if best is not None and abs(best - wanted) <= most else None
+
+
 class LicenceIndex:
     """The positional index: for each rare word of the templates the places where it stands in them."""
 
@@ -204,6 +223,7 @@ class LicenceIndex:
                 places.append((next(i for i in range(len(words)) if words[i : i + len(k)] == k), k))
             phrase = len(self.plans) < len(BASE)
             rare = sorted(range(len(words)), key=lambda i: (-self.idf[words[i]], i))[: None if phrase else RARE]
+            places.sort()
             must = frozenset(w for _, k in places for w in k)
             self.guards.setdefault(max(must, key=lambda w: (self.idf[w], w)), []).append(len(self.plans))
             for n, i in enumerate(rare):
@@ -218,28 +238,55 @@ class LicenceIndex:
         if not wanted:
             return []
         where: dict[bytes, list[int]] = {w: [] for w in here if any(plan in wanted for plan, _, _ in self.postings.get(w, ()))}
+        where |= {max(x, key=lambda w: (self.idf[w], w)): [] for k in wanted for _, x in self.plans[k].keys}
         for p, w in enumerate(words):
             if w in where:
                 where[w].append(p)
-        votes: dict[int, dict[int, int]] = {plan: {} for plan in wanted}
-        looked = sorted(((n, plan, i, w) for w in where for plan, n, i in self.postings[w] if plan in wanted))
-        for n, plan, i, w in looked:  # of each template the words of highest IDF first
-            cast = votes[plan]
-            if n <= len(self.plans[plan].rare) - self.plans[plan].need:
-                for p in where[w]:
-                    cast[p - i] = cast.get(p - i, 0) + 1
-            else:
-                for start in cast.keys() & {p - i for p in where[w]}:
-                    cast[start] += 1
         found = []
-        for k, cast in votes.items():
+        for k in wanted:
             plan = self.plans[k]
-            for start, agree in cast.items():
-                if agree >= plan.need and all(start + i >= 0 and words[start + i : start + i + len(x)] == x for i, x in plan.keys):
-                    same = sum(v for i, (x, v) in enumerate(zip(plan.words, plan.idf, strict=True), start) if 0 <= i < len(words) and words[i] == x)
-                    found.append((k, max(start, 0), min(start + len(plan.words), len(words)), min(same / sum(plan.idf), 1.0)))
+            (first, key), *others = plan.keys
+            starts = self._phrases(words, where, key)
+            if k < len(BASE):
+                found += [(k, p, p + len(key), 1.0) for p in starts]
+                continue
+            offsets = [sorted(p - i for p in where.get(plan.words[i], ())) for i in plan.rare]
+            later = [(i, sorted(p - i for p in self._phrases(words, where, x))) for i, x in others]
+            widest = allowed(len(plan.words))
+            for p in starts:
+                if sum(nearest(o, p - first, widest) is not None for o in offsets) < plan.need:
+                    continue
+                anchors = [(first, p - first)]
+                for i, o in later:
+                    anchors.append((i, nearest(o, anchors[-1][1], allowed(i - anchors[-1][0]))))
+                    if anchors[-1][1] is None:
+                        break
+                else:
+                    for i, o in zip(plan.rare, offsets, strict=True):
+                        at, off = min(anchors[: len(plan.keys)], key=lambda x: abs(x[0] - i))
+                        if (own := nearest(o, off, allowed(abs(i - at)))) is not None:
+                            anchors.append((i, own))
+                    if len(anchors) - len(plan.keys) >= plan.need:
+                        found.append((k, *self._extent(words, plan, sorted(anchors))))
         return sorted(found)
 
+    def _phrases(self, words: list[bytes], where: dict[bytes, list[int]], key: list[bytes]) -> list[int]:
+        """Where a key phrase stands, by the places of its rarest word."""
+        rarest = max(key, key=lambda w: (self.idf[w], w))
+        a = key.index(rarest)
+        return [p - a for p in where[rarest] if p >= a and words[p - a : p - a + len(key)] == key]
+
+    @staticmethod
+    def _extent(words: list[bytes], plan: Plan, anchors: list[tuple[int, int]]) -> tuple[int, int, float]:
+        """Start and end of a template whose parts have these offsets, and the share of its IDF mass that is there: each word
+        is looked for at the offsets of the parts before and behind it."""
+        same, places = 0.0, [i for i, _ in anchors]
+        for i, (x, v) in enumerate(zip(plan.words, plan.idf, strict=True)):
+            k = bisect_right(places, i)
+            if any(0 <= i + off < len(words) and words[i + off] == x for _, off in anchors[max(k - 1, 0) : k + 1]):
+                same += v
+        return max(anchors[0][1], 0), min(anchors[-1][1] + len(plan.words), len(words)), min(same / sum(plan.idf), 1.0)
+
 
 SCHEMA = (
     "doc_id long, n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double, "
