@@ -7,8 +7,8 @@ with other white space, or with a special token's string, go to the library whol
 The file format. A shard holds the documents of a range of doc_ids in ascending order: the magic ``HXID``, the length
 of the index as eight bytes, the index as an Arrow stream, then one zstandard frame for each document, compressed by
 itself with a dictionary that all shards share. The dictionary was trained on serialized id arrays. The index keeps its
-hash, and each document's id, number of ids, and offset and length of the frame, so that a short document is read by one
-seek. Ids are serialized as unsigned little-endian integers of 16 bits where the vocabulary allows it, else of 32.
+hash, and each document's id, number of ids, and offset and length of the frame. A shard's first and last doc_id are in the
+names of its folders. So a short document costs the index of its shard and its own frame, each read at its offset. Ids are serialized as unsigned little-endian integers of 16 bits where the vocabulary allows it, else of 32.
 Shards and dictionary are written by Spark's own writers, so they can be in any store that Spark can write, and what a
 lost executor had to write is written by another.
 
@@ -24,12 +24,14 @@ from __future__ import annotations
 import gc
 import hashlib
 import json
+import re
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
-from itertools import accumulate, chain
+from itertools import accumulate, chain, islice
 
 import pyarrow as pa
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -182,11 +184,13 @@ def over_ids(path: str, end: int, make_row: Callable[[], Callable], schema: pa.S
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, last, row = encoder(path, most), end.to_bytes(4, "little"), make_row()
         gc.disable()  # the ids make many small objects and no cycles
-        for keys, texts in chunks(batches):
-            out = [x for i, ids in zip(keys, enc.encode(texts), strict=True) for x in row(i, ids + last)]
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
-        gc.enable()
+        try:
+            for keys, texts in chunks(batches):
+                out = [x for i, ids in zip(keys, enc.encode(texts), strict=True) for x in row(i, ids + last)]
+                if out:
+                    yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*out, strict=True), schema, strict=True)], schema=schema)
+        finally:
+            gc.enable()
 
     return run
 
@@ -259,48 +263,82 @@ def write_ids(docs: DataFrame, path: str, target: str, end: int, shard_chars: in
             with pa.ipc.new_stream(sink, index.schema) as writer:
                 writer.write_table(index)
             head = sink.getvalue().to_pybytes()
-            yield pa.RecordBatch.from_arrays([pa.array([b"".join((MAGIC, len(head).to_bytes(8, "little"), head, *frames))])], ["shard"])
+            whole = b"".join((MAGIC, len(head).to_bytes(8, "little"), head, *frames))
+            yield pa.RecordBatch.from_arrays([pa.array([ids[0]], pa.int64()), pa.array([ids[-1]], pa.int64()), pa.array([whole])], ["first", "last", "shard"])
 
     dealt = docs.repartitionByRange(max(1, -(-chars // shard_chars)), "doc_id").sortWithinPartitions("doc_id", "text")
     # the text writer writes a string's bytes as they are, and a line feed after them
-    dealt.mapInArrow(shard, "shard binary").select(F.col("shard").cast("string")).write.text(f"{target}/shards")
+    named = dealt.mapInArrow(shard, "first long, last long, shard binary").select("first", "last", F.col("shard").cast("string"))
+    named.write.partitionBy("first", "last").text(f"{target}/shards")
     spark.createDataFrame([(mark, bytearray(dictionary))], "dict_hash string, dictionary binary").coalesce(1).write.parquet(f"{target}/dictionary")
 
 
+def shards(spark: SparkSession, target: str, wanted: list[int] | None = None) -> DataFrame:
+    """The shard files (path, content) of ``target``, those only whose range of doc_ids has one of the ``wanted``: ranges are
+    in the names of the files' folders, so that Spark passes over the others without opening them."""
+    files = spark.read.format("binaryFile").load(f"{target}/shards")
+    if wanted is None or "first" not in files.columns:
+        return files.select("path", "content")
+    near = F.exists(F.array(*map(F.lit, wanted)).cast("array<bigint>"), lambda i: i.between(F.col("first").cast("long"), F.col("last").cast("long")))
+    return files.filter(F.coalesce(near, F.lit(False)) | F.col("first").isNull()).select("path", "content")
+
+
+def frames_of(get: Callable[[int, int], bytes], mark: str, dictionary: bytes, only: set[int] | None) -> Iterator[tuple]:
+    """(shard_first, place, doc_id, local_start, n_ids, ids) of a shard's documents, of ``only`` some; ``get(offset, size)`` gives
+    bytes of the shard: the head, and each document's frame."""
+    start = get(0, 12)
+    if start[:4] != MAGIC:
+        raise ValueError("not a shard of ids")
+    head = int.from_bytes(start[4:], "little")
+    index = pa.ipc.open_stream(get(12, head)).read_all()
+    meta = index.schema.metadata
+    if meta[b"dict_hash"].decode() != mark:
+        raise ValueError("the shard was written with another dictionary")
+    unpack, wide, before = _codec(dictionary)[1].decompress, meta[b"id_bytes"] == b"4", 0
+    first = index.column("doc_id")[0].as_py()
+    for k, (i, n, at, size) in enumerate(zip(*[index.column(c).to_pylist() for c in ("doc_id", "n_ids", "offset", "length")], strict=True)):
+        if only is None or i in only:
+            yield first, k, i, before, n, widen(unpack(get(12 + head + at, size)), wide)
+        before += n
+
+
+def arrow_file(path: str) -> pa.NativeFile:
+    """A file of the shared folder opened by Arrow, for reading parts of it."""
+    system, name = pa.fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", path))
+    return system.open_input_file(name)
+
+
 def read_ids(spark: SparkSession, target: str, wanted: list[int] | None = None) -> DataFrame:
     """(shard_first, place, doc_id, local_start, n_ids, ids) from the files: ``ids`` as unsigned little-endian 32-bit
-    integers, ``local_start`` the ids before it in its shard, ``place`` its number there. With ``wanted``, only those
-    documents' frames are read from their offsets and decompressed."""
+    integers, ``local_start`` the ids before it in its shard, ``place`` its number there.
+
+    With ``wanted``, only shards whose ranges have one of these documents are opened, and of them only the index and these
+    documents' frames are read; where Arrow can't open files of the folder's kind, Spark reads those shards whole."""
     mark, dictionary = spark.read.parquet(f"{target}/dictionary").first()
     dictionary, names = bytes(dictionary), ["shard_first", "place", "doc_id", "local_start", "n_ids", "ids"]
     only = None if wanted is None else set(wanted)
+    files, parts = shards(spark, target, wanted), wanted is not None
+    try:
+        pa.fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", target))
+    except (pa.ArrowInvalid, pa.ArrowNotImplementedError, OSError):
+        parts = False
+
+    def rows(value: pa.Scalar) -> Iterator[tuple]:
+        if parts:
+            with arrow_file(value.as_py()) as f:
+                yield from frames_of(lambda at, size: f.read_at(size, at), mark, dictionary, only)
+        else:
+            data = memoryview(value.as_buffer())
+            yield from frames_of(lambda at, size: bytes(data[at : at + size]), mark, dictionary, only)
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        unpack = _codec(dictionary)[1].decompress
         for batch in batches:
-            for content in batch.column(0):
-                data = memoryview(content.as_buffer())
-                head = int.from_bytes(data[4:12], "little")
-                if bytes(data[:4]) != MAGIC:
-                    raise ValueError("not a shard of ids")
-                index = pa.ipc.open_stream(data[12 : 12 + head]).read_all()
-                meta = index.schema.metadata
-                if meta[b"dict_hash"].decode() != mark:
-                    raise ValueError("the shard was written with another dictionary")
-                wide, before, out = meta[b"id_bytes"] == b"4", 0, []
-                first = index.column("doc_id")[0].as_py()
-                for k, (i, n, at, size) in enumerate(zip(*[index.column(c).to_pylist() for c in ("doc_id", "n_ids", "offset", "length")], strict=True)):
-                    if only is None or i in only:
-                        out.append((first, k, i, before, n, widen(unpack(data[12 + head + at : 12 + head + at + size]), wide)))
-                    before += n
-                    if len(out) == 1024:
-                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*out, strict=True)], names)
-                        out = []
-                if out:
+            for value in batch.column(0):
+                found = rows(value)
+                while out := list(islice(found, 1024)):
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), [pa.int64()] * 5 + [pa.binary()], strict=True)], names)
 
-    files = spark.read.format("binaryFile").load(f"{target}/shards").select("content")
-    return files.mapInArrow(read, "shard_first long, place long, doc_id long, local_start long, n_ids long, ids binary")
+    return files.select("path" if parts else "content").mapInArrow(read, "shard_first long, place long, doc_id long, local_start long, n_ids long, ids binary")
 
 
 def round_trip(docs: DataFrame, path: str, end: int = 2) -> DataFrame:

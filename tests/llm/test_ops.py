@@ -283,6 +283,27 @@ def test_token_files(spark, docs, tmp_path):
     assert some == {i: encoded(t, 2).tobytes() for i, t in rows if i in (7, 13)}
 
 
+def test_one_document_of_many_shards(spark, tmp_path):
+    """A short document costs the index of its shard and its own frame."""
+    r = random.Random(8)
+    texts = {i: " ".join(f"w{r.randint(0, 10**6)}" for _ in range(r.randint(1, 60))) for i in range(-20, 400)}
+    target = f"file://{tmp_path}/ids"
+    tokens.write_ids(spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3), vocabulary(), target, 2, shard_chars=4000)
+    every = [x.path for x in tokens.shards(spark, target).select("path").collect()]
+    mark, dictionary = spark.read.parquet(f"{target}/dictionary").first()
+    for wanted in (-20, 0, 111, 399):
+        near = [x.path for x in tokens.shards(spark, target, [wanted]).select("path").collect()]
+        assert len(every) > 15 and len(near) == 1
+        read = []
+        with tokens.arrow_file(near[0]) as f:
+            size = f.size()
+            got = list(tokens.frames_of(lambda at, n: read.append(n) or f.read_at(n, at), mark, bytes(dictionary), {wanted}))  # noqa: B023
+        assert [(x[2], x[5]) for x in got] == [(wanted, encoded(texts[wanted], 2).tobytes())] and len(read) == 3 and sum(read) < size / 2
+        assert [(x.doc_id, bytes(x.ids)) for x in tokens.read_ids(spark, target, [wanted]).collect()] == [(wanted, encoded(texts[wanted], 2).tobytes())]
+    assert tokens.read_ids(spark, target, [500]).count() == 0 and tokens.read_ids(spark, target, []).count() == 0
+    assert {x.doc_id: bytes(x.ids) for x in tokens.read_ids(spark, target).collect()} == {i: encoded(t, 2).tobytes() for i, t in texts.items()}
+
+
 def test_token_files_in_all_cases(spark):
     """Without a dictionary to train, with repeated rows, ties, a null id, and columns of the file's own names."""
     rows = [(3, "same"), (3, "same"), (3, "other"), (None, "no id"), (-5, None), (2**40, ""), (7, LONG * 20)]
