@@ -149,6 +149,11 @@ def formatted(turns: DataFrame, template: Template = chatml, loss_roles: tuple[s
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out, chars = [], 0
         now, block, context, held, begun = None, 0, [], [], False
+        told, said = [], []  # a conversation of a local template in several blocks: its turns, and the blocks' texts
+
+        def kept_promise() -> None:
+            if said and template(told) != "".join(said):
+                raise ValueError("the template renders turns differently in longer conversations; it must not be marked local")
 
         def batch():
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), _TYPES, strict=True)], ["conv_id", "block", "formatted", "spans", "rewritten_at"])
@@ -158,6 +163,12 @@ def formatted(turns: DataFrame, template: Template = chatml, loss_roles: tuple[s
                 if begun and (conv != now or (local and len(held) == block_turns)):
                     made = list(blocks(now, block, context, held))
                     out += made
+                    if local and (block or conv == now):
+                        told += held
+                        said += [x[2] for x in made]
+                    if conv != now:
+                        kept_promise()
+                        told, said = [], []
                     chars += sum(len(x[2]) for x in made)
                     block, context = (block + 1, held[-1:]) if conv == now else (0, [])
                     held = []
@@ -167,7 +178,12 @@ def formatted(turns: DataFrame, template: Template = chatml, loss_roles: tuple[s
                 now, begun = conv, True
                 held.append((role, text))
         if held:
-            out += blocks(now, block, context, held)
+            made = list(blocks(now, block, context, held))
+            out += made
+            if local and block:
+                told += held
+                said += [x[2] for x in made]
+        kept_promise()
         if out:
             yield batch()
 

@@ -421,7 +421,7 @@ def test_language_in_all_cases(spark):
     same = spark.createDataFrame([(i, "equal words", "xy"[i % 2]) for i in range(40)] + [(90, "equal words", "x")], "doc_id long, text string, lang string")
     often = same.filter(~language.held_out(F.col("doc_id"))).groupBy("lang").count().collect()
     first = min(often, key=lambda r: (-r["count"], r["lang"])).lang
-    assert {g.lang_pred for g in language.identified(same).collect()} <= {"x", "y"} and first in ("x", "y")
+    assert {g.lang_pred for g in language.identified(same).collect()} == {first}
 
 
 def test_language_ignores_held_out_labels(spark):
@@ -679,6 +679,34 @@ def test_escapes():
         assert [chat.parse_chatml(whole[i:j]) for i, j in spans] == turns and rewritten is None
 
 
+def test_false_promises_are_found(spark):
+    """A template that numbers turns isn't local; blocks of four turns would begin anew. Long texts and conversations."""
+
+    def numbered(turns):
+        return "".join(f"<{k}:{role}>{text}" for k, (role, text) in enumerate(turns))
+
+    rows = [(c, k, "user" if k % 2 == 0 else "assistant", "long " * 200_000 if (c, k) == (2, 1) else f"t{k}") for c, n in ((1, 4), (2, 11), (3, 1), (4, 8)) for k in range(n)]
+    df = spark.createDataFrame(rows, "conv_id long, turn int, role string, text string").repartition(3)
+    got = chat.formatted(df, block_turns=4).collect()
+    assert {c: "".join(r.formatted for r in sorted(got, key=lambda r: r.block) if r.conv_id == c) for c in (1, 2, 3, 4)} == {c: chat.chatml([(r, t) for i, _, r, t in rows if i == c]) for c in (1, 2, 3, 4)}
+    assert "".join(r.formatted for r in sorted(chat.formatted(df, numbered, block_turns=4).collect(), key=lambda r: (r.conv_id, r.block)) if r.conv_id == 4) == numbered([(r, t) for i, _, r, t in rows if i == 4])
+    numbered.local = True
+    assert chat.formatted(df.filter("conv_id in (1, 3)"), numbered, block_turns=4).count() == 2
+    with pytest.raises(Exception, match="must not be marked local"):
+        chat.formatted(df, numbered, block_turns=4).count()
+
+
+def test_decontamination_in_all_cases(spark):
+    """Repeated documents and items, ties, null ids, and a very long text."""
+    item, long = prose(30, 50), prose(60_000, 70)
+    items = [(1, item), (1, item), (2, item), (None, prose(20, 58)), (3, prose(25, 59))]
+    texts = [(1, f"{prose(50, 60)} {item}"), (1, f"{prose(50, 60)} {item}"), (2, f"{long} {item} {long}"), (3, long), (None, item)]
+    d, b = spark.createDataFrame(texts, "doc_id long, text string").repartition(3), spark.createDataFrame(items, "item_id long, text string")
+    got = Counter((r.doc_id, r.item_id) for r in contamination.contaminated(d, b).collect())
+    assert set(got) == {(i, k) for i in (1, 2, None) for k in (1, 2)}
+    assert [r.doc_id for r in contamination.decontaminated(d, b).collect()] == [3]
+
+
 def test_rewriting_templates_are_found():
     def last_only(turns):
         return "".join(f"<{r}>{'' if r == 'think' and k < len(turns) - 1 else t}" for k, (r, t) in enumerate(turns))
