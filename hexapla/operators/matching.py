@@ -109,3 +109,14 @@ def tolerant_join(one: DataFrame, two: DataFrame, key: str, name: str) -> DataFr
     other = two.select(F.col(key).alias("_k"), F.col(name).alias("_n"))
     fits = (F.col(key) == F.col("_k")) & ((F.col(name) == F.col("_n")) | F.col(name).contains(F.col("_n")) | F.col("_n").contains(F.col(name)))
     return one.select(key, name).join(other, fits, "left_semi").withColumn("found", F.lit(True)).unionByName(one.select(key, name).join(other, fits, "left_anti").withColumn("found", F.lit(False)))
+
+
+def chorus_lines(lyrics: DataFrame, choruses: DataFrame, long: int = 6) -> DataFrame:
+    """(number, line_no) of lines (number, line_no, stanza_no, text) that are the chorus: they have the first stanza only, and a
+    line of the number's official chorus (number, chorus) is equal or, from ``long`` characters of the text on, contains it or
+    is contained in it. Texts are compared as they come; empty ones and empty lines of the chorus are no match."""
+    alone = lyrics.groupBy("number", "line_no").agg(F.count_distinct("stanza_no").alias("n"), F.min("stanza_no").alias("only"))
+    asked = lyrics.filter("stanza_no = 1 and text <> ''").join(alone.filter("n = 1 and only = 1").select("number", "line_no"), ["number", "line_no"])
+    official = choruses.select(F.col("number").alias("c_number"), F.explode(F.array_distinct(F.split("chorus", r"\r?\n|\r"))).alias("line")).filter("line <> ''")
+    fits = (F.col("text") == F.col("line")) | ((F.length("text") >= long) & (F.col("line").contains(F.col("text")) | F.col("text").contains(F.col("line"))))
+    return asked.join(official, (F.col("number") == F.col("c_number")) & fits, "left_semi").select("number", "line_no").distinct()

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hexapla.plans.registry import query
-from hexapla.sources import files, records
+from hexapla.operators import runs
+from hexapla.sources import files, paged, records
 from hexapla.sources.scratch import kept, shared_path
 from hexapla.sources.tables import table
 
@@ -33,6 +34,36 @@ def page_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.records(_pages(spark, sf_dir)).select("no", "name", F.get("lyrics", F.lit(0))["text"].alias("verse"), "place")
 
 
+@query(
+    "paged_scan",
+    """WITH p AS (SELECT c_custkey // 10 + 1 AS number, count(*) AS n FROM customer GROUP BY 1),
+       o AS (SELECT number, CASE WHEN number % 4 = 3 AND number % 8 <> 7 THEN 'cache' WHEN number % 6 = 5 THEN 'missing' WHEN number % 9 = 8 THEN 'corrupt' ELSE 'site' END AS origin, n FROM p)
+       SELECT run, number::INT AS number, CASE WHEN run = 2 AND origin = 'site' THEN 'cache' ELSE origin END AS origin,
+              CASE WHEN origin IN ('missing', 'corrupt') THEN 0 ELSE n END AS there, (SELECT count(*) FROM customer) AS declared FROM o, (VALUES (1), (2)) r(run)""",
+)
+def paged_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as pages of a site, read twice through a cache that has a few pages beforehand, some of them broken; pages that
+    are missing or broken on the site are counted as empty (S3, S5)."""
+    rows = table(spark, sf_dir, "customer").select((F.floor(F.col("c_custkey") / PER_PAGE) + 1).cast("int").alias("number"), "c_custkey")
+    total = rows.agg(F.max("number").alias("last_page"), F.count("*").alias("total"))
+    data = rows.groupBy("number").agg(F.array_sort(F.collect_list(F.struct(F.col("c_custkey").cast("string").alias("no")))).alias("data")).join(total)
+    page = F.to_json(F.struct("data", F.col("number").alias("current_page"), "last_page", "total"))
+    on_site = data.filter("number % 6 <> 5 or number = 1").select("number", F.when((F.col("number") % 9 == 8), "{broken").otherwise(page).alias("value"))
+    cached = data.filter("number % 4 = 3").select("number", F.when(F.col("number") % 8 == 7, "[oh").otherwise(page).alias("value"))
+    site, cache = shared_path(spark, "site"), shared_path(spark, "cache")
+    for rows_, folder in ((on_site, site), (cached, cache)):
+        paged.write_pages(rows_, folder)
+    spark.dataSource.register(paged.PagedSource)
+    got = None
+    for run in (1, 2):
+        read = kept(spark.read.format("paged").option("path", site).option("cache", cache).load())
+        one = F.from_json("raw", records.PAGE)
+        one = read.select(F.lit(run).alias("run"), "number", "origin", F.coalesce(F.size(one["data"]), F.lit(0)).cast("long").alias("there"), one["total"].alias("total"))
+        got = one if got is None else got.unionByName(one)
+    declared = got.agg(F.max("total").alias("declared"))
+    return got.drop("total").join(declared)
+
+
 @query("first_pages", "SELECT c_custkey::VARCHAR AS no FROM customer WHERE c_custkey // 10 % 13 <> 12 AND c_custkey // 10 % 5 <> 4 ORDER BY c_custkey LIMIT 70")
 def first_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records of the first seven numbered pages."""
@@ -159,3 +190,46 @@ def wanted_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = every.select("name").unionByName(every.select(F.concat(F.lit("none_"), "name").alias("name"))).unionByName(every.select("name"))
     asked = asked.filter(F.regexp_extract("name", r"(\d+)\.[^.]*$", 1).cast("int") % 2 == 0)
     return asked.filter(F.lower("name").endswith(".pdf")).distinct().join(every.select("name"), "name", "left_semi").orderBy("name")
+
+
+@query(
+    "incremental_runs",
+    """WITH c AS (SELECT c_custkey AS k, c_custkey::VARCHAR AS key, c_nationkey % 5 = 4 AS bad, CASE WHEN c_custkey % 7 = 0 THEN 'b' ELSE 'a' END AS later FROM customer),
+       r1 AS (SELECT key, 'a' AS mark, bad FROM c ORDER BY k LIMIT 100),
+       r2 AS (SELECT key, later AS mark, bad FROM c WHERE NOT EXISTS (SELECT 1 FROM r1 WHERE r1.key = c.key AND r1.mark = c.later AND NOT r1.bad)),
+       r3 AS (SELECT key, later AS mark, bad FROM c WHERE key IN ('1', '2', '9')),
+       r4 AS (SELECT key, later AS mark, bad FROM c WHERE bad)
+       SELECT run, key, mark, CASE WHEN bad THEN 'ValueError: no ' || key ELSE 'done ' || key || mark END AS said
+       FROM (SELECT 1 AS run, * FROM r1 UNION ALL SELECT 2, * FROM r2 UNION ALL SELECT 3, * FROM r3 UNION ALL SELECT 4, * FROM r4)""",
+)
+def incremental_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Four runs over customers: the first hundred; what is left, was changed or failed; three by name; and a dry run, which
+    finds only what failed again (I5)."""
+    c = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("key"), (F.col("c_nationkey") % 5 == 4).alias("bad"), "c_custkey")
+    before, later = c.withColumn("mark", F.lit("a")), c.withColumn("mark", F.when(F.col("c_custkey") % 7 == 0, "b").otherwise("a"))
+
+    def work(item: dict) -> str:
+        if item["bad"]:
+            raise ValueError(f"no {item['key']}")
+        return f"done {item['key']}{item['mark']}"
+
+    log, got = shared_path(spark, "log"), None
+    for k, (items, plan) in enumerate([(before, {"limit": 100}), (later, {}), (later, {"explicit": ["1", "2", "9"], "force": True}), (later, {"dry_run": True})], 1):
+        one = runs.run(items, log, work, kept, **plan).select(F.lit(k).alias("run"), "key", "mark", F.coalesce("result", "error").alias("said"))
+        got = one if got is None else got.unionByName(one)
+    return got
+
+
+@query("log_of_runs", "SELECT c_custkey::VARCHAR AS key, CASE WHEN c_nationkey % 5 = 4 THEN 0 ELSE 1 END AS times FROM customer")
+def log_of_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run cut off after its first part and begun again does each item once."""
+    items = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("key"), F.lit("m").alias("mark"), (F.col("c_nationkey") % 5 == 4).alias("bad"))
+    log = shared_path(spark, "log")
+
+    def work(item: dict) -> str:
+        return str(1 // (not item["bad"]))
+
+    for plan in ({"limit": 60}, {}, {}):
+        runs.run(items, log, work, kept, **plan)
+    times = runs.read_log(spark, log).groupBy(F.col("key").alias("l_key")).agg(F.count("*").alias("n"))
+    return items.join(times, F.col("key") == F.col("l_key"), "left").select("key", F.coalesce("n", F.lit(0)).cast("int").alias("times"))

@@ -118,6 +118,29 @@ def contains_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return matching.contained(items, table(spark, sf_dir, "documents"), kept)
 
 
+_CHORUS = "lower(regexp_replace({}, '[^a-zA-Z]', '', 'g'))"
+
+
+@query(
+    "chorus_lines",
+    f"""WITH l AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+        x AS (SELECT doc_id AS number, unnest(range(1, len(ls) + 1)) AS line_no, ls FROM l),
+        t AS (SELECT number, line_no, ls, {_CHORUS.format('ls[line_no]')} AS text FROM x WHERE line_no % 4 <> 2),
+        c AS (SELECT doc_id AS number, unnest(list_distinct([{_CHORUS.format('left(ls[1], 40)')}, {_CHORUS.format("coalesce(ls[3], '') || 'amen'")}, {_CHORUS.format('ls[len(ls)]')}])) AS line FROM l)
+        SELECT DISTINCT t.number, line_no::INT AS line_no FROM t JOIN c ON t.number = c.number AND t.text <> '' AND c.line <> ''
+        WHERE t.text = c.line OR (length(t.text) >= 6 AND (contains(c.line, t.text) OR contains(t.text, c.line)))""",
+)
+def chorus_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of texts that are in the chorus, made of the head of the first line, the third with a word more, and the last line;
+    every fourth line has a second stanza (J28)."""
+    plain = lambda c: F.lower(F.regexp_replace(c, "[^a-zA-Z]", ""))
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("number"), F.split("text", "\n").alias("ls"))
+    lines = d.select("number", F.posexplode("ls").alias("line_no", "text")).select("number", (F.col("line_no") + 1).alias("line_no"), plain(F.col("text")).alias("text"))
+    stanzas = F.when(F.col("line_no") % 4 == 2, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))
+    official = F.array_join(F.array(plain(F.left(F.get("ls", F.lit(0)), F.lit(40))), plain(F.concat(F.coalesce(F.get("ls", F.lit(2)), F.lit("")), F.lit("amen"))), plain(F.get("ls", F.size("ls") - 1))), "\n")
+    return matching.chorus_lines(lines.withColumn("stanza_no", F.explode(stanzas)), d.select("number", official.alias("chorus")))
+
+
 @query("props_map", "SELECT event_id, json_extract_string(props, '$.k')::BIGINT AS k, len(json_keys(props)) AS n FROM events")
 def props_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JSON objects as maps."""

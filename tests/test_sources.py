@@ -141,3 +141,26 @@ def test_durations_and_bad_files(spark):
     named = spark.createDataFrame([("1", "piano", "a"), ("1", "vocal", "zz"), ("1", "_error", "a"), ("2", "piano", "e")], "no string, version string, path string")
     maps = {r.no: (r.seconds, r.reasons) for r in media.duration_maps(named, media.durations(spark.createDataFrame(data, "path string, ext string, content binary"))).collect()}
     assert maps["1"] == ({"piano": 144.117, "vocal": None}, {"vocal": "no file"}) and maps["2"] == ({"piano": None}, {"piano": "no frame"})
+
+
+def test_paged_source(spark, tmp_path):
+    """Cache first, a broken cached page is a miss, refresh passes over it, missing and broken pages are rows, limits hold."""
+    from hexapla.sources import paged
+
+    site, cache = tmp_path / "site", tmp_path / "cache"
+    site.mkdir()
+    for k in (1, 2, 4, 5):
+        (site / f"page_{k}.json").write_text("{broken" if k == 4 else json.dumps({"data": [k], "last_page": 5}))
+    spark.dataSource.register(paged.PagedSource)
+    read = lambda **o: {r.number: (r.origin, r.raw and json.loads(r.raw)["data"]) for r in spark.read.format("paged").option("path", str(site)).options(**o).load().collect()}
+    plain = {1: ("site", [1]), 2: ("site", [2]), 3: ("missing", None), 4: ("corrupt", None), 5: ("site", [5])}
+    assert read() == plain and not cache.exists()
+    assert read(cache=f"file://{cache}") == plain
+    assert read(cache=str(cache)) == {k: ("cache" if v[0] == "site" else v[0], v[1]) for k, v in plain.items()}
+    (cache / "page_2.json").write_text("[oh")
+    (site / "page_1.json").write_text(json.dumps({"data": ["new"], "last_page": 2}))
+    assert read(cache=str(cache))[2] == ("site", [2]) and read(cache=str(cache))[1] == ("cache", [1])
+    assert read(cache=str(cache), pages="2").keys() == {1, 2}
+    assert read(cache=str(cache), refresh="true") == {1: ("site", ["new"]), 2: ("site", [2])}
+    assert read(cache=str(cache))[1] == ("cache", ["new"])
+    assert {r.origin for r in spark.read.format("paged").option("path", str(tmp_path / "none")).load().collect()} == {"missing"}
