@@ -188,9 +188,16 @@ def font_family(c: Column) -> Column:
     return F.regexp_replace(c, r"^[A-Z]{6}\+", "")
 
 
-def plain_key(c: Column) -> Column:
-    """NFKC, without points and spaces, lower case."""
-    return F.lower(F.regexp_replace(nfkc(c), r"[\s.．。·]", ""))
+def plain_symbol(c: Column, names: dict[str, str]) -> Column:
+    """A symbol by the table ``names``; one that it lacks stays."""
+    known = F.create_map(*[F.lit(x) for pair in names.items() for x in pair]) if names else None
+    return c if known is None else F.coalesce(F.try_element_at(known, c), c)
+
+
+def plain_key(c: Column, pairs: dict[str, str] | None = None) -> Column:
+    """NFKC, without points and spaces, lower case, and of ``pairs`` of characters that mean the same the second."""
+    key = F.lower(F.regexp_replace(nfkc(c), r"[\s.．。·]", ""))
+    return F.translate(key, "".join(pairs), "".join(pairs.values())) if pairs else key
 
 
 @F.pandas_udf(T.StringType())

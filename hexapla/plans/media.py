@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hexapla.functions import text, values
 from hexapla.operators import reports, vote
 from hexapla.plans.registry import query
-from hexapla.sources import media
+from hexapla.sources import compound, media
 from hexapla.sources.tables import table
 
 
@@ -42,6 +44,36 @@ def deck_bodies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.decks(table(spark, sf_dir, "nation").select(F.concat(F.lit("deck"), "n_nationkey").alias("path"), cut.alias("content")))
 
 
+@query(
+    "deck_files",
+    """SELECT 'deck' || c_custkey || '.ppt' AS path, CASE WHEN c_custkey % 6 < 4 THEN k END::INT AS stanza_no, CASE WHEN c_custkey % 6 < 4 THEN c_name || ' ' || k || repeat('~', CASE WHEN c_custkey % 6 < 2 THEN 900 ELSE 0 END) END AS text,
+       CASE c_custkey % 6 WHEN 4 THEN 'a chain of sectors runs in a circle' WHEN 5 THEN 'the file is cut off' END AS error
+       FROM customer, range(1, 1 + CASE WHEN c_custkey % 6 < 4 THEN 3 ELSE 1 END) r(k)""",
+)
+def deck_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Decks as they lie on disk: large ones and small ones, whose sectors are in order or from last to first, and some with a
+    circular chain or without an end (S18, K22)."""
+
+    @F.pandas_udf(T.BinaryType())
+    def file(stream: pd.Series, form: pd.Series) -> pd.Series:
+        def one(x, k):
+            got = compound.written({"Current User": b"someone", media.DECK: x}, backward=k % 2 == 1)
+            table = int.from_bytes(got[76:80], "little")
+            if k == 4:  # the directory's sector leads to itself
+                at = (table + 1) * compound.SECTOR + 4 * int.from_bytes(got[48:52], "little")
+                got = got[:at] + got[48:52] + got[at + 4 :]
+            return got[: -len(got) // 2] if k == 5 else got
+
+        return pd.Series([one(*v) for v in zip(stream, form, strict=True)])
+
+    form = (F.col("c_custkey") % 6).cast("int")
+    body = lambda k: F.concat("c_name", F.lit(f" {k}"), F.repeat(F.lit("~"), F.when(form < 2, 900).otherwise(0)))
+    record = lambda k: F.concat(_record(media.ROLE, _number(F.lit(media.BODY), 4, True)), _record(media.WIDE, F.encode(body(k), "UTF-16LE")))
+    stream = _record(1000, F.concat(record(1), record(2), record(3)), True)
+    decks = table(spark, sf_dir, "customer").select(F.concat(F.lit("deck"), "c_custkey", F.lit(".ppt")).alias("path"), file(stream, form).alias("content"))
+    return media.decks(decks)
+
+
 @query(
     "recording_lengths",
     """SELECT p_partkey::VARCHAR AS no, CASE WHEN p_partkey % 3 = 0 THEN NULL ELSE round(p_size * 1000 / 441.0, 3) END AS video, round((400 * p_size) * 8 / 128000.0, 3) AS sound,
@@ -95,16 +127,24 @@ def shared_tails(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "conversations").select("conv_id").distinct().select("conv_id", values.shared_tail(boxes).alias("tail"))
 
 
-@query("plain_keys", "SELECT p_partkey, lower(replace(p_name, ' ', '')) || '1a' AS key FROM part")
+@query("plain_keys", "SELECT p_partkey, lower(replace(p_name, ' ', '')) || '1a你神奇' AS key FROM part")
 def plain_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Compatibility characters made plain, points and spaces away."""
-    return table(spark, sf_dir, "part").select("p_partkey", text.plain_key(F.concat("p_name", F.lit("．１ ·Ａ"))).alias("key"))
+    """Compatibility characters made plain, points and spaces away, variant characters folded."""
+    return table(spark, sf_dir, "part").select("p_partkey", text.plain_key(F.concat("p_name", F.lit("．１ ·Ａ祢祂綺")), {"祂": "神", "祢": "你", "綺": "奇"}).alias("key"))
 
 
-@query("symbol_grades", "SELECT o_orderkey, CASE WHEN o_orderkey % 9 < 8 THEN (o_orderkey % 9)::VARCHAR END AS grade FROM orders")
+@query(
+    "symbol_grades",
+    """WITH e AS (SELECT event_id, event_type AS symbol, json_extract_string(props, '$.k') AS k FROM events)
+       SELECT event_id, CASE WHEN symbol = 'click' THEN '1.' WHEN symbol = 'view' THEN '-' ELSE symbol || k END AS plain,
+              CASE WHEN symbol = 'click' THEN '1' WHEN symbol <> 'view' THEN nullif(regexp_extract(symbol || k, '[0-7]'), '') END AS grade FROM e""",
+)
 def symbol_grades(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The digit in a symbol, 0 to 7."""
-    return table(spark, sf_dir, "orders").select("o_orderkey", text.grade(F.expr("concat('x', if(o_orderkey % 9 < 8, cast(o_orderkey % 9 as string), '8'), \"'\")")).alias("grade"))
+    """Symbols made plain by a table, others as they are, and the first digit 0 to 7 in them."""
+    k = F.get_json_object("props", "$.k")
+    e = table(spark, sf_dir, "events").select("event_id", F.when(F.col("event_type").isin("click", "view"), F.col("event_type")).otherwise(F.concat("event_type", k)).alias("symbol"))
+    plain = text.plain_symbol(F.col("symbol"), {"click": "1.", "view": "-"})
+    return e.select("event_id", plain.alias("plain"), text.grade(plain).alias("grade"))
 
 
 @query("box_centres", "SELECT l_orderkey, l_linenumber, (l_quantity + l_extendedprice) / 2 AS middle, abs(l_quantity - l_extendedprice) AS apart FROM lineitem")

@@ -9,9 +9,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hexapla.sources import compound
+
 # Types of text records in a deck's stream (the text's role, UTF-16 text, Latin-1 text), and the role of a body.
 ROLE, WIDE, NARROW = 0x0F9F, 0x0FA0, 0x0FA8
 BODY = 5
+# The name of the stream of records in a deck's compound file.
+DECK = "PowerPoint Document"
 # Bit rates (kbit/s) and sampling rates (Hz) of MPEG 1 and 2 layer III by their index in a frame's header.
 _RATES = {1: (32, 40, 48, 56, 64, 80, 96, 112, 128, 160, 192, 224, 256, 320), 2: (8, 16, 24, 32, 40, 48, 56, 64, 80, 96, 112, 128, 144, 160)}
 _HERTZ = {1: (44100, 48000, 32000), 2: (22050, 24000, 16000)}
@@ -40,8 +44,9 @@ def text_records(data: bytes) -> Iterator[tuple[int | None, str]]:
 
 
 def decks(listing: DataFrame) -> DataFrame:
-    """(path, stanza_no, text, error): the bodies of each deck, numbered from 1, of ``listing`` (path, content), the streams
-    of decks. A stream that can't be read gives one row with its ``error``, and the others go on."""
+    """(path, stanza_no, text, error): the bodies of each deck, numbered from 1, of ``listing`` (path, content): decks as they lie
+    on disk, compound files, or the streams of records taken out of them. One that can't be read gives one row with its
+    ``error``, and the others go on."""
 
     def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -50,7 +55,10 @@ def decks(listing: DataFrame) -> DataFrame:
                 try:
                     if content is None or len(content) < 8:
                         raise ValueError("not a stream of records")
-                    bodies = [t for role, t in text_records(bytes(content)) if role == BODY and t.strip()]
+                    content = bytes(content)
+                    if content.startswith(compound.MAGIC):
+                        content = compound.Compound(content).stream(DECK)
+                    bodies = [t for role, t in text_records(content) if role == BODY and t.strip()]
                     if not bodies:
                         raise ValueError("no text in it")
                     out += [(path, k, t, None) for k, t in enumerate(bodies, 1)]

@@ -2,7 +2,9 @@
 
 import datetime
 import json
+import struct
 
+import pytest
 from pyspark.sql import types as T
 
 from hexapla.sources import files, records
@@ -164,3 +166,40 @@ def test_paged_source(spark, tmp_path):
     assert read(cache=str(cache), refresh="true") == {1: ("site", ["new"]), 2: ("site", [2])}
     assert read(cache=str(cache))[1] == ("cache", ["new"])
     assert {r.origin for r in spark.read.format("paged").option("path", str(tmp_path / "none")).load().collect()} == {"missing"}
+
+
+@pytest.mark.parametrize("backward", [False, True])
+def test_compound_files(spark, backward):
+    """Streams of all sizes, in order and backward; circles, broken chains and cut files are errors of their own row."""
+    import random
+
+    from hexapla.sources import compound, media
+
+    r = random.Random(1)
+    streams = {f"s{n}": r.randbytes(n) for n in (0, 1, 63, 64, 65, 511, 513, 4095, 4096, 4097, 70_000)}
+    data = compound.written(streams, backward)
+    got = compound.Compound(data)
+    assert set(got.names()) == set(streams) and all(got.stream(k) == v for k, v in streams.items())
+    with pytest.raises(ValueError, match="no stream"):
+        got.stream("other")
+    for size in (0, 100, 511):
+        with pytest.raises(ValueError, match="not a compound"):
+            compound.Compound(data[:size])
+    errors = set()
+    for _ in range(300):  # whatever is broken, it ends, with bytes or a reason
+        broken = bytearray(data[: r.choice([len(data), r.randint(512, len(data))])])
+        for _ in range(r.randint(0, 4)):
+            at = r.choice([r.randrange(len(broken)), r.randrange(len(broken) - 512 * 3, len(broken)), r.randrange(44, 80)])
+            broken[max(at, 0) % len(broken)] = r.randrange(256)
+        try:
+            one = compound.Compound(bytes(broken))
+            for name in one.names():
+                one.stream(name)
+        except (ValueError, struct.error) as e:
+            errors.add(str(e))
+    assert {"the file is cut off", "a chain of sectors is broken"} <= errors
+    atom = lambda kind, body: struct.pack("<HHI", 0, kind, len(body)) + body
+    deck = atom(media.ROLE, struct.pack("<I", media.BODY)) + atom(media.NARROW, b"la la " * 900)
+    rows = [("a", compound.written({media.DECK: deck}, backward)), ("b", compound.written({"other": b"x"})), ("c", data[:700]), ("d", deck), ("e", None)]
+    found = {x.path: (x.text, x.error) for x in media.decks(spark.createDataFrame(rows, "path string, content binary")).collect()}
+    assert found["a"] == found["d"] == ("la la " * 900, None) and found["b"] == (None, f"no stream {media.DECK}") and found["c"] == (None, "the file is cut off") and found["e"][0] is None
