@@ -200,6 +200,43 @@ def plain_key(c: Column, pairs: dict[str, str] | None = None) -> Column:
     return F.translate(key, "".join(pairs), "".join(pairs.values())) if pairs else key
 
 
+class Phrases:
+    """A trie of phrases and what they become, for converting texts from left to right by the longest phrase at each place."""
+
+    def __init__(self, table: dict[str, str]):
+        self.root: dict = {}
+        for phrase, other in table.items():
+            node = self.root
+            for ch in phrase:
+                node = node.setdefault(ch, {})
+            if phrase:
+                node[""] = other
+
+    def convert(self, text: str) -> str:
+        out, at = [], 0
+        while at < len(text):
+            node, k, found, end = self.root, at, None, at + 1
+            while k < len(text) and (node := node.get(text[k])) is not None:
+                k += 1
+                if "" in node:
+                    found, end = node[""], k
+            out.append(text[at] if found is None else found)
+            at = end
+        return "".join(out)
+
+
+def converted(c: Column, table: dict[str, str]) -> Column:
+    """A text with the phrases of a conversion table, given by the caller, replaced: at each place the longest that stands
+    there, from left to right; what has been replaced is not looked at again."""
+    phrases = Phrases(table)
+
+    @F.pandas_udf(T.StringType())
+    def convert(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: x if x is None else phrases.convert(x))
+
+    return convert(c)
+
+
 @F.pandas_udf(T.StringType())
 def html_unescape(s: pd.Series) -> pd.Series:
     """Entities to characters."""

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from hexapla.functions import notation, values
-from hexapla.functions.text import seq_coverage, syllable_count
+from hexapla.functions.text import converted, seq_coverage, syllable_count
 from hexapla.operators.matching import best_coverage, exact_then_fuzzy
 
 #: Similarity at which a stanza counts as one of the hymn's, and at which it may be.
@@ -26,10 +26,11 @@ SLIDE = ["file", "stanza_no"]
 VARIANTS = {"爲": "為", "裏": "裡", "祢": "你", "禰": "你", "麽": "麼", "么": "麼", "什": "甚", "哪": "那", "牠": "他"}
 
 
-def compare_text(c: Column) -> Column:
-    """For comparing titles and lyrics: variants folded, letters a to z, digits and CJK characters only, lower case.
-    Simplified characters stay: there is no table of them here."""
-    folded = F.translate(F.coalesce(c, F.lit("")), "".join(VARIANTS), "".join(VARIANTS.values()))
+def compare_text(c: Column, table: dict[str, str] | None = None) -> Column:
+    """For comparing titles and lyrics: phrases converted by a ``table`` of simplified and traditional forms, if one is given,
+    variants folded, letters a to z, digits and CJK characters only, lower case."""
+    text = F.coalesce(c, F.lit(""))
+    folded = F.translate(converted(text, table) if table else text, "".join(VARIANTS), "".join(VARIANTS.values()))
     return F.lower(F.regexp_replace(folded, r"[^0-9A-Za-z\x{3400}-\x{9fff}]", ""))
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.window import Window
 
 from hexapla.plans.registry import query
 from hexapla.operators import runs
@@ -233,3 +235,42 @@ def log_of_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
         runs.run(items, log, work, kept, **plan)
     times = runs.read_log(spark, log).groupBy(F.col("key").alias("l_key")).agg(F.count("*").alias("n"))
     return items.join(times, F.col("key") == F.col("l_key"), "left").select("key", F.coalesce("n", F.lit(0)).cast("int").alias("times"))
+
+
+@query("report_entries", "SELECT 'r' || n_regionkey AS report, n_name AS name, n_nationkey AS hits FROM nation WHERE n_regionkey <> 3")
+def report_entries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Entries of JSON reports, an array in a file, one for each region; one is broken and one isn't there."""
+    entries = table(spark, sf_dir, "nation").select("n_regionkey", F.struct(F.col("n_name").alias("name"), F.col("n_nationkey").cast("long").alias("hits")).alias("e"))
+    text = entries.groupBy("n_regionkey").agg(F.to_json(F.collect_list("e")).alias("value")).withColumn("value", F.when(F.col("n_regionkey") == 3, F.substring("value", 1, 20)).otherwise(F.col("value")))
+    folder, got = shared_path(spark, "reports"), None
+    text.repartition("n_regionkey").write.partitionBy("n_regionkey").text(folder)
+    schema = T.StructType([T.StructField("name", T.StringType()), T.StructField("hits", T.LongType())])
+    for k in range(6):  # there is no sixth
+        one = records.report(spark, f"{folder}/n_regionkey={k}", schema).select(F.lit(f"r{k}").alias("report"), "name", "hits")
+        got = one if got is None else got.unionByName(one)
+    return got
+
+
+@query("texts_by_number", "SELECT 'page_' || p_partkey || '.json' AS name, p_name AS text, row_number() OVER (ORDER BY p_partkey) AS place FROM part WHERE p_partkey <= 150")
+def texts_by_number(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Text files in the order of the numbers in their names."""
+    folder = shared_path(spark, "texts")
+    paged.write_pages(table(spark, sf_dir, "part").filter("p_partkey <= 150").select(F.col("p_partkey").cast("int").alias("number"), F.col("p_name").alias("value")).repartition(4), folder)
+    found = kept(files.texts_in_order(spark, folder).withColumn("at", F.monotonically_increasing_id()))
+    return found.select("name", "text", F.row_number().over(Window.orderBy("at")).cast("long").alias("place"))
+
+
+@query(
+    "page_totals",
+    """SELECT count(*) AS declared, count(*) FILTER (c_custkey // 10 % 13 <> 12) AS there, count(DISTINCT c_custkey // 10) FILTER (c_custkey // 10 % 13 = 12) AS pages_missing,
+       count(*) FILTER (c_custkey // 10 % 13 = 12) = 0 AS agrees FROM customer""",
+)
+def page_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What pages declare against what is on those that can be read."""
+    rows = table(spark, sf_dir, "customer").select(F.floor(F.col("c_custkey") / PER_PAGE).cast("int").alias("p"), "c_custkey")
+    total = rows.agg(F.count_distinct("p").alias("last_page"), F.count("*").alias("total"))
+    data = rows.groupBy("p").agg(F.collect_list(F.struct(F.col("c_custkey").cast("string").alias("no"))).alias("data")).join(total)
+    value = F.when(F.col("p") % 13 == 12, "{broken").otherwise(F.to_json(F.struct("data", (F.col("p") + 1).alias("current_page"), "last_page", "total")))
+    folder = shared_path(spark, "pages")
+    data.select("p", value.alias("value")).repartition("p").write.partitionBy("p").text(folder)
+    return records.total_check(records.pages(spark, folder))

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from hexapla.functions import notation
-from hexapla.operators import assembly, slides, vote
+from hexapla.operators import analysis, assembly, slides, vote
 from hexapla.plans.registry import query
 from hexapla.sources.scratch import kept
 from hexapla.sources.tables import table
@@ -198,3 +199,32 @@ def slide_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
     choruses = p.select(F.col("p_partkey").alias("number"), F.when(F.col("chorus"), verse(second)).alias("chorus"))
     got = slides.slide_headers(shown, p.select(F.col("p_partkey").alias("number"), name.alias("title")), verses, choruses, keep=kept)
     return got.select("file", "number", "kind", "chorus_slides", "pair_count", "note_total", "marker_ok", "structure_ok", "repeats", "verse_match", "review_reason")
+
+
+@query(
+    "score_analysis",
+    """WITH e AS (SELECT o_custkey AS doc, l_orderkey AS row, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) - 1 AS i, l_quantity::INT % 7 + 1 AS d, l_partkey % 19 - 9 AS off FROM lineitem JOIN orders ON l_orderkey = o_orderkey),
+       r AS (SELECT doc, row, list(d ORDER BY i) AS ds, count(*) AS n FROM e GROUP BY 1, 2),
+       l AS (SELECT doc, CASE WHEN row % 3 = 0 THEN list_reverse(ds) ELSE ds END AS ds FROM r),
+       hit AS (SELECT doc, row, n FROM r WHERE n >= 4 AND EXISTS (SELECT 1 FROM l WHERE l.doc = r.doc AND l.ds = r.ds)),
+       s AS (SELECT e.doc, e.row, e.d, hit.n, 20.0 * i + off AS sx, row_number() OVER (PARTITION BY e.row ORDER BY 20.0 * i + off, i) - 1 AS place FROM e JOIN hit ON e.row = hit.row),
+       c AS (SELECT s.*, k, abs(20.0 * k - sx) AS dist FROM s, range(40) g(k) WHERE k < n QUALIFY row_number() OVER (PARTITION BY row, place ORDER BY dist, k) = 1)
+       SELECT doc, row, place::INT AS place, k::INT AS note, dist::DOUBLE AS distance,
+              CASE WHEN dist > 8 AND ((k > 0 AND abs(20.0 * k - 10 - sx) < dist) OR (k < n - 1 AND abs(20.0 * k + 10 - sx) < dist)) THEN 2 ELSE 1 END AS span FROM c""",
+)
+def score_analysis(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as rows of a customer's score, matched with the customer's lines, every third of which is read backward; and the
+    syllables below each matched row on its notes (L16, J19, J20, L13)."""
+    e = table(spark, sf_dir, "lineitem").join(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey"))
+    i = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice")) - 1
+    digit = (F.col("l_quantity").cast("int") % 7 + 1).cast("string")
+    e = e.select(F.col("o_custkey").alias("doc"), F.lit(1).alias("page"), (F.col("l_orderkey") * 100.0).alias("y"), i.alias("i"), digit.alias("d"), (F.col("l_partkey") % 19 - 9).alias("off"))
+    e = kept(e.withColumn("sx", 20.0 * F.col("i") + F.col("off")))
+    notes = e.select("doc", "page", "y", (20.0 * F.col("i")).alias("x"), F.concat(F.lit("c"), "d").alias("code"))
+    said = F.transform(F.array_sort(F.collect_list(F.struct("i", "d"))), lambda v: v["d"])
+    lines = e.groupBy("doc", "y").agg(said.alias("s")).select("doc", F.col("y").alias("line"), F.when((F.col("y") / 100).cast("long") % 3 == 0, F.reverse("s")).otherwise(F.col("s")).alias("symbols"))
+    below = F.explode(F.array(F.lit(12.0), F.lit(40.0)))  # the second row is another block
+    sung = e.select("doc", "page", "y", "i", "sx", below.alias("down")).select("doc", "page", (F.col("y") + F.col("down")).alias("y"), F.col("sx").alias("x"), F.col("i").alias("syllable"))
+    known = spark.range(1, 8).select(F.concat(F.lit("c"), "id").alias("code"), F.col("id").cast("string").alias("symbol"))
+    got = analysis.analysed(notes, lines, sung, known, keep=kept)
+    return got.cells.select("doc", (F.col("y") / 100).cast("long").alias("row"), "place", "note", "distance", "span")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hexapla.functions import text, values
-from hexapla.operators import matching, resources
+from hexapla.operators import matching, resources, slides
 from hexapla.plans.registry import query
 from hexapla.sources.scratch import kept
 from hexapla.sources.tables import table
@@ -27,6 +27,17 @@ def compare_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", text.compare_key(F.col("text"), {"é": "e", "è": "e"}).alias("key"))
 
 
+@query(
+    "converted_texts",
+    r"""WITH p AS (SELECT p_partkey, p_name || ' 头发 发现 皇后 后面' AS t FROM part)
+       SELECT p_partkey, lower(regexp_replace(replace(replace(replace(replace(replace(replace(replace(t, '头发', '頭髮'), '皇后', '皇后'), '后', '後'), '皇後', '皇后'), '发', '發'), 'almond', '杏'), 'al', '阿'), '[^0-9A-Za-z\x{3400}-\x{9fff}]', '', 'g')) AS key FROM p""",
+)
+def converted_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names for comparing, simplified characters converted by a table in which phrases go before characters (T4)."""
+    forms = {"头发": "頭髮", "发": "發", "后": "後", "皇后": "皇后", "almond": "杏", "al": "阿"}
+    return table(spark, sf_dir, "part").select("p_partkey", slides.compare_text(F.concat("p_name", F.lit(" 头发 发现 皇后 后面")), forms).alias("key"))
+
+
 _UNSUNG = text.UNSUNG.replace("'", "''")
 
 

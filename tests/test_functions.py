@@ -88,3 +88,24 @@ def test_shared_tail(spark, boxes, want):
 def test_intact(spark, data, kind, want):
     row = spark.createDataFrame([(bytearray(data), kind)], "c binary, k string").select(values.intact(F.col("c"), F.col("k")).alias("i")).first()["i"]
     assert tuple(row) == want
+
+
+def test_conversion_takes_the_longest_phrase(spark):
+    import random
+
+    from hexapla.operators import slides
+
+    table = {"后": "後", "皇后": "皇后", "皇": "王", "头发": "頭髮", "发": "發", "𠀀后": "x", "ab": "1", "abc": "2", "bcd": "3", "": "never"}
+
+    def naive(t):
+        out = ""
+        while t:
+            k = next((n for n in range(len(t), 0, -1) if t[:n] in table), 0)
+            out, t = out + (table[t[:k]] if k else t[0]), t[k or 1 :]
+        return out
+
+    r = random.Random(3)
+    texts = ["".join(r.choices(["后", "皇", "头", "发", "𠀀", "a", "b", "c", "d", " "], k=r.randint(0, 12))) for _ in range(300)] + ["皇后后面头发发", ""]
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)] + [(999, None)], "k int, t string")
+    got = {x.k: (x.c, x.key) for x in df.select("k", text.converted(F.col("t"), table).alias("c"), slides.compare_text(F.col("t"), table).alias("key")).collect()}
+    assert all(got[k][0] == naive(t) for k, t in enumerate(texts)) and got[999] == (None, "") and got[300] == ("皇后後面頭髮發", "皇后後面頭髮發")
