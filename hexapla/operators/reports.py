@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
+from hexapla.functions.text import display_width
+
 
 def text_report(sections: dict[str, tuple[DataFrame, Column, list[Column | str], int | None]], keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """(section, ordinal, text): for each section the lines of a table in an order without ties, the first so many if a
@@ -102,3 +104,23 @@ def text_width(text: Column, widths: dict[str, float], default: float = 1.0) ->
     table = F.create_map(*[F.lit(x) for kv in widths.items() for x in kv])
     each = F.transform(F.filter(F.split(text, ""), lambda x: x != ""), lambda c: F.coalesce(F.try_element_at(table, c), F.lit(default)))
     return F.aggregate(each, F.lit(0.0), lambda s, x: s + x)
+
+
+def score_lines(notes: DataFrame, cells: DataFrame, keys: list[str], labels: Callable[[Column], Column], head: int = 6, least: int = 2) -> DataFrame:
+    """(keys, part, text): a score's lines in columns. ``notes`` are (keys, slot, symbol), numbered from 0 without gaps, and
+    ``cells`` (keys, part, slot, syllable), parts from 1; the notes are part 0.
+
+    Each slot takes as many columns of a terminal as the widest symbol or syllable of its keys, ``least`` at least, and a space;
+    wide characters take two. A part's line has all slots of the notes, empty ones too, so that the right borders are in
+    line; syllables of other slots are left out. In front is the part's label in ``head`` columns.
+    """
+    both = notes.select(*keys, F.lit(0).alias("part"), "slot", F.col("symbol").alias("s")).unionByName(cells.select(*keys, F.col("part").cast("int").alias("part"), "slot", F.col("syllable").alias("s")))
+    sized = both.withColumn("w", display_width(F.coalesce("s", F.lit(""))))
+    widest = sized.groupBy(*keys).agg(F.greatest(F.max("w"), F.lit(least)).alias("width"), (F.max(F.when(F.col("part") == 0, F.col("slot"))) + 1).alias("n"))
+    lines = sized.groupBy(*keys, "part").agg(F.map_from_entries(F.collect_list(F.struct("slot", F.struct("s", "w")))).alias("at")).join(widest.filter("n is not null"), keys)
+    padded = lambda text, w, width: F.concat(text, F.repeat(F.lit(" "), F.greatest(width - w, F.lit(0))))
+    cell = lambda k: F.struct(F.coalesce(F.try_element_at("at", k)["s"], F.lit("")).alias("s"), F.coalesce(F.try_element_at("at", k)["w"], F.lit(0)).alias("w"))
+    slots = F.transform(F.transform(F.sequence(F.lit(0), F.col("n") - 1), cell), lambda c: F.concat(padded(c["s"], c["w"], F.col("width")), F.lit(" ")))
+    label = labels(F.col("part"))
+    front = padded(label, display_width(label), F.lit(head))
+    return lines.select(*keys, "part", F.concat(front, F.lit("│"), F.array_join(slots, ""), F.lit("│")).alias("text"))
