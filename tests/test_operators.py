@@ -1,5 +1,7 @@
 """Edge cases of operators that the catalogue's tables don't have."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -179,6 +181,40 @@ def test_rows_on_lines(spark):
     assert rows(vote.rows_on_lines(df, dl, ["doc"])) == sorted(want, key=str)
 
 
+@pytest.mark.parametrize("rounds", [1, 4])
+def test_learning_rounds_against_a_plain_version(spark, rounds):
+    """Lines of texts, their rarer words unknown: the same dictionary as by rounds in plain Python."""
+    from collections import Counter
+
+    from hexapla.sources.scratch import kept
+
+    texts = [r.text for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("text").collect() if r.text]
+    said = [re.findall("[a-z]+", line.lower()) for t in texts for line in t.split("\n")]
+    # some lines are noisy: a word in three is another's
+    lines = [(k, [f"c{w}" for w in ws], [("x" + w if k % 5 == 0 and i % 3 == 0 else w) for i, w in enumerate(ws)]) for k, ws in enumerate(said) if ws]
+    often = Counter(w for _, codes, _ in lines for w in codes)
+    seed = {c: c[1:] for c, n in often.items() if n >= 6}
+    known, votes, todo = dict(seed), {}, {k for k, _, _ in lines}
+    for _ in range(rounds):
+        for k, codes, symbols in lines:
+            if k in todo:
+                votes[k] = vote.pair_votes(codes, [known.get(c, "?") for c in codes], symbols) if any(c not in known for c in codes) and any(c in known for c in codes) else []
+        tally = Counter((c, s) for v in votes.values() for c, s in v)
+        fresh = {}
+        for c in {c for c, _ in tally} - known.keys():
+            n, s = min((-n, s) for (code, s), n in tally.items() if code == c)
+            total = sum(n for (code, _), n in tally.items() if code == c)
+            if -n >= 2 and -n * 100 >= 60 * total:
+                fresh[c] = s
+        if not fresh:
+            break
+        known |= fresh
+        todo = {k for k, codes, _ in lines if fresh.keys() & set(codes)}
+    df = spark.createDataFrame(lines, "line long, codes array<string>, symbols array<string>").repartition(3)
+    got = {r.code: r.symbol for r in vote.learn_rounds(df, spark.createDataFrame(list(seed.items()), "code string, symbol string"), 2, 60, rounds, kept).collect()}
+    assert got == known and len(known) > len(seed) + 20
+
+
 def test_learning_rounds(spark):
     """A code learned in one round is the anchor that teaches the next; only lines that hold a new code are looked at again."""
     lines = [("abcde?ghijk", "abcdeFghijk")] * 2 + [("xyFzzw", "xyFzzw")] * 2 + [("abc", "abc"), ("qqqq", "qqqq"), ("", "")]
