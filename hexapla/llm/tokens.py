@@ -46,7 +46,7 @@ CHUNK_CHARS = 4_000_000
 #: The dictionary is trained on so many documents at most, and on so many ids of each, and has so many bytes at most.
 DICT_DOCS, DICT_IDS, DICT_BYTES = 2_000, 4_096, 64 << 10
 #: A shard holds about so many bytes of text; its task keeps its compressed frames in memory.
-SHARD_CHARS = 24 << 20
+SHARD_CHARS = 12 << 20
 LEVEL = 3
 #: White space (as the pre-tokenizer's pattern takes it) other than the space and the line feed.
 OTHER_SPACE = "\t\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2028\u2029\u202f\u205f\u3000" + "".join(map(chr, range(0x2000, 0x200B)))
