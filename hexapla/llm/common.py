@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import re
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -62,3 +64,26 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 def ascii_lower(text: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def give_back() -> None:
+    """Return to the system what this process has freed. Arrow's pool and the C library keep it otherwise, and Spark keeps
+    idle workers, so that it would count against whatever the executor does next."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+def releasing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], forget: Callable[[], None] | None = None) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """For mapInArrow: ``run``, after whose end a task calls ``forget`` and returns its memory."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            if forget:
+                forget()
+            give_back()
+
+    return whole

@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexapla.llm.common import without, written
+from hexapla.llm.common import releasing, without, written
 
 K1, B = 1.2, 0.75
 #: Part of an item's score with itself that a passage must reach.
@@ -289,7 +289,7 @@ def _said(items: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*said, strict=True), types, strict=True)], ["item_id", "text", "n", "words"])
 
     rows = items.filter("text is not null").select(F.col("item_id").cast("long"), "text")
-    found = rows.mapInArrow(split, "item_id long, text string, n long, words array<binary>")
+    found = rows.mapInArrow(releasing(split), "item_id long, text string, n long, words array<binary>")
     return written(found.withColumn("row", F.monotonically_increasing_id()), "items")
 
 
@@ -332,7 +332,7 @@ def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD
                 if out:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names)
 
-        return docs.mapInArrow(scan, SCHEMA)
+        return docs.mapInArrow(releasing(scan), SCHEMA)
 
     found = None
     for block, statistics in _item_blocks(items, item_bytes):

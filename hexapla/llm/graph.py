@@ -6,7 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexapla.llm.common import written
+from hexapla.llm.common import releasing, written
 
 #: So many edges at most are united in one task.
 ONE_TASK = 1_000_000
@@ -48,7 +48,7 @@ def _by_one_task(edges: DataFrame) -> DataFrame:
             part = [x for x in nodes[at : at + 65536] if root(x) != x]
             yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([root(x) for x in part], pa.int64())], ["a", "b"])
 
-    return edges.select("a", "b").coalesce(1).mapInArrow(unite, "a long, b long")
+    return edges.select("a", "b").coalesce(1).mapInArrow(releasing(unite), "a long, b long")
 
 
 def components(edges: DataFrame, one_task: int = ONE_TASK) -> DataFrame:

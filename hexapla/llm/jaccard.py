@@ -46,7 +46,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hexapla.llm.common import without, written
+from hexapla.llm.common import releasing, without, written
 from hexapla.llm.graph import components
 from hexapla.llm.shingles import shingle_sets
 
@@ -179,9 +179,9 @@ def shared_counts(docs: DataFrame, buckets: int, parts: int) -> DataFrame:
             numbers = np.frombuffer(head[3], "<i8", 2 * k)[::2]
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in (ids, lengths, marks, numbers, shared)], ["doc_id", "n", "mark", "class", "shared"])
 
-    sent = docs.mapInArrow(send, _BUCKETED).repartition(parts, "bucket").sortWithinPartitions("bucket")
-    back = sent.mapInArrow(count, _BUCKETED).repartition("block").sortWithinPartitions("block", "bucket")
-    return back.mapInArrow(gather, "doc_id long, n long, mark binary, class long, shared long")
+    sent = docs.mapInArrow(releasing(send), _BUCKETED).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    back = sent.mapInArrow(releasing(count), _BUCKETED).repartition("block").sortWithinPartitions("block", "bucket")
+    return back.mapInArrow(releasing(gather), "doc_id long, n long, mark binary, class long, shared long")
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
@@ -221,7 +221,7 @@ def set_blocks(docs: DataFrame, by_class: bool = False) -> DataFrame:
         if ids:
             yield row()
 
-    return docs.mapInArrow(make, _BUCKETED)
+    return docs.mapInArrow(releasing(make), _BUCKETED)
 
 
 def _open(head: bytes, body: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -239,7 +239,7 @@ def sets_of(blocks: DataFrame) -> DataFrame:
                 parts = np.split(tokens, np.cumsum(lengths)[:-1])
                 yield pa.RecordBatch.from_arrays([pa.array(ids), pa.array(lengths), pa.array([p.tobytes() for p in parts])], ["rep", "n", "tokens"])
 
-    return blocks.select("head", "body").mapInArrow(unpack, "rep long, n long, tokens binary")
+    return blocks.select("head", "body").mapInArrow(releasing(unpack), "rep long, n long, tokens binary")
 
 
 def prefixes(blocks: DataFrame, buckets: int, parts: int, percent: int = PERCENT) -> DataFrame:
@@ -279,9 +279,9 @@ def prefixes(blocks: DataFrame, buckets: int, parts: int, percent: int = PERCENT
             if out_t:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out_t)), pa.array(np.concatenate(out_r))], ["token", "rep"])
 
-    sent = blocks.mapInArrow(send, _BUCKETED).repartition(parts, "bucket").sortWithinPartitions("bucket")
-    back = sent.mapInArrow(count, _BUCKETED).unionByName(blocks).repartition("block").sortWithinPartitions("block", "bucket")
-    return back.mapInArrow(gather, "token long, rep long")
+    sent = blocks.mapInArrow(releasing(send), _BUCKETED).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    back = sent.mapInArrow(releasing(count), _BUCKETED).unionByName(blocks).repartition("block").sortWithinPartitions("block", "bucket")
+    return back.mapInArrow(releasing(gather), "token long, rep long")
 
 
 def occurrences(lists: list[array], least: int, work: Counter) -> tuple[np.ndarray, np.ndarray]:
@@ -443,7 +443,7 @@ def search_groups(members: DataFrame, percent: int = PERCENT) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], ["a", "b"])
 
     dealt = members.repartition("task").sortWithinPartitions("task", "side", F.octet_length("tokens"), "rep")
-    return dealt.select("task", "side", "rep", "label", "tokens").mapInArrow(run, "a long, b long")
+    return dealt.select("task", "side", "rep", "label", "tokens").mapInArrow(releasing(run), "a long, b long")
 
 
 def _stars(prefix: DataFrame) -> DataFrame:
@@ -462,7 +462,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
             keep = [linked(np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8"), percent) for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(compare, "a long, b long")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "x", "y").mapInArrow(releasing(compare), "a long, b long")
 
 
 def links(prefix: DataFrame, sets: DataFrame, percent: int = PERCENT, group_sets: int = GROUP_SETS, group_shingles: int = GROUP_SHINGLES) -> DataFrame:
@@ -519,7 +519,7 @@ def count_groups(members: DataFrame, percent: int = PERCENT) -> DataFrame:
             yield _link_rows(out)
 
     dealt = members.repartition("task").sortWithinPartitions("task", "side", "rep")
-    return dealt.select("task", "side", "rep", "copies", "tokens").mapInArrow(run, "a long, b long, n long")
+    return dealt.select("task", "side", "rep", "copies", "tokens").mapInArrow(releasing(run), "a long, b long, n long")
 
 
 def _link_rows(rows: list[tuple]) -> pa.RecordBatch:
@@ -584,7 +584,7 @@ def linked_documents(docs: DataFrame, percent: int = PERCENT, group_sets: int =
         out = out.join(mine, (F.col("doc_id") == F.col("d")) & (F.col("class") == F.col("c")), "left").withColumn("n_links", F.coalesce("n_links", F.lit(0)))
     out = out.drop("class", "d", "c")
     lost = docs.filter("doc_id is null")
-    none = lost.mapInArrow(_sizes, "doc_id long, n_shingles long").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"), *([F.lit(None).cast("long").alias("n_links")] if count else []))
+    none = lost.mapInArrow(releasing(_sizes), "doc_id long, n_shingles long").select("doc_id", "n_shingles", F.lit(None).cast("long").alias("component_id"), *([F.lit(None).cast("long").alias("n_links")] if count else []))
     return out.unionByName(none)
 
 

@@ -21,12 +21,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from hexapla.llm.common import written
-from hexapla.llm.tokens import over_ids
+from hexapla.llm.common import releasing, written
+from hexapla.llm.tokens import encoder, over_ids
 
 #: Ids in a sequence.
 SIZE = 1024
-#: Distinct pieces of text whose ids a worker keeps while it cuts documents.
+#: Distinct pieces of text whose ids a task keeps while it cuts documents.
 MOST_PIECES = 1_000_000
 #: Ranks are counted apart for each length and salt; a salt is to have so many pieces.
 SALT_ROWS = 1_024
@@ -102,7 +102,9 @@ def pieces(docs: DataFrame, path: str, end: int = 0, size: int = SIZE) -> DataFr
 
     names = ("doc_id", "start", "length", "ids_crc32", "doc_tokens")
     schema = pa.schema([(n, pa.int64()) for n in names])
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(over_ids(path, end, make_row, schema, MOST_PIECES), ", ".join(f"{n} long" for n in names))
+    # a worker that kept its pieces would hold them through later stages that have no use for them
+    run = releasing(over_ids(path, end, make_row, schema, MOST_PIECES), lambda: encoder(path, MOST_PIECES).forget())
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, ", ".join(f"{n} long" for n in names))
 
 
 def packed(cut: DataFrame, size: int = SIZE, salt_rows: int = SALT_ROWS) -> DataFrame:

@@ -68,6 +68,10 @@ class PieceEncoder:
         self.newline_id = int.from_bytes(self.newline, "little")
         self.model = self.tokenizer.model if _is_plain_byte_level(self.tokenizer) else None
 
+    def forget(self) -> None:
+        """Drop the kept pieces, not the tokenizer."""
+        self.tails, self.first, self.spaced = {}, {}, {}
+
     def plain(self, text: str) -> bool:
         """Whether single spaces and line feeds are all its white space, so that it can be cut there."""
         return not any(s in text for s in _DOUBLE) and not any(c in text for c in (_ASCII_SPACE if text.isascii() else OTHER_SPACE)) and not any(s in text for s in self.special)

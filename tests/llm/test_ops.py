@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from hexapla.llm import bwt, chat, contamination, graph, jaccard, language, licences, packing, quality, queries, secrets, shingles, substrings, tokens, trigrams
+from hexapla.llm import bwt, chat, common, contamination, graph, jaccard, language, licences, packing, quality, queries, secrets, shingles, substrings, tokens, trigrams
 
 SF = "/root/testdata/sf0.001"
 UPPER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -368,6 +368,40 @@ def test_packing_with_many_salts(spark, docs):
     assert max(r.sequence_id for r in rows) == len({r.sequence_id for r in rows}) - 1
 
 
+def test_packing_leaves_no_pieces_in_idle_workers(spark, docs):
+    rows = docs.repartition(4)
+    assert packing.pieces(rows, queries.vocabulary()).count() >= docs.count()
+
+    def left(batches):
+        import pyarrow as pa
+
+        from hexapla.llm import tokens
+
+        for _ in batches:
+            yield pa.RecordBatch.from_pydict({"n": [sum(len(e.first) + len(e.spaced) + len(e.tails) for e in tokens._encoders.values())]})
+
+    assert spark.range(0, 32, 1, 32).mapInArrow(left, "n long").agg(F.max("n")).first()[0] == 0
+
+
+def test_memory_is_given_back_when_a_task_has_ended(monkeypatch):
+    said = []
+    monkeypatch.setattr(common, "give_back", lambda: said.append("given back"))
+
+    def run(batches):
+        try:
+            yield from batches
+        finally:
+            said.append("ended")
+
+    whole = common.releasing(run, lambda: said.append("forgotten"))
+    assert list(whole(iter([1, 2]))) == [1, 2]
+    assert said == ["ended", "forgotten", "given back"]
+    some = whole(iter([1, 2]))
+    next(some)
+    some.close()
+    assert said[3:] == ["ended", "forgotten", "given back"]
+
+
 def test_packing_of_nothing(empty):
     assert packing.packed_documents(empty, vocabulary()).count() == 0
 
