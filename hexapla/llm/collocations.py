@@ -32,11 +32,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hexapla.llm.common import written
+from hexapla.llm.common import releasing, written
 
 #: Words of the longest phrase, occurrences of the rarest, share of a longer phrase's count that drops it, and rows of a
 #: language.
@@ -54,7 +55,7 @@ class Trie(NamedTuple):
     """Sorted paths with their counts; ``columns[d]`` has the place of each path's word d among the sorted ``words``, from 1, or
     0 where the path has ended."""
 
-    words: list[bytes]
+    words: list[bytes] | pa.LargeBinaryArray
     columns: list[np.ndarray]
     counts: np.ndarray
 
@@ -109,11 +110,14 @@ def trie_of(texts: list[bytes]) -> Trie:
 def merged(tries: list[Trie]) -> Trie:
     """Several tries as one."""
     if len(tries) == 1:
-        return tries[0]
-    words = sorted(set().union(*[t.words for t in tries]))
-    place = dict(zip(words, range(1, len(words) + 1), strict=True))
-    maps = [np.fromiter((0, *map(place.__getitem__, t.words)), np.uint32, len(t.words) + 1) for t in tries]
-    columns = [np.concatenate([m[t.columns[d]] for m, t in zip(maps, tries, strict=True)]) for d in range(DEPTH)]
+        t = tries[0]
+        return t if isinstance(t.words, list) else t._replace(words=t.words.to_pylist())
+    each = pa.concat_arrays([pa.array(t.words, pa.large_binary()) for t in tries]).dictionary_encode()
+    order = pc.array_sort_indices(each.dictionary)
+    place = np.zeros(len(order), np.uint32)
+    place[order] = np.arange(1, len(order) + 1)
+    words, maps = each.dictionary.take(order).to_pylist(), np.split(place[each.indices], np.cumsum([len(t.words) for t in tries])[:-1])
+    columns = [np.concatenate([np.append(np.uint32(0), m)[t.columns[d]] for m, t in zip(maps, tries, strict=True)]) for d in range(DEPTH)]
     return _merged(words, columns, np.concatenate([t.counts for t in tries]))
 
 
@@ -153,13 +157,24 @@ def pack(t: Trie) -> bytes:
 
 
 def unpack(data: bytes) -> Trie:
+    """The trie of what ``pack`` made of it."""
+    t = unlisted(data)
+    return t._replace(words=t.words.to_pylist())
+
+
+def unlisted(data: bytes) -> Trie:
+    """The same for merging only, its words an Arrow array: as objects they take several times the memory of its paths."""
     data, at, parts = zstandard.decompress(data), 16 * (DEPTH + 3), []
     for width, n in np.frombuffer(data, "<i8", 2 * (DEPTH + 3)).reshape(-1, 2).tolist():
         parts.append(np.frombuffer(data, f"<u{width}", n, at))
         at += width * n
     words, shared, counts, *levels = parts
     columns = [level[np.cumsum(shared <= d) - 1].astype(np.uint32) for d, level in enumerate(levels)]
-    return Trie(words.tobytes().split(b"\n") if len(words) else [], columns, counts.astype(np.int64))
+    starts = np.concatenate([[0], np.flatnonzero(words == 10) + 1, [len(words) + 1]]) if len(words) else np.zeros(1, np.int64)
+    kept = words[words != 10]
+    offsets = starts - np.arange(len(starts))
+    offsets[0] = 0
+    return Trie(pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(kept)]), columns, counts.astype(np.int64))
 
 
 def below(t: Trie, path: list[bytes]) -> int:
@@ -254,7 +269,7 @@ def built(docs: DataFrame) -> DataFrame:
             held.add(k, trie_of(v))
         yield from held.empty(0)
 
-    return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text")).mapInArrow(build, _TRIES)
+    return docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce(F.col("text").cast("binary"), F.lit(b"")).alias("text")).mapInArrow(releasing(build), _TRIES)
 
 
 def bounds(tries: DataFrame, per: int) -> DataFrame:
@@ -275,7 +290,9 @@ def bounds(tries: DataFrame, per: int) -> DataFrame:
 
 
 def dealt(tries: DataFrame, where: DataFrame, parts: int) -> DataFrame:
-    """Tries cut at the bounds of their ranges and brought together by new range."""
+    """Tries cut at the bounds of their ranges and brought together by new range. The new ranges of one old range, which are
+    numbered in a row, go to partitions in a row: dealt by a hash, a few partitions would get several times the usual, and
+    both sides of a Python task hold what it reads."""
 
     def cut(batches):
         for b in batches:
@@ -295,7 +312,10 @@ def dealt(tries: DataFrame, where: DataFrame, parts: int) -> DataFrame:
                     yield _lots(rows)
 
     cuts = tries.join(where, F.col("range") == F.col("b_range")).select("lang", "body", "cuts", "first")
-    return cuts.mapInArrow(cut, "range long, lang string, body binary").repartition(parts, "range").sortWithinPartitions("range")
+    lots = cuts.mapInArrow(releasing(cut), "range long, lang string, body binary")
+    old = F.floor(F.col("range") / (4 * MOST_RANGES))
+    spot = F.pmod(F.pmod(F.xxhash64(old), F.lit(parts)) + F.col("range"), F.lit(parts)).cast("int")
+    return lots.repartitionById(parts, spot).sortWithinPartitions("range")
 
 
 def _lots(rows: list[tuple]) -> pa.RecordBatch:
@@ -313,12 +333,12 @@ def remerged(lots: DataFrame) -> DataFrame:
                 if spot != now and now is not None:
                     yield from held.empty(now)
                 now = spot
-                if held.add(lang, unpack(body)):
+                if held.add(lang, unlisted(body)):
                     yield from held.empty(now)
         if now is not None:
             yield from held.empty(now)
 
-    return lots.mapInArrow(merge, _TRIES)
+    return lots.mapInArrow(releasing(merge), _TRIES)
 
 
 def counted(lots: DataFrame, least: int) -> DataFrame:
@@ -340,10 +360,10 @@ def counted(lots: DataFrame, least: int) -> DataFrame:
                 if spot != now:
                     yield from found()
                     tries, now = defaultdict(list), spot
-                tries[lang].append(unpack(body))
+                tries[lang].append(unlisted(body))
         yield from found()
 
-    return lots.mapInArrow(count_, "lang string, phrase string, depth int, n long")
+    return lots.mapInArrow(releasing(count_), "lang string, phrase string, depth int, n long")
 
 
 def common_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:

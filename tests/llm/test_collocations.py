@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from hexapla.llm import collocations
 
@@ -97,3 +98,34 @@ def test_long_texts_are_cut_between_pieces(monkeypatch):
     text = b"one two three four five six, seven. eight nine ten;" * 3 + b"end"
     got = list(collocations._pieces(text))
     assert len(got) > 3 and [ws for g in got for ws in pieces(g.decode()) if ws] == [ws for ws in pieces(text.decode()) if ws]
+
+
+def test_ranges_are_dealt_evenly(spark):
+    """No task gets many more ranges than another: it reads them at once."""
+    r = random.Random(3)
+    docs = spark.createDataFrame([("en", " ".join(f"v{r.randrange(5000)}" for _ in range(10_000))) for _ in range(32)], "lang string, text string").repartition(2)
+    tries = collocations.built(docs).cache()
+    lots = collocations.dealt(tries, collocations.bounds(tries, 10_000), 8)
+    each = Counter(row[0] for row in lots.select(F.spark_partition_id(), "range").distinct().collect())
+    assert len(each) == 8 and sum(each.values()) > 24 and max(each.values()) - min(each.values()) <= 1
+
+
+def test_words_of_tries_to_merge_are_no_objects():
+    texts = [t.encode() for _, t in mixed(7, 30, 80, 9) if t]
+    tries = [collocations.trie_of(texts[:9]), collocations.trie_of([]), collocations.trie_of(texts[9:])]
+    bare = [collocations.unlisted(collocations.pack(t)) for t in tries]
+    assert not any(isinstance(t.words, list) for t in bare) and [t.words.to_pylist() for t in bare] == [t.words for t in tries]
+    whole = collocations.trie_of(texts)
+    for got in (collocations.merged(bare), collocations.merged(tries), collocations.merged([bare[0], *tries[1:]])):
+        assert got.words == whole.words and [c.tolist() for c in [*got.columns, got.counts]] == [c.tolist() for c in [*whole.columns, whole.counts]]
+    assert collocations.merged(bare[:1]).words == tries[0].words and collocations.merged(bare[1:2]).words == []
+
+
+def test_tasks_return_their_memory(spark, monkeypatch):
+    run = []
+    monkeypatch.setattr(collocations, "releasing", lambda f: run.append(f.__name__) or f)
+    docs = spark.createDataFrame([("en", "a b c")], "lang string, text string")
+    tries = collocations.built(docs).cache()
+    lots = collocations.dealt(tries, collocations.bounds(tries, 10), 2)
+    assert collocations.counted(lots, 1).count() == 6 and collocations.remerged(lots).count() == 1
+    assert run == ["build", "cut", "count_", "merge"]
