@@ -28,9 +28,10 @@ import re
 import zlib
 from array import array
 from collections.abc import Callable, Iterator
-from itertools import accumulate, chain, islice
+from itertools import accumulate, islice
 
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -39,7 +40,7 @@ from pyspark.sql.window import Window
 from hexapla.llm.common import new_path, written
 
 MAGIC = b"HXID"
-#: Distinct pieces whose ids a worker keeps; beyond it forgets those that are not in the texts at hand.
+#: Distinct pieces whose ids a worker keeps; beyond, it forgets those that came once, then those not in the texts at hand.
 MOST_PIECES = 600_000
 #: Characters of the texts encoded at a time, beyond the last one's.
 CHUNK_CHARS = 4_000_000
@@ -64,13 +65,14 @@ class PieceEncoder:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.tails: dict[str, bytes] = {}
         self.first, self.spaced = {}, {}  # ids of pieces at a line's start, and of pieces after a space
+        self.again: set[str] = set()  # of the latter, those that were kept already when they came
         (self.newline,) = self._whole(["\n"])
         self.newline_id = int.from_bytes(self.newline, "little")
         self.model = self.tokenizer.model if _is_plain_byte_level(self.tokenizer) else None
 
     def forget(self) -> None:
         """Drop the kept pieces, not the tokenizer."""
-        self.tails, self.first, self.spaced = {}, {}, {}
+        self.tails, self.first, self.spaced, self.again = {}, {}, {}, set()
 
     def plain(self, text: str) -> bool:
         """Whether single spaces and line feeds are all its white space, so that it can be cut there."""
@@ -100,9 +102,20 @@ class PieceEncoder:
         spelt = [w if w.isascii() else w.encode().decode("latin-1").translate(_ALPHABET) for w in words]
         return [array("I", [t.id for t in tokenize(lead + w)]).tobytes() for w in spelt]
 
-    def _learn(self, kept: dict[str, bytes], pieces: set[str], before: str) -> None:
+    def _make_room(self, begin: list[str], after: list[str]) -> None:
+        """Where too many pieces are kept, forget those that were in the texts of one call only, and not in these. If it
+        takes more, forget all that these texts don't have."""
+        self.again.update(filter(self.spaced.__contains__, after))
+        if len(self.spaced) + len(self.first) > self.most:
+            self.spaced = {p: self.spaced[p] for p in self.again}
+            self.first = {p: self.first[p] for p in begin if p in self.first}
+        if len(self.spaced) + len(self.first) > self.most:
+            self.spaced = {p: self.spaced[p] for p in after if p in self.spaced}
+            self.again = set(self.spaced)
+
+    def _learn(self, kept: dict[str, bytes], pieces: list[str], before: str) -> None:
         """Keep the ids of ``before`` + piece. A letter or digit and a tail of points and commas are separate anyway."""
-        pieces = pieces.difference(kept)
+        pieces = {p for p in pieces if p not in kept}
         stems = list({p.rstrip(".,") for p in pieces}.difference(kept, ("",)))
         latin = [p for p in stems if p.isalpha() and (p.isascii() or max(p) < "\u0250")] if self.model else []
         kept.update(zip(latin, self._words(before, latin), strict=True))
@@ -118,21 +131,33 @@ class PieceEncoder:
         return self.tails[tail]
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        cut = [[line.split(" ") for line in t.split("\n")] if self.plain(t) else None for t in texts]
-        lines = [line for c in cut if c is not None for line in c]
-        heads = [line.pop(0) for line in lines]  # what is left of each line stands after spaces
-        begin, after = set(heads), set(chain.from_iterable(lines))
-        if len(self.spaced) + len(self.first) > self.most:  # what these texts have too is kept
-            self.first = {p: self.first[p] for p in begin.intersection(self.first)}
-            self.spaced = {p: self.spaced[p] for p in after.intersection(self.spaced)}
+        plain = [self.plain(t) for t in texts]
+        cut = iter(self._cut([t for t, p in zip(texts, plain, strict=True) if p]))
+        rest = iter(self._whole([t for t, p in zip(texts, plain, strict=True) if not p]))
+        return [next(cut if p else rest) for p in plain]
+
+    def _cut(self, texts: list[str]) -> list[bytes]:
+        """The ids of plain texts. Arrow finds the distinct pieces of all of them, so that Python handles each once."""
+        import numpy as np
+
+        if not texts:
+            return []
+        # a piece at a line's start has the line feed with it, at a text's start one whose id is left out
+        words = pc.split_pattern(pa.array(["\n" + t.replace("\n", " \n") for t in texts], pa.large_string()), " ")
+        coded = words.values.dictionary_encode()
+        pieces, heads = coded.dictionary.to_numpy(zero_copy_only=False), pc.starts_with(coded.dictionary, "\n").to_numpy(zero_copy_only=False)
+        begin, after = [p[1:] for p in pieces[heads].tolist()], pieces[~heads].tolist()
+        self._make_room(begin, after)
         self._learn(self.first, begin, "")
         self._learn(self.spaced, after, " ")
-        first, spaced, head = self.first, self.spaced.__getitem__, iter(heads)
-        rest = iter(self._whole([t for t, c in zip(texts, cut, strict=True) if c is None]))
-        return [
-            next(rest) if c is None else self.newline.join([b"".join((first[next(head)], *map(spaced, line))) for line in c])
-            for c in cut
-        ]
+        found = [*map(self.spaced.__getitem__, after), *(self.newline + self.first[p] for p in begin)]
+        of = np.argsort(np.argsort(heads, kind="stable"))[coded.indices.to_numpy()]
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        taken = sizes[of]
+        ends = np.concatenate([[0], np.cumsum(taken)])
+        places = np.arange(ends[-1]) + np.repeat((np.cumsum(sizes) - sizes)[of] - ends[:-1], taken)
+        data, cuts = np.frombuffer(b"".join(found), "<u4")[places].tobytes(), (4 * ends[words.offsets.to_numpy()]).tolist()
+        return [data[i + 4 : j] for i, j in zip(cuts[:-1], cuts[1:], strict=True)]
 
 
 def _byte_alphabet() -> dict[int, str]:

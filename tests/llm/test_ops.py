@@ -268,6 +268,26 @@ def test_encoder_is_the_library():
         assert [np.frombuffer(x, "<u4").tolist() for x in enc.encode(some)] == want
 
 
+def test_encoder_keeps_pieces_that_came_twice():
+    """Pieces of many texts stay, beyond the most too, while those of one text go; ids are the library's throughout."""
+    enc, said = tokens.PieceEncoder(vocabulary(), most=100), []
+    learn = enc._words
+    enc._words = lambda before, words: said.append(sorted(words)) or learn(before, words)
+    odd = lambda k: " ".join("".join(chr(97 + int(c)) for c in str(1000 * k + i)) for i in range(60))
+    for k, text in enumerate(["x often seen", "x often seen", odd(1), odd(2), "x " + odd(3), "x often seen", "", "\nx often\nseen\n", " x ", "x\tseen"]):
+        got, want = enc.encode([text, text]), enc.tokenizer.encode(text, add_special_tokens=False).ids
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == [want] * 2
+        if k == 5:
+            assert not any("often" in words or "seen" in words for words in said[2:])
+    assert enc.encode([]) == [] and len(enc.spaced) + len(enc.first) < 200
+    for k in range(4, 9):  # all come twice, so that these go too
+        for _ in range(2):
+            enc.encode(["x " + odd(k)])
+            assert len(enc.spaced) + len(enc.first) < 200 and enc.again <= enc.spaced.keys()
+    enc.forget()
+    assert not (enc.first or enc.spaced or enc.tails or enc.again)
+
+
 def test_token_files(spark, docs, tmp_path):
     rows = [r for r in TEXTS if r[0] is not None]
     got = collected(tokens.round_trip(docs.filter("doc_id is not null"), vocabulary()))
