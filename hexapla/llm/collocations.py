@@ -11,9 +11,9 @@ Every occurrence of a word begins a path: that word and up to four more of its p
   several ranges too is the beginning of a range's first or last path; those partial counts, ten for each range at most, are
   added up after.
 
-Phrases that occur often enough are kept with all their parts, since these occur at least as often. From level to level of
-this common trie, a phrase takes the counts of its left parts from the phrase that is a word shorter at its end, its
-parent, and those of its right parts from the one that lacks its first word, its suffix link.
+Phrases that occur often enough are kept with all their parts, since these occur at least as often. One join of this common
+trie with itself gives each phrase the counts of its parts. The phrase that is a word shorter at its end, its parent, and the
+one that lacks its first word, its suffix link, tell what lies in longer phrases.
 
 Defined cases: a null text is empty, a null language is ``und``, as is the language of that name. Equal rows count each.
 Texts are read whole; longer ones than a block are cut between pieces. Words are what lies between spaces and tabs, whatever
@@ -382,19 +382,23 @@ def common_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, Data
 
 
 def with_parts(nodes: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(lang, phrase, depth, n, lefts, rights) of phrases of two words and more: counts of the first 1, 2, ... words, and of what
-    follows them."""
-    words = F.split("phrase", " ")
-    linked = nodes.select("lang", "phrase", "depth", "n", F.array_join(F.slice(words, 1, F.col("depth") - 1), " ").alias("parent"), F.array_join(F.slice(words, 2, F.col("depth") - 1), " ").alias("suffix"))
-    none = F.array().cast("array<bigint>")
-    level, out = linked.filter("depth = 1").select("lang", "phrase", "n", none.alias("lefts"), none.alias("rights")), None
-    for d in range(2, depth + 1):
-        p, s = (level.select(F.col("lang").alias(f"{x}_lang"), F.col("phrase").alias(f"{x}_phrase"), F.col("n").alias(f"{x}_n"), F.col(y).alias(f"{x}_parts")) for x, y in (("p", "lefts"), ("s", "rights")))
-        now = linked.filter(F.col("depth") == d).join(p, (F.col("lang") == F.col("p_lang")) & (F.col("parent") == F.col("p_phrase")))
-        now = now.join(s, (F.col("lang") == F.col("s_lang")) & (F.col("suffix") == F.col("s_phrase")))
-        now = now.select("lang", "phrase", "depth", "n", "parent", "suffix", F.concat("p_parts", F.array("p_n")).alias("lefts"), F.concat(F.array("s_n"), "s_parts").alias("rights"))
-        level, out = now, now if out is None else out.unionByName(now)
-    return out
+    """(lang, phrase, depth, n, parent, suffix, lefts, rights) of phrases of two words and more: what is a word shorter at the end
+    and at the beginning, and counts of the first 1, 2, ... words and of what follows them.
+
+    One join looks up all parts. Joins from level to level, each of which reads the level before for both sides, would double the
+    plan with every level; the driver holds that plan and all its stages."""
+    words, cuts = F.split("phrase", " "), depth - 1
+    some = lambda start, length: F.array_join(F.slice(words, start, length), " ")
+    each = F.sequence(F.lit(1), F.col("depth") - 1)
+    left = F.transform(each, lambda k: F.struct((k - 1).alias("place"), some(F.lit(1), k).alias("part")))
+    right = F.transform(each, lambda k: F.struct((k - 1 + cuts).alias("place"), some(k + 1, F.col("depth") - k).alias("part")))
+    asked = nodes.filter("depth > 1").select("lang", "phrase", "depth", "n", F.inline(F.concat(left, right)))
+    counts = nodes.select(F.col("lang").alias("p_lang"), F.col("phrase").alias("p_phrase"), F.col("n").alias("m"))
+    found = asked.join(counts, (F.col("lang") == F.col("p_lang")) & (F.col("part") == F.col("p_phrase")))
+    wide = found.groupBy("lang", "phrase", "depth", "n").agg(*(F.max(F.when(F.col("place") == k, F.col("m"))).alias(f"m{k}") for k in range(2 * cuts)))
+    sides = (F.slice(F.array(*(f"m{k}" for k in range(at, at + cuts))), F.lit(1), F.col("depth") - 1) for at in (0, cuts))
+    ends = some(F.lit(1), F.col("depth") - 1).alias("parent"), some(F.lit(2), F.col("depth") - 1).alias("suffix")
+    return wide.select("lang", "phrase", "depth", "n", *ends, *(c.alias(name) for c, name in zip(sides, ("lefts", "rights"), strict=True)))
 
 
 def collocations(docs: DataFrame, least: int = LEAST, share: int = SHARE, first: int = FIRST) -> DataFrame:

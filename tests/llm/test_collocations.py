@@ -129,3 +129,16 @@ def test_tasks_return_their_memory(spark, monkeypatch):
     lots = collocations.dealt(tries, collocations.bounds(tries, 10), 2)
     assert collocations.counted(lots, 1).count() == 6 and collocations.remerged(lots).count() == 1
     assert run == ["build", "cut", "count_", "merge"]
+
+
+def test_plan_of_parts_does_not_grow_with_depth(spark, capsys):
+    """The driver holds a plan and its stages: 52 joins for five words, when each level read the one before twice."""
+    nodes = spark.createDataFrame([("en", "a", 1, 9), ("en", "a a", 2, 7), ("en", "a a a", 3, 5), ("en", "a a a a", 4, 3), ("de", "a", 1, 2)], "lang string, phrase string, depth int, n long")
+    plans = []
+    for depth in (4, 8):
+        parts = collocations.with_parts(nodes, depth)
+        parts.explain()
+        plans.append(capsys.readouterr().out.count("Join"))
+        got = {r.phrase: (r.lang, r.n, r.parent, r.suffix, r.lefts, r.rights) for r in parts.collect()}
+        assert got == {"a a": ("en", 7, "a", "a", [9], [9]), "a a a": ("en", 5, "a a", "a a", [9, 7], [7, 9]), "a a a a": ("en", 3, "a a a", "a a a", [9, 7, 5], [5, 7, 9])}
+    assert plans == [1, 1]
