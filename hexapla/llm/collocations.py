@@ -37,13 +37,15 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hexapla.llm.common import releasing, written
+from hexapla.llm.common import releasing, small_batches, written
 
 #: Words of the longest phrase, occurrences of the rarest, share of a longer phrase's count that drops it, and rows of a
 #: language.
 DEPTH, LEAST, SHARE, FIRST = 5, 100, 100, 2000
 #: Bytes of text in a block; paths in a task's trie, in a range, and between two of the marks that give the quantiles.
-BLOCK_BYTES, MOST_PATHS, RANGE_PATHS, STEP = 4 << 20, 700_000, 500_000, 10_000
+BLOCK_BYTES, MOST_PATHS, RANGE_PATHS, STEP = 2 << 20, 450_000, 500_000, 10_000
+#: Bytes that a task passes to Python at a time.
+BATCH_BYTES = 4 << 20
 #: Ranges that tries are dealt out to at a time, marks that these are chosen from, and bytes of a word in a mark.
 MOST_RANGES, MOST_MARKS, MARK_BYTES = 1024, 1_000_000, 64
 
@@ -291,8 +293,7 @@ def bounds(tries: DataFrame, per: int) -> DataFrame:
 
 def dealt(tries: DataFrame, where: DataFrame, parts: int) -> DataFrame:
     """Tries cut at the bounds of their ranges and brought together by new range. The new ranges of one old range, which are
-    numbered in a row, go to partitions in a row: dealt by a hash, a few partitions would get several times the usual, and
-    both sides of a Python task hold what it reads."""
+    numbered in a row, go to partitions in a row: dealt by a hash, a few partitions would get several times the usual."""
 
     def cut(batches):
         for b in batches:
@@ -368,17 +369,18 @@ def counted(lots: DataFrame, least: int) -> DataFrame:
 
 def common_phrases(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, DataFrame]:
     """(lang, phrase, depth, n) of all phrases of up to DEPTH words that occur ``least`` times, and (lang, total) words."""
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    tries = written(built(docs), "collocations-tries")
-    totals = written(tries.groupBy("lang").agg(F.sum("words").alias("total")), "collocations-words")
-    ranges = (tries.agg(F.sum("paths")).first()[0] or 0) // RANGE_PATHS + 1
-    while ranges > MOST_RANGES:
-        wide = -(-ranges // MOST_RANGES)
-        tries = written(remerged(dealt(tries, bounds(tries, RANGE_PATHS * wide), parts)), "collocations-merged")
-        ranges = wide
-    lots = dealt(tries, bounds(tries, RANGE_PATHS), max(1, min(parts, (tries.agg(F.sum("paths")).first()[0] or 0) // RANGE_PATHS + 1)))
-    found = counted(lots, least).groupBy("lang", "phrase", "depth").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    return written(found, "collocations-phrases"), totals
+    with small_batches(docs.sparkSession, BATCH_BYTES):
+        parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        tries = written(built(docs), "collocations-tries")
+        totals = written(tries.groupBy("lang").agg(F.sum("words").alias("total")), "collocations-words")
+        ranges = (tries.agg(F.sum("paths")).first()[0] or 0) // RANGE_PATHS + 1
+        while ranges > MOST_RANGES:
+            wide = -(-ranges // MOST_RANGES)
+            tries = written(remerged(dealt(tries, bounds(tries, RANGE_PATHS * wide), parts)), "collocations-merged")
+            ranges = wide
+        lots = dealt(tries, bounds(tries, RANGE_PATHS), max(1, min(parts, (tries.agg(F.sum("paths")).first()[0] or 0) // RANGE_PATHS + 1)))
+        found = counted(lots, least).groupBy("lang", "phrase", "depth").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
+        return written(found, "collocations-phrases"), totals
 
 
 def with_parts(nodes: DataFrame, depth: int = DEPTH) -> DataFrame:

@@ -7,6 +7,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -48,6 +49,22 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: int) -> Iterator[None]:
+    """What is run within passes to Python in Arrow batches of about ``size`` bytes, one row at least; by default a batch is
+    up to 64 MiB, which each task holds outside its executor's heap, twice while it grows."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, str(size))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def without(docs: DataFrame, ids: DataFrame, keep: bool = False) -> DataFrame:
     """The rows of ``docs`` whose doc_id, null as a value, is not in ``ids`` (or, with ``keep``, is), with their own
     columns, whatever their names."""

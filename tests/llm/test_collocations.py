@@ -142,3 +142,34 @@ def test_plan_of_parts_does_not_grow_with_depth(spark, capsys):
         got = {r.phrase: (r.lang, r.n, r.parent, r.suffix, r.lefts, r.rights) for r in parts.collect()}
         assert got == {"a a": ("en", 7, "a", "a", [9], [9]), "a a a": ("en", 5, "a a", "a a", [9, 7], [7, 9]), "a a a a": ("en", 3, "a a a", "a a a", [9, 7, 5], [5, 7, 9])}
     assert plans == [1, 1]
+
+
+@pytest.mark.parametrize("before", [None, "32m"])
+def test_python_tasks_get_small_batches(spark, monkeypatch, before):
+    """A task's input in one batch stands beside the executor's heap."""
+
+    def bounded(run):
+        def checked(batches):
+            def each():
+                for b in batches:
+                    assert b.num_rows == 1 or b.nbytes < 50_000
+                    yield b
+
+            return run(each())
+
+        return checked
+
+    monkeypatch.setattr(collocations, "BATCH_BYTES", 20_000, raising=False)
+    monkeypatch.setattr(collocations, "RANGE_PATHS", 10_000)
+    monkeypatch.setattr(collocations, "releasing", bounded)
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    r = random.Random(2)
+    rows = [("en", " ".join(f"v{r.randrange(400)}" for _ in range(2000))) for _ in range(40)]
+    docs = spark.createDataFrame(rows, "lang string, text string").repartition(2)
+    if before:
+        spark.conf.set(key, before)
+    try:
+        assert sorted(tuple(x) for x in collocations.collocations(docs, 3).collect()) == brute(rows, 3, 2000)
+        assert spark.conf.get(key, None) == before
+    finally:
+        spark.conf.unset(key)
