@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import html
+import re
 import unicodedata
 from collections import Counter
 from difflib import SequenceMatcher
+from html.entities import html5
 
 import pandas as pd
 from pyspark.sql import Column
@@ -48,9 +50,10 @@ def tidy_lines(c: Column) -> Column:
     return strip(F.regexp_replace(F.array_join(lines, "\n"), r"\n{3,}", "\n\n"))
 
 
-def html_to_text(c: Column) -> Column:
-    """HTML to plain text: tags to lines, entities to characters, lines tidied."""
-    return tidy_lines(html_unescape(markup_to_lines(c)))
+def html_to_text(c: Column, closed: bool = False) -> Column:
+    """HTML to plain text: tags to lines, entities to characters, lines tidied. ``closed``: only entities with a semicolon, so
+    that one which the end of a text has cut off, or a URL's ``&copy=``, stays."""
+    return tidy_lines((html_unescape_closed if closed else html_unescape)(markup_to_lines(c)))
 
 
 def keep_alnum(c: Column) -> Column:
@@ -243,6 +246,17 @@ def html_unescape(s: pd.Series) -> pd.Series:
     return s.map(lambda x: x if x is None else html.unescape(x))
 
 
+def _closed(m: re.Match) -> str:
+    return html.unescape(m[0]) if m[1].startswith("#") or m[1] in html5 else m[0]
+
+
+@F.pandas_udf(T.StringType())
+def html_unescape_closed(s: pd.Series) -> pd.Series:
+    """Entities that end in a semicolon to characters."""
+    entity = re.compile(r"&(#[0-9]+;|#[xX][0-9A-Fa-f]+;|[A-Za-z][0-9A-Za-z]*;)")
+    return s.map(lambda x: x if x is None else entity.sub(_closed, x))
+
+
 @F.pandas_udf(T.StringType())
 def nfkc(s: pd.Series) -> pd.Series:
     """Unicode's compatibility composition."""

@@ -1,5 +1,6 @@
 """Every query of the catalogue against its SQL."""
 
+import duckdb
 import pytest
 
 from compare import connect, same_rows
@@ -22,6 +23,17 @@ def test_query(spark, con, name):
         assert df.count() > 0
 
 
+def test_html_to_text_leaves_cut_entities(spark, tmp_path):
+    """Entities without a semicolon, as where a page is cut, stay; the SQL leaves them too."""
+    pages = ["<p>a &amp; b&amp</p><p>&am", "x&copy=1 &copy; &lt;b&gt; &amp;lt; &ampx; &quot;", "&middot;&amp", None]
+    spark.createDataFrame(list(enumerate(pages)), "page_id long, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    df = catalogue.QUERIES["html_to_text"](spark, str(tmp_path))
+    con = duckdb.connect()
+    con.sql(f"CREATE VIEW pages AS SELECT * FROM '{tmp_path}/pages.parquet/*.parquet'")
+    same_rows(df, con, catalogue.ORACLE["html_to_text"])
+    assert [r.text for r in df.orderBy("page_id").collect()] == ["a & b&amp\n&am", 'x&copy=1 © <b> &lt; &ampx; "', "·&amp", ""]
+
+
 def test_lyric_coverage_finds_what_is_contained(spark):
     """Every item that stands in a document is found with its first one; other finds have nine tenths."""
     items = {r.item_id: r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()}
