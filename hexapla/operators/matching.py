@@ -70,6 +70,12 @@ def _by_rare_characters(items: DataFrame, docs: DataFrame, percent: int) -> Data
     return both.groupBy("doc_id", "item_id", "need").agg(F.sum(F.least("n", "m")).alias("shared")).filter("shared >= need").select("doc_id", "item_id")
 
 
+def _short_pairs(items: DataFrame, docs: DataFrame, percent: int) -> DataFrame | None:
+    """(doc_id, item_id, item, text) by rare characters; None if there are no items, so that nobody counts the documents'
+    characters for them."""
+    return None if items.isEmpty() else _by_rare_characters(items, docs, percent).join(items, "item_id").join(docs, "doc_id")
+
+
 #: Items of fewer characters are looked for by their rarest characters.
 SHORT = 12
 
@@ -85,11 +91,16 @@ def best_coverage(items: DataFrame, docs: DataFrame, percent: int = 90, keep: Ca
     items, docs = items.select("item_id", "item").filter("item <> ''"), docs.select("doc_id", "text")
     length = F.length("item")
     fits = (length >= SHORT) & segments.segment_size(length, percent).isNotNull()
-    short = _by_rare_characters(items.filter(~fits), docs, percent).join(items, "item_id").join(docs, "doc_id")
-    pairs = segments.candidates(items.filter(fits), docs, percent, keep).unionByName(short)
+    pairs = segments.candidates(items.filter(fits), docs, percent, keep)
+    pairs = pairs if (short := _short_pairs(items.filter(~fits), docs, percent)) is None else pairs.unionByName(short)
+    # a text that contains the item covers all of it: those behind the first such one need not be compared
+    seen = keep(pairs.select("item_id", "doc_id", "item", F.col("text").contains(F.col("item")).alias("whole")))
+    first = seen.filter("whole").groupBy("item_id").agg(F.min("doc_id").alias("first"))
+    asked = seen.filter("not whole").join(first, "item_id", "left").filter(F.col("first").isNull() | (F.col("doc_id") < F.col("first")))
     # comparing takes long, and few pairs would else be left in a few tasks
-    spread = pairs.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "item_id", "doc_id")
+    spread = asked.join(docs, "doc_id").repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "item_id", "doc_id")
     scored = spread.select("item_id", "doc_id", coverage_from("item", "text", F.lit(percent)).alias("coverage"))
+    scored = scored.unionByName(first.select("item_id", F.col("first").alias("doc_id"), F.lit(1.0).alias("coverage")))
     best = scored.groupBy("item_id").agg(F.min_by(F.struct("doc_id", "coverage"), F.struct(-F.col("coverage"), "doc_id")).alias("b"))
     return best.select("item_id", "b.doc_id", "b.coverage").filter(F.col("coverage") * 100 >= percent)
 
@@ -99,8 +110,9 @@ def contained(items: DataFrame, docs: DataFrame, keep: Callable[[DataFrame], Dat
     out. An item is its only segment; of one character, it is looked for by that."""
     items, docs = items.select("item_id", "item").filter("item <> ''"), docs.select("doc_id", "text")
     one = segments.segment_size(F.length("item"), 100).isNull()
-    short = _by_rare_characters(items.filter(one), docs, 100).join(items, "item_id").join(docs, "doc_id")
-    return segments.candidates(items.filter(~one), docs, 100, keep).unionByName(short).filter(F.col("text").contains(F.col("item"))).select("item_id", "doc_id")
+    pairs = segments.candidates(items.filter(~one), docs, 100, keep)
+    pairs = pairs if (short := _short_pairs(items.filter(one), docs, 100)) is None else pairs.unionByName(short)
+    return pairs.filter(F.col("text").contains(F.col("item"))).select("item_id", "doc_id")
 
 
 def tolerant_join(one: DataFrame, two: DataFrame, key: str, name: str) -> DataFrame:

@@ -46,30 +46,53 @@ def run_hashes(text: str, size: int) -> np.ndarray:
     return (h ^ (h >> np.uint64(29))).view(np.int64)
 
 
-def _in_order(own: np.ndarray, there: np.ndarray) -> int:
-    """How many of ``own`` can be found in ``there`` one behind the other."""
-    order = np.argsort(there, kind="stable")
-    low, high = (np.searchsorted(there, own, side, sorter=order) for side in ("left", "right"))
+def _in_order(own: np.ndarray, runs: np.ndarray, places: np.ndarray, need: int) -> bool:
+    """Whether ``need`` of ``own`` are found one behind the other in a text whose sorted ``runs`` stand at ``places``."""
+    low, high = np.searchsorted(runs, own), np.searchsorted(runs, own, "right")
     ends: list[int] = []
-    for a, z in zip(low.tolist(), high.tolist(), strict=True):
-        for at in order[a:z][::-1].tolist():
-            k = bisect_left(ends, at)
-            ends[k : k + 1] = [at]
-    return len(ends)
-
-
-@F.pandas_udf(T.BooleanType())
-def shares_runs(item: pd.Series, text: pd.Series, lost: pd.Series, size: pd.Series) -> pd.Series:
-    """Whether the text has, one behind the other, as many of the item's runs of ``size`` characters as are left if ``lost``
-    places spoil as many as they can."""
-
-    def one(x, t, k, q):
-        own, there = run_hashes(x, q), run_hashes(t, q)
-        need = len(own) - k * q
-        found = own[np.isin(own, there)]
-        return len(found) >= need and _in_order(found, there) >= need
-
-    return pd.Series([one(*v) for v in zip(item, text, lost, size, strict=True)], dtype=bool)
+    for k, (a, z) in enumerate(zip(low.tolist(), high.tolist(), strict=True)):
+        if len(ends) >= need or len(ends) + len(own) - k < need:
+            break
+        for at in places[a:z][::-1].tolist():
+            j = bisect_left(ends, at)
+            ends[j : j + 1] = [at]
+    return len(ends) >= need
+
+
+def _sharing(text: str, items: list[str], lost: list[int], sizes: list[int], held: dict[tuple[str, int], np.ndarray]) -> list[bool]:
+    """Whether the text has, one behind the other, as many of each item's runs of so many characters as are left if the ``lost``
+    places spoil as many as they can. The text's runs are put in order once, and looked up for all items at once; ``held``
+    keeps the items' runs."""
+    fits = [False] * len(items)
+    for q in set(sizes):
+        some = [i for i, s in enumerate(sizes) if s == q]
+        for i in some:
+            if (items[i], q) not in held:
+                held[items[i], q] = run_hashes(items[i], q)
+        own = [held[items[i], q] for i in some]
+        there, places, every = run_hashes(text, q), None, np.concatenate(own)
+        runs = np.sort(there)
+        found = runs[np.minimum(np.searchsorted(runs, every), len(runs) - 1)] == every if len(runs) else np.zeros(len(every), bool)
+        for i, h, hit in zip(some, own, np.split(found, np.cumsum([len(h) for h in own[:-1]])), strict=True):
+            need = len(h) - lost[i] * q
+            fits[i] = need <= 0
+            if not fits[i] and np.count_nonzero(hit) >= need:
+                places = np.argsort(there, kind="stable") if places is None else places
+                fits[i] = _in_order(h[hit], runs, places, need)
+    return fits
+
+
+@F.pandas_udf(T.ArrayType(T.BooleanType()))
+def shares_runs(items: pd.Series, lost: pd.Series, sizes: pd.Series, text: pd.Series) -> pd.Series:
+    """``_sharing`` of each text with its items."""
+    held: dict[tuple[str, int], np.ndarray] = {}
+
+    def one(xs, ks, qs, t):
+        if len(held) > 4096:
+            held.clear()
+        return _sharing(t, list(xs), ks.tolist(), qs.tolist(), held)
+
+    return pd.Series([one(*v) for v in zip(items, lost, sizes, text, strict=True)])
 
 
 def losses(length: Column, percent: int) -> Column:
@@ -121,17 +144,28 @@ def _text_keys(bitmap: np.ndarray, sizes: list[int]) -> Callable[[Column], Colum
 
 #: Characters of the runs that are counted in both before a text is compared.
 RUN = 6
+#: Segments of the items that are looked at in one text at once.
+BLOCK = 20_000
 
 
 def candidates(items: DataFrame, docs: DataFrame, percent: int, keep: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """(doc_id, item_id, item, text) of texts (doc_id, text) that have a segment of an item (item_id, item) whole, and as many of
     its shorter runs as the losses leave. Items that are too short for segments have none. ``keep`` writes the items' keys and
-    reads them back."""
+    reads them back.
+
+    A text meets all items that it shares a segment with in one row, or in one for each block of them where they are many."""
     n = F.length("item")
     cut = items.select("item_id", "item", (losses(n, percent) + 1).alias("parts"), segment_size(n, percent).alias("size")).filter("size is not null")
     keyed = keep(cut.select("item_id", "size", F.explode(_item_keys("item", "parts", "size")).alias("key")))
     sizes = sorted(r[0] for r in keyed.select("size").distinct().collect())
+    blocks = 1 + keyed.count() // BLOCK
     there = docs.select("doc_id", F.explode(_text_keys(_bitmap(keyed), sizes)("text")).alias("key"))
-    pairs = there.join(keyed, "key").select("doc_id", "item_id").distinct().repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id")
-    both = pairs.join(items.select("item_id", "item"), "item_id").join(docs.select("doc_id", "text"), "doc_id")
-    return both.filter(shares_runs("item", "text", losses(n, percent), F.least(segment_size(n, percent), F.lit(RUN)))).select("doc_id", "item_id", "item", "text")
+    pairs = there.join(keyed, "key").select("doc_id", "item_id").distinct()
+    asked = items.select("item_id", F.struct("item_id", "item", losses(n, percent).alias("lost"), F.least(segment_size(n, percent), F.lit(RUN)).alias("size")).alias("x"), F.pmod(F.xxhash64("item_id"), F.lit(blocks)).alias("block"))
+    met = pairs.join(asked, "item_id").groupBy("doc_id", "block").agg(F.collect_list("x").alias("xs"))
+    # few texts may be left, in few tasks, and looking at them takes long
+    met = met.repartition(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "doc_id").join(docs.select("doc_id", "text"), "doc_id")
+    of = lambda c: F.transform("xs", lambda x: x[c])
+    found = met.select("doc_id", "text", F.arrays_zip("xs", shares_runs(of("item"), of("lost"), of("size"), F.col("text")).alias("fits")).alias("v"))
+    found = found.withColumn("v", F.filter("v", lambda v: v["fits"])).filter(F.size("v") > 0)
+    return found.select("doc_id", "text", F.explode("v.xs").alias("x")).select("doc_id", "x.item_id", "x.item", "text")

@@ -357,6 +357,26 @@ def test_coverage_of_edited_items_of_all_lengths(spark):
     assert rows(matching.best_coverage(i, d)) == sorted(want, key=str) and len(want) > 130
 
 
+def test_coverage_leaves_out_what_cannot_win(spark, monkeypatch):
+    """Without short items nobody counts characters, and texts behind the first that has an item whole are not compared; a text
+    before it, which has the item with something between, is, and wins."""
+    import pandas as pd
+
+    from hexapla.operators import matching
+
+    def compared(part, whole, percent):
+        if any("不比" in t for t in whole):
+            raise ValueError("compared")
+        return pd.Series([0.95] * len(part))
+
+    monkeypatch.setattr(matching, "coverage_from", F.pandas_udf(compared, "double"))
+    monkeypatch.setattr(matching, "_by_rare_characters", lambda *a: pytest.fail("characters counted"))
+    item, other = "".join(chr(0x4E00 + k) for k in range(40)), "".join(chr(0x5E00 + k) for k in range(40))
+    docs = [other[:20] + "新" + other[20:], "甲" + item, "乙" + item, item[:20] + "不比" + item[20:]]
+    i, d = spark.createDataFrame([(1, item), (2, other)], "item_id int, item string"), spark.createDataFrame(list(enumerate(docs)), "doc_id int, text string")
+    assert rows(matching.best_coverage(i, d)) == [(1, 1, 1.0), (2, 0, 0.95)]
+
+
 def test_candidates_grow_with_the_rows(spark):
     """Ten times the rows, ten times the pairs to compare."""
     import random
