@@ -1,9 +1,10 @@
-"""A data source of numbered pages of JSON, each a partition: a cache first, then the site's folder.
+"""A data source of numbered pages of JSON: a cache first, then the site's folder.
 
     spark.dataSource.register(PagedSource)
     spark.read.format("paged").option("path", site).option("cache", folder).load()
 
-Page 1 tells how many there are. A page is read from the cache if that has it; a cached page that isn't JSON is as if it
+Page 1 tells how many there are. Up to ``PARTITIONS`` pages are a partition each; more are dealt out in runs of up to ``RUN``
+pages, as a task takes longer to begin than a page to be read. A page is read from the cache if that has it; a cached page that isn't JSON is as if it
 weren't there. A page of the site is written to the cache, staged and renamed, so that a task that is run again finds the
 same. A page that neither has, or that can't be parsed, is a row with its reason and no text. Options: ``refresh`` passes over
 the cache and writes it anew; ``pages`` reads that many at most. Files are opened by Arrow's file systems.
@@ -44,10 +45,16 @@ def _parsed(text: str | None) -> object:
         return None
 
 
-class Page(InputPartition):
-    def __init__(self, number: int):
-        super().__init__(number)
-        self.number = number
+#: Partitions, as long as none of them has more than RUN pages.
+PARTITIONS, RUN = 32, 1024
+
+
+class Pages(InputPartition):
+    """Pages ``first`` to ``last``."""
+
+    def __init__(self, first: int, last: int):
+        super().__init__((first, last))
+        self.first, self.last = first, last
 
 
 class PagedReader(DataSourceReader):
@@ -55,32 +62,40 @@ class PagedReader(DataSourceReader):
         self.site, self.cache = options["path"], options.get("cache")
         self.refresh, self.most = options.get("refresh", "false").lower() == "true", int(options.get("pages", "0"))
 
-    def fetch(self, page: int, store: bool = True) -> tuple[str, str | None]:
+    def fetch(self, page: int, site: tuple[pa.fs.FileSystem, str], cache: tuple[pa.fs.FileSystem, str] | None, store: bool = True) -> tuple[str, str | None]:
         """(where it is from, text); ``missing`` or ``corrupt`` without text. ``store``: into the cache."""
-        if self.cache and not self.refresh:
-            held = _read(_folder(self.cache), page)
+        if cache and not self.refresh:
+            held = _read(cache, page)
             if _parsed(held) is not None:
                 return "cache", held
-        text = _read(_folder(self.site), page)
+        text = _read(site, page)
         if _parsed(text) is None:
             return "missing" if text is None else "corrupt", None
-        if self.cache and store:
-            system, path = _folder(self.cache)
-            system.create_dir(path, recursive=True)
+        if cache and store:
+            system, path = cache
             staged = f"{path}/.page_{page}-{uuid.uuid4().hex}"
             with system.open_output_stream(staged) as f:
                 f.write(text.encode())
             system.move(staged, f"{path}/page_{page}.json")
         return "site", text
 
-    def partitions(self) -> list[Page]:
-        first = _parsed(self.fetch(1, store=False)[1])
+    def folders(self) -> tuple[tuple[pa.fs.FileSystem, str], tuple[pa.fs.FileSystem, str] | None]:
+        return _folder(self.site), _folder(self.cache) if self.cache else None
+
+    def partitions(self) -> list[Pages]:
+        first = _parsed(self.fetch(1, *self.folders(), store=False)[1])
         last = first.get("last_page") if isinstance(first, dict) else None
         last = last if isinstance(last, int) and last > 0 else 1
-        return [Page(k) for k in range(1, (min(last, self.most) if self.most else last) + 1)]
-
-    def read(self, partition: Page) -> Iterator[tuple]:
-        yield (partition.number, *self.fetch(partition.number))
+        last = min(last, self.most) if self.most else last
+        run = min(RUN, -(-last // PARTITIONS))
+        return [Pages(k, min(k + run - 1, last)) for k in range(1, last + 1, run)]
+
+    def read(self, partition: Pages) -> Iterator[tuple]:
+        site, cache = self.folders()
+        if cache:
+            cache[0].create_dir(cache[1], recursive=True)
+        for page in range(partition.first, partition.last + 1):
+            yield (page, *self.fetch(page, site, cache))
 
 
 def write_pages(pages: DataFrame, folder: str) -> None:

@@ -168,6 +168,17 @@ def test_paged_source(spark, tmp_path):
     assert {r.origin for r in spark.read.format("paged").option("path", str(tmp_path / "none")).load().collect()} == {"missing"}
 
 
+@pytest.mark.parametrize("last", [1, 32, 33, 90_000, 1_000_000])
+def test_many_pages_are_few_partitions(tmp_path, last):
+    """Each page is in one partition, in order, and a partition is not as small as a page where there are many."""
+    from hexapla.sources import paged
+
+    (tmp_path / "page_1.json").write_text(json.dumps({"data": [], "last_page": last}))
+    parts = paged.PagedReader({"path": str(tmp_path)}).partitions()
+    assert len(parts) <= max(32, -(-last // 1024))
+    assert [k for p in parts for k in range(p.first, p.last + 1)] == list(range(1, last + 1))
+
+
 @pytest.mark.parametrize("backward", [False, True])
 def test_compound_files(spark, backward):
     """Streams of all sizes, in order and backward; circles, broken chains and cut files are errors of their own row."""
