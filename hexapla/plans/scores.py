@@ -161,7 +161,7 @@ def row_line_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = lambda df, by, order, value: df.groupBy(by).agg(F.slice(F.transform(F.array_sort(F.collect_list(F.struct(*order, value))), lambda x: x[value]), 1, 6).alias("s"))
     rows = first(table(spark, sf_dir, "events"), "user_id", ["ts", "event_id"], "event_type").select(F.col("user_id").alias("row"), F.col("s").alias("codes"))
     lines = first(table(spark, sf_dir, "orders"), "o_custkey", ["o_orderkey"], "o_orderpriority").select(F.col("o_custkey").alias("line"), F.col("s").alias("symbols"))
-    return vote.rows_on_lines(rows, lines)
+    return vote.all_rows_on_lines(rows, lines, keep=kept)
 
 
 _FAULTS = "p_partkey % 5 = 1 AS numbering, p_partkey % 11 = 3 AS structure, p_partkey % 7 = 2 AND p_partkey % 13 <> 4 AS tune, p_partkey % 13 = 4 AS short, p_partkey % 3 = 0 AS chorus, p_partkey % 17 = 5 AS renamed"

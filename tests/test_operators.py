@@ -181,6 +181,25 @@ def test_rows_on_lines(spark):
     assert rows(vote.rows_on_lines(df, dl, ["doc"])) == sorted(want, key=str)
 
 
+def test_all_rows_on_lines(spark, monkeypatch):
+    """All pairs, in blocks: each pair once, and no pair of a row and a line is compared, only shapes are."""
+    import random
+
+    r = random.Random(6)
+    make = lambda n, letters: [(k, r.choices(letters, k=r.randint(0, 7))) for k in range(n)]
+    rows_, lines = make(90, "abcd"), make(120, "123")
+    df, dl = spark.createDataFrame(rows_, "row int, codes array<string>"), spark.createDataFrame(lines, "line int, symbols array<string>")
+    fits = lambda c, s: len(c) == len(s) >= 4 and len(set(zip(c, s, strict=True))) == len(set(c))
+    want = [(i, k) for i, c in rows_ for k, s in lines if fits(c, s)]
+    compared = []
+    monkeypatch.setattr(vote, "BLOCK", 3)
+    real = vote.rows_on_lines
+    monkeypatch.setattr(vote, "rows_on_lines", lambda a, b, **k: compared.append((a, b)) or real(a, b, **k))
+    assert rows(vote.all_rows_on_lines(df, dl)) == sorted(want, key=str) and len(want) > 50
+    shapes = lambda seqs: len({tuple(s.index(x) for x in s) for _, s in seqs if len(s) >= 4})
+    assert [(a.count(), b.count()) for a, b in compared] == [(shapes(rows_), shapes(lines))]
+
+
 @pytest.mark.parametrize("rounds", [1, 4])
 def test_learning_rounds_against_a_plain_version(spark, rounds):
     """Lines of texts, their rarer words unknown: the same dictionary as by rounds in plain Python."""
