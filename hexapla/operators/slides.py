@@ -103,12 +103,13 @@ def hymn_of_files(facts: DataFrame, slides: DataFrame, hymns: DataFrame, verses:
     nine tenths names the hymn (``lyric``). ``hymns`` are (number, title), ``verses`` (number, verse_no, verse)."""
     titles = hymns.select("number", compare_text(F.col("title")).alias("title"))
     asked = facts.select(F.col("file").alias("asked"), compare_text(F.col("title")).alias("name"), "version")
-    found = exact_then_fuzzy(asked, titles).withColumnRenamed("asked", "file")
+    # items and texts stand in the lookup several times; were they not tables, each would bring the titles' plan with it
+    found = keep(exact_then_fuzzy(asked, keep(titles)).withColumnRenamed("asked", "file"))
     known = facts.select("file").join(found, "file", "left").withColumn("kind", F.coalesce("kind", F.lit("none")))
     open_ = slides.join(known.filter("kind in ('none', 'multi')").select("file"), "file", "left_semi")
     first = open_.withColumn("place", F.row_number().over(Window.partitionBy("file").orderBy("stanza_no"))).filter(F.col("place") <= LOOKED_UP)
-    items = first.select(F.struct("file", "place").alias("item_id"), compare_text(F.col("said")).alias("item"))
-    texts = verses.select(F.struct("number", "verse_no").alias("doc_id"), compare_text(F.col("verse")).alias("text")).filter("text <> ''")
+    items = keep(first.select(F.struct("file", "place").alias("item_id"), compare_text(F.col("said")).alias("item")))
+    texts = keep(verses.select(F.struct("number", "verse_no").alias("doc_id"), compare_text(F.col("verse")).alias("text")).filter("text <> ''"))
     said = best_coverage(items, texts, keep=keep).select("item_id.file", "item_id.place", F.col("doc_id.number").alias("l_number"), F.round("coverage", 3).alias("l_score"))
     by_lyric = said.groupBy("file").agg(F.min_by(F.struct("l_number", "l_score"), "place").alias("l"))
     got = known.join(by_lyric, "file", "left")

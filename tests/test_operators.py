@@ -376,6 +376,27 @@ def test_coverage_of_edited_items_of_all_lengths(spark):
     assert rows(matching.best_coverage(i, d)) == sorted(want, key=str) and len(want) > 130
 
 
+def test_lookup_of_hymns_reads_tables(spark, monkeypatch):
+    """What is looked up by lyrics are tables, not the plan of the titles' matching once more for each use."""
+    from hexapla.operators import slides
+    from hexapla.sources.scratch import kept
+
+    plans = []
+
+    def covered(items, docs, keep):
+        plans.extend(df._jdf.queryExecution().optimizedPlan().toString() for df in (items, docs))
+        return spark.createDataFrame([(("f", 1), (7, 1), 1.0)], "item_id struct<file: string, place: int>, doc_id struct<number: int, verse_no: int>, coverage double")
+
+    monkeypatch.setattr(slides, "best_coverage", covered)
+    facts = spark.createDataFrame([("f", "甲乙丙", ""), ("g", "天地日月", "")], "file string, title string, version string")
+    said = spark.createDataFrame([("f", 1, "山川風雲"), ("g", 1, "花草")], "file string, stanza_no int, said string")
+    hymns = spark.createDataFrame([(7, "春夏秋冬"), (8, "天地日月")], "number int, title string")
+    verses = spark.createDataFrame([(7, 1, "山川風雲"), (8, 1, "花草")], "number int, verse_no int, verse string")
+    got = {r.file: (r.number, r.kind) for r in slides.hymn_of_files(facts, said, hymns, verses, kept).collect()}
+    assert got == {"f": (7, "lyric"), "g": (8, "exact")}
+    assert len(plans) == 2 and not any("Join" in p or "Window" in p for p in plans)
+
+
 def test_coverage_leaves_out_what_cannot_win(spark, monkeypatch):
     """Without short items nobody counts characters, and texts behind the first that has an item whole are not compared; a text
     before it, which has the item with something between, is, and wins."""
